@@ -55,8 +55,10 @@ RANKING_METRICS = (
     "event_hit_rate",
     "security_hit_rate",
     "warning_rate",
+    "warning_days_median",
     "warning_days_mean",
 )
+COMPOSITE_METRICS = RANKING_METRICS[:4]
 EXAMPLE_LIMIT = 20
 # ---------------------------------------------------------------------------
 

@@ -45,8 +45,19 @@ def query(name: str, sql: str | None = None, prelude: bool = True):
     return register
 
 
+_DOMAINS: dict[tuple[str, str], Domain] = {}
+
+
+def domain(spark: SparkSession, sf_dir: str) -> Domain:
+    """One lazily built domain per session and directory: shares plans, not data."""
+    key = (spark.sparkContext.applicationId, str(sf_dir))
+    if key not in _DOMAINS:
+        _DOMAINS[key] = Domain(spark, str(sf_dir))
+    return _DOMAINS[key]
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES[name].build(Domain(spark, sf_dir))
+    return QUERIES[name].build(domain(spark, sf_dir))
 
 
 def half_up(n: str, d: str, scale: int = 6) -> str:
