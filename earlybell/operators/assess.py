@@ -143,32 +143,34 @@ def dangerous_runs(states: DataFrame, *, first_day: str = "first_day") -> DataFr
     )
 
 
+def state_grid(securities: DataFrame, days: DataFrame) -> DataFrame:
+    """Lifecycle grid of securities with the market's first session attached."""
+    first = day_arrays(days).select("market_code", F.get("days", F.lit(0)).alias("first_day"))
+    return (
+        expected_days(securities, days)
+        .select(*R.KEY, DAY, "ordinal")
+        .join(F.broadcast(first), "market_code")
+    )
+
+
 def broker_states(
-    securities: DataFrame,
-    days: DataFrame,
+    grid: DataFrame,
     history: DataFrame,
     st: DataFrame,
     brokers: Sequence[str],
     mapping: R.BrokerMapping,
-    extra: dict[str, DataFrame] | None = None,
-    keep_extra: Sequence[str] = (),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Final bucket per security, broker and grid day (P9 on the carried record).
 
-    ``securities`` needs listed_date / delisted_date (nulls for an unclipped grid).
+    ``grid`` needs the key, trading_date, ordinal, first_day and the ``keep`` columns.
     """
-    arrays = day_arrays(days).select("market_code", F.get("days", F.lit(0)).alias("first_day"))
-    grid = expected_days(securities, days).select(*R.KEY, DAY, "ordinal").join(
-        F.broadcast(arrays), "market_code"
-    )
-    panel = active_grades(
-        history, grid, {"st": st.select(*R.KEY, DAY, "is_st"), **(extra or {})}
-    ).where(F.col("grid").isNotNull())
+    panel = active_grades(history, grid, {"st": st.select(*R.KEY, DAY, "is_st")}).where(F.col("grid").isNotNull())
     exploded = _explode_brokers(
         panel,
         brokers,
-        [*R.KEY, DAY, F.col("grid.ordinal").alias("ordinal"), F.col("grid.first_day").alias("first_day"),
-         F.col("st.is_st").alias("is_st"), *keep_extra],
+        [*R.KEY, DAY, *[F.col(f"grid.{c}").alias(c) for c in ("ordinal", "first_day", *keep)],
+         F.col("st.is_st").alias("is_st")],
     )
     return classify(exploded, mapping)
 
@@ -185,36 +187,44 @@ def assess_events(
     rule_version: str = "v6",
     batch_id: str = "",
     missing_history: DataFrame | None = None,
+    prefilter: bool = False,
 ) -> DataFrame:
     """One row per event and broker, judged at the previous session's close.
 
-    Events ride along as an array on their cutoff day, so the daily states never
-    leave the security's partition: one exchange in total. An event whose previous
-    session is not in the calendar is kept with an UNKNOWN verdict.
+    Events ride along on their cutoff day, so the daily states never leave the
+    security's partition: history, ST states and events meet in one exchange. An
+    event whose previous session is not in the calendar is kept as UNKNOWN.
+    ``prefilter`` semi-joins history and ST to the event securities first; use it
+    when ``events`` is a stored table, since the join reads it again.
     """
     cut = events_with_cutoff(events, index)
-    known = cut.where(F.col("cutoff_trading_date").isNotNull())
-    per_day = known.groupBy(*R.KEY, F.col("cutoff_trading_date").alias(DAY)).agg(
-        # at most one event per type shares a cutoff
-        F.array_sort(F.collect_list(F.struct(*EVENT_FIELDS, "fact_ordinal"))).alias("events")
+    per_security = cut.groupBy(*R.KEY).agg(
+        # bounded: one event per type and day
+        F.array_sort(F.collect_list(F.struct("cutoff_trading_date", *EVENT_FIELDS, "fact_ordinal"))).alias("events")
     )
-    open_life = known.select(*R.KEY).distinct().select(
-        *R.KEY, F.lit(None).cast("date").alias("listed_date"), F.lit(None).cast("date").alias("delisted_date")
+    if prefilter:
+        keys = events.select(*R.KEY).distinct()
+        history = history.join(keys, list(R.KEY), "left_semi")
+        st = st.join(keys, list(R.KEY), "left_semi")
+    # an event without a previous session rides on the first grid day and stays UNKNOWN
+    due = F.filter(
+        "events",
+        lambda e: (e["cutoff_trading_date"] == F.col(DAY))
+        | (e["cutoff_trading_date"].isNull() & (F.coalesce("pos", F.lit(0)) == 0)),
     )
-    in_scope = history.join(open_life.select(*R.KEY), list(R.KEY), "left_semi")
-    st_scope = st.join(open_life.select(*R.KEY), list(R.KEY), "left_semi")
-    states = broker_states(
-        open_life, days, in_scope, st_scope, brokers, mapping, {"ev": per_day}, ("ev",)
+    grid = (
+        per_security.join(F.broadcast(day_arrays(days)), "market_code", "left")
+        .select(*R.KEY, "events", F.get("days", F.lit(0)).alias("first_day"), F.posexplode_outer("days").alias("pos", DAY))
+        .select(*R.KEY, DAY, (F.col("pos") + 1).alias("ordinal"), "first_day", due.alias("due"))
     )
-    at_cutoff = (
+    states = broker_states(grid, history, st, brokers, mapping, ("due",))
+    rows = (
         dangerous_runs(states)
-        .where(F.col("ev").isNotNull())
-        .withColumn("event", F.explode("ev.events"))
+        .where(F.size("due") > 0)
+        .withColumn("event", F.explode("due"))
         .select(
             *R.KEY,
-            *[F.col(f"event.{c}").alias(c) for c in EVENT_FIELDS],
-            F.col("event.fact_ordinal").alias("fact_ordinal"),
-            F.col(DAY).alias("cutoff_trading_date"),
+            *[F.col(f"event.{c}").alias(c) for c in ("cutoff_trading_date", *EVENT_FIELDS, "fact_ordinal")],
             "broker_id",
             "selected_date",
             "raw_classification",
@@ -228,14 +238,17 @@ def assess_events(
             "run_left_censored",
         )
     )
-    orphans = cut.where(F.col("cutoff_trading_date").isNull()).select(
-        *R.KEY,
-        *EVENT_FIELDS,
-        F.lit("UNKNOWN").alias("final_bucket"),
-        F.lit("CALENDAR_COVERAGE_MISSING").alias("classification_resolution"),
-        F.explode(F.array(*[F.lit(b) for b in brokers])).alias("broker_id"),
+    uncut = F.col("cutoff_trading_date").isNull()
+    rows = (
+        rows.withColumn("final_bucket", F.when(uncut, "UNKNOWN").otherwise(F.col("final_bucket")))
+        .withColumn(
+            "classification_resolution",
+            F.when(uncut, "CALENDAR_COVERAGE_MISSING").otherwise(F.col("classification_resolution")),
+        )
+        .withColumn("selected_date", F.when(~uncut, F.col("selected_date")))
+        .withColumn("raw_classification", F.when(~uncut, F.col("raw_classification")))
+        .withColumn("is_st", F.when(~uncut, F.col("is_st")))
     )
-    rows = at_cutoff.unionByName(orphans, allowMissingColumns=True)
     if missing_history is not None:
         flagged = missing_history.select(*R.KEY).distinct().withColumn("_no_history", F.lit(True))
         gone = F.coalesce(F.col("_no_history"), F.lit(False))
@@ -368,7 +381,7 @@ def exposure_states(
     start, end = window
     inside = days.where(F.col(DAY).between(F.lit(start), F.lit(end)))
     return broker_states(
-        securities, inside, history.where(F.col("classification_date") <= F.lit(end)), st, brokers, mapping
+        state_grid(securities, inside), history.where(F.col("classification_date") <= F.lit(end)), st, brokers, mapping
     ).select(*R.KEY, "broker_id", F.col(DAY).alias("snapshot_date"), "final_bucket")
 
 

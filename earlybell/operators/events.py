@@ -11,96 +11,120 @@ from earlybell.operators.panel import DAY, by_day, running
 
 
 
-def limit_down_runs(panel: DataFrame) -> DataFrame:
-    """Maximal runs of limit-down days on consecutive panel days, any length >= 1.
+def event_runs(panel: DataFrame, rules: R.RiskRules) -> DataFrame:
+    """Limit-down runs (any length) and ST entries from one scan of the panel.
 
     The panel holds every in-lifecycle session, so a suspension, an ST day or any
-    other non-limit-down day closes the run. The board is the one in force on the
-    first day of the run.
+    other non-limit-down day closes a run. The board is the one in force on the
+    run's first day. An ST entry is a non-ST to ST step between consecutive
+    sessions; the first session compares with the baseline, which for a security
+    listed inside the window is its own first state (so it is no event).
+
+    Columns: key, is_st_entry, board_code, consecutive_length, first_fact_date,
+    last_fact_date, open_at_observation_end, fact_days, source_record_ids.
     """
+    first = F.row_number().over(by_day()) == 1
+    listed_inside = F.coalesce(F.col("listed_date") >= F.lit(rules.observation_start), F.lit(False))
+
+    def before_day(current: str, baseline: str):
+        return (
+            F.when(~first, F.lag(current).over(by_day()))
+            .when(listed_inside, F.col(current))
+            .otherwise(F.col(baseline))
+        )
+
     flagged = panel.select(
         *R.KEY,
         DAY,
+        "ordinal",
         "board_code",
         "source_record_id",
+        "st_source_record_id",
+        "is_st",
         "is_limit_down",
+        before_day("is_st", "baseline_st").alias("previous_st"),
+        before_day("st_source_record_id", "baseline_source").alias("previous_source"),
         F.lead(DAY).over(by_day()).isNull().alias("is_last_day"),
         F.sum(F.when(F.col("is_limit_down"), 0).otherwise(1)).over(running()).alias("run_id"),
-    ).where("is_limit_down")
-    # a run never has more rows than the calendar has days
+    ).withColumn("is_st_entry", F.coalesce(~F.col("previous_st") & F.col("is_st"), F.lit(False)))
+    sources = F.when(
+        F.col("is_st_entry"), F.array("previous_source", "st_source_record_id")
+    ).otherwise(F.array("source_record_id"))
     return (
-        flagged.groupBy(*R.KEY, "run_id")
+        flagged.where(F.col("is_limit_down") | F.col("is_st_entry"))
+        # an ST entry forms its own group; a run never exceeds the calendar's days
+        .groupBy(*R.KEY, "is_st_entry", F.when(F.col("is_st_entry"), F.col("ordinal")).otherwise(F.col("run_id")).alias("run"))
         .agg(
             F.min_by("board_code", DAY).alias("board_code"),
             F.count("*").cast("int").alias("consecutive_length"),
             F.min(DAY).alias("first_fact_date"),
             F.max(DAY).alias("last_fact_date"),
             F.max("is_last_day").alias("open_at_observation_end"),
-            F.array_sort(F.collect_list(F.struct(DAY, "source_record_id"))).alias("facts"),
+            F.array_sort(F.collect_list(F.struct(DAY, sources.alias("ids")))).alias("facts"),
+        )
+        .select(
+            *R.KEY,
+            "is_st_entry",
+            "board_code",
+            "consecutive_length",
+            "first_fact_date",
+            "last_fact_date",
+            "open_at_observation_end",
+            F.col(f"facts.{DAY}").alias("fact_days"),
+            F.flatten("facts.ids").alias("source_record_ids"),
         )
-        .drop("run_id")
     )
 
 
 def _day_at(position) -> F.Column:
-    return F.get(F.col(f"facts.{DAY}"), position - 1)
+    return F.get(F.col("fact_days"), position - 1)
+
+
+def _judged(panel: DataFrame, rules: R.RiskRules) -> DataFrame:
+    """ST entries and the runs of at least the minimum length, with number and verdict."""
+    entry = F.col("is_st_entry")
+    numbering = Window.partitionBy(*R.KEY, "is_st_entry").orderBy("first_fact_date")
+    reached = F.coalesce(F.col("consecutive_length") >= F.col("applicable_threshold"), F.lit(False))
+    return (
+        event_runs(panel, rules)
+        .where(entry | (F.col("consecutive_length") >= rules.minimum_segment_length))
+        .withColumn("applicable_threshold", S.lookup("board_code", rules.thresholds))
+        .withColumn("segment_number", F.row_number().over(numbering))
+        .withColumn("threshold_reached", ~entry & reached)
+        .withColumn(
+            "threshold_reached_date", F.when(F.col("threshold_reached"), _day_at(F.col("applicable_threshold")))
+        )
+    )
 
 
 def limit_down_segments(
     panel: DataFrame, rules: R.RiskRules, *, batch_id: str = "", snapshot_id: str = ""
 ) -> DataFrame:
     """Runs of at least the minimum length with their threshold verdict."""
-    threshold = S.lookup("board_code", rules.thresholds)
-    reached = F.coalesce(F.col("consecutive_length") >= F.col("applicable_threshold"), F.lit(False))
     return (
-        limit_down_runs(panel)
-        .where(F.col("consecutive_length") >= rules.minimum_segment_length)
-        .withColumn("applicable_threshold", threshold)
+        _judged(panel, rules)
+        .where(~F.col("is_st_entry"))
         .select(
             *R.KEY,
-            F.row_number().over(Window.partitionBy(*R.KEY).orderBy("first_fact_date")).alias("segment_number"),
+            "segment_number",
             F.lit(rules.continuous_event_type).alias("event_type"),
             F.lit("RQDATA_MARKET_DAILY_DERIVED").alias("event_source"),
             "board_code",
             "applicable_threshold",
             "consecutive_length",
             "first_fact_date",
-            F.when(reached, _day_at(F.col("applicable_threshold"))).alias("threshold_reached_date"),
+            "threshold_reached_date",
             "last_fact_date",
-            reached.alias("threshold_reached"),
+            "threshold_reached",
             "open_at_observation_end",
             F.lit(rules.rule_version).alias("rule_version"),
             F.lit(batch_id).alias("calculation_batch_id"),
             F.lit(snapshot_id).alias("upstream_snapshot_id"),
-            F.col("facts.source_record_id").alias("source_record_ids"),
+            "source_record_ids",
         )
     )
 
 
-def st_transitions(panel: DataFrame) -> DataFrame:
-    """Panel with the ST state of the session before, seeded by the baseline.
-
-    A security listed inside the window starts from its own first day, any other
-    from its last state before the window.
-    """
-    first = F.row_number().over(by_day()) == 1
-    listed_inside = F.col("listed_date") >= F.col("window_start")
-    return panel.select(
-        *R.KEY,
-        DAY,
-        "is_st",
-        "st_source_record_id",
-        F.when(~first, F.lag("is_st").over(by_day()))
-        .when(listed_inside, F.col("is_st"))
-        .otherwise(F.col("baseline_st"))
-        .alias("previous_st"),
-        F.when(~first, F.lag("st_source_record_id").over(by_day()))
-        .when(listed_inside, F.col("st_source_record_id"))
-        .otherwise(F.col("baseline_source"))
-        .alias("previous_source"),
-    )
-
-
 def st_baselines(panel: DataFrame, rules: R.RiskRules) -> DataFrame:
     """Baseline state per scanned security with its date and reason."""
     inside = F.coalesce(F.col("listed_date") >= F.lit(rules.observation_start), F.lit(False))
@@ -122,58 +146,38 @@ def st_baselines(panel: DataFrame, rules: R.RiskRules) -> DataFrame:
     )
 
 
-def new_st_events(panel: DataFrame, rules: R.RiskRules, *, batch_id: str = "", snapshot_id: str = "") -> DataFrame:
-    """Non-ST to ST between consecutive in-lifecycle sessions."""
-    moved = st_transitions(panel.withColumn("window_start", F.lit(rules.observation_start))).where(
-        ~F.col("previous_st") & F.col("is_st")
-    )
-    nothing = F.lit(None)
-    return moved.select(
-        *R.KEY,
-        F.lit(rules.new_st_event_type).alias("event_type"),
-        F.lit("RQDATA_ST_STATUS_TRANSITION").alias("event_source"),
-        F.col(DAY).alias("first_fact_date"),
-        F.col(DAY).alias("risk_date"),
-        F.col(DAY).alias("last_fact_date"),
-        nothing.cast("date").alias("threshold_reached_date"),
-        nothing.cast("int").alias("segment_number"),
-        nothing.cast("int").alias("consecutive_length"),
-        F.lit("NON_ST").alias("previous_st_state"),
-        F.lit("ST").alias("current_st_state"),
-        F.lit(rules.rule_version).alias("rule_version"),
-        F.lit(batch_id).alias("calculation_batch_id"),
-        F.lit(snapshot_id).alias("upstream_snapshot_id"),
-        F.array("previous_source", "st_source_record_id").alias("source_record_ids"),
-    )
-
+def risk_events(panel: DataFrame, rules: R.RiskRules, *, batch_id: str = "", snapshot_id: str = "") -> DataFrame:
+    """Formal events of both types (W5): ST entries and runs that reached their threshold.
 
-def segment_events(segments: DataFrame) -> DataFrame:
-    """Segments that reached their threshold, as formal events."""
-    return segments.where("threshold_reached").select(
-        *R.KEY,
-        "event_type",
-        "event_source",
-        "first_fact_date",
-        F.col("threshold_reached_date").alias("risk_date"),
-        "last_fact_date",
-        "threshold_reached_date",
-        "segment_number",
-        "consecutive_length",
-        F.lit(None).cast("string").alias("previous_st_state"),
-        F.lit(None).cast("string").alias("current_st_state"),
-        "rule_version",
-        "calculation_batch_id",
-        "upstream_snapshot_id",
-        "source_record_ids",
+    Unique per key, type and first fact date by construction.
+    """
+    entry = F.col("is_st_entry")
+    return (
+        _judged(panel, rules)
+        .where(entry | F.col("threshold_reached"))
+        .select(
+            *R.KEY,
+            F.when(entry, rules.new_st_event_type).otherwise(rules.continuous_event_type).alias("event_type"),
+            F.when(entry, "RQDATA_ST_STATUS_TRANSITION").otherwise("RQDATA_MARKET_DAILY_DERIVED").alias("event_source"),
+            "first_fact_date",
+            F.when(entry, F.col("first_fact_date")).otherwise(F.col("threshold_reached_date")).alias("risk_date"),
+            "last_fact_date",
+            "threshold_reached_date",
+            F.when(~entry, F.col("segment_number")).alias("segment_number"),
+            F.when(~entry, F.col("consecutive_length")).alias("consecutive_length"),
+            F.when(entry, "NON_ST").alias("previous_st_state"),
+            F.when(entry, "ST").alias("current_st_state"),
+            F.lit(rules.rule_version).alias("rule_version"),
+            F.lit(batch_id).alias("calculation_batch_id"),
+            F.lit(snapshot_id).alias("upstream_snapshot_id"),
+            "source_record_ids",
+        )
     )
 
 
-def risk_events(panel: DataFrame, rules: R.RiskRules, *, batch_id: str = "", snapshot_id: str = "") -> DataFrame:
-    """Formal events of both types (W5); unique per key, type and first fact date by construction."""
-    ids = {"batch_id": batch_id, "snapshot_id": snapshot_id}
-    return segment_events(limit_down_segments(panel, rules, **ids)).unionByName(
-        new_st_events(panel, rules, **ids)
-    )
+def new_st_events(panel: DataFrame, rules: R.RiskRules, **ids: str) -> DataFrame:
+    """Non-ST to ST between consecutive in-lifecycle sessions."""
+    return risk_events(panel, rules, **ids).where(F.col("event_type") == rules.new_st_event_type)
 
 
 def duplicate_events(events: DataFrame) -> DataFrame:
@@ -202,7 +206,8 @@ def pressure_observations(
     length = F.col("consecutive_length")
     formal = (length >= F.col("formal_threshold")) & (length >= rules.minimum_segment_length)
     return (
-        limit_down_runs(panel)
+        event_runs(panel, rules)
+        .where(~F.col("is_st_entry"))
         .withColumn("observation_threshold", S.lookup("board_code", pressure.thresholds))
         .withColumn("formal_threshold", S.lookup("board_code", rules.thresholds))
         .where(length >= F.col("observation_threshold"))
@@ -223,7 +228,7 @@ def pressure_observations(
             F.lit(rules.rule_version).alias("formal_rule_version"),
             F.lit(batch_id).alias("calculation_batch_id"),
             F.lit(snapshot_id).alias("upstream_snapshot_id"),
-            F.col("facts.source_record_id").alias("source_record_ids"),
+            "source_record_ids",
         )
     )
 

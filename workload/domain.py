@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from earlybell import rules as R
 from earlybell.operators import assess, calendar, panel
+from earlybell.sources.staging import store
 
 START, END = date(2024, 1, 8), date(2024, 1, 30)
 RULES = R.RiskRules(START, END)
@@ -223,12 +224,22 @@ class Domain:
 
         return events.pressure_observations(self.panel, RULES, PRESSURE, batch_id="b1", snapshot_id="s1")
 
+    @cached_property
+    def stored_events(self) -> DataFrame:
+        """Events as the stored hand-off table between detection and evaluation."""
+        return store(self.risk_events, "risk_events")
+
     @cached_property
     def assessments(self) -> DataFrame:
         return assess.assess_events(
-            self.risk_events, self.cells, self.st_known, self.days, self.index, BROKERS, MAPPING
+            self.stored_events, self.cells, self.st_known, self.days, self.index, BROKERS, MAPPING, prefilter=True
         )
 
+    @cached_property
+    def stored_assessments(self) -> DataFrame:
+        """Assessments as the stored result that several metric tables read."""
+        return store(self.assessments, "assessments")
+
     @cached_property
     def exposure_states(self) -> DataFrame:
         return assess.exposure_states(

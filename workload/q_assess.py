@@ -22,7 +22,7 @@ def dbl(df, *cols):
     """SELECT event_key, broker_id, cutoff AS cutoff_trading_date, sel_d AS selected_classification_date, raw AS raw_classification FROM assess""",
 )
 def j4(d: Domain):
-    return d.assessments.select(
+    return d.stored_assessments.select(
         "event_key", "broker_id", "cutoff_trading_date", "selected_classification_date", "raw_classification"
     )
 
@@ -32,7 +32,7 @@ def j4(d: Domain):
     "SELECT event_key, count(*) AS broker_rows, count(DISTINCT broker_id) AS brokers FROM assess GROUP BY event_key",
 )
 def j5(d: Domain):
-    return d.assessments.groupBy("event_key").agg(
+    return d.stored_assessments.groupBy("event_key").agg(
         F.count("*").alias("broker_rows"), F.count_distinct("broker_id").alias("brokers")
     )
 
@@ -62,13 +62,12 @@ def w8(d: Domain):
     FROM bruns WHERE security_code IN (SELECT security_code FROM risk_ev)""",
 )
 def w10(d: Domain):
-    scope = d.risk_events.select(*R.KEY).distinct()
+    scope = d.stored_events.select(*R.KEY).distinct()
     open_life = scope.select(
         *R.KEY, F.lit(None).cast("date").alias("listed_date"), F.lit(None).cast("date").alias("delisted_date")
     )
     states = assess.broker_states(
-        open_life,
-        d.days,
+        assess.state_grid(open_life, d.days),
         d.cells.join(scope, list(R.KEY), "left_semi"),
         d.st_known.join(scope, list(R.KEY), "left_semi"),
         BROKERS,
@@ -131,7 +130,7 @@ def w13(d: Domain):
     FROM bv b JOIN views v ON v.v = b.v LEFT JOIN assess_v a ON a.v = b.v AND a.broker_id = b.broker_id GROUP BY 1, 2""",
 )
 def g1(d: Domain):
-    rows = metrics.with_views(d.assessments).groupBy("broker_id", "event_type_view").agg(
+    rows = metrics.with_views(d.stored_assessments).groupBy("broker_id", "event_type_view").agg(
         F.count("*").alias("assessment_count")
     )
     grid = metrics.view_grid(d.spark, BROKERS)
@@ -152,7 +151,7 @@ HIT_SQL = f"""hs AS (SELECT broker_id, v, security_code, count(*) AS n, count(*)
 
 @query("g2_hit_rates", HIT_SQL + " SELECT * FROM hits")
 def g2(d: Domain):
-    return dbl(metrics.hit_rates(d.assessments, BROKERS))
+    return dbl(metrics.hit_rates(d.stored_assessments, BROKERS))
 
 
 DAYS_SQL = f"""wd AS (SELECT broker_id, v, count(wdays) AS n, count(*) FILTER (WHERE ident = 'IDENTIFIED' AND wstatus = 'UNKNOWN') AS iu,
@@ -166,7 +165,7 @@ DAYS_SQL = f"""wd AS (SELECT broker_id, v, count(wdays) AS n, count(*) FILTER (W
 
 @query("g3_warning_days_distribution", DAYS_SQL + " SELECT * FROM wdist")
 def g3(d: Domain):
-    return dbl(metrics.warning_days_distribution(d.assessments, BROKERS))
+    return dbl(metrics.warning_days_distribution(d.stored_assessments, BROKERS))
 
 
 LAST_SQL = """le AS (SELECT security_code, max(first_fact_date) FILTER (WHERE event_type = 'NON_ST_CONTINUOUS_LIMIT_DOWN') AS l0,
@@ -201,11 +200,11 @@ def _window_days(d: Domain):
 
 
 def _snapshot(d: Domain):
-    return metrics.warning_rates_snapshot(d.exposure_states, d.risk_events, BROKERS, _window_days(d))
+    return metrics.warning_rates_snapshot(d.exposure_states, d.stored_events, BROKERS, _window_days(d))
 
 
 def _period(d: Domain):
-    return metrics.warning_rates_period(d.exposure_states, d.risk_events, BROKERS)
+    return metrics.warning_rates_period(d.exposure_states, d.stored_events, BROKERS)
 
 
 @query("g4_warning_rate_snapshot", SNAP_SQL + " SELECT * FROM snap")
@@ -229,8 +228,8 @@ SUMMARY_SQL = HIT_SQL + "," + DAYS_SQL + "," + LAST_SQL + "," + PERIOD_SQL + """
 
 def _summary(d: Domain):
     return metrics.final_summary(
-        metrics.warning_days_distribution(d.assessments, BROKERS),
-        metrics.hit_rates(d.assessments, BROKERS),
+        metrics.warning_days_distribution(d.stored_assessments, BROKERS),
+        metrics.hit_rates(d.stored_assessments, BROKERS),
         _period(d),
     )
 
@@ -255,7 +254,7 @@ G7_SQL = f"""gx AS (SELECT *, {GRADE.format(r="raw", s="sel_d")} AS grade FROM a
 
 @query("g7_grade_event_summary", G7_SQL)
 def g7(d: Domain):
-    return dbl(metrics.grade_event_summary(d.assessments, "B03"))
+    return dbl(metrics.grade_event_summary(d.stored_assessments, "B03"))
 
 
 @query(
@@ -264,7 +263,7 @@ def g7(d: Domain):
     FROM assess WHERE reason_code IN ('BM203_ST_STATUS_MISSING','BM301_MAPPING_UNKNOWN','BM303_DANGEROUS_RUN_LEFT_CENSORED','BM305_NO_BROKER_START_FOR_ST_OVERRIDE','BM109_SECURITY_HISTORY_MISSING')""",
 )
 def g25(d: Domain):
-    return assess.assessment_findings(d.assessments)
+    return assess.assessment_findings(d.stored_assessments)
 
 
 @query(
@@ -278,10 +277,10 @@ def g25(d: Domain):
 def g26(d: Domain):
     rates = _snapshot(d).unionByName(_period(d))
     return metrics.count_reconciliation(
-        d.risk_events,
-        d.assessments,
-        metrics.warning_days_distribution(d.assessments, BROKERS),
-        metrics.hit_rates(d.assessments, BROKERS),
+        d.stored_events,
+        d.stored_assessments,
+        metrics.warning_days_distribution(d.stored_assessments, BROKERS),
+        metrics.hit_rates(d.stored_assessments, BROKERS),
         rates,
         BROKERS,
         _window_days(d),
@@ -305,7 +304,7 @@ def g27(d: Domain):
     rank() OVER (PARTITION BY event_type_view ORDER BY event_hit_rate DESC NULLS LAST)::INTEGER END AS hit_rank FROM hits""",
 )
 def r1(d: Domain):
-    hits = metrics.hit_rates(d.assessments, BROKERS).select("broker_id", "event_type_view", "event_hit_rate")
+    hits = metrics.hit_rates(d.stored_assessments, BROKERS).select("broker_id", "event_type_view", "event_hit_rate")
     return dbl(ranking.competition_rank(hits, "event_hit_rate", "hit_rank"))
 
 
@@ -348,7 +347,7 @@ DRILL_SQL = f"""dr AS (SELECT *, CASE WHEN is_hit THEN 'HIT' WHEN is_hit IS NULL
 
 @query("g23_drilldown_securities", DRILL_SQL + " SELECT * FROM ds")
 def g23(d: Domain):
-    return dbl(ranking.drilldown_securities(ranking.drilldown_rows(d.assessments, "B02")))
+    return dbl(ranking.drilldown_securities(ranking.drilldown_rows(d.stored_assessments, "B02")))
 
 
 @query(
@@ -356,7 +355,7 @@ def g23(d: Domain):
     DRILL_SQL + " SELECT * FROM ds ORDER BY event_hit_rate DESC, event_count DESC, security_code LIMIT 20 OFFSET 20",
 )
 def r5(d: Domain):
-    rows = dbl(ranking.drilldown_securities(ranking.drilldown_rows(d.assessments, "B02")))
+    rows = dbl(ranking.drilldown_securities(ranking.drilldown_rows(d.stored_assessments, "B02")))
     return ranking.page(rows, [F.desc("event_hit_rate"), F.desc("event_count"), "security_code"], 2, 20)
 
 
@@ -365,7 +364,7 @@ def r5(d: Domain):
     "SELECT broker_id, CASE WHEN is_hit THEN 'HIT' WHEN is_hit IS NULL THEN 'UNKNOWN' ELSE 'MISSED' END AS hit_status, count(*) AS n FROM assess GROUP BY 1, 2",
 )
 def p17(d: Domain):
-    return ranking.with_hit_status(d.assessments).groupBy("broker_id", "hit_status").agg(F.count("*").alias("n"))
+    return ranking.with_hit_status(d.stored_assessments).groupBy("broker_id", "hit_status").agg(F.count("*").alias("n"))
 
 
 @query(
@@ -373,7 +372,7 @@ def p17(d: Domain):
     """SELECT event_key, broker_id, 'SELECTED_AFTER_CUTOFF' AS violation FROM assess WHERE sel_d > cutoff OR cutoff >= first_fact_date""",
 )
 def q27(d: Domain):
-    return assess.lookahead_violations(d.assessments, d.index)
+    return assess.lookahead_violations(d.stored_assessments, d.index)
 
 
 @query(
@@ -382,7 +381,7 @@ def q27(d: Domain):
     is_st AND event_type = 'NEW_ST' AS contradicts_event FROM assess""",
 )
 def j21(d: Domain):
-    return assess.cutoff_st_evidence(d.risk_events, d.st_known, d.index)
+    return assess.cutoff_st_evidence(d.stored_events, d.st_known, d.index)
 
 
 @query(
@@ -392,7 +391,7 @@ def j21(d: Domain):
 def r4(d: Domain):
     w = Window.partitionBy(*R.KEY).orderBy("event_type", "first_fact_date")
     return (
-        d.risk_events.select(*R.KEY, "event_type", "first_fact_date", F.row_number().over(w).alias("position"))
+        d.stored_events.select(*R.KEY, "event_type", "first_fact_date", F.row_number().over(w).alias("position"))
         .orderBy(*R.KEY, "event_type", "first_fact_date")
     )
 
@@ -417,7 +416,7 @@ def p8(d: Domain):
 )
 def p9(d: Domain):
     inside = d.days.where(F.col("trading_date").between(F.lit(START), F.lit(END)))
-    states = assess.broker_states(d.eligible, inside, d.cells, d.st_known, BROKERS, MAPPING)
+    states = assess.broker_states(assess.state_grid(d.eligible, inside), d.cells, d.st_known, BROKERS, MAPPING)
     return states.groupBy("broker_id", "final_bucket", "classification_resolution").agg(F.count("*").alias("n"))
 
 
@@ -444,7 +443,7 @@ def p12(d: Domain):
 
 @query("p13_event_key", "SELECT DISTINCT event_key FROM assess")
 def p13(d: Domain):
-    return d.risk_events.select(S.event_key().alias("event_key"))
+    return d.stored_events.select(S.event_key().alias("event_key"))
 
 
 @query(
@@ -480,4 +479,4 @@ def p15(d: Domain):
 )
 def p16(d: Domain):
     grade = S.grade_bucket("raw_classification", "selected_classification_date")
-    return d.assessments.groupBy("broker_id", grade.alias("grade")).agg(F.count("*").alias("n"))
+    return d.stored_assessments.groupBy("broker_id", grade.alias("grade")).agg(F.count("*").alias("n"))
