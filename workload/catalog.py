@@ -4,7 +4,7 @@ import importlib
 
 from workload.registry import QUERIES
 
-MODULES = ("q_events", "q_assess")
+MODULES = ("q_events", "q_assess", "q_calendar")
 
 for _name in MODULES:
     importlib.import_module(f"workload.{_name}")
