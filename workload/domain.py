@@ -229,6 +229,10 @@ class Domain:
         """Events as the stored hand-off table between detection and evaluation."""
         return store(self.risk_events, "risk_events")
 
+    @cached_property
+    def stored_pressure(self) -> DataFrame:
+        return store(self.pressure, "pressure_observations")
+
     @cached_property
     def assessments(self) -> DataFrame:
         return assess.assess_events(
