@@ -62,24 +62,26 @@ def _invalid(rule: FieldRule) -> Column:
 
 
 def schema_findings(df: DataFrame | None, rule: TableRule, spark) -> DataFrame:
-    """Missing table, unknown columns, missing fields (Q1); decided from the schema alone."""
-    rows = []
+    """Missing table, unknown columns and missing fields, with the rows concerned (Q1).
+
+    What is wrong is known from the schema; the table is only counted.
+    """
     if df is None:
-        if rule.required:
-            rows.append((rule.name, "E002", BLOCKING, "", 0))
-    else:
-        present, known = set(df.columns), {f.name for f in rule.fields}
-        rows += [(rule.name, "W101", NOTICE, c, None) for c in sorted(present - known)]
-        for f in rule.fields:
-            if f.name not in present:
-                if f.name in rule.pit_fields:
-                    rows.append((rule.name, "W701", NOTICE, f.name, None))
-                else:
-                    rows.append((rule.name, "E101" if f.required else "W102", BLOCKING if f.required else NOTICE, f.name, None))
-    return spark.createDataFrame(rows, FINDING)
-
-
-def _counted(df: DataFrame, table: str, checks: Sequence[tuple[str, str, str, Column]], *, keep_empty: bool = False) -> DataFrame:
+        missing = [(rule.name, "E002", BLOCKING, "", 0)] if rule.required else []
+        return spark.createDataFrame(missing, FINDING)
+    present, known = set(df.columns), {f.name for f in rule.fields}
+    rows = [("W101", NOTICE, c) for c in sorted(present - known)]
+    for f in rule.fields:
+        if f.name in present:
+            continue
+        if f.name in rule.pit_fields:
+            rows.append(("W701", NOTICE, f.name))
+        else:
+            rows.append(("E101", BLOCKING, f.name) if f.required else ("W102", NOTICE, f.name))
+    return counted_findings(df, rule.name, [(*row, F.lit(True)) for row in rows], keep_empty=True)
+
+
+def counted_findings(df: DataFrame, table: str, checks: Sequence[tuple[str, str, str, Column]], *, keep_empty: bool = False) -> DataFrame:
     """One aggregate over all checks, unpivoted to findings with a positive count."""
     if not checks:
         return df.sparkSession.createDataFrame([], FINDING)
@@ -151,7 +153,7 @@ def pit_findings(df: DataFrame, rule: TableRule, end: date, fetch_times: DataFra
             marks = fetch_times.select("fetched_at").distinct().withColumn("mark", F.lit(True))
             proxied = moments.join(marks, "fetched_at", "left").withColumn("is_fetch", F.coalesce("mark", F.lit(False)))
         out = out.unionByName(
-            _counted(
+            counted_findings(
                 proxied,
                 rule.name,
                 [
@@ -198,7 +200,7 @@ def validate_table(
     """Every rule of one table: Q1-Q6."""
     cols = df.columns
     out = schema_findings(df, rule, df.sparkSession).unionByName(empty_findings(df, rule))
-    out = out.unionByName(_counted(df, rule.name, field_checks(rule, cols) + row_checks(rule, cols, start, end)))
+    out = out.unionByName(counted_findings(df, rule.name, field_checks(rule, cols) + row_checks(rule, cols, start, end)))
     if set(rule.primary_key) <= set(cols):
         out = out.unionByName(primary_key_findings(df, rule))
     return out.unionByName(pit_findings(df, rule, end, fetch_times))
@@ -338,7 +340,7 @@ def mapping_consistency(records: DataFrame, mapping: R.BrokerMapping) -> DataFra
     ]
     if mapping.status != "approved":
         checks.append(("W901", NOTICE, "classification_mapping_version", F.lit(True)))
-    return _counted(joined, "broker_risk_classification", checks)
+    return counted_findings(joined, "broker_risk_classification", checks)
 
 
 def wide_quality(
@@ -356,7 +358,7 @@ def wide_quality(
     inside = F.regexp_extract(text, r"\.([A-Z]+)$", 1).isin(*suffixes)
     weekend = S.is_weekend(day)
     filled = sum((F.when(~_blank(b), 1).otherwise(0) for b in brokers), F.lit(0))
-    return _counted(
+    return counted_findings(
         wide,
         "wide_history",
         [

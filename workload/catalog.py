@@ -4,7 +4,7 @@ import importlib
 
 from workload.registry import QUERIES
 
-MODULES = ("q_events", "q_assess", "q_calendar", "q_grades", "q_store")
+MODULES = ("q_events", "q_assess", "q_calendar", "q_grades", "q_store", "q_quality", "q_sources")
 
 for _name in MODULES:
     importlib.import_module(f"workload.{_name}")

@@ -330,12 +330,12 @@ KEYTEXT = "market_code || '|' || security_code || '|' || d::VARCHAR"
 
 @query(
     "q15_calendar_gaps",
-    """w AS (SELECT DISTINCT market_code, d FROM ev WHERE market_code <> 'XBSE' AND event_type = 'error' AND amt >= 20)
+    """w AS (SELECT DISTINCT market_code, d FROM ev WHERE market_code <> 'XBSE' AND event_type = 'error' AND amt >= 150)
     SELECT 'MDFRQ002' AS rule_id, m.market_code, 'MISSING|' || n.d::VARCHAR AS issue_key FROM natural_days n CROSS JOIN (SELECT unnest(['XSHG','XSHE']) AS market_code) m
     ANTI JOIN w ON w.market_code = m.market_code AND w.d = n.d WHERE n.d BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'""",
 )
 def q15(d: Domain):
-    rows = d.events.where((F.col("event_type") == "error") & (F.col("amt") >= 20))
+    rows = d.events.where((F.col("event_type") == "error") & (F.col("amt") >= 150))
     cal = rows.select("market_code", F.col("d").alias("calendar_date"), (F.weekday("d") < 5).alias("is_trading_day")).distinct()
     return foundation.calendar_gaps(cal, R.RISK_MARKETS, date(2024, 1, 1), END).select("rule_id", "market_code", "issue_key")
 
@@ -581,14 +581,14 @@ def u1(d: Domain):
 
 
 UNIVERSE_SQL = """lm AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY security_code ORDER BY status_date DESC) AS rn FROM master
-        WHERE status_date <= DATE '2024-01-30' AND listed_date <= DATE '2024-01-02') WHERE rn = 1),
+        WHERE status_date <= DATE '2024-01-30' AND listed_date <= DATE '2024-01-01') WHERE rn = 1),
     us AS (SELECT w.market_code, w.security_code, CASE WHEN w.market_code = 'XBSE' THEN 'EXCLUDED' WHEN m.security_code IS NULL THEN 'MASTER_MISSING' WHEN m.board_code = 'BSE' THEN 'EXCLUDED' ELSE 'ELIGIBLE' END AS eligibility,
         CASE WHEN w.market_code = 'XBSE' OR m.board_code = 'BSE' THEN 'BOARD_EXCLUDED_BSE' END AS reason FROM (SELECT DISTINCT market_code, security_code FROM wide) w LEFT JOIN lm m USING (security_code))"""
 
 
 def _split(d: Domain):
     universe = gate.business_universe(d.wide, None, END)
-    early = d.master.where(F.col("listed_date") <= F.lit(date(2024, 1, 2)))
+    early = d.master.where(F.col("listed_date") <= F.lit(date(2024, 1, 1)))
     return gate.universe_split(universe, early, RULES)
 
 
