@@ -47,11 +47,12 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    from workload.registry import run
+    from workload.catalog import run
 
     # JVM and parquet reader warm-up on a table scan; no query result is reused
     spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").count().collect()

@@ -317,6 +317,15 @@ def assessment_verdict(rows: DataFrame, mapping: R.BrokerMapping, *, rule_versio
     )
 
 
+def at_cutoffs(daily: DataFrame, cut: DataFrame) -> DataFrame:
+    """Daily rows on the events' cutoff days only.
+
+    The semi-join lets Catalyst broadcast the cutoffs while they are small, so the
+    daily table is filtered where it is scanned instead of being shuffled whole.
+    """
+    return daily.join(cut.select(*R.KEY, DAY).distinct(), [*R.KEY, DAY], "left_semi")
+
+
 def cutoff_only_assessments(
     events: DataFrame,
     grades: DataFrame,
@@ -331,9 +340,10 @@ def cutoff_only_assessments(
     have a row on the cutoff; missing evidence stays visible as UNKNOWN.
     """
     cut = events_with_cutoff(events, index).withColumnRenamed("cutoff_trading_date", DAY)
+    graded = at_cutoffs(grades.select(*R.KEY, DAY, F.col("grade").alias("raw_classification")), cut)
     joined = (
-        cut.join(grades.select(*R.KEY, DAY, F.col("grade").alias("raw_classification")), [*R.KEY, DAY], "left")
-        .join(st.select(*R.KEY, DAY, "is_st"), [*R.KEY, DAY], "left")
+        cut.join(graded, [*R.KEY, DAY], "left")
+        .join(at_cutoffs(st.select(*R.KEY, DAY, "is_st"), cut), [*R.KEY, DAY], "left")
         .withColumn("broker_id", F.lit(broker_id))
     )
     hit = F.col("final_bucket") == "DANGEROUS"
@@ -359,7 +369,7 @@ def cutoff_only_assessments(
 def cutoff_st_evidence(events: DataFrame, st: DataFrame, index: DataFrame) -> DataFrame:
     """Exact ST state at each event's previous session, flagged when absent."""
     cut = events_with_cutoff(events, index).withColumnRenamed("cutoff_trading_date", DAY)
-    return cut.join(st.select(*R.KEY, DAY, "is_st"), [*R.KEY, DAY], "left").select(
+    return cut.join(at_cutoffs(st.select(*R.KEY, DAY, "is_st"), cut), [*R.KEY, DAY], "left").select(
         S.event_key().alias("event_key"),
         F.col(DAY).alias("cutoff_date"),
         F.when(F.col("is_st").isNull(), "MISSING").when(F.col("is_st"), "ST").otherwise("NON_ST").alias("st_state"),

@@ -314,15 +314,16 @@ def adjusted_coverage(prices: DataFrame, adjusted: DataFrame) -> DataFrame:
 def raw_to_fact(raw: DataFrame, facts: DataFrame, life: DataFrame, fields: Sequence[str], suspension: DataFrame) -> DataFrame:
     """Raw rows against stored facts on lifecycle-valid days, null-safe at six decimals (Q29)."""
     masters = life.select(*R.KEY, "listed_date", "delisted_date", F.lit(True).alias("known"))
-    judged = raw.join(masters, list(R.KEY), "left").withColumn(
-        "valid", F.coalesce(F.col("known"), F.lit(False)) & S.in_lifecycle(DAY, "listed_date", "delisted_date")
-    )
     as_dec = lambda p, c: F.col(f"{p}.{c}").cast("decimal(24,6)")
-    per_day = judged.groupBy(*R.KEY, DAY).agg(
-        F.count("*").alias("n"),
-        F.max("valid").alias("valid"),
-        F.max(F.col("known").isNull()).alias("unknown"),
-        F.max(F.struct(*[F.col(c) for c in fields])).alias("v"),
+    # raw rows fold per security-day first, so a security with very many rows cannot skew the join
+    folded = raw.groupBy(*R.KEY, DAY).agg(F.count("*").alias("n"), F.max(F.struct(*fields)).alias("v"))
+    per_day = folded.join(masters, list(R.KEY), "left").select(
+        *R.KEY,
+        DAY,
+        "n",
+        (F.coalesce(F.col("known"), F.lit(False)) & S.in_lifecycle(DAY, "listed_date", "delisted_date")).alias("valid"),
+        F.col("known").isNull().alias("unknown"),
+        "v",
     )
     merged = stack_by_day(
         {
@@ -420,10 +421,12 @@ def outside_lifecycle_counts(facts: DataFrame, life: DataFrame) -> DataFrame:
     """Kept, dropped and unknown rows of a lifecycle-filtered import."""
     known = life.select(*R.KEY, "listed_date", "delisted_date", F.lit(True).alias("known"))
     inside = S.in_lifecycle("business_date", "listed_date", "delisted_date")
-    return facts.join(known, list(R.KEY), "left").groupBy("dataset_id").agg(
-        F.count_if(F.col("known") & inside).alias("kept_rows"),
-        F.count_if(F.col("known") & ~inside).alias("outside_lifecycle_rows"),
-        F.count_if(F.col("known").isNull()).alias("unknown_security_rows"),
+    folded = facts.groupBy("dataset_id", *R.KEY, "business_date").agg(F.count("*").alias("n"))
+    rows = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
+    return folded.join(known, list(R.KEY), "left").groupBy("dataset_id").agg(
+        rows(F.col("known") & inside).alias("kept_rows"),
+        rows(F.col("known") & ~inside).alias("outside_lifecycle_rows"),
+        rows(F.col("known").isNull()).alias("unknown_security_rows"),
     )
 
 

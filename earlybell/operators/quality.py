@@ -146,20 +146,26 @@ def pit_findings(df: DataFrame, rule: TableRule, end: date, fetch_times: DataFra
     for name in rule.pit_fields:
         if name not in df.columns:
             continue
-        moments = df.select(S.convert(name, "datetime").alias("fetched_at")).where(F.col("fetched_at").isNotNull())
+        # rows fold per moment before the join: many rows share one download time
+        moments = df.groupBy(S.convert(name, "datetime").alias("fetched_at")).agg(F.count("*").alias("n")).where(
+            F.col("fetched_at").isNotNull()
+        )
         if fetch_times is None:
-            proxied = moments.withColumn("is_fetch", F.lit(False))
+            marked = moments.withColumn("mark", F.lit(None).cast("boolean"))
         else:
             marks = fetch_times.select("fetched_at").distinct().withColumn("mark", F.lit(True))
-            proxied = moments.join(marks, "fetched_at", "left").withColumn("is_fetch", F.coalesce("mark", F.lit(False)))
+            marked = moments.join(marks, "fetched_at", "left")
+        late = F.col("mark").isNull() & (F.col("fetched_at") > cutoff)
+        totals = marked.agg(
+            F.sum(F.when(F.col("mark"), F.col("n"))).alias("proxy"), F.sum(F.when(late, F.col("n"))).alias("future")
+        )
+        items = F.array(
+            F.struct(F.lit("W701").alias("code"), F.lit(NOTICE).alias("severity"), F.col("proxy").alias("n")),
+            F.struct(F.lit("E701").alias("code"), F.lit(BLOCKING).alias("severity"), F.col("future").alias("n")),
+        )
         out = out.unionByName(
-            counted_findings(
-                proxied,
-                rule.name,
-                [
-                    ("W701", NOTICE, name, F.col("is_fetch")),
-                    ("E701", BLOCKING, name, ~F.col("is_fetch") & (F.col("fetched_at") > cutoff)),
-                ],
+            totals.select(F.explode(items).alias("x")).where("x.n > 0").select(
+                F.lit(rule.name).alias("table_name"), "x.code", "x.severity", F.lit(name).alias("field"), F.col("x.n").alias("affected_rows")
             )
         )
     return out

@@ -90,8 +90,7 @@ def type_issues(df, con, sql):
 
 
 def main() -> None:
-    from workload.catalog import QUERIES
-    from workload.registry import run
+    from workload.catalog import QUERIES, run
 
     sf_dir = f"/root/testdata/sf{sys.argv[1]}"
     parts = sys.argv[2:]
