@@ -17,7 +17,7 @@ SETTING = "spark.checkpoint.dir"
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING, None)
+    folder = spark.conf.get(SETTING, None)
     if folder:
         return folder.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
