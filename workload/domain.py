@@ -58,10 +58,40 @@ class Domain:
             F.col("value").cast(MONEY).alias("amt"),
         )
 
+    @cached_property
+    def facts(self) -> DataFrame:
+        """Everything the domain needs per user and day, stored once.
+
+        The raw events are scanned once, folded map-side on two integers, and every
+        domain table below reads the stored fold instead of the raw rows.
+        """
+        kind = F.col("event_type")
+        on = lambda cond: F.when(cond, F.col("event_id"))
+        folded = (
+            self.table("events")
+            .withColumn("amt", F.col("value").cast(MONEY))
+            .groupBy("user_id", F.col("ts").cast("date").alias("trading_date"))
+            .agg(
+                F.count("*").alias("n"),
+                F.max(kind == "error").alias("has_error"),
+                F.sum("amt").alias("amount"),
+                F.min("amt").alias("low_amt"),
+                F.max("amt").alias("high_amt"),
+                F.max("event_id").alias("last_id"),
+                F.max_by(kind == "signup", on(kind.isin("signup", "purchase"))).alias("set_st"),
+                F.max_by("amt", on(kind == "click")).alias("click_amt"),
+                F.max((kind == "view") & (F.col("amt") >= 60)).alias("has_large_view"),
+            )
+        )
+        return store(
+            folded.select("user_id", market_of().alias("market_code"), code_of().alias("security_code"), *folded.columns[1:]),
+            "daily_facts",
+        )
+
     @cached_property
     def calendar(self) -> DataFrame:
         """Natural-day calendar of the default market and XSHG (others fall back)."""
-        extent = self.events.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+        extent = self.facts.agg(F.min("trading_date").alias("lo"), F.max("trading_date").alias("hi"))
         return (
             extent.select(F.explode(F.sequence("lo", "hi")).alias("calendar_date"))
             .select(
@@ -83,7 +113,7 @@ class Domain:
     @cached_property
     def securities(self) -> DataFrame:
         """Master lifecycle: listed on the first event day, every seventh one delisted 21 days later."""
-        return self.events.groupBy("user_id", *R.KEY).agg(F.min("d").alias("listed_date")).select(
+        return self.facts.groupBy("user_id", *R.KEY).agg(F.min("trading_date").alias("listed_date")).select(
             "user_id",
             *R.KEY,
             "listed_date",
@@ -100,10 +130,8 @@ class Domain:
         base = self.securities.select(
             *R.KEY, F.col("listed_date").alias("status_date"), "board_code", "listed_date", "delisted_date"
         )
-        moved = (
-            self.events.where((F.col("event_type") == "view") & (F.col("amt") >= 60))
-            .groupBy(*R.KEY, F.col("d").alias("status_date"))
-            .agg(F.lit("GEM").alias("new_board"))
+        moved = self.facts.where("has_large_view").select(
+            *R.KEY, F.col("trading_date").alias("status_date"), F.lit("GEM").alias("new_board")
         )
         changed = (
             moved.join(self.securities, list(R.KEY))
@@ -126,18 +154,16 @@ class Domain:
     @cached_property
     def daily(self) -> DataFrame:
         """One row per security and event day with price-like sums."""
-        error = F.col("event_type") == "error"
-        return (
-            self.events.groupBy(*R.KEY, F.col("d").alias("trading_date"))
-            .agg(
-                F.count("*").alias("n"),
-                F.max(error).alias("has_error"),
-                F.sum("amt").alias("amount"),
-                F.min("amt").alias("low_amt"),
-                F.max("amt").alias("high_amt"),
-                F.max("event_id").alias("last_id"),
-            )
-            .withColumn("close_price", (F.lit(1) + F.col("amount")).cast("decimal(20,6)"))
+        return self.facts.select(
+            *R.KEY,
+            "trading_date",
+            "n",
+            "has_error",
+            "amount",
+            "low_amt",
+            "high_amt",
+            "last_id",
+            (F.lit(1) + F.col("amount")).cast("decimal(20,6)").alias("close_price"),
         )
 
     @cached_property
@@ -160,10 +186,8 @@ class Domain:
     @cached_property
     def st_changes(self) -> DataFrame:
         """ST changes: the day's last signup sets it, its last purchase clears it."""
-        return (
-            self.events.where(F.col("event_type").isin("signup", "purchase"))
-            .groupBy(*R.KEY, F.col("d").alias("trading_date"))
-            .agg(F.max_by(F.col("event_type") == "signup", "event_id").alias("is_st"))
+        return self.facts.where(F.col("set_st").isNotNull()).select(
+            *R.KEY, "trading_date", F.col("set_st").alias("is_st")
         )
 
     @cached_property
@@ -185,10 +209,8 @@ class Domain:
     @cached_property
     def wide(self) -> DataFrame:
         """Wide grade history from the last click of each security-day (weekends included)."""
-        picked = (
-            self.events.where(F.col("event_type") == "click")
-            .groupBy(F.col("d").alias("biz_date"), "user_id")
-            .agg(F.max_by("amt", "event_id").alias("v"))
+        picked = self.facts.where(F.col("click_amt").isNotNull()).select(
+            F.col("trading_date").alias("biz_date"), "user_id", F.col("click_amt").alias("v")
         )
         digits = F.expr("lpad(cast(user_id as string), greatest(6, length(cast(user_id as string))), '0')")
         suffix = F.expr("CASE user_id % 3 WHEN 0 THEN '.SH' WHEN 1 THEN '.SZ' ELSE '.BJ' END")
