@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from earlybell import rules as R
 from earlybell.functions import scalars as S
+from earlybell.operators.panel import checked
 
 
 def trading_days(calendar: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
@@ -49,12 +50,12 @@ def market_trading_days(days: DataFrame, markets: Sequence[str], default: str =
 
 
 def calendar_index(days: DataFrame) -> DataFrame:
-    """Ordinal, previous and next trading day of every trading day."""
+    """Ordinal, previous and next trading day of every trading day (C1), size-checked for broadcast."""
     w = Window.partitionBy("market_code").orderBy("trading_date")
     return days.select(
         "market_code",
         "trading_date",
-        F.row_number().over(w).alias("ordinal"),
+        checked(F.row_number().over(w), F.row_number().over(w)).alias("ordinal"),
         F.lag("trading_date").over(w).alias("previous_day"),
         F.lead("trading_date").over(w).alias("next_day"),
     )

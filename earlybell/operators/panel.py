@@ -62,8 +62,20 @@ def lifecycle(master: DataFrame, as_of: date | None = None) -> DataFrame:
 
 
 def day_arrays(days: DataFrame) -> DataFrame:
-    """One row per market with its ordered trading days (calendar-bounded)."""
-    return days.groupBy("market_code").agg(F.array_sort(F.collect_set(DAY)).alias("days"))
+    """One row per market with its ordered trading days.
+
+    This is what gets broadcast, so its size is checked where it is built: a
+    "calendar" with more sessions than any real one fails instead of flooding
+    the executors.
+    """
+    found = days.groupBy("market_code").agg(F.array_sort(F.collect_set(DAY)).alias("days"))
+    return found.withColumn("days", checked(F.size("days"), F.col("days")))
+
+
+def checked(count: Column, value: Column) -> Column:
+    """``value`` while a calendar-sized count stays within bounds, else an error."""
+    message = F.concat(F.lit("calendar has too many sessions: "), count.cast("string"))
+    return F.when(count <= R.MAX_SESSIONS, value).otherwise(F.raise_error(message))
 
 
 def expected_days(securities: DataFrame, days: DataFrame) -> DataFrame:

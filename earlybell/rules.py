@@ -60,6 +60,7 @@ RANKING_METRICS = (
 )
 COMPOSITE_METRICS = RANKING_METRICS[:4]
 EXAMPLE_LIMIT = 20
+MAX_SESSIONS = 100_000  # about 400 years of sessions: bound for broadcast calendars
 # ---------------------------------------------------------------------------
 
 
