@@ -126,14 +126,14 @@ def c9(d: Domain):
 
 @query(
     "c10_monthly_to_daily",
-    """snap AS (SELECT biz_date AS sd, stk_code, B01 AS g FROM wide WHERE day(biz_date) % 7 = 0 OR day(biz_date) = 1),
+    """snap AS (SELECT biz_date AS sd, stk_code, B01 AS g FROM wide WHERE isodow(biz_date) = 7 OR biz_date = DATE '2024-01-01'),
     bd AS (SELECT max(sd) AS sd, b FROM (SELECT DISTINCT sd, (SELECT max(t.d) FROM tdays t WHERE t.d <= sd) AS b FROM snap) GROUP BY b),
     act AS (SELECT t.d, coalesce((SELECT max(sd) FROM bd WHERE bd.b < t.d), (SELECT sd FROM bd WHERE bd.b = t.d AND bd.b = (SELECT min(b) FROM bd))) AS sd FROM tdays t)
     SELECT a.d AS trading_date, a.sd AS snapshot_date, s.stk_code, CASE WHEN s.g = '' THEN 'G' ELSE s.g END AS grade FROM act a JOIN snap s ON s.sd = a.sd""",
 )
 def c10(d: Domain):
-    day = F.dayofmonth("biz_date")
-    sections = d.wide.where((day % 7 == 0) | (day == 1)).select(
+    sunday = F.dayofweek("biz_date") == 1
+    sections = d.wide.where(sunday | (F.col("biz_date") == F.lit(date(2024, 1, 1)))).select(
         F.col("biz_date").alias("snapshot_date"), "stk_code", F.col("B01").alias("grade")
     )
     cal = d.calendar.where(F.col("market_code") == "XSHG")
@@ -463,7 +463,7 @@ def q13(d: Domain):
     PRICES_SQL
     + """ SELECT count(*) AS source_row_count, count(*) AS normal_row_count, count(previous_close) AS valid_return_row_count,
       count(*) - count(previous_close) AS invalid_price_row_count, 0::BIGINT AS duplicate_row_count,
-      count(*) FILTER (WHERE abs(close_price::DOUBLE / previous_close::DOUBLE - 1) > 0.3) AS extreme_return_count FROM prices""",
+      count(*) FILTER (WHERE abs(close_price - previous_close) > 0.3 * previous_close) AS extreme_return_count FROM prices""",
 )
 def g13(d: Domain):
     return grades.price_quality(session_prices(d).withColumn("trading_status", F.lit("TRADED")))
