@@ -65,6 +65,12 @@ def numeric_text(c) -> Column:
     return F.when(number == 0, F.lit("0")).when(number.isNotNull(), plain).otherwise(text)
 
 
+def china_date(moment) -> Column:
+    """Calendar date of an instant at UTC+8, whatever the session's time zone is."""
+    shifted = F.unix_micros(col(moment)) + F.lit(8 * 3600 * 1_000_000)
+    return F.date_from_unix_date(F.floor(shifted / F.lit(86_400_000_000)).cast("int"))
+
+
 # --- security codes and boards ---------------------------------------------
 def _digits(text: Column) -> Column:
     return F.regexp_extract(text, r"^(\d{6,})\.", 1)

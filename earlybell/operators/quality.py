@@ -129,7 +129,7 @@ def row_checks(rule: TableRule, columns: Sequence[str], start: date, end: date)
         checks.append(("E402", BLOCKING, rule.business_date, ~day.between(F.lit(start), F.lit(end))))
     for effective, usage in rule.effective_rules:
         if effective in columns and usage in columns:
-            local = F.to_date(F.from_utc_timestamp(S.convert(effective, "datetime"), "Asia/Shanghai"))
+            local = S.china_date(S.convert(effective, "datetime"))
             checks.append(("E702", BLOCKING, effective, local > S.convert(usage, "date")))
     return checks
 
@@ -140,8 +140,8 @@ def pit_findings(df: DataFrame, rule: TableRule, end: date, fetch_times: DataFra
     ``fetch_times`` (fetched_at) lists download moments, one per source artefact.
     The join is an ordinary one: Catalyst broadcasts the list while it is small.
     """
-    # end of the last day on the Shanghai clock
-    cutoff = F.to_utc_timestamp(F.lit(f"{end.isoformat()} 23:59:59.999999").cast("timestamp"), "Asia/Shanghai")
+    # end of the last day on the Shanghai clock, as an instant
+    cutoff = F.lit(f"{end.isoformat()}T23:59:59.999999+08:00").cast("timestamp")
     out = df.sparkSession.createDataFrame([], FINDING)
     for name in rule.pit_fields:
         if name not in df.columns:
