@@ -9,8 +9,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earlybell.llm import decontaminate, jaccard, language, packing, quality, secrets, sql, tokens, toxicity
-from earlybell.llm.common import held_out, table
+from earlybell.llm import (
+    decontaminate,
+    jaccard,
+    language,
+    licenses,
+    packing,
+    pii,
+    quality,
+    secrets,
+    sql,
+    tokens,
+    toxicity,
+)
+from earlybell.llm.common import held_out, store, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: The id that ends each packed document, and the sequence length.
@@ -80,6 +92,38 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages under their address, documents under source and language, as files with paths."""
+    pages, docs = table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents")
+    address = F.regexp_replace(F.regexp_replace("url", "^[a-z]+://", ""), "[?#].*$", "")
+    of_pages = pages.select(
+        F.lit("pages").alias("origin"),
+        F.col("page_id").alias("row_id"),
+        F.concat(F.lit("web/"), address).alias("path"),
+        F.regexp_replace("html", "<[^>]*>", "\n").alias("text"),
+    )
+    of_docs = docs.select(
+        F.lit("documents").alias("origin"),
+        F.col("doc_id").alias("row_id"),
+        F.concat_ws("/", F.lit("corpus"), "source", "lang", F.col("doc_id").cast("string")).alias("path"),
+        "text",
+    )
+    return licenses.scan(of_pages.union(of_docs))
+
+
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proposed = store(pii.propose(table(spark, sf_dir, "documents"), keep=["doc_id"]), "pii_proposals")
+    found = pii.select(proposed, pii.fit(proposed))
+    spans = F.col("pii_spans")
+    base = F.filter(spans, lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[_count(spans, k).alias(f"n_{k}") for k in pii.BASE_KINDS],
+        F.sha2(secrets.spans_text(base), 256).alias("base_sha256"),
+        secrets.spans_text(spans).alias("spans"),
+    )
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Pieces with a checksum in place of their ids."""
     pieces = packing.pack(docs, TOKENIZER, END_ID, SEQUENCE)
@@ -106,6 +150,8 @@ QUERIES: dict[str, LlmQuery] = {
     "op4_secret_links": LlmQuery(secret_links, sql.SECRETS),
     "op5_token_counts": LlmQuery(token_counts),
     "op6_quality_rules": LlmQuery(quality_rules, sql.QUALITY),
+    "op7_license_scan": LlmQuery(license_scan, sql.LICENSES),
     "op8_packing": LlmQuery(packed_sequences),
+    "op9_personal_data": LlmQuery(personal_data),
     "op10_language_id": LlmQuery(language_id),
 }

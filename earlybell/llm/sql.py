@@ -4,3 +4,4 @@ DECONTAMINATION = None
 JACCARD = None
 SECRETS = None
 QUALITY = None
+LICENSES = None
