@@ -31,7 +31,7 @@ from earlybell.llm.common import annotate, blobs
 BASE_KINDS = ("assign", "access", "hex")
 WEAK_KINDS = ("loose", "account", "endpoint")
 KINDS = (*BASE_KINDS, *WEAK_KINDS)
-#: Characters (UTF-8 bytes) between parts that still belong together.
+#: Code points between parts that still belong together.
 REACH = 200
 
 ASSIGN = re.compile(
@@ -40,10 +40,10 @@ ASSIGN = re.compile(
 ASSIGN_NAMES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{24,}")
-LOOSE = re.compile(rb"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+LOOSE = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
 ACCOUNT = re.compile(rb"""\b(?i:user(?:name)?|login|account|client_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]+)""")
 ACCOUNT_NAMES = (b"user", b"login", b"account", b"client")
-ENDPOINT = re.compile(rb"\b[a-z][a-z0-9+.-]{1,15}://[^\s\"'<>]+")
+ENDPOINT = re.compile(rb"\b[a-z][a-z0-9+.-]{1,15}://[^\x09-\x0D\x20\"'<>]+")
 PARAGRAPH = re.compile(rb"\n[ \t\r]*\n")
 
 #: What a weak part needs beside it.
@@ -118,23 +118,32 @@ def _near(weak: np.ndarray, strong: np.ndarray, scopes: np.ndarray) -> np.ndarra
 
 
 def linked(text: bytes) -> list[tuple[str, int, int]]:
-    """Base spans, and the weak ones that complementary parts support; in bytes."""
+    """Base spans, and the weak ones that complementary parts support, in code points; by
+    start, then kind as listed."""
     found = {k: np.asarray(v, np.int64).reshape(-1, 2) for k, v in parts(text).items()}
+    if not any(map(len, found.values())):
+        return []
+    points = None if text.isascii() else np.concatenate([[0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)])
+    if points is not None:
+        found = {k: points[v] for k, v in found.items()}
     out = [(k, a, b) for k in BASE_KINDS for a, b in found[k].tolist()]
-    if not any(len(found[k]) for k in WEAK_KINDS):
-        return out
-    scopes = np.asarray([m.end() for m in PARAGRAPH.finditer(text)], np.int64)
+    if any(len(found[k]) for k in WEAK_KINDS):
+        scopes = np.asarray([m.end() for m in PARAGRAPH.finditer(text)], np.int64)
+        out += _supported(found, scopes if points is None else points[scopes])
+    return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+
+
+def _supported(found: dict[str, np.ndarray], scopes: np.ndarray) -> list[tuple[str, int, int]]:
     base = np.concatenate([found[k] for k in BASE_KINDS])
     base = base[np.lexsort((base[:, 1], base[:, 0]))]
+    # what a base span already reports is no loose string
+    found = found | {"loose": found["loose"][~_overlaps(found["loose"], base)]}
+    out = []
     for kind in WEAK_KINDS:
-        weak = found[kind]
-        if kind == "loose":  # what a base span already reports is no loose string
-            weak = weak[~_overlaps(weak, base)]
-            found[kind] = weak
-        close = np.zeros(len(weak), bool)
+        close = np.zeros(len(found[kind]), bool)
         for other in COMPLEMENTS[kind]:
-            close |= _near(weak, found[other], scopes)
-        out += [(kind, a, b) for a, b in weak[close].tolist()]
+            close |= _near(found[kind], found[other], scopes)
+        out += [(kind, a, b) for a, b in found[kind][close].tolist()]
     return out
 
 
@@ -147,20 +156,8 @@ def _overlaps(spans: np.ndarray, others: np.ndarray) -> np.ndarray:
     return (before > 0) & (reach[np.maximum(before - 1, 0)] > spans[:, 0])
 
 
-def _points(text: bytes, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Spans in code points, by start, then kind as listed."""
-    if not text.isascii():
-        at = np.concatenate([[0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)])
-        spans = [(k, int(at[a]), int(at[b])) for k, a, b in spans]
-    return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
-
-
 def _compute(column: pa.Array) -> list[list]:
-    out = []
-    for text in blobs(column):
-        spans = linked(text)
-        out.append([{"kind": k, "start": a, "end": b} for k, a, b in _points(text, spans)] if spans else [])
-    return [out]
+    return [[[{"kind": k, "start": a, "end": b} for k, a, b in linked(text)] for text in blobs(column)]]
 
 
 def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -187,18 +184,17 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataF
     def compute(column: pa.Array) -> list[list]:
         out: list[str | None] = []
         for valid, body in zip(column.is_valid().to_pylist(), blobs(column), strict=True):
-            out.append(_redacted(body, mark.encode()).decode("utf-8", "replace") if valid else None)
+            out.append(_redacted(body, mark) if valid else None)
         return [out]
 
     made = annotate(docs, text, [StructField(text, StringType())], compute)
     return made.select(*[F.col(f"`{c}`") for c in columns])
 
 
-def _redacted(text: bytes, mark: bytes) -> bytes:
-    spans = sorted((a, b) for _, a, b in linked(text))
-    out, at = [], 0
-    for a, b in spans:
+def _redacted(text: bytes, mark: str) -> str:
+    whole, out, at = text.decode("utf-8", "replace"), [], 0
+    for _, a, b in linked(text):
         if a >= at:
-            out += [text[at:a], mark]
+            out += [whole[at:a], mark]
         at = max(at, b)
-    return b"".join([*out, text[at:]])
+    return "".join([*out, whole[at:]])
