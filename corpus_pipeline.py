@@ -9,6 +9,7 @@ empty tables give empty results.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from earlybell.llm import decontaminate, jaccard, quality, queries, secrets
 from earlybell.llm.common import store, table
@@ -33,8 +34,12 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with their secrets replaced by a mark."""
-    return secrets.redact(docs)
+    """All documents, with their secrets replaced by a mark and n_chars counted anew."""
+    redacted = secrets.redact(docs)
+    if "n_chars" not in docs.columns:
+        return redacted
+    counted = F.coalesce(F.char_length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
+    return redacted.withColumn("n_chars", counted)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
