@@ -72,24 +72,20 @@ def china_date(moment) -> Column:
 
 
 # --- security codes and boards ---------------------------------------------
-def _digits(text: Column) -> Column:
-    return F.regexp_extract(text, r"^(\d{6,})\.", 1)
-
-
-def security_market(code) -> Column:
+def security_market(code, digits: str = R.CODE_DIGITS) -> Column:
     """Market of a suffixed code (``600000.SH`` or ``600000.XSHG``), else null."""
     text = F.upper(F.trim(col(code).cast("string")))
-    suffix = F.regexp_extract(text, r"^\d{6,}\.(SH|SZ|BJ|XSHG|XSHE|XBSE)$", 1)
+    suffix = F.regexp_extract(text, rf"^{digits}\.(SH|SZ|BJ|XSHG|XSHE|XBSE)$", 1)
     out = F.when(suffix.isin(*R.MARKETS), suffix)
     for short, market in R.SUFFIX_MARKETS.items():
         out = out.when(suffix == short, F.lit(market))
     return out
 
 
-def canonical_security(code) -> Column:
+def canonical_security(code, digits: str = R.CODE_DIGITS) -> Column:
     """``600000.SH`` -> ``600000.XSHG``; only an explicit suffix decides the market."""
     text = F.upper(F.trim(col(code).cast("string")))
-    return F.concat(_digits(text), F.lit("."), security_market(code))
+    return F.concat(F.regexp_extract(text, rf"^({digits})\.", 1), F.lit("."), security_market(code, digits))
 
 
 def business_code(security) -> Column:
@@ -194,16 +190,29 @@ def hit_status(is_hit, identification_status=None, final_bucket=None) -> Column:
 
 # --- keys and hashes --------------------------------------------------------
 def event_key(*parts) -> Column:
-    parts = parts or (*R.KEY, "event_type", "first_fact_date")
-    return F.concat_ws("|", *[col(p).cast("string") for p in parts])
+    """Key text of an event; null where a part is null or blank."""
+    return joined_key(*(parts or (*R.KEY, "event_type", "first_fact_date")))
+
+
+def joined_key(*parts) -> Column:
+    """Parts joined by ``|``. A missing part makes no shorter key that could meet another one."""
+    texts = [blank_to_null(p) for p in parts]
+    return F.concat(*[x for t in texts for x in (F.lit("|"), t)][1:])
 
 
 def business_key(dataset_id: str) -> Column:
-    """Key text of one fact: market|security|date, without security for calendars."""
+    """Key text of one fact: market|security|date, without security for calendars.
+
+    Null where a part is null or blank; ``foundation.missing_key_parts`` reports these rows.
+    """
+    return joined_key(*key_parts(dataset_id))
+
+
+def key_parts(dataset_id: str) -> tuple[str, ...]:
     if dataset_id == "market_calendar":
-        return F.concat_ws("|", "market_code", F.col("business_date").cast("string"))
+        return ("market_code", "business_date")
     day = "effective_start" if dataset_id == "instrument_master_history" else "business_date"
-    return F.concat_ws("|", "market_code", "security_code", F.col(day).cast("string"))
+    return ("market_code", "security_code", day)
 
 
 def canonical_payload(columns: Sequence[str]) -> Column:

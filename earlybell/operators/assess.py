@@ -36,6 +36,26 @@ def wide_to_cells(wide: DataFrame, brokers: Sequence[str], *, day: str = "biz_da
     )
 
 
+def uncanonical_codes(wide: DataFrame, *, code: str = "stk_code") -> DataFrame:
+    """Codes without a canonical form, with their rows: what ``wide_to_cells`` leaves out."""
+    return (
+        wide.where(S.security_market(code).isNull())
+        .groupBy(F.coalesce(F.col(code).cast("string"), F.lit("")).alias("stk_code"))
+        .agg(F.count("*").alias("affected_rows"))
+    )
+
+
+def version_conflicts(cells: DataFrame) -> DataFrame:
+    """Security-days of a history with several records that differ (BM304), with their rows.
+
+    The panel takes one record per security-day; a run must refuse while any differ.
+    """
+    per_day = cells.groupBy(*R.KEY, "classification_date").agg(
+        F.count("*").alias("affected_rows"), F.min("grades").alias("low"), F.max("grades").alias("high")
+    )
+    return per_day.where("low <> high").select(*R.KEY, "classification_date", "affected_rows")
+
+
 def wide_to_long(
     wide: DataFrame, brokers: Sequence[str], index: DataFrame, *, day: str = "biz_date", code: str = "stk_code"
 ) -> DataFrame:
@@ -53,7 +73,7 @@ def wide_to_long(
     usable = index.select(
         "market_code", F.col(DAY).alias("classification_date"), F.col("next_day").alias("first_usable_trading_day")
     )
-    return long.join(F.broadcast(usable), ["market_code", "classification_date"], "left")
+    return long.join(usable, ["market_code", "classification_date"], "left")
 
 
 def active_grades(history: DataFrame, grid: DataFrame, extra: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -112,7 +132,7 @@ def events_with_cutoff(events: DataFrame, index: DataFrame) -> DataFrame:
         F.col("ordinal").alias("fact_ordinal"),
     )
     return events.select(*R.KEY, *EVENT_FIELDS).join(
-        F.broadcast(cal), ["market_code", "first_fact_date"], "left"
+        cal, ["market_code", "first_fact_date"], "left"
     )
 
 
@@ -149,7 +169,7 @@ def state_grid(securities: DataFrame, days: DataFrame) -> DataFrame:
     return (
         expected_days(securities, days)
         .select(*R.KEY, DAY, "ordinal")
-        .join(F.broadcast(first), "market_code")
+        .join(first, "market_code")
     )
 
 
@@ -213,7 +233,7 @@ def assess_events(
         | (e["cutoff_trading_date"].isNull() & (F.coalesce("pos", F.lit(0)) == 0)),
     )
     grid = (
-        per_security.join(F.broadcast(day_arrays(days)), "market_code", "left")
+        per_security.join(day_arrays(days), "market_code", "left")
         .select(*R.KEY, "events", F.get("days", F.lit(0)).alias("first_day"), F.posexplode_outer("days").alias("pos", DAY))
         .select(*R.KEY, DAY, (F.col("pos") + 1).alias("ordinal"), "first_day", due.alias("due"))
     )
@@ -426,7 +446,7 @@ def lookahead_violations(assessments: DataFrame, index: DataFrame) -> DataFrame:
         F.col(DAY).alias("selected_classification_date"),
         F.col("ordinal").alias("_sel"),
     )
-    joined = assessments.join(F.broadcast(usable), ["market_code", "selected_classification_date"], "left")
+    joined = assessments.join(usable, ["market_code", "selected_classification_date"], "left")
     return joined.select(
         "event_key",
         "broker_id",

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from earlybell import rules as R
 from earlybell.functions import scalars as S
-from earlybell.operators.panel import checked
 
 
 def trading_days(calendar: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
@@ -50,12 +49,12 @@ def market_trading_days(days: DataFrame, markets: Sequence[str], default: str =
 
 
 def calendar_index(days: DataFrame) -> DataFrame:
-    """Ordinal, previous and next trading day of every trading day (C1), size-checked for broadcast."""
+    """Ordinal, previous and next trading day of every trading day."""
     w = Window.partitionBy("market_code").orderBy("trading_date")
     return days.select(
         "market_code",
         "trading_date",
-        checked(F.row_number().over(w), F.row_number().over(w)).alias("ordinal"),
+        F.row_number().over(w).alias("ordinal"),
         F.lag("trading_date").over(w).alias("previous_day"),
         F.lead("trading_date").over(w).alias("next_day"),
     )
@@ -64,8 +63,8 @@ def calendar_index(days: DataFrame) -> DataFrame:
 def trading_day_difference(pairs: DataFrame, index: DataFrame, start: str, end: str, out: str) -> DataFrame:
     """Ordinal distance end - start in trading days; null if either is no trading day."""
     cal = index.select("market_code", "trading_date", "ordinal")
-    a = F.broadcast(cal.select("market_code", F.col("trading_date").alias(start), F.col("ordinal").alias("_a")))
-    b = F.broadcast(cal.select("market_code", F.col("trading_date").alias(end), F.col("ordinal").alias("_b")))
+    a = cal.select("market_code", F.col("trading_date").alias(start), F.col("ordinal").alias("_a"))
+    b = cal.select("market_code", F.col("trading_date").alias(end), F.col("ordinal").alias("_b"))
     return (
         pairs.join(a, ["market_code", start], "left")
         .join(b, ["market_code", end], "left")
@@ -204,7 +203,7 @@ def monthly_to_daily(snapshots: DataFrame, calendar: DataFrame, start: date, end
     dates = snapshots.select("snapshot_date").distinct()
     boundary = (
         dates.join(
-            F.broadcast(natural_day_lookup(calendar).select(F.col("calendar_date").alias("snapshot_date"), "latest_trading_day")),
+            natural_day_lookup(calendar).select(F.col("calendar_date").alias("snapshot_date"), "latest_trading_day"),
             "snapshot_date",
         )
         .groupBy("latest_trading_day")
@@ -215,7 +214,7 @@ def monthly_to_daily(snapshots: DataFrame, calendar: DataFrame, start: date, end
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     chosen = (
         days.where("is_trading_day")
-        .join(F.broadcast(boundary), "calendar_date", "left")
+        .join(boundary, "calendar_date", "left")
         .withColumn(
             "first_boundary",
             F.min(F.when(F.col("snapshot_date").isNotNull(), F.col("calendar_date"))).over(
@@ -232,7 +231,7 @@ def monthly_to_daily(snapshots: DataFrame, calendar: DataFrame, start: date, end
         .where(F.col("active").isNotNull())
         .select(F.col("calendar_date").alias("trading_date"), F.col("active").alias("snapshot_date"))
     )
-    return snapshots.join(F.broadcast(chosen), "snapshot_date").withColumn(
+    return snapshots.join(chosen, "snapshot_date").withColumn(
         "grade", F.coalesce(S.blank_to_null("grade"), F.lit("G"))
     )
 

@@ -91,7 +91,7 @@ def flat_zero_bar() -> Column:
 
 def _with_lifecycle(facts: DataFrame, universe: DataFrame, days: DataFrame) -> DataFrame:
     life = universe.select(*R.KEY, "listed_date", "delisted_date", F.lit(True).alias("is_member"))
-    cal = F.broadcast(days.select("market_code", DAY, F.lit(True).alias("is_open")))
+    cal = days.select("market_code", DAY, F.lit(True).alias("is_open"))
     return facts.join(life, list(R.KEY), "left").join(cal, ["market_code", DAY], "left")
 
 
@@ -389,7 +389,7 @@ def six_datasets(
     flagged = calendar_days.select(F.col(DAY).alias("business_date")).distinct().withColumn("open", F.lit(True))
     calendar = (
         grid.select("market_code", F.explode(F.sequence("lo", "hi")).alias("business_date"))
-        .join(F.broadcast(flagged), "business_date", "left")
+        .join(flagged, "business_date", "left")
         .select("market_code", "business_date", F.coalesce("open", F.lit(False)).alias("is_trading_day"))
     )
     known = instruments.where(F.col("market_code").isin(*markets))
@@ -417,6 +417,17 @@ def six_datasets(
     }
 
 
+def missing_key_parts(facts: DataFrame, dataset_id: str) -> DataFrame:
+    """Rows of a dataset whose key lacks a part, counted by the first one missing.
+
+    Their business key is null; an append must refuse while there are any.
+    """
+    parts = S.key_parts(dataset_id)
+    lacking = F.coalesce(*[F.when(S.blank_to_null(p).isNull(), F.lit(p)) for p in parts])
+    found = facts.select(lacking.alias("field")).where("field IS NOT NULL").groupBy("field").agg(F.count("*").alias("affected_rows"))
+    return found.select(F.lit("REQUIRED_FIELD_MISSING").alias("code"), F.lit(dataset_id).alias("dataset_id"), "field", "affected_rows")
+
+
 def outside_lifecycle_counts(facts: DataFrame, life: DataFrame) -> DataFrame:
     """Kept, dropped and unknown rows of a lifecycle-filtered import."""
     known = life.select(*R.KEY, "listed_date", "delisted_date", F.lit(True).alias("known"))

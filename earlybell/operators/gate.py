@@ -34,7 +34,6 @@ REQUIRED = {
         "source_record_id",
     ),
 }
-CODE_PATTERN = r"^\d{6,}(\.(XSHG|XSHE|XBSE))?$"
 
 
 def business_universe(primary: DataFrame, supplemental: DataFrame | None, end: date) -> DataFrame:
@@ -163,6 +162,7 @@ def coverage_findings(split: DataFrame, days: DataFrame, market: DataFrame, risk
         F.array(
             F.when(F.col("mkt").isNull(), "RISK_GATE_UNIVERSE_MARKET_COVERAGE_MISSING"),
             F.when(F.col("st").isNull(), "RISK_GATE_UNIVERSE_ST_COVERAGE_MISSING"),
+            F.when(F.col("st").isNotNull() & F.col("st.is_st").isNull(), "RISK_GATE_ST_LITERAL_UNKNOWN"),
             F.when(candidate & F.col("board_known").isNull(), "RISK_GATE_BOARD_MISSING"),
             F.when(F.col("is_first") & ~baseline, "RISK_GATE_ST_BASELINE_MISSING"),
         )
@@ -196,17 +196,30 @@ def gate_findings(
         )
 
     out = head
+    code = rf"^{rules.code_digits}(\.(XSHG|XSHE|XBSE))?$"
     for name in ("broker", "master", "market", "st"):
-        bad = tables[name].where(~F.col("security_code").rlike(CODE_PATTERN)).select(*R.KEY).distinct()
+        bad = tables[name].where(~F.col("security_code").rlike(code)).select(*R.KEY).distinct()
         out = out.unionByName(coded(bad, "RISK_GATE_SECURITY_CODE_INVALID"))
     out = out.unionByName(coded(split.where(F.col("eligibility") == "MASTER_MISSING"), "RISK_GATE_UNIVERSE_MASTER_MISSING"))
     empty = tables["broker"].agg(F.count("*").alias("n")).where("n = 0").select(
         F.lit(None).cast("string").alias("market_code"), F.lit(None).cast("string").alias("security_code")
     )
     out = out.unionByName(coded(empty, "RISK_GATE_UNIVERSE_EMPTY"))
+    unknown = unknown_literals(tables["st"]).select(
+        F.lit(None).cast("string").alias("market_code"), F.col("literal").alias("security_code")
+    )
+    out = out.unionByName(coded(unknown, "RISK_GATE_ST_LITERAL_UNKNOWN"))
     return out.unionByName(coverage_findings(split, days, tables["market"], tables["st"], tables["master"], rules))
 
 
+def unknown_literals(risk_status: DataFrame) -> DataFrame:
+    """ST values that are no known literal, with their rows (P5). None may stay: an unknown
+    state would count as "not ST" and hide or invent events."""
+    text = F.lower(F.trim(F.col("risk_status_value").cast("string")))
+    rows = risk_status.where((F.upper("risk_status_type") == "ST") & S.parse_st("risk_status_value").isNull())
+    return rows.groupBy(F.coalesce(text, F.lit("")).alias("literal")).agg(F.count("*").alias("affected_rows"))
+
+
 def allow_run(findings: DataFrame) -> DataFrame:
     """One row: may the event run start, and how many findings block it."""
     errors = F.count_if(F.col("severity") == "ERROR")

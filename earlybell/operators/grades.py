@@ -368,7 +368,7 @@ def latest_market_caps(caps: DataFrame, end: date) -> DataFrame:
     """Caps of the latest capitalisation date up to a date; negatives are no caps."""
     upto = caps.where(F.col(DAY) <= F.lit(end))
     last = upto.agg(F.max(DAY).alias(DAY))  # one row
-    return upto.join(F.broadcast(last), DAY).where(F.col("total_market_cap") >= 0).select(*R.KEY, "total_market_cap")
+    return upto.join(last, DAY).where(F.col("total_market_cap") >= 0).select(*R.KEY, "total_market_cap")
 
 
 def grade_cap_comparison(legacy: DataFrame, new: DataFrame, caps: DataFrame) -> DataFrame:
@@ -531,7 +531,7 @@ def apply_overrides(grades: DataFrame, overrides: DataFrame, days: DataFrame) ->
     large one shuffles like any other table.
     """
     forced = overrides.select(*R.KEY, "override_grade").join(
-        F.broadcast(days.select("market_code", DAY)), "market_code"
+        days.select("market_code", DAY), "market_code"
     )
     return grades.join(forced, [*R.KEY, DAY], "full_outer").select(
         *R.KEY,

@@ -177,7 +177,7 @@ def warning_rates_snapshot(states: DataFrame, events: DataFrame, brokers: Sequen
     grid = days.select(
         F.col("trading_date").alias("snapshot_date"), F.explode(F.array(*[F.lit(b) for b in brokers])).alias("broker_id")
     ).distinct()
-    dense = F.broadcast(grid).join(counted, ["broker_id", "snapshot_date"], "left").fillna(
+    dense = grid.join(counted, ["broker_id", "snapshot_date"], "left").fillna(
         0, ["dangerous_security_count", "unknown_classification_security_count"]
     )
     return _by_view(dense, ("broker_id", "snapshot_date"), "SNAPSHOT")

@@ -64,18 +64,10 @@ def lifecycle(master: DataFrame, as_of: date | None = None) -> DataFrame:
 def day_arrays(days: DataFrame) -> DataFrame:
     """One row per market with its ordered trading days.
 
-    This is what gets broadcast, so its size is checked where it is built: a
-    "calendar" with more sessions than any real one fails instead of flooding
-    the executors.
+    Joins with it carry no hint: Catalyst and AQE broadcast it by its measured size,
+    as they do with every calendar side, and shuffle beyond their threshold.
     """
-    found = days.groupBy("market_code").agg(F.array_sort(F.collect_set(DAY)).alias("days"))
-    return found.withColumn("days", checked(F.size("days"), F.col("days")))
-
-
-def checked(count: Column, value: Column) -> Column:
-    """``value`` while a calendar-sized count stays within bounds, else an error."""
-    message = F.concat(F.lit("calendar has too many sessions: "), count.cast("string"))
-    return F.when(count <= R.MAX_SESSIONS, value).otherwise(F.raise_error(message))
+    return days.groupBy("market_code").agg(F.array_sort(F.collect_set(DAY)).alias("days"))
 
 
 def expected_days(securities: DataFrame, days: DataFrame) -> DataFrame:
@@ -86,7 +78,7 @@ def expected_days(securities: DataFrame, days: DataFrame) -> DataFrame:
     of securities and no range join.
     """
     return (
-        securities.join(F.broadcast(day_arrays(days)), "market_code")
+        securities.join(day_arrays(days), "market_code")
         .select(*R.KEY, "listed_date", "delisted_date", F.posexplode("days").alias("pos", DAY))
         .where(S.in_lifecycle(DAY, "listed_date", "delisted_date"))
         .select(*R.KEY, DAY, (F.col("pos") + 1).alias("ordinal"), "listed_date", "delisted_date")
@@ -258,7 +250,7 @@ def previous_session_close(prices: DataFrame, index: DataFrame) -> DataFrame:
     only if its number is one less: no dense grid is needed.
     """
     numbered = prices.join(
-        F.broadcast(index.select("market_code", DAY, "ordinal")), ["market_code", DAY]
+        index.select("market_code", DAY, "ordinal"), ["market_code", DAY]
     )
     return numbered.withColumn(
         "previous_close",

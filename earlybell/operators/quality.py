@@ -17,8 +17,8 @@ from earlybell import rules as R
 from earlybell.functions import scalars as S
 from earlybell.operators.panel import DAY, day_arrays, expected_days
 
-CODE_PATTERN = r"^\d{6,}(\.(XSHG|XSHE|XBSE))?$"
-BUSINESS_CODE = r"^\d{6,}\.(SZ|SH|BJ)$"
+CODE_PATTERN = rf"^{R.CODE_DIGITS}(\.(XSHG|XSHE|XBSE))?$"
+BUSINESS_CODE = rf"^{R.CODE_DIGITS}\.(SZ|SH|BJ)$"
 FINDING = "table_name string, code string, severity string, field string, affected_rows bigint"
 BLOCKING = "严重"
 NOTICE = "一般"
@@ -265,7 +265,7 @@ def market_calendar_coverage(days: DataFrame, market: DataFrame, life: DataFrame
         F.count_if((F.col("expected") > 0) & (F.col("securities") == 0)).alias("missing_markets"),
     )
     open_days = days.select(DAY).distinct().withColumn("is_open", F.lit(True))
-    flagged = per_day.join(F.broadcast(open_days), DAY, "left").withColumn("is_open", F.coalesce("is_open", F.lit(False)))
+    flagged = per_day.join(open_days, DAY, "left").withColumn("is_open", F.coalesce("is_open", F.lit(False)))
     some = F.col("rows") > 0
     items = F.array(
         _item("E601", BLOCKING, F.when(~F.col("is_open"), F.col("rows"))),
@@ -285,7 +285,7 @@ def _item(code: str, severity: str, n: Column) -> Column:
 
 def lifecycle_truncation(life: DataFrame, days: DataFrame) -> DataFrame:
     """Sessions excluded before listing (W805) or from delisting on (W806) per security (Q8)."""
-    joined = life.join(F.broadcast(day_arrays(days)), "market_code")
+    joined = life.join(day_arrays(days), "market_code")
     early = F.filter("days", lambda x: x < F.col("listed_date"))
     late = F.filter("days", lambda x: x >= F.col("delisted_date"))
     both = joined.select(
@@ -426,7 +426,7 @@ def history_integrity(history: DataFrame, days: DataFrame, end: date) -> DataFra
     weekend rows. Rows fold per file, key and day before anything is counted.
     """
     parts = F.regexp_extract("file_name", r"(\d{4})Q[1-4]", 1), F.regexp_extract("file_name", r"\d{4}Q([1-4])", 1)
-    cal = F.broadcast(days.select(F.col(DAY).alias("biz_date"), F.lit(True).alias("is_open")).distinct())
+    cal = days.select(F.col(DAY).alias("biz_date"), F.lit(True).alias("is_open")).distinct()
     per_key = history.groupBy("file_name", "biz_date", F.trim("stk_code").alias("stk_code")).agg(F.count("*").alias("n"))
     per_day = (
         per_key.groupBy("file_name", "biz_date")

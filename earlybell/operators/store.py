@@ -267,7 +267,7 @@ def export_security_status(master_ranges: DataFrame, calendar: DataFrame, suspen
     days = calendar.groupBy("market_code").agg(F.array_sort(F.collect_set("calendar_date")).alias("days"))
     begin = F.greatest("effective_start", "listing_date")
     daily = (
-        master_ranges.join(F.broadcast(days), "market_code")
+        master_ranges.join(days, "market_code")
         .withColumn(DAY, F.explode("days"))
         .where((F.col(DAY) >= begin) & (F.col("effective_end").isNull() | (F.col(DAY) <= F.col("effective_end"))))
         .select(*R.KEY, DAY, "board_code", "listing_date", "termination_date")
@@ -297,7 +297,7 @@ def export_adjusted_prices(suspension: DataFrame, closes: DataFrame, index: Data
     nxt = index.where(F.col("next_day").isNotNull()).select("market_code", DAY, "next_day")
     shifted = (
         closes.select(*R.KEY, DAY, "close_price")
-        .join(F.broadcast(nxt), ["market_code", DAY])
+        .join(nxt, ["market_code", DAY])
         .select(*R.KEY, F.col("next_day").alias(DAY), F.col("close_price").alias("previous_close"))
     )
     return (

@@ -56,6 +56,18 @@ class EvaluationRun:
         """Securities on only one side of history and ST."""
         return quality.history_st_reconciliation(self.cells, self.inputs.st, self.inputs.life, *self.window)
 
+    def record_findings(self) -> DataFrame:
+        """History rows that the cells can't take as they are: codes without a canonical form,
+        and security-days with records that differ (BM304). A run refuses while there are any."""
+        codes = assess.uncanonical_codes(self.inputs.history).select(
+            F.lit("SECURITY_CODE_INVALID").alias("code"), F.lit(None).cast("string").alias("market_code"),
+            F.col("stk_code").alias("security_code"), F.lit(None).cast("date").alias("fact_date"), "affected_rows",
+        )
+        conflicts = assess.version_conflicts(self.cells).select(
+            F.lit("BM304").alias("code"), *R.KEY, F.col("classification_date").alias("fact_date"), "affected_rows"
+        )
+        return codes.unionByName(conflicts)
+
     def assessments(self) -> DataFrame:
         """Event x broker verdicts; securities without history are marked, not dropped."""
         missing = self.history_findings().where(F.col("code") == "BM109_SECURITY_HISTORY_MISSING")
@@ -118,4 +130,6 @@ class EvaluationRun:
         return out
 
     def write(self, root: str) -> DataFrame:
+        if not self.record_findings().isEmpty():
+            raise ValueError("the history has record findings; see record_findings()")
         return sinks.write_bundle(self.tables(), root, self.batch_id)

@@ -60,7 +60,7 @@ RANKING_METRICS = (
 )
 COMPOSITE_METRICS = RANKING_METRICS[:4]
 EXAMPLE_LIMIT = 20
-MAX_SESSIONS = 100_000  # about 400 years of sessions: bound for broadcast calendars
+CODE_DIGITS = r"\d{6}"  # a security code before its market suffix
 # ---------------------------------------------------------------------------
 
 
@@ -107,6 +107,7 @@ class RiskRules:
     excluded_markets: tuple[str, ...] = ("XBSE",)
     decimal_scale: int = 6
     minimum_segment_length: int = 2
+    code_digits: str = CODE_DIGITS
     continuous_event_type: str = LIMIT_DOWN_EVENT
     new_st_event_type: str = NEW_ST_EVENT
 

@@ -16,14 +16,32 @@ BOM = "\ufeff"
 
 
 def read_text_csv(spark: SparkSession, *paths: str, with_file: bool = False) -> DataFrame:
-    """CSV with a header, every column text, empty cells as '' (S1)."""
+    """CSV with a header, every column text, empty cells as '' (S1).
+
+    Paths whose files start with different headers are read apart and united by column
+    name; a folder or pattern counts as one path, and a file in it that has another
+    header fails the read instead of being taken by position.
+    """
+    by_header: dict[str, list[str]] = {}
+    for path in paths if len(paths) > 1 else ():
+        first = spark.read.text(path).first()
+        by_header.setdefault(first[0].lstrip(BOM) if first else "", []).append(path)
+    parts = [_csv_of_one_header(spark, same, with_file) for same in by_header.values() or [list(paths)]]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out.fillna("", [c for c in out.columns if c != "file_name"]) if len(parts) > 1 else out
+
+
+def _csv_of_one_header(spark: SparkSession, paths: list[str], with_file: bool) -> DataFrame:
     df = (
         spark.read.option("header", True)
+        .option("enforceSchema", False)
         .option("encoding", "UTF-8")
         .option("emptyValue", "")
         .option("nullValue", "\u0000")
         .option("treatEmptyValuesAsNulls", False)
-        .csv(list(paths))
+        .csv(paths)
     )
     names = [c.lstrip(BOM) for c in df.columns]
     if with_file:
@@ -32,12 +50,24 @@ def read_text_csv(spark: SparkSession, *paths: str, with_file: bool = False) ->
     return df.toDF(*names).fillna("", [n for n in names if n != "file_name"])
 
 
-def read_json_records(spark: SparkSession, *paths: str) -> DataFrame:
-    """JSON records: a list, a single object, or an object with a ``data`` list."""
-    df = spark.read.option("multiLine", True).option("primitivesAsString", True).json(list(paths))
-    if "data" in df.columns and df.schema["data"].dataType.simpleString().startswith("array<struct"):
-        return df.select(F.explode("data").alias("r")).select("r.*")
-    return df
+def read_json_records(spark: SparkSession, *paths: str, fields: Sequence[str] | None = None) -> DataFrame:
+    """JSON records: a list, a single object, or an object with a ``data`` list.
+
+    The three shapes may be mixed, between files and within a list. All values are text.
+    ``fields`` names the columns and saves the scan that finds them.
+    """
+    reader = spark.read.option("multiLine", True).option("primitivesAsString", True)
+    if fields is None:
+        df = reader.json(list(paths))
+        kind = df.schema["data"].dataType.simpleString() if "data" in df.columns else ""
+        if not kind.startswith("array<struct"):
+            return df
+        inner = df.schema["data"].dataType.elementType.names
+        fields = list(dict.fromkeys([*inner, *[c for c in df.columns if c != "data"]]))
+    record = ", ".join(f"`{c}` string" for c in fields)
+    df = reader.schema(f"data array<struct<{record.replace('` string', '`: string')}>>, {record}").json(list(paths))
+    bare = F.array(F.struct(*[F.col(f"`{c}`") for c in fields]))
+    return df.select(F.explode(F.coalesce("data", bare)).alias("r")).select("r.*")
 
 
 def read_preamble_csv(spark: SparkSession, *paths: str, columns: Sequence[str] = ("biz_date", "stk_code")) -> DataFrame:
@@ -60,7 +90,7 @@ def read_preamble_csv(spark: SparkSession, *paths: str, columns: Sequence[str] =
         .groupBy("file_path")
         .agg(F.min(F.struct("at", "cells")).alias("h"))
     )
-    body = lines.join(headers, "file_path").where(F.col("at") > F.col("h.at"))
+    body = lines.join(headers, "file_path").where(F.col("at") > F.col("h.at"))  # see headerless_files
     return body.select(
         "file_path",
         *[
@@ -70,6 +100,15 @@ def read_preamble_csv(spark: SparkSession, *paths: str, columns: Sequence[str] =
     ).withColumn(columns[0], S.convert(columns[0], "date"))
 
 
+def headerless_files(spark: SparkSession, *paths: str, column: str = "biz_date") -> DataFrame:
+    """Finding per file that ``read_preamble_csv`` gives no rows of, as no line starts its header (S3)."""
+    first = F.regexp_replace(F.trim(F.split(F.regexp_replace("value", f"^[{BOM} \\t]+", ""), ",")[0]), '^["\']|["\']$', "")
+    per_file = spark.read.text(list(paths)).groupBy(F.col("_metadata.file_path").alias("file_path"))
+    return per_file.agg(F.count("*").alias("lines"), F.max(first == column).alias("has_header")).where("NOT has_header").select(
+        F.lit("HEADER_MISSING").alias("code"), F.lit("ERROR").alias("severity"), "file_path", "lines"
+    )
+
+
 def quarter_file_set(files: DataFrame) -> DataFrame:
     """Quarter files in order with the gap to the one before.
 

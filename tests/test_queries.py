@@ -28,4 +28,6 @@ def test_query_matches_sql(spark, con, name):
 def test_registry_and_entry_agree():
     import __spark_entry__ as entry
 
-    assert set(entry.oracle_sql()) == set(entry.queries()) == set(QUERIES)
+    # the optional subpackage adds queries of its own
+    assert set(QUERIES) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())

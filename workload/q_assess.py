@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from earlybell import rules as R
 from earlybell.functions import scalars as S
 from earlybell.operators import assess, metrics, panel, ranking
-from workload.domain import BROKERS, END, MAPPING, START, Domain
+from workload.domain import BROKERS, END, MAPPING, RAW_VALUES, START, Domain
 from workload.registry import half_up, query
 
 
@@ -396,6 +396,22 @@ def r4(d: Domain):
     )
 
 
+@query(
+    "w12_version_conflicts",
+    """SELECT market_code, security_code, d AS classification_date, count(*) AS affected_rows FROM ev
+    WHERE event_type = 'click' AND isodow(d) < 6 GROUP BY 1, 2, 3 HAVING count(DISTINCT floor(amt)::INTEGER % 9) > 1""",
+)
+def w12_conflicts(d: Domain):
+    """A history that keeps every click of a day as a record of its own."""
+    raws = F.array(*[F.lit(r) for r in RAW_VALUES])
+    clicks = d.events.where("event_type = 'click'").select(
+        F.col("d").alias("biz_date"),
+        S.business_code("security_code").alias("stk_code"),
+        *[F.get(raws, ((F.floor("amt") + 3 * k) % 9).cast("int")).alias(b) for k, b in enumerate(BROKERS)],
+    )
+    return assess.version_conflicts(assess.wide_to_cells(clicks, BROKERS))
+
+
 @query(
     "p8_exact_mapping",
     """SELECT h.broker_id, h.raw AS raw_classification, m.bucket AS mapped_bucket, count(*) AS n FROM hist h

@@ -47,19 +47,18 @@ def s1(d: Domain):
     prelude=False,
 )
 def s2(d: Domain):
-    """One ``{"data": [...]}`` document per customer group, each in its own file block."""
+    """One document per file and slice of 500 keys: an object with ``data``, a list, or a bare
+    record for each key that 500 divides."""
     path = new_path(d.spark, "customer_json")
-    # documents hold a bounded slice of keys each, so no group grows with a hot nation
-    docs = (
-        d.table("customer")
-        .groupBy(F.floor(F.col("c_custkey") / 100).alias("slice"))
-        .agg(F.to_json(F.struct(F.collect_list(F.struct("c_custkey", "c_name", "c_mktsegment")).alias("data"))).alias("value"))
-        .select("value")
-    )
-    docs.write.text(path)
-    return d.spark.read.schema("data array<struct<c_custkey:string,c_name:string,c_mktsegment:string>>").json(path).select(
-        F.explode("data").alias("r")
-    ).select("r.*")
+    fields = ("c_custkey", "c_name", "c_mktsegment")
+    rows = d.table("customer").select(F.struct(*fields).alias("r"), F.floor(F.col("c_custkey") / 500).alias("slice"))
+    bare = F.col("r.c_custkey") % 500 == 0
+    grouped = rows.where(~bare).groupBy("slice").agg(F.collect_list("r").alias("data"))
+    docs = grouped.select(
+        F.when(F.col("slice") % 2 == 0, F.to_json(F.struct("data"))).otherwise(F.to_json("data")).alias("value")
+    ).union(rows.where(bare).select(F.to_json("r")))
+    docs.write.option("maxRecordsPerFile", 1).text(path)
+    return readers.read_json_records(d.spark, path, fields=fields)
 
 
 @query(
@@ -335,6 +334,15 @@ def p4(d: Domain):
     ).agg(F.count("*").alias("n"))
 
 
+@query(
+    "p5_unknown_literals",
+    "SELECT event_type AS literal, count(*) AS affected_rows FROM ev WHERE event_type NOT IN ('signup', 'purchase') GROUP BY 1",
+)
+def p5_unknown(d: Domain):
+    literal = F.expr("CASE event_type WHEN 'signup' THEN '生效' WHEN 'purchase' THEN '未生效' ELSE event_type END")
+    return gate.unknown_literals(d.events.select(F.lit("st").alias("risk_status_type"), literal.alias("risk_status_value")))
+
+
 @query(
     "p5_tolerant_literals",
     """SELECT p_type, CASE p_size % 5 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false WHEN 3 THEN false END AS is_st, CASE p_size % 5 WHEN 0 THEN true WHEN 3 THEN false END AS flag, count(*) AS n FROM part GROUP BY 1, 2, 3""",

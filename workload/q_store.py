@@ -246,6 +246,21 @@ def p19(d: Domain):
     return _fact_rows(d).where(F.col("dataset_id").isin(*wanted)).select("business_key")
 
 
+@query(
+    "p19_required_fields",
+    """SELECT 'REQUIRED_FIELD_MISSING' AS code, 'daily_price_unadjusted' AS dataset_id, field, count(*) AS affected_rows
+    FROM (SELECT CASE WHEN n % 5 = 0 THEN 'market_code' WHEN last_id % 7 = 0 THEN 'security_code' END AS field FROM daily) WHERE field IS NOT NULL GROUP BY field""",
+)
+def p19_required(d: Domain):
+    """Daily facts, some with their market blanked and some without code."""
+    facts = d.daily.select(
+        F.when(F.col("n") % 5 == 0, " ").otherwise(F.col("market_code")).alias("market_code"),
+        F.when(F.col("last_id") % 7 != 0, F.col("security_code")).alias("security_code"),
+        F.col("trading_date").alias("business_date"),
+    )
+    return foundation.missing_key_parts(facts, "daily_price_unadjusted")
+
+
 @query(
     "v6_evaluation_inputs",
     SIX_SQL + " SELECT dataset_id, market_code, count(*) AS rows FROM six WHERE dataset_id IN ('market_calendar','instrument_master_history','daily_st_status') GROUP BY 1, 2",
