@@ -36,10 +36,12 @@ def append_versions(store: DataFrame, incoming: DataFrame) -> DataFrame:
     """Rows an append would write: new keys as version 1, changed ones one higher (V1).
 
     Incoming rows are folded per key and joined with the latest stored version; an
-    unchanged payload writes nothing.
+    unchanged payload writes nothing. Only stored rows of the batch's keys are folded:
+    a small batch is broadcast to the store's scan, which its datasets prune as well.
     """
     fresh = latest_version(incoming, FACT_KEY, "payload_hash")
-    current = store.groupBy(*FACT_KEY).agg(
+    known = store.join(incoming.select(*FACT_KEY).distinct(), list(FACT_KEY), "left_semi")
+    current = known.groupBy(*FACT_KEY).agg(
         F.max_by(F.struct("source_record_version", "payload_hash"), "source_record_version").alias("cur")
     )
     version = F.col("cur.source_record_version")
@@ -117,10 +119,12 @@ def override_selection(base: DataFrame, receipts: DataFrame) -> DataFrame:
 
 def append_receipts(wanted: DataFrame, store: DataFrame) -> DataFrame:
     """Wanted (key, hash) pairs with the latest version that stores them, null if none (V8)."""
-    stored = store.groupBy(*FACT_KEY, "payload_hash").agg(
+    keys = [*FACT_KEY, "payload_hash"]
+    asked = wanted.select(*keys).distinct()
+    stored = store.join(asked, keys, "left_semi").groupBy(*keys).agg(
         F.max("source_record_version").alias("source_record_version")
     )
-    return wanted.select(*FACT_KEY, "payload_hash").distinct().join(stored, [*FACT_KEY, "payload_hash"], "left")
+    return asked.join(stored, keys, "left")
 
 
 # --- version history --------------------------------------------------------

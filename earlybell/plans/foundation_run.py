@@ -13,7 +13,7 @@ from earlybell import rules as R
 from earlybell.operators import foundation as fd
 from earlybell.operators import panel, store
 from earlybell.operators.panel import DAY
-from earlybell.sources import sinks
+from earlybell.sources import sinks, staging
 
 PLANNED = (
     ("MDFRQ004", "daily_price_unadjusted"),
@@ -46,10 +46,13 @@ class DailyFacts:
 
 
 def append(root: str, stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Append the changed rows of a batch and return its counts; conflicting batches are refused."""
+    """Append the changed rows of a batch and return its counts; conflicting batches are refused.
+
+    What is to be written is computed once and stored; the facts and the counts read it back.
+    """
     if not store.batch_conflicts(incoming).isEmpty():
         raise ValueError("one batch gives a business key two payloads")
-    written = store.append_versions(stored, incoming)
+    written = staging.store(store.append_versions(stored, incoming), "appended")
     counts = store.append_summary(incoming, written)
     sinks.write_facts(written, root)
     return counts

@@ -92,6 +92,16 @@ def v1b(d: Domain):
     return store.append_summary(incoming, store.append_versions(_store(d), incoming))
 
 
+@query(
+    "v1_batch_conflicts",
+    STORE_SQL + "SELECT dataset_id, business_key FROM st GROUP BY ALL HAVING count(DISTINCT payload_hash) > 1",
+    prelude=False,
+)
+def v1_conflicts(d: Domain):
+    """A batch that holds every line of an order under the order's key."""
+    return store.batch_conflicts(_store(d))
+
+
 @query(
     "v2_current_view",
     STORE_SQL + "SELECT business_key, market_code, business_date, source_record_version, price::DOUBLE AS price, payload_hash FROM cur",
