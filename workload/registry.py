@@ -49,7 +49,7 @@ _DOMAINS: dict[tuple[str, str], Domain] = {}
 
 
 def domain(spark: SparkSession, sf_dir: str) -> Domain:
-    """One lazily built domain per session and directory: shares plans, not data."""
+    """One lazily built domain per session and directory; its stored hand-off tables are shared, too."""
     key = (spark.sparkContext.applicationId, str(sf_dir))
     if key not in _DOMAINS:
         _DOMAINS[key] = Domain(spark, str(sf_dir))
