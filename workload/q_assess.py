@@ -369,10 +369,21 @@ def p17(d: Domain):
 
 @query(
     "q27_lookahead_guard",
-    """SELECT event_key, broker_id, 'SELECTED_AFTER_CUTOFF' AS violation FROM assess WHERE sel_d > cutoff OR cutoff >= first_fact_date""",
+    """v AS (SELECT event_key, broker_id, CASE day(first_fact_date) % 4 WHEN 0 THEN 'CUTOFF_NOT_BEFORE_FACT'
+      WHEN 1 THEN CASE WHEN sel_d IS NOT NULL THEN 'SELECTED_AFTER_CUTOFF' END WHEN 2 THEN CASE WHEN sel_d IS NOT NULL THEN 'SELECTED_ON_CLOSED_DAY' END END AS violation FROM assess)
+    SELECT * FROM v WHERE violation IS NOT NULL""",
 )
 def q27(d: Domain):
-    return assess.lookahead_violations(d.stored_assessments, d.index)
+    """Sound assessments, three quarters of them moved: the cutoff onto the fact, the record
+    behind the cutoff, the record onto the Sunday before."""
+    turn = F.day("first_fact_date") % 4
+    cutoff, selected = F.col("cutoff_trading_date"), F.col("selected_classification_date")
+    sunday = F.date_sub(F.date_trunc("week", cutoff).cast("date"), 1)
+    moved = d.stored_assessments.withColumn(
+        "selected_classification_date",
+        F.when(selected.isNull(), selected).when(turn == 1, F.date_add(cutoff, 1)).when(turn == 2, sunday).otherwise(selected),
+    ).withColumn("cutoff_trading_date", F.when(turn == 0, F.col("first_fact_date")).otherwise(cutoff))
+    return assess.lookahead_violations(moved, d.index)
 
 
 @query(

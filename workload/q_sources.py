@@ -16,7 +16,7 @@ from earlybell.sources import mapping, readers, sinks
 from earlybell.sources.staging import new_path
 from workload.domain import BROKERS, END, START, Domain
 from workload.q_assess import dbl
-from workload.q_store import _fact_rows
+from workload.q_store import SIX_SQL, _fact_rows
 from workload.registry import query
 
 
@@ -175,10 +175,8 @@ def s8(d: Domain):
     "s9_lifecycle_scan",
     """r AS (SELECT market_code, security_code, listed_date, delisted_date FROM sec UNION ALL SELECT market_code, security_code, min(d), NULL FROM ev WHERE event_type <> 'view' GROUP BY 1, 2)
     SELECT market_code, security_code, min(listed_date) AS listed_date,
-      arg_min(delisted_date, (listed_date, delisted_date IS NOT NULL)) AS delisted_date0,
-      CASE WHEN count(DISTINCT (listed_date, delisted_date)) > 1 THEN 'CONFLICT' ELSE 'OK' END AS status FROM r WHERE market_code <> 'XBSE' GROUP BY 1, 2""".replace(
-        "arg_min(delisted_date, (listed_date, delisted_date IS NOT NULL)) AS delisted_date0,\n      ", ""
-    ),
+      list(delisted_date ORDER BY listed_date, delisted_date NULLS FIRST)[1] AS delisted_date,
+      CASE WHEN count(DISTINCT (listed_date, delisted_date)) > 1 THEN 'CONFLICT' ELSE 'OK' END AS status FROM r WHERE market_code <> 'XBSE' GROUP BY 1, 2""",
 )
 def s9(d: Domain):
     own = d.life.select("security_code", F.col("listed_date").cast("string").alias("l"), F.coalesce(F.col("delisted_date").cast("string"), F.lit("")).alias("x"))
@@ -186,8 +184,7 @@ def s9(d: Domain):
     text = own.unionByName(other).select(
         F.col("security_code").alias("order_book_id"), F.col("l").alias("listed_date_norm"), F.col("x").alias("de_listed_date_norm")
     )
-    scanned = readers.standard_lifecycle(readers.read_text_csv(d.spark, _csv(d, text, "lifecycle")))
-    return scanned.drop("delisted_date")
+    return readers.standard_lifecycle(readers.read_text_csv(d.spark, _csv(d, text, "lifecycle")))
 
 
 @query(
@@ -213,12 +210,11 @@ def s10(d: Domain):
 
 @query(
     "s11_fact_sink",
-    """SELECT 'daily_price_unadjusted' AS dataset_id, market_code, year(d)::INTEGER AS year, month(d)::INTEGER AS month, count(*) AS rows FROM daily GROUP BY 2, 3, 4
-    UNION ALL SELECT 'market_calendar', m, 2024, 1, count(*) FROM natural_days CROSS JOIN (SELECT unnest(['XSHG','XSHE','XBSE']) AS m) GROUP BY 2""",
+    SIX_SQL + " SELECT dataset_id, market_code, year(d)::INTEGER AS year, month(d)::INTEGER AS month, count(*) AS rows FROM six GROUP BY ALL",
 )
 def s11(d: Domain):
     path = new_path(d.spark, "facts")
-    sinks.write_facts(_fact_rows(d).where(F.col("dataset_id").isin("market_calendar", "daily_price_unadjusted")), path)
+    sinks.write_facts(_fact_rows(d), path)
     return d.spark.read.parquet(path).groupBy("dataset_id", "market_code", "year", "month").agg(F.count("*").alias("rows"))
 
 

@@ -8,6 +8,8 @@ from earlybell import rules as R
 from earlybell.functions import scalars as S
 from earlybell.operators import compare, foundation, gate, panel, ranking, store
 from earlybell.operators.panel import DAY
+from earlybell.sources import sinks
+from earlybell.sources.staging import new_path
 from workload.domain import END, RULES, START, Domain
 from workload.q_assess import dbl
 from workload.q_calendar import COVER_SQL, OTHER_SQL, SUSP_SQL, _dated_facts, _limits, _other_life, _suspension
@@ -247,13 +249,17 @@ def p21(d: Domain):
 
 @query(
     "p19_business_key",
-    """SELECT market_code || '|' || d::VARCHAR AS business_key FROM natural_days CROSS JOIN (SELECT unnest(['XSHG','XSHE','XBSE']) AS market_code)
-    UNION ALL SELECT market_code || '|' || security_code || '|' || greatest(listed_date, DATE '2024-01-01')::VARCHAR FROM sec
-    UNION ALL SELECT market_code || '|' || security_code || '|' || d::VARCHAR FROM daily""",
+    SUSP_SQL
+    + """, keyed AS (SELECT 'daily_price_unadjusted' AS dataset_id, market_code, security_code, d FROM daily
+      UNION ALL SELECT 'daily_price_limits', market_code, security_code, d FROM daily
+      UNION ALL SELECT 'daily_st_status', c.market_code, c.security_code, c.d FROM st_changes c JOIN sec s USING (security_code) WHERE c.d >= s.listed_date AND (s.delisted_date IS NULL OR c.d < s.delisted_date)
+      UNION ALL SELECT 'daily_suspension_status', market_code, security_code, d FROM susp
+      UNION ALL SELECT 'instrument_master_history', market_code, security_code, greatest(listed_date, DATE '2024-01-01') FROM sec)
+    SELECT dataset_id, market_code || '|' || security_code || '|' || d::VARCHAR AS business_key FROM keyed
+    UNION ALL SELECT 'market_calendar', market_code || '|' || d::VARCHAR FROM natural_days CROSS JOIN (SELECT unnest(['XSHG','XSHE','XBSE']) AS market_code)""",
 )
 def p19(d: Domain):
-    wanted = ("market_calendar", "instrument_master_history", "daily_price_unadjusted")
-    return _fact_rows(d).where(F.col("dataset_id").isin(*wanted)).select("business_key")
+    return _fact_rows(d).select("dataset_id", "business_key")
 
 
 @query(
@@ -578,19 +584,21 @@ def q29(d: Domain):
 
 @query(
     "q26_result_contract",
-    """c AS (SELECT 'risk_events' AS table_name, (SELECT count(*) FROM risk_ev) AS n UNION ALL SELECT 'assessments', (SELECT count(*) FROM assess) UNION ALL SELECT 'pressure_observations', (SELECT count(*) FROM press))
-    SELECT table_name, n AS expected_rows, n AS row_count, n AS key_count, true AS passed FROM c""",
+    """c AS (SELECT 'risk_events' AS table_name, (SELECT count(*) FROM risk_ev) AS expected_rows, (SELECT count(*) FROM risk_ev WHERE event_type <> 'NEW_ST') AS row_count, (SELECT count(*) FROM risk_ev WHERE event_type <> 'NEW_ST') AS key_count
+      UNION ALL SELECT 'assessments', (SELECT count(*) FROM assess), (SELECT count(*) FROM assess) + (SELECT count(*) FROM assess WHERE broker_id = 'B01'), (SELECT count(*) FROM assess)
+      UNION ALL SELECT 'pressure_observations', (SELECT count(*) FROM press), (SELECT count(*) FROM press), (SELECT count(*) FROM press))
+    SELECT *, expected_rows = row_count AND row_count = key_count AS passed FROM c""",
 )
 def q26(d: Domain):
+    """The manifest of a written batch against tables that lost rows, repeat rows, or are as written."""
+    written = {"risk_events": d.stored_events, "assessments": d.stored_assessments, "pressure_observations": d.stored_pressure}
+    manifest = sinks.write_bundle(written, new_path(d.spark, "contract"), "b1").withColumnRenamed("row_count", "expected_rows")
+    found = d.stored_assessments
     tables = {
-        "risk_events": (d.stored_events, [*R.KEY, "event_type", "first_fact_date"]),
-        "assessments": (d.stored_assessments, ["event_key", "broker_id"]),
+        "risk_events": (d.stored_events.where("event_type <> 'NEW_ST'"), [*R.KEY, "event_type", "first_fact_date"]),
+        "assessments": (found.unionByName(found.where("broker_id = 'B01'")), ["event_key", "broker_id"]),
         "pressure_observations": (d.stored_pressure, [*R.KEY, "first_fact_date"]),
     }
-    manifest = None
-    for name, (df, _) in tables.items():
-        row = df.agg(F.count("*").alias("expected_rows")).select(F.lit(name).alias("table_name"), "expected_rows")
-        manifest = row if manifest is None else manifest.unionByName(row)
     return foundation.result_contract(tables, manifest)
 
 
