@@ -116,45 +116,53 @@ def _binary_rows(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
 
 
-PACKED = "hash_range int, key bigint, n int, packed binary"
+#: Rows of a chunk of texts for one hash range: class keys (8 bytes each), how many
+#: shingles each has there (2 bytes), and these (6 bytes, the 48 bits below the range).
+PACKED = "hash_range int, keys binary, lengths binary, packed binary"
+CHUNK_TEXTS = 512
+MAX_RUN = (1 << 16) - 1
+
+
+def _chunk_rows(part: pa.Array, bits: int) -> pa.RecordBatch | None:
+    sets: dict[int, np.ndarray] = {}
+    for body in blobs(part):
+        s = shingles(body)
+        if len(s):
+            sets.setdefault(class_key(s), s)
+    if not sets:
+        return None
+    keys = np.fromiter(sets, np.int64, len(sets))
+    flat = np.concatenate(list(sets.values()))
+    owner = np.repeat(np.arange(len(keys)), [len(s) for s in sets.values()])
+    ranges = (flat >> np.uint64(64 - bits)).astype(np.int32) if bits else np.zeros(len(flat), np.int32)
+    order = np.argsort(ranges, kind="stable")  # by range, then text
+    flat, owner, ranges = flat[order], owner[order], ranges[order]
+    at = np.arange(len(flat))
+    first = np.concatenate([[True], (np.diff(owner) != 0) | (np.diff(ranges) != 0)])
+    first |= (at - np.maximum.accumulate(np.where(first, at, 0))) % MAX_RUN == 0
+    runs = np.flatnonzero(first)
+    lengths = np.diff(np.append(runs, len(flat)))
+    of_range = np.flatnonzero(np.concatenate([[True], np.diff(ranges[runs]) != 0]))
+    run_ends = np.append(of_range[1:], len(runs))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(ranges[runs[of_range]]),
+            _binary_rows(keys[owner[runs]].astype("<i8").view(np.uint8), run_ends * 8),
+            _binary_rows(lengths.astype("<u2").view(np.uint8), run_ends * 2),
+            _binary_rows(_low_bytes((flat << np.uint64(bits)) >> np.uint64(16)), np.cumsum(lengths)[run_ends - 1] * 6),
+        ],
+        ["hash_range", "keys", "lengths", "packed"],
+    )
 
 
 def packed_shingles(docs: DataFrame, text: str, bits: int) -> DataFrame:
-    """One row for each class of a batch and hash range: the shingles' 48 bits below the range."""
+    """One row for each chunk of texts and hash range, so rows don't grow with ranges times texts."""
     with_package(docs.sparkSession)
 
-    def rows(part: pa.Array) -> pa.RecordBatch | None:
-        sets, keys = [], []
-        seen: set[int] = set()
-        for body in blobs(part):
-            s = shingles(body)
-            key = class_key(s) if len(s) else None
-            if key is not None and key not in seen:
-                seen.add(key)
-                sets.append(s)
-                keys.append(key)
-        if not sets:
-            return None
-        flat, sizes = np.concatenate(sets), np.asarray([len(s) for s in sets])
-        owner = np.repeat(np.arange(len(sets)), sizes)
-        ranges = (flat >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(flat), np.int64)
-        new = np.flatnonzero(np.diff(owner * (1 << bits) + ranges)) + 1
-        starts = np.concatenate([[0], new])
-        ends = np.concatenate([new, [len(flat)]])
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(ranges[starts].astype(np.int32)),
-                pa.array(np.asarray(keys, np.int64)[owner[starts]]),
-                pa.array(sizes[owner[starts]].astype(np.int32)),
-                _binary_rows(_low_bytes((flat << np.uint64(bits)) >> np.uint64(16)), ends * 6),
-            ],
-            ["hash_range", "key", "n", "packed"],
-        )
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                made = rows(batch.column(0).slice(at, 512))
+            for at in range(0, batch.num_rows, CHUNK_TEXTS):
+                made = _chunk_rows(batch.column(0).slice(at, CHUNK_TEXTS), bits)
                 if made is not None:
                     yield made
 
@@ -165,89 +173,89 @@ class _Range:
     """The shingles of one hash range as they come in, held until it is known who shares them."""
 
     def __init__(self) -> None:
-        self.held = [np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+        self.tokens, self.keys = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.common = np.zeros(0, np.uint64)
 
-    def add(self, tokens: np.ndarray, keys: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def add(self, tokens: np.ndarray, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Take rows in; give out those of common shingles."""
         known = np.isin(tokens, self.common)
         if known.any():
-            yield self._shared(tokens[known], keys[known], sizes[known], np.full(known.sum(), COMMON))
-        self.held = [np.concatenate([h, x[~known]]) for h, x in zip(self.held, (tokens, keys, sizes), strict=True)]
+            yield self._shared(tokens[known], keys[known], np.full(known.sum(), COMMON))
+        self.tokens = np.concatenate([self.tokens, tokens[~known]])
+        self.keys = np.concatenate([self.keys, keys[~known]])
         counts = self._count()
         many = counts > COMMON
         if many.any():
-            tokens, keys, sizes = self.held
-            self.common = np.union1d(self.common, tokens[many])
-            yield self._shared(tokens[many], keys[many], sizes[many], np.full(many.sum(), COMMON))
-            self.held = [h[~many] for h in self.held]
+            self.common = np.union1d(self.common, self.tokens[many])
+            yield self._shared(self.tokens[many], self.keys[many], np.full(many.sum(), COMMON))
+            self.tokens, self.keys = self.tokens[~many], self.keys[~many]
 
     def _count(self) -> np.ndarray:
         """Sort the held rows, drop repeated ones, and count each row's classes."""
-        tokens, keys, sizes = self.held
-        order = np.lexsort((keys, tokens))
-        tokens, keys, sizes = tokens[order], keys[order], sizes[order]
-        first = np.ones(len(tokens), bool)
-        first[1:] = (tokens[1:] != tokens[:-1]) | (keys[1:] != keys[:-1])
-        self.held = [tokens[first], keys[first], sizes[first]]
-        _, where, counts = np.unique(self.held[0], return_inverse=True, return_counts=True)
-        return counts[where]
+        order = np.lexsort((self.keys, self.tokens))
+        tokens, keys = self.tokens[order], self.keys[order]
+        fresh = np.ones(len(tokens), bool)
+        fresh[1:] = tokens[1:] != tokens[:-1]
+        first = fresh.copy()
+        first[1:] |= keys[1:] != keys[:-1]
+        self.tokens, self.keys = tokens[first], keys[first]
+        starts = np.flatnonzero(fresh[first])
+        counts = np.diff(np.append(starts, len(self.tokens)))
+        return np.repeat(counts, counts)
 
     def rest(self) -> Iterator[pa.RecordBatch]:
         counts = self._count()
         several = counts > 1
         if several.any():
-            yield self._shared(*[h[several] for h in self.held], counts[several])
+            yield self._shared(self.tokens[several], self.keys[several], counts[several])
 
     @staticmethod
-    def _shared(tokens, keys, sizes, counts) -> pa.RecordBatch:
+    def _shared(tokens: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         """One row for each class: its shared shingles, and how many classes have each."""
         order = np.lexsort((tokens, keys))
-        tokens, keys, sizes, counts = tokens[order], keys[order], sizes[order], counts[order]
+        tokens, keys, counts = tokens[order], keys[order], counts[order]
         starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        ends = np.concatenate([starts[1:], [len(keys)]])
+        ends = np.append(starts[1:], len(keys))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(keys[starts]),
-                pa.array(sizes[starts]),
                 pa.array((ends - starts).astype(np.int32)),
                 _binary_rows(tokens.astype("<u8").view(np.uint8), ends * 8),
                 _binary_rows(counts.astype("<u2").view(np.uint8), ends * 2),
             ],
-            ["key", "n", "shared", "tokens", "counts"],
+            ["key", "shared", "tokens", "counts"],
         )
 
 
+def _unpacked(rows: list[tuple[int, bytes, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles (range and 48 bits) and the class key of each."""
+    blob = b"".join(r[3] for r in rows)
+    wide = np.zeros((len(blob) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
+    lengths = np.frombuffer(b"".join(r[2] for r in rows), "<u2").astype(np.int64)
+    keys = np.repeat(np.frombuffer(b"".join(r[1] for r in rows), "<i8"), lengths)
+    top = np.repeat([r[0] for r in rows], [len(r[3]) // 6 for r in rows]).astype(np.uint64) << np.uint64(48)
+    return wide.reshape(-1).view("<u8") | top, keys
+
+
 def shared_shingles(packed: DataFrame) -> DataFrame:
-    """From rows of whole hash ranges: key, n, and what of its shingles others have."""
+    """From rows of whole hash ranges: what of a class's shingles others have, by class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, waiting, size = _Range(), [], 0
-
-        def unpack() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            blob = b"".join(x for b in waiting for x in b.column(3).to_pylist())
-            wide = np.zeros((len(blob) // 6, 8), np.uint8)
-            wide[:, :6] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
-            lengths = np.concatenate([np.diff(_offsets(b.column(3))) // 6 for b in waiting])
-            ranges, keys, sizes = (np.concatenate([b.column(k).to_numpy(zero_copy_only=False) for b in waiting]) for k in (0, 1, 2))
-            top = np.repeat(ranges.astype(np.uint64) << np.uint64(48), lengths)
-            return wide.reshape(-1).view("<u8") | top, np.repeat(keys, lengths), np.repeat(sizes.astype(np.int32), lengths)
-
         for batch in batches:
-            waiting.append(batch)
-            size += batch.column(3).nbytes
-            if size > 6 * RANGE_SHINGLES // 2:
-                yield from state.add(*unpack())
-                waiting, size = [], 0
+            for at in range(0, batch.num_rows, 64):
+                for row in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns), strict=True):
+                    waiting.append(row)
+                    size += len(row[3])
+                    if size > 6 * RANGE_SHINGLES // 2:
+                        yield from state.add(*_unpacked(waiting))
+                        waiting, size = [], 0
         if waiting:
-            yield from state.add(*unpack())
+            yield from state.add(*_unpacked(waiting))
         yield from state.rest()
 
-    return packed.mapInArrow(run, "key bigint, n int, shared int, tokens binary, counts binary")
-
-
-def _offsets(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return packed.mapInArrow(run, "key bigint, shared int, tokens binary, counts binary")
 
 
 def prefix_length(n: int) -> int:
@@ -255,18 +263,17 @@ def prefix_length(n: int) -> int:
     return n - (PERCENT * n + 99) // 100 + 1
 
 
-def near_copies(shared: DataFrame) -> DataFrame:
+def near_copies(shared: DataFrame, sizes: DataFrame) -> DataFrame:
     """Classes that share enough to link at all: key, n, tokens (sorted) and prefix.
+    ``sizes`` has each class's key and its set's size n.
 
     A class's rows, one for each hash range at most, come together; what only this class
     has sorts before all else, so the prefix is cut short by as many.
     """
     by_class = shared.groupBy("key").agg(
-        F.first("n").alias("n"),
-        F.sum("shared").alias("shared"),
-        F.collect_list(F.struct("tokens", "counts")).alias("parts"),
+        F.sum("shared").alias("shared"), F.collect_list(F.struct("tokens", "counts")).alias("parts")
     )
-    enough = by_class.where(100 * F.col("shared") >= PERCENT * F.col("n")).select("key", "n", "parts")
+    enough = by_class.join(sizes, "key").where(100 * F.col("shared") >= PERCENT * F.col("n")).select("key", "n", "parts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -281,13 +288,13 @@ def near_copies(shared: DataFrame) -> DataFrame:
                     rarest = np.lexsort((tokens, counts[first]))[: prefix_length(r["n"]) - (r["n"] - len(tokens))]
                     out.append((r["key"], r["n"], tokens.tobytes(), tokens[rarest].view(np.int64).tolist()))
                 if out:
-                    keys, sizes, sets, prefixes = zip(*out, strict=True)
+                    keys, ns, sets, prefixes = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.array(sets, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
+                        [pa.array(keys, pa.int64()), pa.array(ns, pa.int64()), pa.array(sets, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
                         ["key", "n", "tokens", "prefix"],
                     )
 
-    return enough.mapInArrow(run, "key bigint, n int, tokens binary, prefix array<bigint>")
+    return enough.mapInArrow(run, "key bigint, n bigint, tokens binary, prefix array<bigint>")
 
 
 # --- steps 3 and 4: clusters, and the links in them -----------------------------------------
@@ -303,11 +310,12 @@ def clusters(sets: DataFrame) -> DataFrame:
     return found.select(F.col("node").alias("key"), F.col("root").alias("cluster")).union(roots.select("root", "root"))
 
 
-def _blocks(sets: DataFrame) -> DataFrame:
-    """Rows with ``block``: a cluster's classes dealt out so that no block is too large."""
-    size = sets.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
+def _blocks(members: DataFrame) -> DataFrame:
+    """Rows (key, n, cluster) with ``block``: a cluster's classes dealt out so that no block
+    is too large, and how many ``blocks`` the cluster has."""
+    size = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
     blocks = F.ceil(F.greatest(F.col("sets") / BLOCK_SETS, F.col("shingles") / BLOCK_SHINGLES))
-    dealt = sets.join(size.select("cluster", blocks.alias("blocks")), "cluster")
+    dealt = members.join(size.select("cluster", blocks.alias("blocks")), "cluster")
     return dealt.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
 
 
@@ -351,22 +359,22 @@ def _tree_links(rows: DataFrame, unit: list[str]) -> DataFrame:
     return together.mapInArrow(run, "a bigint, b bigint")
 
 
-def _grouped(sets: DataFrame, linked: DataFrame) -> DataFrame:
+def _grouped(members: DataFrame, linked: DataFrame) -> DataFrame:
     """Rows with ``grp``, the component of the links so far."""
     roots = connected(linked)
-    return sets.drop("grp").join(roots, sets["key"] == roots["node"], "left").select(
-        *[c for c in sets.columns if c != "grp"], F.coalesce("root", "key").alias("grp")
+    return members.join(roots, members["key"] == roots["node"], "left").select(
+        *members.columns, F.coalesce("root", "key").alias("grp")
     )
 
 
-def _across(sets: DataFrame) -> DataFrame:
+def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between blocks of clusters that hold several components.
 
     A component of a block's size or more has blocks of its own, smaller ones share
     blocks, so two blocks of one component are never compared, nor are two whose sizes
     are too far apart.
     """
-    size = sets.groupBy("cluster", "grp").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
+    size = members.groupBy("cluster", "grp").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
     weight = F.greatest(F.col("sets") / BLOCK_SETS, F.col("shingles") / BLOCK_SHINGLES)
     size = size.withColumn("weight", weight)
     small = F.sum(F.when(F.col("weight") < 0.5, F.col("weight"))).alias("small")
@@ -377,7 +385,8 @@ def _across(sets: DataFrame) -> DataFrame:
     node = F.when(F.col("large"), F.struct(F.col("grp").alias("of"), F.pmod(F.xxhash64("key"), F.col("own")).alias("k"))).otherwise(
         F.struct(F.lit(None).cast("bigint").alias("of"), F.pmod(F.xxhash64("grp"), F.col("pools")).alias("k"))
     )
-    placed = store(sets.join(plan, ["cluster", "grp"]).select("cluster", "key", "n", "tokens", "grp", F.to_json(node).alias("node")), "tree_nodes")
+    placed = members.join(plan, ["cluster", "grp"]).select("cluster", "key", "n", "grp", F.to_json(node).alias("node"))
+    placed = store(placed, "tree_nodes")
     nodes = placed.groupBy("cluster", "node").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.min("grp").alias("g0"), F.max("grp").alias("g1")
     )
@@ -393,26 +402,32 @@ def _across(sets: DataFrame) -> DataFrame:
             .otherwise(F.array(F.struct(F.col("left").alias("node"), F.lit(0).alias("side")), F.struct(F.col("right").alias("node"), F.lit(1).alias("side"))))
         ).alias("end"),
     ).select("cluster", "left", "right", "end.node", "end.side")
-    rows = ends.join(placed, ["cluster", "node"])
+    rows = ends.join(placed, ["cluster", "node"]).join(sets.select("key", "tokens"), "key")
     return _tree_links(rows, ["cluster", "left", "right"])
 
 
 def class_links(sets: DataFrame) -> DataFrame:
-    """Links (a, b) that connect all classes whose similarity reaches the threshold."""
-    clustered = sets.drop("prefix").join(clusters(sets), "key").withColumn("grp", F.col("key")).withColumn("side", F.lit(None).cast("int"))
-    dealt = store(_blocks(clustered), "tree_blocks")
-    found = store(_tree_links(dealt, ["cluster", "block"]), "links")
-    large = dealt.where("blocks > 1").drop("block", "blocks")
+    """Links (a, b) that connect all classes whose similarity reaches the threshold.
+
+    Classes are dealt out by key and size alone; their sets join where they are compared.
+    """
+    shingles_of = sets.select("key", "tokens")
+
+    def compared(dealt: DataFrame) -> DataFrame:
+        rows = dealt.select("key", "n", "cluster", "block", F.col("key").alias("grp"), F.lit(None).cast("int").alias("side"))
+        return store(_tree_links(rows.join(shingles_of, "key"), ["cluster", "block"]), "links")
+
+    members = store(_blocks(sets.select("key", "n").join(clusters(sets), "key")), "tree_blocks")
+    found = compared(members)
+    large = members.where("blocks > 1").select("key", "n", "cluster")
     if large.isEmpty():
         return found
     while True:
         grouped = store(_grouped(large, found), "large_clusters")
-        leaders = _blocks(grouped.where("key = grp"))
-        more = store(_tree_links(leaders, ["cluster", "block"]), "links")
+        more = compared(_blocks(grouped.where("key = grp").drop("grp")))
         if more.isEmpty():
-            break
+            return found.union(_across(grouped, shingles_of))
         found = store(found.union(more), "links")
-    return found.union(_across(grouped))
 
 
 # --- step 5 ---------------------------------------------------------------------------------
@@ -424,7 +439,8 @@ def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     bits = min(MAX_RANGE_BITS, max(0, (-(-total // RANGE_SHINGLES) - 1).bit_length()))
     packed = packed_shingles(docs, text, bits).repartitionById(1 << bits, F.col("hash_range"))
-    sets = store(near_copies(shared_shingles(packed)), "near_copies")
+    sizes = rows.where("class_key IS NOT NULL").groupBy(F.col("class_key").alias("key")).agg(F.first("n_shingles").alias("n"))
+    sets = store(near_copies(shared_shingles(packed), sizes), "near_copies")
     roots = connected(store(class_links(sets), "links"))
     classes = rows.where("class_key IS NOT NULL").groupBy("class_key").agg(F.min("doc_id").alias("least"))
     joined = classes.join(roots, classes["class_key"] == roots["node"], "left").select(
