@@ -56,6 +56,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    from earlybell.sources.staging import release
     from workload.catalog import run
     from workload.registry import domain
 
@@ -71,6 +72,7 @@ def main() -> None:
         t0 = time.perf_counter()
         run(name, spark, sf_dir).write.format("noop").mode("overwrite").save()
         timings[name] = round(time.perf_counter() - t0, 3)
+    release(spark)
     spark.stop()
     print(
         json.dumps(

@@ -219,6 +219,24 @@ def price_quality(prices: DataFrame, status: Sequence[str] = R.RETURN_NORMAL_STA
     )
 
 
+def return_findings(prices: DataFrame, status: Sequence[str] = R.RETURN_NORMAL_STATUS) -> DataFrame:
+    """Findings on the prices that returns come from (G25): a key with several valid rows
+    (BM502, blocking) and a return beyond 30 % (BM503)."""
+    previous = F.col("previous_close").try_cast("decimal(20,6)")
+    close = F.col("close_price").try_cast("decimal(20,6)")
+    valid = prices.where(F.trim("trading_status").isin(*status) & (previous > 0) & (close >= 0))
+    per_key = valid.groupBy(*R.KEY, DAY).agg(
+        F.count("*").alias("rows"), F.max(F.abs(close / previous - F.lit(1))).alias("largest")
+    )
+    codes = F.array_compact(
+        F.array(
+            F.when(F.col("rows") > 1, "BM502"),
+            F.when(F.col("largest") > F.lit("0.30").cast("decimal(3,2)"), "BM503"),
+        )
+    )
+    return per_key.select(F.explode(codes).alias("code"), *R.KEY, F.col(DAY).alias("fact_date"))
+
+
 def grade_returns_daily(
     securities: DataFrame, days: DataFrame, window: tuple, history: DataFrame, returns: DataFrame, brokers: Sequence[str]
 ) -> DataFrame:

@@ -39,9 +39,21 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/earlybell-{uuid.uuid4().hex}/{name}"
 
 
+def release(spark: SparkSession) -> None:
+    """Delete what this session has stored; call it when no stored table is read any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for folder in _STORED.pop(spark.sparkContext.applicationId, []):
+        path = hadoop.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_STORED: dict[str, list[str]] = {}
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write a table to a fresh path in the shared folder and read it back."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    _STORED.setdefault(spark.sparkContext.applicationId, []).append(path.rsplit("/", 1)[0])
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -257,6 +257,16 @@ def g7(d: Domain):
     return dbl(metrics.grade_event_summary(d.stored_assessments, "B03"))
 
 
+@query(
+    "g7_grade_event_detail",
+    f"SELECT event_key, upper(trim(coalesce(raw, ''))) AS raw_classification, {GRADE.format(r='raw', s='sel_d')} AS grade, is_hit, wdays AS warning_days FROM assess WHERE broker_id = 'B03'",
+)
+def g7_detail(d: Domain):
+    return metrics.grade_event_detail(d.stored_assessments, "B03").select(
+        "event_key", "raw_classification", "grade", "is_hit", F.col("warning_trading_days").alias("warning_days")
+    )
+
+
 @query(
     "g25_assessment_findings",
     """SELECT reason_code AS code, 'WARNING' AS severity, ident || '/' || wstatus AS message, broker_id, market_code, security_code, first_fact_date AS fact_date

@@ -461,9 +461,24 @@ def q13(d: Domain):
 @query(
     "g13_return_price_quality",
     PRICES_SQL
-    + """ SELECT count(*) AS source_row_count, count(*) AS normal_row_count, count(previous_close) AS valid_return_row_count,
-      count(*) - count(previous_close) AS invalid_price_row_count, 0::BIGINT AS duplicate_row_count,
-      count(*) FILTER (WHERE abs(close_price - previous_close) > 0.3 * previous_close) AS extreme_return_count FROM prices""",
+    + """, p AS (SELECT *, CASE WHEN day(d) % 5 = 0 THEN 2 ELSE 1 END AS k, previous_close > 0 AND close_price >= 0 AS valid FROM prices)
+    SELECT sum(k)::BIGINT AS source_row_count, sum(k)::BIGINT AS normal_row_count, count(*) FILTER (WHERE valid) AS valid_return_row_count,
+      coalesce(sum(k) FILTER (WHERE valid IS NOT TRUE), 0)::BIGINT AS invalid_price_row_count, coalesce(sum(k - 1) FILTER (WHERE valid), 0)::BIGINT AS duplicate_row_count,
+      count(*) FILTER (WHERE valid AND abs(close_price - previous_close) > 0.3 * previous_close) AS extreme_return_count FROM p""",
 )
 def g13(d: Domain):
-    return grades.price_quality(session_prices(d).withColumn("trading_status", F.lit("TRADED")))
+    """Session prices, those of every fifth calendar day twice."""
+    prices = session_prices(d).withColumn("trading_status", F.lit("TRADED"))
+    return grades.price_quality(prices.unionByName(prices.where(F.day(DAY) % 5 == 0)))
+
+
+@query(
+    "g25_return_findings",
+    PRICES_SQL
+    + """, p AS (SELECT *, day(d) % 5 = 0 AS twice, previous_close > 0 AND close_price >= 0 AS valid FROM prices)
+    SELECT 'BM502' AS code, market_code, security_code, d AS fact_date FROM p WHERE valid AND twice
+    UNION ALL SELECT 'BM503', market_code, security_code, d FROM p WHERE valid AND abs(close_price - previous_close) > 0.3 * previous_close""",
+)
+def g25_returns(d: Domain):
+    prices = session_prices(d).withColumn("trading_status", F.lit("TRADED"))
+    return grades.return_findings(prices.unionByName(prices.where(F.day(DAY) % 5 == 0)))
