@@ -16,6 +16,7 @@ from earlybell import rules as R
 from earlybell.functions import scalars as S
 from earlybell.operators.compare import symmetric_difference
 from earlybell.operators.panel import DAY, expected_days, stack_by_day
+from earlybell.sources.staging import store
 
 
 def issue_key(*cols: str) -> Column:
@@ -449,20 +450,21 @@ def discover_universe(instruments: DataFrame, start: date, end: date) -> DataFra
     )
 
 
-def shard_universe(universe: DataFrame, size: int, prefix: int = 4) -> DataFrame:
+def shard_universe(universe: DataFrame, size: int) -> DataFrame:
     """Fixed-size shards in code order per market.
 
-    The position in a market is the position within a code-prefix range plus the
-    sizes of the ranges before it, so no task orders a whole market.
+    Rows are dealt into ranges of market and code whose bounds come from the data; the
+    position in a market is the position within a range plus the sizes of the market's
+    earlier ranges, so no task orders more than a range. The ranges are stored, as both
+    the sizes and the positions read them.
     """
     # longer codes sort after shorter ones, as numbers do
-    rows = universe.withColumn(
-        "_b", F.concat(F.lpad(F.length("security_code").cast("string"), 3, "0"), F.substring("security_code", 1, prefix))
-    )
+    ranged = universe.repartitionByRange("market_code", F.length("security_code"), "security_code")
+    rows = store(ranged.withColumn("_b", F.spark_partition_id()), "universe_ranges")
     sizes = rows.groupBy("market_code", "_b").agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy("market_code").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
-    inside = Window.partitionBy("market_code", "_b").orderBy("security_code")
+    inside = Window.partitionBy("market_code", "_b").orderBy(F.length("security_code"), "security_code")
     position = F.row_number().over(inside) + F.col("_offset")
     return (
         rows.join(offsets, ["market_code", "_b"])

@@ -66,23 +66,28 @@ def s2(d: Domain):
     "SELECT biz_date, stk_code FROM wide",
 )
 def s3(d: Domain):
-    """Files with two lines of preamble before the header, written by their own tasks."""
+    """Files with two lines of preamble before the header; a day is dealt out to four files."""
     path = new_path(d.spark, "preamble")
-    body = d.wide.select(F.concat_ws(",", F.col("B01"), F.col("biz_date").cast("string"), "stk_code").alias("line"), "biz_date")
-    lead = d.wide.select("biz_date").distinct().select(
-        F.explode(F.array(F.lit("exported history"), F.lit("2024-01-01,000000.SH"), F.lit("biz_date,stk_code,grade"))).alias("line"), "biz_date"
+    body = d.wide.select(
+        "biz_date",
+        F.pmod(F.xxhash64("stk_code"), F.lit(4)).alias("part"),
+        F.concat_ws(",", F.col("biz_date").cast("string"), "stk_code", F.lit("x")).alias("line"),
+        F.lit(3).alias("rank"),
+    )
+    first = ("exported history", "2024-01-01,000000.SH", "biz_date,stk_code,grade")
+    lead = body.select("biz_date", "part").distinct().select(
+        "biz_date", "part", F.posexplode(F.array(*[F.lit(x) for x in first])).alias("rank", "line")
     )
-    ordered = lead.unionByName(
-        body.select(F.concat_ws(",", F.col("biz_date").cast("string"), F.element_at(F.split("line", ","), 3), F.lit("x")).alias("line"), "biz_date")
-    ).withColumn("rank", F.when(F.col("line").startswith("exported"), 0).when(F.col("line") == "2024-01-01,000000.SH", 1).when(F.col("line").startswith("biz_date"), 2).otherwise(3))
     (
-        ordered.repartition("biz_date")
-        .sortWithinPartitions("biz_date", "rank")
-        .select(F.col("line").alias("value"), F.col("biz_date").cast("string").alias("day"))
-        .write.partitionBy("day")
+        lead.select("biz_date", "part", "line", "rank")
+        .unionByName(body)
+        .repartition("biz_date", "part")
+        .sortWithinPartitions("biz_date", "part", "rank")
+        .select(F.col("line").alias("value"), F.col("biz_date").cast("string").alias("day"), "part")
+        .write.partitionBy("day", "part")
         .text(path)
     )
-    return readers.read_preamble_csv(d.spark, f"{path}/*/").drop("file_path")
+    return readers.read_preamble_csv(d.spark, f"{path}/*/*/").drop("file_path")
 
 
 @query(
