@@ -8,7 +8,7 @@ beginnings, and its neighbours; it is
 fitted by gradient steps on the exact likelihood from the forward-backward pass. In
 every text, forward-backward marginals of chains (lines, cut after CHAIN words) give
 each word's probability; spans are runs of words above one half, and a logistic on the
-expected and the largest toxic mass, fitted on documents put aside, is the score.
+summed and the largest toxic mass, fitted on documents put aside, is the score.
 
 Training reads a bounded sample: at most ``per_class`` rows of each label, found by a
 hash of the id, of texts up to ``max_chars``. Scoring reads every text whole.
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from earlybell.llm.common import annotate, texts, unit_hash
+from earlybell.llm.common import annotate, mix, texts, unit_hash
 
 CHAIN = 64
 BUCKETS = 1 << 16
@@ -47,8 +47,9 @@ SPAN = StructType(
     [StructField("start", LongType(), False), StructField("end", LongType(), False), StructField("probability", DoubleType(), False)]
 )
 FIELDS = [StructField("score", DoubleType()), StructField("toxic_spans", ArrayType(SPAN, False))]
-# ASCII that belongs to a word; in lower case everything beyond ASCII does, too.
+# ASCII digits and letters belong to words, as does everything beyond ASCII; lines stay.
 _SEPARATOR = {c: " " for c in range(128) if not chr(c).isalnum() and chr(c) != "\n"}
+_SEPARATED = bytes(32 if b in _SEPARATOR else b for b in range(256))
 
 
 @dataclass(frozen=True)
@@ -61,7 +62,9 @@ class Settings:
     others: int = 6
     steps: int = 80
     rate: float = 0.5
-    penalty: float = 1e-4
+    #: weight decay of words and their parts, and of what words say of their neighbours
+    penalty: float = 0.2
+    neighbour_penalty: float = 5.0
     seed: int = 7
 
 
@@ -70,37 +73,68 @@ class Field:
     """Weights of the tag "toxic" against the other one, and of tag changes."""
 
     word: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS))
-    trigram: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS))
+    part: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS))
     before: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS))
     after: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS))
     bias: float = -3.0
     #: moves[a, b]: from tag a to tag b
     moves: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
-    #: logistic on (1, log of expected toxic words, largest marginal)
+    #: logistic on what ``summary`` gives
     logistic: np.ndarray = field(default_factory=lambda: np.zeros(3))
 
 
-def lines_of_words(text: str) -> Iterator[list[str]]:
+def lines_of_words(text: str) -> Iterator[list[bytes]]:
     """Words in lower case, line by line, in chains of at most CHAIN words."""
-    for line in text.lower().translate(_SEPARATOR).split("\n"):
-        words = line.split(" ")
-        words = [w for w in words if w]
+    for line in text.lower().encode("utf-8", "replace").translate(_SEPARATED).split(b"\n"):
+        words = line.split()
         for at in range(0, len(words), CHAIN):
             yield words[at : at + CHAIN]
 
 
-def bucket(s: str) -> int:
-    return zlib.crc32(s.encode("utf-8", "replace")) & (BUCKETS - 1)
+def beginnings(word: bytes) -> list[bytes]:
+    return [word[:n] + b"~" for n in STEMS if n < len(word)]
 
 
-def features(word: str) -> tuple[int, list[int]]:
-    framed = f"^{word}$"
-    trigrams = [framed[i : i + 3] for i in range(len(framed) - 2)]
-    return bucket(word), [bucket("3" + x) for x in [*trigrams, *beginnings(word)]]
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def beginnings(word: str) -> list[str]:
-    return [f"{word[:n]}~" for n in STEMS if n < len(word)]
+def _powers(n: int) -> list[np.ndarray]:
+    """The base's powers and their inverses modulo 2^64, n of each at least."""
+    if len(_POWERS[0]) < n:
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            factors = np.full(n, base, np.uint64)
+            factors[0] = 1
+            _POWERS[k] = np.multiply.accumulate(factors)
+    return _POWERS
+
+
+def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of words; those of their parts (trigrams of ^word$ and beginnings), with each part's word.
+
+    Every hash is the difference of two prefix sums, so all words are hashed at once.
+    """
+    text = b"".join(b"^" + w + b"$" for w in words)
+    power, inverse = _powers(len(text) + 1)
+    letters = np.frombuffer(text, np.uint8).astype(np.uint64) + np.uint64(1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(letters * power[: len(letters)])])
+
+    def hashed(start: np.ndarray, end: np.ndarray, salt: int) -> np.ndarray:
+        h = (sums[end] - sums[start]) * inverse[start] + np.uint64(salt)
+        return (mix(h) & np.uint64(BUCKETS - 1)).astype(np.int64)
+
+    sizes = np.asarray([len(w) for w in words], np.int64) + 2
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    at = np.arange(len(text))
+    owner = np.repeat(np.arange(len(words)), sizes)
+    inner = at + 3 <= ends[owner]
+    parts, owners = [hashed(at[inner], at[inner] + 3, 3)], [owner[inner]]
+    for n in STEMS:
+        long = np.flatnonzero(sizes - 2 > n)
+        parts.append(hashed(starts[long], starts[long] + 1 + n, 7))
+        owners.append(long)
+    return hashed(starts, ends, 1), np.concatenate(parts), np.concatenate(owners)
 
 
 class Words:
@@ -111,22 +145,23 @@ class Words:
         self.reset()
 
     def reset(self) -> None:
-        self.number: dict[str, int] = {}
-        self.rows: list[tuple[float, float, float]] = []
+        self.number: dict[bytes, int] = {}
+        self.scores = np.zeros((0, 3))
 
-    def ids(self, words: list[str]) -> list[int]:
+    def ids(self, words: list[bytes]) -> np.ndarray:
         number = self.number
-        try:
-            return [number[w] for w in words]
-        except KeyError:
-            m = self.model
-            for w in words:
-                if w not in number:
-                    number[w] = len(number)
-                    h, tri = features(w)
-                    own = m.word[h] + m.trigram[tri].mean() if tri else m.word[h]
-                    self.rows.append((own, m.before[h], m.after[h]))
-            return [number[w] for w in words]
+        fresh = list(dict.fromkeys(w for w in words if w not in number))
+        if fresh:
+            number.update(zip(fresh, range(len(number), len(number) + len(fresh)), strict=True))
+            self.scores = np.concatenate([self.scores, word_scores(self.model, fresh)])
+        return np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+
+
+def word_scores(model: Field, words: list[bytes]) -> np.ndarray:
+    """Each word's own score, and what it says of its successor and its predecessor."""
+    whole, parts, owner = features(words)
+    share = np.bincount(owner, model.part[parts], len(words)) / np.bincount(owner, minlength=len(words))
+    return np.stack([model.word[whole] + share, model.before[whole], model.after[whole]], axis=1)
 
 
 def marginals(scores: np.ndarray, sizes: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
@@ -159,6 +194,31 @@ def marginals(scores: np.ndarray, sizes: np.ndarray, moves: np.ndarray) -> tuple
     return out, pairs, float(np.log(scale).sum())
 
 
+def posteriors(scores: np.ndarray, sizes: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """The marginals alone, by ratios of the two tags' messages; chains ascend by size.
+
+    ``scores`` has a row per position. At each position only the chains that reach it are
+    worked on: the last ones.
+    """
+    (m00, m01), (m10, m11) = np.exp(moves)
+    emit = np.exp(np.clip(scores, -30, 30))
+    width = len(scores)
+    first = np.searchsorted(sizes, np.arange(width), side="right")  # chains before it end earlier
+    ahead = emit  # becomes the forward ratios, in place
+    for t in range(1, width):
+        r = ahead[t - 1, first[t] :]
+        ahead[t, first[t] :] *= (m01 + r * m11) / (m00 + r * m10)
+    out = np.zeros_like(scores)
+    raw = np.exp(np.clip(scores, -30, 30))
+    back = np.ones(scores.shape[1])
+    for t in range(width - 1, -1, -1):
+        odds = ahead[t, first[t] :] * back[first[t] :]
+        out[t, first[t] :] = odds / (1 + odds)
+        x = raw[t, first[t] :] * back[first[t] :]
+        back[first[t] :] = (m10 + m11 * x) / (m00 + m01 * x)
+    return out
+
+
 def _padded(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     out = np.zeros((len(sizes), int(sizes.max())))
     out[np.arange(out.shape[1])[None] < sizes[:, None]] = flat
@@ -206,13 +266,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings, text:
     return sorted((r[0], int(r[1])) for r in rows.collect()), sizes.get(1, 0) / total
 
 
-def _without_copies(rows: list[tuple[str, int]]) -> list[tuple[list[list[str]], int]]:
+def _without_copies(rows: list[tuple[str, int]]) -> list[tuple[list[list[bytes]], int]]:
     """Tokenised rows; of those sharing their least hash of four words under any of four salts, one."""
     seen: set[tuple[int, int]] = set()
     out = []
     for text, label in rows:
         chains = list(lines_of_words(text))
-        runs = [zlib.crc32(" ".join(c[i : i + 4]).encode("utf-8", "replace")) for c in chains for i in range(len(c) - 3)]
+        runs = [zlib.crc32(b" ".join(c[i : i + 4])) for c in chains for i in range(len(c) - 3)]
         if runs:
             h = np.asarray(runs, np.uint64)
             least = {(k, int(((h * np.uint64(s)) & np.uint64(0xFFFFFFFF)).min())) for k, s in enumerate((1, 2654435761, 40503, 97531))}
@@ -223,7 +283,7 @@ def _without_copies(rows: list[tuple[str, int]]) -> list[tuple[list[list[str]],
     return out
 
 
-def toxic_words(rows: list[tuple[list[list[str]], int]], significance: float) -> set[str]:
+def toxic_words(rows: list[tuple[list[list[bytes]], int]], significance: float) -> set[bytes]:
     """Words and beginnings (with ~) significantly more frequent in toxic documents, by document counts."""
     n = Counter(label for _, label in rows)
     hits: dict[int, Counter] = {0: Counter(), 1: Counter()}
@@ -246,7 +306,7 @@ def toxic_words(rows: list[tuple[list[list[str]], int]], significance: float) ->
     return out
 
 
-def is_marked(word: str, marked: set[str]) -> bool:
+def is_marked(word: bytes, marked: set[bytes]) -> bool:
     return word in marked or not marked.isdisjoint(beginnings(word))
 
 
@@ -268,17 +328,15 @@ def train(rows: list[tuple[str, int]], share: float, settings: Settings = Settin
     return model
 
 
-def _fit_field(model: Field, chains: list[tuple[list[str], bool]], marked: set[str], settings: Settings) -> None:
+def _fit_field(model: Field, chains: list[tuple[list[bytes], bool]], marked: set[bytes], settings: Settings) -> None:
     """Gradient steps with a running scale per weight, on the exact log-likelihood of chains,
     each with the mark of its document."""
     vocabulary = sorted({w for c, _ in chains for w in c})
     if not vocabulary:
         return
     number = {w: k for k, w in enumerate(vocabulary)}
-    hashes, trigrams = zip(*(features(w) for w in vocabulary), strict=True)
-    hashes = np.asarray(hashes)
-    tri, tri_n = np.concatenate([np.asarray(t, np.int64) for t in trigrams]), np.asarray([len(t) for t in trigrams])
-    owner = np.repeat(np.arange(len(vocabulary)), tri_n)
+    hashes, parts, owner = features(vocabulary)
+    n_parts = np.bincount(owner, minlength=len(vocabulary))
     words = np.asarray([number[w] for c, _ in chains for w in c])
     tags = np.asarray([float(toxic and is_marked(w, marked)) for c, toxic in chains for w in c])
     sizes = np.asarray([len(c) for c, _ in chains])
@@ -289,7 +347,8 @@ def _fit_field(model: Field, chains: list[tuple[list[str], bool]], marked: set[s
     squares: dict[str, np.ndarray | float] = {}
 
     def step(name: str, value, gradient):
-        gradient = gradient - settings.penalty * value * len(chains) / 10
+        decay = settings.neighbour_penalty if name in ("before", "after") else settings.penalty
+        gradient = gradient - decay * value
         squares[name] = squares.get(name, 0) + gradient**2
         return value + settings.rate * gradient / np.sqrt(squares[name] + 1e-8)
 
@@ -297,7 +356,7 @@ def _fit_field(model: Field, chains: list[tuple[list[str], bool]], marked: set[s
         return np.bincount(at, values, BUCKETS)
 
     for _ in range(settings.steps):
-        own = model.word[hashes] + np.bincount(owner, model.trigram[tri], len(vocabulary)) / np.maximum(tri_n, 1)
+        own = model.word[hashes] + np.bincount(owner, model.part[parts], len(vocabulary)) / n_parts
         scores = chain_scores(own[words], model.before[hashes][words], model.after[hashes][words], sizes, model.bias)
         got, pairs, _ = marginals(_padded(scores, sizes), sizes, model.moves)
         rest = tags - got[np.arange(got.shape[1])[None] < sizes[:, None]]
@@ -306,14 +365,14 @@ def _fit_field(model: Field, chains: list[tuple[list[str], bool]], marked: set[s
         follows = after >= 0
         as_after = np.bincount(words[after[follows]], rest[follows], len(vocabulary))
         model.word = step("word", model.word, per_bucket(by_word, hashes))
-        model.trigram = step("trigram", model.trigram, per_bucket((by_word / np.maximum(tri_n, 1))[owner], tri))
+        model.part = step("part", model.part, per_bucket((by_word / n_parts)[owner], parts))
         model.before = step("before", model.before, per_bucket(as_before, hashes))
         model.after = step("after", model.after, per_bucket(as_after, hashes))
         model.bias = float(step("bias", model.bias, rest.sum()))
         model.moves = step("moves", model.moves, observed - pairs)
 
 
-def _mass(model: Field, docs: list[list[list[str]]]) -> list[np.ndarray]:
+def _mass(model: Field, docs: list[list[list[bytes]]]) -> list[np.ndarray]:
     """Marginals of each document's words."""
     table = Words(model)
     chains = [c for d in docs for c in d]
@@ -322,33 +381,36 @@ def _mass(model: Field, docs: list[list[list[str]]]) -> list[np.ndarray]:
     return np.split(flat, np.cumsum(counts)[:-1]) if docs else []
 
 
-def _marginals_of(model: Field, table: Words, chains: list[list[str]]) -> np.ndarray:
+def _marginals_of(model: Field, table: Words, chains: list[list[bytes]]) -> np.ndarray:
     """Marginals of all words of chains, in order."""
     if len(table.number) > CACHE_WORDS:
         table.reset()
     if not chains:
         return np.zeros(0)
-    ids = np.asarray([i for c in chains for i in table.ids(c)], np.int64)
-    scored = np.asarray(table.rows)
+    ids = table.ids([w for c in chains for w in c])
     sizes = np.asarray([len(c) for c in chains])
-    own, left, right = scored[ids].T
+    own, left, right = table.scores[ids].T
     scores = chain_scores(own, left, right, sizes, model.bias)
     out = np.empty(len(ids))
     starts = np.cumsum(sizes) - sizes
-    order = np.argsort(sizes, kind="stable")  # chains of like length together: little padding
-    for at in range(0, len(order), 2048):
-        rows = order[at : at + 2048]
+    order = np.argsort(sizes, kind="stable")  # chains of like length together
+    for at in range(0, len(order), 4096):
+        rows = order[at : at + 4096]
         n = sizes[rows]
-        inside = np.arange(int(n.max()))[None] < n[:, None]
-        where = (starts[rows][:, None] + np.arange(int(n.max()))[None])[inside]
-        got, _, _ = marginals(_padded(scores[where], n), n, model.moves)
-        out[where] = got[inside]
+        place = np.arange(int(n[-1]))[:, None]
+        inside = place < n
+        where = np.where(inside, starts[rows] + place, 0)
+        got = posteriors(np.where(inside, scores[where], 0.0), n, model.moves)
+        out[where[inside]] = got[inside]
     return out
 
 
 def summary(mass: np.ndarray) -> tuple[float, float, float]:
-    """What the logistic sees of a document: 1, log of the expected toxic words, largest marginal."""
-    return (1.0, math.log1p(float(mass.sum())), float(mass.max())) if len(mass) else (1.0, 0.0, 0.0)
+    """What the logistic sees of a document: 1, log of the mass of words above one half, largest
+    marginal. Small marginals stay out, or any text would turn toxic with its length."""
+    if not len(mass):
+        return 1.0, 0.0, 0.0
+    return 1.0, math.log1p(float(mass[mass > 0.5].sum())), float(mass.max())
 
 
 def _fit_logistic(model: Field, docs, share: float) -> None:
@@ -411,7 +473,7 @@ def _compute(column: pa.Array, model: Field, key: str) -> list[list]:
         _TABLES.clear()
         table = _TABLES[key] = Words(model)
     scores, spans = [], []
-    held: list[tuple[str, list[list[str]]]] = []
+    held: list[tuple[str, list[list[bytes]]]] = []
 
     def flush() -> None:
         flat = _marginals_of(model, table, [c for _, chains in held for c in chains])
