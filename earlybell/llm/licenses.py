@@ -123,10 +123,8 @@ def matched(found: DataFrame) -> DataFrame:
     of_notice, of_template = _terms(distinct, "key"), _terms(models, "template")
     counted = of_notice.join(distinct.select("key", "files"), "key").select("term", F.col("files").alias("n"))
     frequency = counted.union(of_template.select("term", F.lit(1).cast("long"))).groupBy("term").agg(F.sum("n").alias("df"))
-    total = distinct.agg((F.coalesce(F.sum("files"), F.lit(0)) + len(TEMPLATES)).alias("total"))
-    idf = frequency.crossJoin(F.broadcast(total)).select(  # one row
-        "term", (F.log((1 + F.col("total")) / (1 + F.col("df"))) + 1).alias("idf")
-    )
+    total = len(TEMPLATES) + (distinct.agg(F.sum("files")).first()[0] or 0)
+    idf = frequency.select("term", (F.log(F.lit(1 + total) / (1 + F.col("df"))) + 1).alias("idf"))
     idf = store(idf, "license_terms")
     w_notice = of_notice.join(idf, "term").select("key", "term", (F.col("tf") * F.col("idf")).alias("w"))
     w_template = of_template.join(idf, "term").select("template", "term", (F.col("tf") * F.col("idf")).alias("v"))

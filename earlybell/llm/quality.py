@@ -177,14 +177,11 @@ def fences(sketch: DataFrame, rules: Rules) -> DataFrame:
     )
     own = wide.where("g.level = 2").select("g.lang", "g.source", F.col("total").alias("n2"), F.col("f").alias("f2"))
     of_lang = wide.where("g.level = 1").select(F.col("g.lang").alias("lang1"), F.col("total").alias("n1"), F.col("f").alias("f1"))
-    of_all = wide.where("g.level = 0").select(F.lit(1).alias("one"), F.col("f").alias("f0"))
-    joined = (
-        own.withColumn("one", F.lit(1))
-        .join(of_lang, F.col("lang").eqNullSafe(F.col("lang1")), "left")
-        .join(of_all, "one", "left")
-    )
+    of_all = wide.where("g.level = 0").select("f.*").first()  # one row of a few numbers
+    overall = F.struct(*[F.lit(of_all[s] if of_all else None).cast("bigint").alias(s) for s in rules.shares])
+    joined = own.join(of_lang, F.col("lang").eqNullSafe(F.col("lang1")), "left")
     enough = rules.min_rows
-    chosen = F.when(F.col("n2") >= enough, F.col("f2")).when(F.col("n1") >= enough, F.col("f1")).otherwise(F.col("f0"))
+    chosen = F.when(F.col("n2") >= enough, F.col("f2")).when(F.col("n1") >= enough, F.col("f1")).otherwise(overall)
     return joined.select(
         F.col("lang").alias("fence_lang"), F.col("source").alias("fence_source"), chosen.alias("fence")
     )
@@ -208,7 +205,8 @@ def judge(
     needed = list(dict.fromkeys([*carried, lang, source]))
     own = docs.select(*[F.col(f"`{c}`") for c in needed], F.col(f"`{text}`").alias("_text"))
     counted = store(counts(own, "_text").drop("_text"), "quality_counts")
-    fence = store(fences(sketches(counted, rules, lang, source), rules), "quality_fences")
+    sketch = store(sketches(counted, rules, lang, source), "quality_sketches")
+    fence = store(fences(sketch, rules), "quality_fences")
     match = F.col(f"`{lang}`").eqNullSafe(F.col("fence_lang")) & F.col(f"`{source}`").eqNullSafe(F.col("fence_source"))
     joined = counted.join(fence, match, "left")
     inside = F.lit(True)
