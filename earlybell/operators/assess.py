@@ -21,14 +21,16 @@ EVENT_FIELDS = ("event_type", "first_fact_date", "risk_date")
 
 
 # --- history shapes ---------------------------------------------------------
-def wide_to_cells(wide: DataFrame, brokers: Sequence[str], *, day: str = "biz_date", code: str = "stk_code") -> DataFrame:
+def wide_to_cells(
+    wide: DataFrame, brokers: Sequence[str], *, day: str = "biz_date", code: str = "stk_code", digits: str = R.CODE_DIGITS
+) -> DataFrame:
     """Wide history to cells: weekend rows dropped, codes canonical, blanks kept as ''."""
     cells = F.array(*[F.coalesce(F.trim(F.col(f"`{b}`").cast("string")), F.lit("")) for b in brokers])
     return (
         wide.where(~S.is_weekend(day))
         .select(
-            S.security_market(code).alias("market_code"),
-            S.canonical_security(code).alias("security_code"),
+            S.security_market(code, digits).alias("market_code"),
+            S.canonical_security(code, digits).alias("security_code"),
             F.col(day).alias("classification_date"),
             cells.alias("grades"),
         )
@@ -36,10 +38,10 @@ def wide_to_cells(wide: DataFrame, brokers: Sequence[str], *, day: str = "biz_da
     )
 
 
-def uncanonical_codes(wide: DataFrame, *, code: str = "stk_code") -> DataFrame:
+def uncanonical_codes(wide: DataFrame, *, code: str = "stk_code", digits: str = R.CODE_DIGITS) -> DataFrame:
     """Codes without a canonical form, with their rows: what ``wide_to_cells`` leaves out."""
     return (
-        wide.where(S.security_market(code).isNull())
+        wide.where(S.security_market(code, digits).isNull())
         .groupBy(F.coalesce(F.col(code).cast("string"), F.lit("")).alias("stk_code"))
         .agg(F.count("*").alias("affected_rows"))
     )
@@ -57,14 +59,20 @@ def version_conflicts(cells: DataFrame) -> DataFrame:
 
 
 def wide_to_long(
-    wide: DataFrame, brokers: Sequence[str], index: DataFrame, *, day: str = "biz_date", code: str = "stk_code"
+    wide: DataFrame,
+    brokers: Sequence[str],
+    index: DataFrame,
+    *,
+    day: str = "biz_date",
+    code: str = "stk_code",
+    digits: str = R.CODE_DIGITS,
 ) -> DataFrame:
     """Wide history to one record per broker with its first usable session."""
     long = (
         wide.where(~S.is_weekend(day))
         .select(
-            S.security_market(code).alias("market_code"),
-            S.canonical_security(code).alias("security_code"),
+            S.security_market(code, digits).alias("market_code"),
+            S.canonical_security(code, digits).alias("security_code"),
             F.col(day).alias("classification_date"),
             *[F.coalesce(F.trim(F.col(f"`{b}`").cast("string")), F.lit("")).alias(b) for b in brokers],
         )

@@ -36,7 +36,9 @@ REQUIRED = {
 }
 
 
-def business_universe(primary: DataFrame, supplemental: DataFrame | None, end: date) -> DataFrame:
+def business_universe(
+    primary: DataFrame, supplemental: DataFrame | None, end: date, digits: str = R.CODE_DIGITS
+) -> DataFrame:
     """Distinct (classification_date, security) of all source files up to a date."""
     files = primary.select("biz_date", "stk_code")
     if supplemental is not None:
@@ -45,8 +47,8 @@ def business_universe(primary: DataFrame, supplemental: DataFrame | None, end: d
         files.where(F.col("biz_date") <= F.lit(end))
         .select(
             F.col("biz_date").alias("classification_date"),
-            S.security_market("stk_code").alias("market_code"),
-            S.canonical_security("stk_code").alias("security_code"),
+            S.security_market("stk_code", digits).alias("market_code"),
+            S.canonical_security("stk_code", digits).alias("security_code"),
         )
         .distinct()
     )

@@ -18,7 +18,6 @@ from earlybell.functions import scalars as S
 from earlybell.operators.panel import DAY, day_arrays, expected_days
 
 CODE_PATTERN = rf"^{R.CODE_DIGITS}(\.(XSHG|XSHE|XBSE))?$"
-BUSINESS_CODE = rf"^{R.CODE_DIGITS}\.(SZ|SH|BJ)$"
 FINDING = "table_name string, code string, severity string, field string, affected_rows bigint"
 BLOCKING = "严重"
 NOTICE = "一般"
@@ -357,10 +356,11 @@ def wide_quality(
     code: str = "stk_code",
     suffixes: Sequence[str] = ("SZ", "SH"),
     minimum_filled: int = 3,
+    digits: str = R.CODE_DIGITS,
 ) -> DataFrame:
     """Weekend rows, code format, market scope and fill density of a wide history (Q11)."""
     text = F.upper(F.trim(F.col(code)))
-    good = F.coalesce(text.rlike(BUSINESS_CODE), F.lit(False))
+    good = F.coalesce(text.rlike(rf"^{digits}\.(SZ|SH|BJ)$"), F.lit(False))
     inside = F.regexp_extract(text, r"\.([A-Z]+)$", 1).isin(*suffixes)
     weekend = S.is_weekend(day)
     filled = sum((F.when(~_blank(b), 1).otherwise(0) for b in brokers), F.lit(0))

@@ -45,11 +45,12 @@ class EvaluationRun:
         *,
         rule_version: str = "v6",
         batch_id: str,
+        code_digits: str = R.CODE_DIGITS,
     ) -> None:
         self.inputs, self.brokers, self.mapping = inputs, tuple(brokers), mapping
         self.window = (start, end)
-        self.rule_version, self.batch_id = rule_version, batch_id
-        self.cells = assess.wide_to_cells(inputs.history, self.brokers)
+        self.rule_version, self.batch_id, self.code_digits = rule_version, batch_id, code_digits
+        self.cells = assess.wide_to_cells(inputs.history, self.brokers, digits=code_digits)
         self.index = calendar.calendar_index(inputs.days)
 
     def history_findings(self) -> DataFrame:
@@ -59,7 +60,7 @@ class EvaluationRun:
     def record_findings(self) -> DataFrame:
         """History rows that the cells can't take as they are: codes without a canonical form,
         and security-days with records that differ (BM304). A run refuses while there are any."""
-        codes = assess.uncanonical_codes(self.inputs.history).select(
+        codes = assess.uncanonical_codes(self.inputs.history, digits=self.code_digits).select(
             F.lit("SECURITY_CODE_INVALID").alias("code"), F.lit(None).cast("string").alias("market_code"),
             F.col("stk_code").alias("security_code"), F.lit(None).cast("date").alias("fact_date"), "affected_rows",
         )

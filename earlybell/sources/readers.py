@@ -210,7 +210,7 @@ def calendar_covers(days: DataFrame, start: date, end: date) -> DataFrame:
     )
 
 
-def standard_lifecycle(raw: DataFrame) -> DataFrame:
+def standard_lifecycle(raw: DataFrame, digits: str = R.CODE_DIGITS) -> DataFrame:
     """Lifecycle of the two accepted layouts, conflicting duplicates flagged."""
     cols = set(raw.columns)
     if {"order_book_id", "listed_date_norm", "de_listed_date_norm"} <= cols:
@@ -220,7 +220,7 @@ def standard_lifecycle(raw: DataFrame) -> DataFrame:
     else:
         raise ValueError("BM204_LIFECYCLE_EVIDENCE_MISSING: schema")
     rows = raw.where(F.col(code).rlike(r"\.(XSHG|XSHE)$")).select(
-        S.security_market(code).alias("market_code"),
+        S.security_market(code, digits).alias("market_code"),
         F.trim(F.col(code)).alias("security_code"),
         F.struct(S.convert(listed, "date").alias("l"), S.convert(delisted, "date").alias("d")).alias("life"),
     )
@@ -307,10 +307,10 @@ def long_boolean(wide: DataFrame, value: str, day: str = "date") -> DataFrame:
     return wide.unpivot([day], securities, "order_book_id", value).where(F.col(value).isNotNull())
 
 
-def st_matrix(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def st_matrix(raw: DataFrame, digits: str = R.CODE_DIGITS) -> tuple[DataFrame, DataFrame]:
     """ST rows of the matrix layout and its rectangularity findings."""
     rows = raw.select(
-        S.security_market("security_code").alias("market_code"),
+        S.security_market("security_code", digits).alias("market_code"),
         "security_code",
         S.convert(DAY, "date").alias(DAY),
         S.parse_bool("is_st").alias("is_st"),

@@ -4,9 +4,11 @@ import datetime as dt
 import json
 
 from earlybell.functions import scalars as S
-from earlybell.operators import assess, foundation
+from earlybell.operators import assess, foundation, quality
 from earlybell.sources import readers
 from tests.builders import D, Market, rows, sessions
+from workload.catalog import QUERIES
+from workload.domain import CODE_DIGITS, Domain
 
 DAYS = sessions(D(2024, 1, 1), 6)
 
@@ -71,3 +73,18 @@ def test_missing_key_part_makes_no_shorter_key(spark):
     assert keys == [None, None, "XSHG|600000.XSHG|2025-01-02"]
     found = foundation.missing_key_parts(facts, "daily_st_status")
     assert rows(found, "field", "affected_rows") == [("security_code", 2)]
+
+
+def test_users_from_a_million_on_keep_their_history(spark, tmp_path):
+    schema = "event_id bigint, user_id bigint, event_type string, ts timestamp, value double"
+    moment = dt.datetime(2024, 1, 10, 12)
+    data = [(k, user, "click", moment, 1.0 + k) for k, user in enumerate((999_999, 999_999, 1_000_000, 1_000_000, 12_345_678))]
+    spark.createDataFrame(data, schema).write.parquet(str(tmp_path / "events.parquet"))
+    domain = Domain(spark, str(tmp_path))
+    codes = {"999999.XSHG", "1000000.XSHE", "12345678.XSHG"}
+    assert {r.security_code for r in domain.cells.collect()} == codes
+    assert {r.code for r in quality.wide_quality(domain.wide, ("B01",), minimum_filled=1, digits=CODE_DIGITS).collect()} <= {"E922"}
+    wide = domain.wide.select("stk_code", S.security_market("stk_code", CODE_DIGITS).alias("m"))
+    assert wide.where("m IS NULL").count() == 0 and wide.count() == 3
+    conflicts = QUERIES["w12_version_conflicts"].build(domain)
+    assert {r.security_code for r in conflicts.collect()} == {"999999.XSHG", "1000000.XSHE"}

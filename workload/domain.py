@@ -18,7 +18,8 @@ from earlybell.operators import assess, calendar, panel
 from earlybell.sources.staging import store
 
 START, END = date(2024, 1, 8), date(2024, 1, 30)
-RULES = R.RiskRules(START, END)
+CODE_DIGITS = r"\d{6,}"  # users from a million on have longer codes
+RULES = R.RiskRules(START, END, code_digits=CODE_DIGITS)
 PRESSURE = R.PressureRules()
 BROKERS = ("B01", "B02", "B03")
 MAPPING = R.BrokerMapping.from_dangerous("m1", {"B01": "FG", "B02": "EFG", "B03": "DEFG"})
@@ -223,11 +224,11 @@ class Domain:
 
     @cached_property
     def cells(self) -> DataFrame:
-        return assess.wide_to_cells(self.wide, BROKERS)
+        return assess.wide_to_cells(self.wide, BROKERS, digits=CODE_DIGITS)
 
     @cached_property
     def long(self) -> DataFrame:
-        return assess.wide_to_long(self.wide, BROKERS, self.index)
+        return assess.wide_to_long(self.wide, BROKERS, self.index, digits=CODE_DIGITS)
 
     # --- derived results shared by several queries ---------------------------
     @cached_property

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from earlybell import rules as R
 from earlybell.functions import scalars as S
 from earlybell.operators import assess, metrics, panel, ranking
-from workload.domain import BROKERS, END, MAPPING, RAW_VALUES, START, Domain
+from workload.domain import BROKERS, CODE_DIGITS, END, MAPPING, RAW_VALUES, START, Domain
 from workload.registry import half_up, query
 
 
@@ -430,7 +430,7 @@ def w12_conflicts(d: Domain):
         S.business_code("security_code").alias("stk_code"),
         *[F.get(raws, ((F.floor("amt") + 3 * k) % 9).cast("int")).alias(b) for k, b in enumerate(BROKERS)],
     )
-    return assess.version_conflicts(assess.wide_to_cells(clicks, BROKERS))
+    return assess.version_conflicts(assess.wide_to_cells(clicks, BROKERS, digits=CODE_DIGITS))
 
 
 @query(

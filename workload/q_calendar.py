@@ -8,7 +8,7 @@ from earlybell import rules as R
 from earlybell.functions import scalars as S
 from earlybell.operators import calendar, foundation, gate, grades, panel, quality, store
 from earlybell.operators.panel import DAY
-from workload.domain import END, RULES, START, Domain
+from workload.domain import CODE_DIGITS, END, RULES, START, Domain
 from workload.q_assess import dbl
 from workload.registry import query
 
@@ -272,7 +272,8 @@ def j17(d: Domain):
         *R.KEY, "board_code", F.col("listed_date").alias("listing_date"), F.col("delisted_date").alias("termination_date")
     )
     requested = d.wide.select(
-        S.security_market("stk_code").alias("market_code"), S.canonical_security("stk_code").alias("security_code")
+        S.security_market("stk_code", CODE_DIGITS).alias("market_code"),
+        S.canonical_security("stk_code", CODE_DIGITS).alias("security_code"),
     )
     return store.supplement_master(base, requested, stored, END)
 

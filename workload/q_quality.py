@@ -8,7 +8,7 @@ from earlybell import rules as R
 from earlybell.functions import scalars as S
 from earlybell.operators import quality
 from earlybell.operators.panel import DAY
-from workload.domain import BROKERS, END, MAPPING, Domain
+from workload.domain import BROKERS, CODE_DIGITS, END, MAPPING, Domain
 from workload.registry import query
 
 # --- orders as a text table with a rule pack ---------------------------------
@@ -233,7 +233,7 @@ def q10(d: Domain):
       UNION ALL SELECT 'E923', count(*) FILTER (WHERE isodow(biz_date) < 6 AND market_code <> 'XBSE' AND filled < 3) FROM w) WHERE affected_rows > 0""",
 )
 def q11(d: Domain):
-    return quality.wide_quality(d.wide, BROKERS).select("code", "affected_rows")
+    return quality.wide_quality(d.wide, BROKERS, digits=CODE_DIGITS).select("code", "affected_rows")
 
 
 @query(

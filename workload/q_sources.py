@@ -14,7 +14,7 @@ from earlybell.operators import events, foundation, gate, panel
 from earlybell.operators.panel import DAY
 from earlybell.sources import mapping, readers, sinks
 from earlybell.sources.staging import new_path
-from workload.domain import BROKERS, END, START, Domain
+from workload.domain import BROKERS, CODE_DIGITS, END, START, Domain
 from workload.q_assess import dbl
 from workload.q_store import SIX_SQL, _fact_rows
 from workload.registry import query
@@ -149,7 +149,7 @@ def s6(d: Domain):
     extra = d.events.where(F.col("event_type") == "signup").select(
         F.col("d").alias("biz_date"), S.business_code("security_code").alias("stk_code")
     )
-    return gate.universe_summary(gate.business_universe(d.wide, extra, END))
+    return gate.universe_summary(gate.business_universe(d.wide, extra, END, CODE_DIGITS))
 
 
 @query(
@@ -189,7 +189,7 @@ def s9(d: Domain):
     text = own.unionByName(other).select(
         F.col("security_code").alias("order_book_id"), F.col("l").alias("listed_date_norm"), F.col("x").alias("de_listed_date_norm")
     )
-    return readers.standard_lifecycle(readers.read_text_csv(d.spark, _csv(d, text, "lifecycle")))
+    return readers.standard_lifecycle(readers.read_text_csv(d.spark, _csv(d, text, "lifecycle")), CODE_DIGITS)
 
 
 @query(
@@ -331,7 +331,9 @@ def p3(d: Domain):
 @query("p4_security_codes", "SELECT stk_code, market_code, security_code, count(*) AS n FROM wide GROUP BY 1, 2, 3")
 def p4(d: Domain):
     return d.wide.groupBy(
-        "stk_code", S.security_market("stk_code").alias("market_code"), S.canonical_security("stk_code").alias("security_code")
+        "stk_code",
+        S.security_market("stk_code", CODE_DIGITS).alias("market_code"),
+        S.canonical_security("stk_code", CODE_DIGITS).alias("security_code"),
     ).agg(F.count("*").alias("n"))
 
 

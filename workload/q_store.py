@@ -10,7 +10,7 @@ from earlybell.operators import compare, foundation, gate, panel, ranking, store
 from earlybell.operators.panel import DAY
 from earlybell.sources import sinks
 from earlybell.sources.staging import new_path
-from workload.domain import END, RULES, START, Domain
+from workload.domain import CODE_DIGITS, END, RULES, START, Domain
 from workload.q_assess import dbl
 from workload.q_calendar import COVER_SQL, OTHER_SQL, SUSP_SQL, _dated_facts, _limits, _other_life, _suspension
 from workload.registry import query
@@ -620,7 +620,7 @@ UNIVERSE_SQL = """lm AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION B
 
 
 def _split(d: Domain):
-    universe = gate.business_universe(d.wide, None, END)
+    universe = gate.business_universe(d.wide, None, END, CODE_DIGITS)
     early = d.master.where(F.col("listed_date") <= F.lit(date(2024, 1, 1)))
     return gate.universe_split(universe, early, RULES)
 
