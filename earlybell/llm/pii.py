@@ -3,12 +3,14 @@
 Base detectors (mail address, IP address, payment card, phone number) check what they
 match and report it. Beside them, high-recall generators propose overlapping spans:
 any long digit group, addresses written around, handles, account numbers. Each proposal
-is described by small whole-number features of its format and context. Boosted trees
-learn, from all proposals of the corpus counted by feature pattern, which look like
-validated data: the label is whether a base span covers the proposal. Half of the
-documents fit the trees, the other half gives the threshold: the least score from which
-on the wanted share of proposals is validated. Proposals at or above it that touch no
-base span are reported, too, leftmost first.
+is described by small whole-number features of its format. Boosted trees learn, from
+all proposals of the corpus counted by feature pattern, which look like personal data:
+the label is whether a base span covers the proposal, or evidence of its own kind does
+(an account number's check digits, contact words right before the others). No feature
+shows that evidence. Half of the documents fit the trees, the other half gives each kind
+its threshold: the least score at which (not from which on) the wanted share is labelled,
+by isotonic regression. Proposals at or above it that touch no base span are reported,
+too, leftmost first, and so are account numbers whose check digits are right.
 
 The pattern table is bounded by the product of the features' ranges, whatever the
 corpus; fitting to it equals fitting to all proposals. The trees are turned back into
@@ -42,25 +44,25 @@ WIDE = {
     "number": r"(?<![0-9])[+(]?[0-9][0-9()\x20./-]{5,}[0-9]",
     "address": r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]{2,64}\x20?(?:@|\(at\)|\[at\]|\x20at\x20)\x20?[A-Za-z0-9-]{2,63}(?:\x20?(?:\.|\(dot\)|\[dot\]|\x20dot\x20)\x20?[A-Za-z0-9-]{2,63})++",
     "handle": r"(?<![A-Za-z0-9._%+-])@[A-Za-z0-9_]{3,30}",
-    "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}[A-Z0-9]{0,4}",
+    "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20[0-9]{1,3}(?![A-Za-z0-9])|[A-Z0-9]{0,4})",
 }
 WIDE_KINDS = tuple(WIDE)
 KINDS = (*BASE_KINDS, *WIDE_KINDS)
 PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-#: What stands before a proposal; the first pattern found counts.
-CUES = (
-    r"(?i)mail|write",
-    r"(?i)phone|tel|call|fax|mobile|contact",
-    r"(?i)card|visa|credit|pay",
-    r"(?i)\bip\b|host|server",
-    r"(?i)iban|account|passport|\bssn\b|\bid\b|\bn[or]\b",
-)
+#: Contact words right before a proposal of a kind: evidence for labels, never a feature.
+CUES = {
+    "number": r"(?i)\b(?:tele)?(?:phone|tel|call|fax|mobile|cell|contact)\b[^0-9\n]{0,12}$",
+    "address": r"(?i)\b(?:e-?mail|mail|write|contact|reach)\b[^0-9@\n]{0,12}$",
+    "handle": r"(?i)\b(?:write|mail|contact|message|follow|reach|twitter|instagram|telegram)\b[^0-9@\n]{0,12}$",
+}
 CONTEXT = 24
+#: Evidence for a proposal.
+NOTHING, CUED, CHECKED = 0, 1, 2
 #: Features with the number of values each can take.
-FEATURES = {"kind": 4, "digits": 21, "length": 8, "separators": 5, "lead": 4, "cue": 6, "at": 2, "letters": 2, "attached": 2}
+FEATURES = {"kind": 4, "digits": 21, "length": 8, "separators": 5, "lead": 4, "at": 2, "letters": 2, "attached": 2}
 
 SPAN = "array<struct<start:int,end:int>>"
-PROPOSAL = "struct<" + ",".join(f"{f}:int" for f in ("start", "end", *FEATURES)) + ">"
+PROPOSAL = "struct<" + ",".join(f"{f}:int" for f in ("start", "end", "proof", *FEATURES)) + ">"
 
 
 def _matches(body: Column, pattern: str) -> Column:
@@ -105,6 +107,28 @@ def _possible(kind: str, body: Column) -> Column:
     return body.rlike("[0-9]")
 
 
+def _mod97(m: Column) -> Column:
+    """The remainder of an account number's check: 1 where its check digits are right."""
+    plain = F.regexp_replace(m, "[^A-Z0-9]", "")
+    turned = F.concat(plain.substr(5, 64), plain.substr(1, 4))
+
+    def step(acc: Column, c: Column) -> Column:
+        digit = F.when(c <= "9", F.ascii(c) - 48).otherwise(F.ascii(c) - 55)
+        return (acc * F.when(digit < 10, 10).otherwise(100) + digit) % 97
+
+    return F.aggregate(F.regexp_extract_all(turned, F.lit("[A-Z0-9]"), F.lit(0)), F.lit(0), step)
+
+
+def _proof(kind: str, m: Column, digits: Column, before: Column) -> Column:
+    """What speaks for a proposal without a base span's help."""
+    if kind == "account":
+        return F.when(_mod97(m) == 1, CHECKED).otherwise(NOTHING)
+    cued = before.rlike(CUES[kind])
+    if kind == "number":
+        cued = cued & digits.between(7, 15)
+    return F.when(cued, CUED).otherwise(NOTHING)
+
+
 def _features(body: Column, kind: str, x: Column) -> Column:
     m = x["m"]
     n = F.char_length(m)
@@ -113,21 +137,18 @@ def _features(body: Column, kind: str, x: Column) -> Column:
     first = F.when(m.startswith("+"), 1).when(m.startswith("("), 2).when(m.rlike("^[0-9]"), 0).otherwise(3)
     since = F.greatest(x["start"] - CONTEXT, F.lit(0))
     before = body.substr(since + 1, x["start"] - since)
-    cue = F.lit(0)
-    for k in range(len(CUES), 0, -1):
-        cue = F.when(before.rlike(CUES[k - 1]), k).otherwise(cue)
     values = {
         "kind": F.lit(WIDE_KINDS.index(kind)),
         "digits": F.least(digits, F.lit(20)),
         "length": F.least(F.floor(n / 4), F.lit(7)),
         "separators": F.least(n - plain, F.lit(4)),
         "lead": first,
-        "cue": cue,
         "at": F.contains(m, F.lit("@")).cast("int"),
         "letters": (plain > digits).cast("int"),
         "attached": before.rlike("[A-Za-z0-9]$").cast("int"),
     }
-    return F.struct(x["start"].alias("start"), x["end"].alias("end"), *[v.alias(k) for k, v in values.items()]).cast(PROPOSAL)
+    proof = _proof(kind, m, digits, before).alias("proof")
+    return F.struct(x["start"].alias("start"), x["end"].alias("end"), proof, *[v.alias(k) for k, v in values.items()]).cast(PROPOSAL)
 
 
 def propose(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -173,7 +194,7 @@ class Settings:
     rate: float = 0.3
     #: least proposals in a leaf
     leaf: int = 20
-    #: share of proposals at or above the threshold that base detectors validate
+    #: share of a kind's proposals at the threshold that are labelled
     precision: float = 0.9
 
 
@@ -192,15 +213,24 @@ class Node:
 class Model:
     start: float = 0.0
     trees: list[Node] = field(default_factory=list)
-    threshold: float = 2.0
+    #: least scores by kind
+    thresholds: tuple[float, ...] = (2.0,) * len(WIDE_KINDS)
+
+    @property
+    def threshold(self) -> float:
+        return min(self.thresholds)
 
 
 def patterns(proposed: DataFrame) -> DataFrame:
-    """How often each feature pattern occurs and is covered by base spans, by half of the documents
-    (a hash of the whole row, its id included)."""
+    """How often each feature pattern occurs and is labelled (covered by base spans or evident by
+    itself), by half of the documents (a hash of the whole row, its id included)."""
+
+    def label(p: Column) -> Column:
+        return (p["proof"] > NOTHING) | _touches(_all_base(F.col("base")), p)
+
     one = proposed.select(
         F.pmod(F.xxhash64(*proposed.columns), F.lit(2)).cast("int").alias("half"),
-        F.explode(F.transform("proposals", lambda p: F.struct(p.alias("p"), _touches(_all_base(F.col("base")), p).alias("hit")))).alias("x"),
+        F.explode(F.transform("proposals", lambda p: F.struct(p.alias("p"), label(p).alias("hit")))).alias("x"),
     )
     return one.groupBy("half", *[F.col(f"x.p.{f}").alias(f) for f in FEATURES]).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("x.hit").cast("int")).alias("hits")
@@ -208,7 +238,7 @@ def patterns(proposed: DataFrame) -> DataFrame:
 
 
 def fit(proposed: DataFrame, settings: Settings = Settings()) -> Model:
-    """Boosted trees of the pattern table, one row per pattern at most, and their threshold."""
+    """Boosted trees of the pattern table, one row per pattern at most, and the kinds' thresholds."""
     import numpy as np
 
     rows = patterns(proposed).collect()
@@ -228,12 +258,25 @@ def fit(proposed: DataFrame, settings: Settings = Settings()) -> Model:
         margin += _values(tree, x)
     rest = aside[:, 1:-2].astype(int)
     scores = 1 / (1 + np.exp(-(start + sum((_values(t, rest) for t in trees), np.zeros(len(rest))))))
-    order = np.argsort(-scores, kind="stable")
-    precision = np.cumsum(aside[order, -1]) / np.cumsum(aside[order, -2])
-    last = np.append(scores[order][1:] != scores[order][:-1], True)  # patterns of one score go together
-    good = np.flatnonzero(last & (precision >= settings.precision))
+    kinds = rest[:, list(FEATURES).index("kind")]
+    of_kind = [kinds == k for k in range(len(WIDE_KINDS))]
+    return Model(start, trees, tuple(_least(scores[s], aside[s, -2], aside[s, -1], settings.precision) for s in of_kind))
+
+
+def _least(scores, n, hits, precision: float) -> float:
+    """The least score whose calibrated share of labels (isotonic in the score) is the wanted one; 2: none."""
+    import numpy as np
+
+    values, where = np.unique(scores, return_inverse=True)  # patterns of one score go together
+    blocks: list[tuple[float, float, float]] = []
+    for value, total, good in zip(values, np.bincount(where, n), np.bincount(where, hits), strict=True):
+        blocks.append((value, total, good))
+        while len(blocks) > 1 and blocks[-2][2] * blocks[-1][1] >= blocks[-1][2] * blocks[-2][1]:
+            _, total, good = blocks.pop()
+            low, below, labelled = blocks.pop()
+            blocks.append((low, below + total, labelled + good))
     # a hair lower: the expression adds the trees up in the same order, but not bit by bit
-    return Model(start, trees, float(scores[order][good[-1]]) - 1e-9 if len(good) else 2.0)
+    return next((float(value) - 1e-9 for value, total, good in blocks if good >= precision * total), 2.0)
 
 
 def _grow(x, n, gradient, curvature, settings: Settings, depth: int) -> Node:
@@ -288,7 +331,7 @@ def score(model: Model, p: Column) -> Column:
 def select(proposed: DataFrame, model: Model) -> DataFrame:
     """Documents with ``pii_spans``: kind, start, end and score, by kind as listed, then start.
 
-    Base spans have score 1.
+    Base spans, and account numbers whose check digits are right, have score 1.
     """
     typed = "array<struct<kind:string,start:int,end:int,score:double>>"
 
@@ -303,14 +346,19 @@ def select(proposed: DataFrame, model: Model) -> DataFrame:
 
     base = F.concat(*map(named, BASE_KINDS)).cast(typed)
     names = F.array(*[F.lit(k) for k in WIDE_KINDS])
+    least = F.array(*[F.lit(t) for t in model.thresholds])
     free = F.filter("proposals", lambda p: ~_touches(_all_base(F.col("base")), p))
     scored = F.transform(
         free,
         lambda p: F.struct(
-            p["start"].alias("start"), (-p["end"]).alias("minus_end"), F.get(names, p["kind"]).alias("kind"), score(model, p).alias("score")
+            p["start"].alias("start"),
+            (-p["end"]).alias("minus_end"),
+            F.get(names, p["kind"]).alias("kind"),
+            F.when(p["proof"] == CHECKED, 1.0).otherwise(score(model, p)).alias("score"),
+            F.when(p["proof"] == CHECKED, 1.0).otherwise(F.get(least, p["kind"])).alias("least"),
         ),
     )
-    good = F.array_sort(F.filter(scored, lambda s: s["score"] >= model.threshold))
+    good = F.array_sort(F.filter(scored, lambda s: s["score"] >= s["least"]))
     state = f"struct<at:int,out:{typed}>"
 
     def leftmost(acc: Column, s: Column) -> Column:
