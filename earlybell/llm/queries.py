@@ -69,7 +69,8 @@ def toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    # as its SQL twin states it: a loose string may be inside its complement
+    found = secrets.scan(table(spark, sf_dir, "documents"), keep=["doc_id"], apart=False)
     spans = F.col("secret_spans")
     base = F.filter(spans, lambda s: s["kind"].isin(*secrets.BASE_KINDS))
     return found.select(

@@ -69,6 +69,17 @@ def test_redaction_replaces_every_span(spark):
             assert r.text == before
 
 
+def test_one_span_plays_one_part(spark):
+    url = "https://example.com/articles/2023/05/some-title"
+    clean = [f"see {url} there", "user=anna20231984smith", f"{url} and {url}-2 too", "user=anna20231984smith login=otto19840101meier",
+             f"user=anna20231984smith {url[:19]}"]
+    docs = frame(spark, rows([*clean, f"{KEY} {url}", f"https://host.example/b?key={LOOSE} user=anna"]))
+    got = [r.text for r in secrets.redact(docs).orderBy("doc_id").collect()]
+    assert got[: len(clean)] == clean
+    assert got[-2] == "[SECRET] [SECRET]"  # an access identifier is beside it
+    assert LOOSE not in got[-1]  # and so is an account
+
+
 def test_empty_table(spark):
     assert secrets.scan(empty(spark)).count() == 0
     assert secrets.redact(empty(spark)).count() == 0
