@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, LongType
 
-from earlybell.llm.common import annotate, blobs, mix, store, with_package
+from earlybell.llm.common import annotate, behind, blobs, mix, store, with_package
 from earlybell.llm.graph import components as connected
 from earlybell.llm.signature_tree import PERCENT, links
 
@@ -95,11 +95,13 @@ def _describe(column: pa.Array) -> list[list]:
     return [sizes, keys]
 
 
+DESCRIBED = [StructField("n_shingles", LongType()), StructField("class_key", LongType())]
+
+
 def described(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """doc_id, n_shingles and class_key (null without shingles) of each row."""
-    fields = [StructField("n_shingles", LongType()), StructField("class_key", LongType())]
     own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("body"))
-    return annotate(own, "body", fields, _describe, ["doc_id"])
+    return annotate(own, "body", DESCRIBED, _describe, ["doc_id"])
 
 
 # --- step 2: shingles that several classes have ---------------------------------------------
@@ -435,6 +437,11 @@ def class_links(sets: DataFrame) -> DataFrame:
 
 def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, n_shingles, class_key and component_id (its least doc_id) of each document."""
+    return _components(docs, text, doc_id).drop("top")
+
+
+def _components(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """``components`` with ``top``, the class that names the component (null without shingles)."""
     rows = store(described(docs, text, doc_id), "shingle_counts")
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     bits = min(MAX_RANGE_BITS, max(0, (-(-total // RANGE_SHINGLES) - 1).bit_length()))
@@ -447,26 +454,37 @@ def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
         "class_key", "least", F.coalesce("root", "class_key").alias("top")
     )
     ids = joined.groupBy("top").agg(F.min("least").alias("component_id"))
-    named = joined.select("class_key", "top").join(ids, "top").select(F.col("class_key").alias("of_class"), "component_id")
+    named = joined.select("class_key", "top").join(ids, "top").select(F.col("class_key").alias("of_class"), "component_id", "top")
     out = rows.join(named, rows["class_key"] == named["of_class"], "left")
     own = F.when(F.col("class_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", "class_key", own.alias("component_id"))
+    return out.select("doc_id", "n_shingles", "class_key", own.alias("component_id"), "top")
 
 
 def without_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Documents of which each component keeps the one of least id, with all their columns.
+    """Documents of which each component keeps one row of least id, with all their columns.
 
-    Of rows that repeat this id one stays. Rows without id can't be named, and stay.
+    Rows that repeat an id are told apart by their classes. Rows without shingles are nobody's
+    copies, and rows without id can't be named; both stay.
     """
-    found = store(components(docs, text, doc_id), "components")
-    gone = store(found.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
-    twice = store(
-        found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated"
-    )
-
-    def matches(ids: DataFrame):
-        return docs[doc_id] == ids["doc_id"]
-
-    left = docs.join(gone, matches(gone), "left_anti")
-    again = left.join(twice, left[doc_id] == twice["doc_id"], "left_semi").dropDuplicates([doc_id])
-    return left.join(twice, left[doc_id] == twice["doc_id"], "left_anti").unionByName(again)
+    found = store(_components(docs, text, doc_id), "components")
+    twice = store(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    once = found.where("doc_id <> component_id").select("doc_id")
+    if twice.isEmpty():
+        gone = store(once, "copies")
+        return docs.join(gone, docs[doc_id] == gone["doc_id"], "left_anti")
+    gone = store(once.distinct().union(twice).distinct(), "copies")
+    left = docs.join(gone, docs[doc_id] == gone["doc_id"], "left_anti")
+
+    def kept(rows: DataFrame, name: dict[str, str]) -> DataFrame:
+        own = F.col(name[doc_id])
+        keyed = annotate(rows.join(twice, own == twice["doc_id"], "left_semi"), name[text], DESCRIBED, _describe)
+        known = keyed.where("class_key IS NOT NULL")
+        tops = found.join(twice, "doc_id", "left_semi").where("class_key IS NOT NULL").select(
+            F.col("class_key").alias("of_class"), "component_id", "top"
+        ).distinct()
+        least = known.join(tops, (known["class_key"] == tops["of_class"]) & (own == tops["component_id"]))
+        columns = [F.col(n) for n in name.values()]
+        one = least.dropDuplicates(["top"]).select(*columns)
+        return one.union(keyed.where("class_key IS NULL").select(*columns))
+
+    return left.unionByName(behind(docs, kept))

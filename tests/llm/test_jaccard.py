@@ -89,6 +89,14 @@ def test_without_copies_keeps_one_of_each(spark):
     assert ids.count(None) == 1
 
 
+def test_without_copies_decides_by_row_where_ids_repeat(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(30)) for x in "abcd")
+    data = [(3, a), (5, a), (5, b), (9, b), (5, ""), (7, c), (7, d), (7, d), (8, ""), (None, a)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string").repartition(3)
+    got = sorted((r.doc_id or 0, r.text) for r in jaccard.without_copies(docs).collect())
+    assert got == [(0, a), (3, a), (5, ""), (5, b), (7, c), (7, d), (8, "")]
+
+
 def test_empty_table(spark):
     assert jaccard.components(empty(spark)).count() == 0
     assert jaccard.without_copies(empty(spark)).count() == 0
