@@ -3,8 +3,9 @@
 ``Codec`` gives the ids that the ``tokenizers`` library gives for the same file. The
 vocabulary of a byte-level BPE file lists its merges in rank order, so the same ids
 come from ``tiktoken``'s merge loop, which is several times faster; texts that hold
-one of the file's special strings, and texts its pattern engine gives up on, go to
-the ``tokenizers`` library itself.
+one of the file's special strings, texts its pattern engine gives up on, and texts
+with an id whose string the merge list doesn't reach, go to the ``tokenizers``
+library itself.
 """
 
 from __future__ import annotations
@@ -51,11 +52,26 @@ class Codec:
         self.merger = tiktoken.Encoding(
             "file", pat_str=PATTERN, mergeable_ranks=self.vocabulary, special_tokens={}
         )
+        self.unproven = self._unproven()
+
+    def _unproven(self) -> frozenset[int]:
+        """Ids whose strings the merge list gives otherwise: ``tiktoken`` looks a whole piece up
+        without merging. Bytes that are no text are no whole piece."""
+        known = []
+        for word, i in self.vocabulary.items():
+            try:
+                known.append((word.decode(), i))
+            except UnicodeDecodeError:
+                continue
+        encoded = self.library.encode_batch([w for w, _ in known], add_special_tokens=False)
+        return frozenset(i for (_, i), e in zip(known, encoded, strict=True) if e.ids != [i])
 
     def encode(self, text: str) -> list[int]:
         if not any(s in text for s in self.special):
             try:
-                return self.merger.encode_ordinary(text)
+                ids = self.merger.encode_ordinary(text)
+                if self.unproven.isdisjoint(ids):
+                    return ids
             except (KeyboardInterrupt, SystemExit):
                 raise
             except BaseException:  # noqa: BLE001  the pattern engine's panic is no Exception
@@ -67,14 +83,15 @@ class Codec:
         return np.asarray(self.encode(text), "<u2").tobytes()
 
     def single_pieces(self) -> list[str]:
-        """Pieces proven to be one token behind a space: each one is encoded and counted.
+        """Pieces proven to be one token behind a space, by the library's merge list.
 
         A vocabulary string need not encode as itself when merges of lower rank take its
         parts elsewhere, so every string is put to the proof.
         """
         words = (w.decode("utf-8", "ignore") for w in self.vocabulary if w[:1] == b" ")
-        pieces = {w[1:] for w in words if safe(w[1:])}
-        return sorted(p for p in pieces if len(self.encode(" " + p)) == 1)
+        pieces = sorted({w[1:] for w in words if safe(w[1:])})
+        encoded = self.library.encode_batch([" " + p for p in pieces], add_special_tokens=False)
+        return [p for p, e in zip(pieces, encoded, strict=True) if len(e.ids) == 1]
 
 
 def safe(piece: str) -> bool:

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -44,6 +45,20 @@ def test_proven_pieces_are_single_tokens(library):
     assert all(len(ids(library, " " + p)) == 1 for p in proven[::50])
 
 
+def test_vocabulary_strings_that_merges_do_not_reach(tmp_path):
+    whole = json.loads(open(PATH, encoding="utf-8").read())
+    pair = lambda m: "".join(m if isinstance(m, list) else m.split(" "))
+    whole["model"]["merges"] = [m for m in whole["model"]["merges"] if pair(m) != "Ġthe"]
+    path = str(tmp_path / "cut.json")
+    (tmp_path / "cut.json").write_text(json.dumps(whole), encoding="utf-8")
+    cut, codec = Tokenizer.from_file(path), bpe.load(path)
+    assert len(ids(cut, " the")) > 1 and "the" not in codec.single_pieces()
+    counter = bpe.Counter(codec, codec.single_pieces())
+    for text in ["see the end", "the the theq", "no such word", "them there"]:
+        assert codec.encode(text) == ids(cut, text)
+        assert counter.count(text) == len(ids(cut, text))
+
+
 def test_cache_starts_anew(library, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_PIECES", 10)
     counter = bpe.Counter(bpe.load(PATH), ["the"])
