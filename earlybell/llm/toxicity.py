@@ -51,6 +51,10 @@ FIELDS = [StructField("score", DoubleType()), StructField("toxic_spans", ArrayTy
 _SEPARATOR = {c: " " for c in range(128) if not chr(c).isalnum() and chr(c) != "\n"}
 _SEPARATED = bytes(32 if b in _SEPARATOR else b for b in range(256))
 
+#: Near copies share so much of their runs of words; hashes that find them.
+COPY = 0.8
+SALTS = 32
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -267,18 +271,26 @@ def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings, text:
 
 
 def _without_copies(rows: list[tuple[str, int]]) -> list[tuple[list[list[bytes]], int]]:
-    """Tokenised rows; of those sharing their least hash of four words under any of four salts, one."""
-    seen: set[tuple[int, int]] = set()
+    """Tokenised rows; of those with one label that share most of their runs of four words, one.
+
+    Rows whose least hashes agree under half of the salts are compared by the runs themselves.
+    """
+    salts = (np.random.default_rng(0).integers(0, 1 << 31, SALTS, np.uint64) * np.uint64(2) + np.uint64(1))[:, None]
+    kept: dict[int, list[set[int]]] = {0: [], 1: []}
+    least = {label: np.empty((len(rows), SALTS), np.uint32) for label in kept}
     out = []
     for text, label in rows:
         chains = list(lines_of_words(text))
-        runs = [zlib.crc32(b" ".join(c[i : i + 4])) for c in chains for i in range(len(c) - 3)]
+        runs = {zlib.crc32(b" ".join(c[i : i + 4])) for c in chains for i in range(len(c) - 3)}
         if runs:
-            h = np.asarray(runs, np.uint64)
-            least = {(k, int(((h * np.uint64(s)) & np.uint64(0xFFFFFFFF)).min())) for k, s in enumerate((1, 2654435761, 40503, 97531))}
-            if least & seen:
+            hashes = np.fromiter(runs, np.uint64, len(runs))
+            own = ((hashes * salts) & np.uint64(0xFFFFFFFF)).min(axis=1).astype(np.uint32)
+            before = kept[label]
+            like = np.flatnonzero((least[label][: len(before)] == own).sum(axis=1) * 2 >= SALTS)
+            if any(len(runs & before[k]) >= COPY * len(runs | before[k]) for k in like):
                 continue
-            seen |= least
+            least[label][len(before)] = own
+            before.append(runs)
         out.append((chains, label))
     return out
 
@@ -324,7 +336,9 @@ def train(rows: list[tuple[str, int]], share: float, settings: Settings = Settin
     others = [c for c in chains if not (c[1] and any(is_marked(w, marked) for w in c[0]))]
     rng.shuffle(others)
     _fit_field(model, [*with_toxic, *others[: max(2000, settings.others * len(with_toxic))]], marked, settings)
-    _fit_logistic(model, docs, share)
+    rest = [d for d, x in zip(docs, aside, strict=True) if x]
+    # too few to have both labels put aside: better all than none
+    _fit_logistic(model, rest if {label for _, label in rest} == {0, 1} else docs, share)
     return model
 
 

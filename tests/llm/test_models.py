@@ -82,6 +82,26 @@ def test_toxicity_of_held_out_texts(spark, data):
         assert got[k].score < 0.7 and got[k].toxic_spans == []
 
 
+def test_shared_passages_are_no_copies():
+    rng = random.Random(6)
+    passage = " ".join(word(rng, "aa") for _ in range(25))
+    texts = [f"{passage} " + " ".join(word(rng, "bb") for _ in range(100)) for _ in range(60)]
+    mixed = [(t, k % 2) for k, t in enumerate(texts)]
+    copies = [(t + " end", k % 2) for k, t in enumerate(texts)]
+    relabelled = [(texts[0], 1)]
+    got = toxicity._without_copies([*mixed, *copies, *relabelled])
+    assert [label for _, label in got] == [label for _, label in [*mixed, *relabelled]]
+
+
+def test_logistic_is_fitted_on_documents_put_aside(monkeypatch):
+    texts, _, labels = corpus()
+    sizes = {}
+    monkeypatch.setattr(toxicity, "_fit_field", lambda model, chains, *_: sizes.update(field=len(chains)))
+    monkeypatch.setattr(toxicity, "_fit_logistic", lambda model, docs, share: sizes.update(logistic=len(docs)))
+    toxicity.train([(texts[k], toxic) for k, toxic in labels], 0.15)
+    assert 0.2 < sizes["logistic"] / len(labels) < 0.4
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     model = toxicity.fit(empty(spark), none)
