@@ -8,7 +8,8 @@ and a rejection threshold by the wanted accuracy among accepted stretches, both
 training texts that were put aside.
 
 Training reads a bounded sample: at most ``per_language`` rows a language, found by a
-hash of the id, of texts up to ``max_chars``. Prediction reads every text whole.
+hash of the id, each cut to a stretch of ``max_chars`` at a place that the hash gives.
+Prediction reads every text whole.
 
 * null text, or none with a letter: ``und``, score 0, rejected
 * no training row at all: ``und`` for every text
@@ -94,7 +95,7 @@ def has_letter(words: bytes) -> bool:
 
 def training_rows(docs: DataFrame, settings: Settings, text: str, lang: str, doc_id: str) -> list[tuple[str, str]]:
     """A bounded sample of (language, text): the ids' hashes decide."""
-    usable = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.char_length(text) <= settings.max_chars))
+    usable = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     sizes = usable.groupBy(F.col(lang).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(settings.languages)
     share = {r["lang"]: settings.per_language / r["count"] for r in sizes.collect()}
     if not share:
@@ -102,7 +103,10 @@ def training_rows(docs: DataFrame, settings: Settings, text: str, lang: str, doc
     cases: Column | None = None
     for name, part in share.items():
         cases = F.when(F.col(lang) == name, F.lit(part)) if cases is None else cases.when(F.col(lang) == name, F.lit(part))
-    rows = usable.where(unit_hash(doc_id) < cases.otherwise(F.lit(0.0))).select(F.col(lang), F.col(text))
+    spare = F.greatest(F.char_length(text) - settings.max_chars, F.lit(0))
+    at = F.pmod(F.xxhash64(F.lit("stretch"), F.col(doc_id)), spare + 1).cast("int")
+    stretch = F.col(text).substr(at + 1, F.lit(settings.max_chars))
+    rows = usable.where(unit_hash(doc_id) < cases.otherwise(F.lit(0.0))).select(F.col(lang), stretch)
     return sorted(map(tuple, rows.limit(2 * settings.per_language * len(share)).collect()))
 
 

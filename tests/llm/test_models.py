@@ -57,6 +57,20 @@ def test_language_of_held_out_texts(spark, data):
         assert 0 <= got[k].score <= 1
 
 
+def test_language_of_long_texts_only(spark):
+    rng = random.Random(9)
+    long = [" ".join(word(rng, "bb") for _ in range(4500)) for _ in range(100)]
+    short = [" ".join(word(rng, "aa") for _ in range(50)) for _ in range(200)]
+    assert min(map(len, long)) > language.Settings.max_chars
+    docs = frame(spark, rows([*long, *short], lang=["bb"] * 100 + ["aa"] * 200))
+    model = language.fit(docs)
+    assert model.languages == ["aa", "bb"]
+    got = {r.doc_id: r.lang_pred for r in language.identify(docs, model, keep=["doc_id"]).collect()}
+    assert all(got[k] == ("bb" if k < 100 else "aa") for k in got)
+    taken = language.training_rows(docs, language.Settings(), "text", "lang", "doc_id")
+    assert {len(t) for n, t in taken if n == "bb"} == {language.Settings.max_chars}
+
+
 def test_language_without_training_rows(spark):
     assert language.identify(empty(spark), language.fit(empty(spark))).count() == 0
     model = language.fit(empty(spark))
