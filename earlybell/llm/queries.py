@@ -14,6 +14,7 @@ from earlybell.llm import (
     jaccard,
     language,
     licenses,
+    merkle,
     packing,
     pii,
     quality,
@@ -144,6 +145,10 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, LlmQuery] = {
     "op1_benchmark_decontamination": LlmQuery(decontamination, sql.DECONTAMINATION),
     "op2_ngram_jaccard": LlmQuery(ngram_jaccard, sql.JACCARD),
@@ -155,4 +160,5 @@ QUERIES: dict[str, LlmQuery] = {
     "op8_packing": LlmQuery(packed_sequences),
     "op9_personal_data": LlmQuery(personal_data),
     "op10_language_id": LlmQuery(language_id),
+    "op13_merkle_manifest": LlmQuery(merkle_manifest, sql.MERKLE),
 }

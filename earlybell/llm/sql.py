@@ -232,3 +232,65 @@ SELECT origin, row_id, path, CASE WHEN license IS NOT NULL THEN license WHEN low
   CASE WHEN license IS NULL THEN spot END AS declared_in
 FROM own LEFT JOIN nearest USING (dir)
 """
+
+MERKLE = """
+WITH RECURSIVE
+parts AS (
+  SELECT doc_id, n_chars, coalesce('=' || lang, '-') AS tree,
+    coalesce(concat(strlen(CAST(doc_id AS VARCHAR)), ':', doc_id), '-')
+      || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail,
+    xor(4294967295::BIGINT, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ord(c)::BIGINT)),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda r, i: xor(r >> 1, (r & 1) * 3988292384::BIGINT)))) % 7 = 0 AS drilled
+  FROM documents
+),
+leaves AS (
+  SELECT doc_id, tree, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    CASE WHEN drilled AND n_chars IS NOT NULL
+      THEN sha256(head || strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1) || tail) END AS changed
+  FROM parts
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n
+  FROM leaves
+),
+nodes AS (
+  SELECT 0 AS level, tree, pos, n, leaf AS digest FROM placed
+  UNION ALL
+  SELECT level + 1, tree, pos // 2, any_value((n + 1) // 2), sha256(string_agg(digest, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY level, tree, pos // 2
+),
+subroots AS (
+  SELECT tree, digest AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+),
+tops AS (
+  SELECT 0 AS level, pos, n, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, any_value((n + 1) // 2), sha256(string_agg(digest, '' ORDER BY pos))
+  FROM tops WHERE n > 1 GROUP BY level, pos // 2
+),
+low AS (
+  SELECT doc_id, tree, leaf, pos AS leaf_pos, 0 AS level, pos, n, '' AS siblings, coalesce(changed, leaf) AS folded FROM placed
+  UNION ALL
+  SELECT l.doc_id, l.tree, l.leaf, l.leaf_pos, l.level + 1, l.pos // 2, (l.n + 1) // 2, l.siblings || coalesce(s.digest, ''),
+    sha256(CASE WHEN s.digest IS NULL THEN l.folded WHEN l.pos % 2 = 0 THEN l.folded || s.digest ELSE s.digest || l.folded END)
+  FROM low l LEFT JOIN nodes s ON s.level = l.level AND s.tree = l.tree AND s.pos = xor(l.pos, 1)
+  WHERE l.n > 1
+),
+high AS (
+  SELECT l.doc_id, l.tree, l.leaf, l.leaf_pos, r.subroot, 0 AS level, r.pos, r.n, l.siblings, l.folded
+  FROM low l JOIN subroots r USING (tree) WHERE l.n = 1
+  UNION ALL
+  SELECT l.doc_id, l.tree, l.leaf, l.leaf_pos, l.subroot, l.level + 1, l.pos // 2, (l.n + 1) // 2, l.siblings || coalesce(s.digest, ''),
+    sha256(CASE WHEN s.digest IS NULL THEN l.folded WHEN l.pos % 2 = 0 THEN l.folded || s.digest ELSE s.digest || l.folded END)
+  FROM high l LEFT JOIN tops s ON s.level = l.level AND s.pos = xor(l.pos, 1)
+  WHERE l.n > 1
+)
+SELECT h.doc_id, h.leaf, h.subroot, t.digest AS root, sha256(h.siblings) AS proof_sha256, h.folded AS folded_root,
+  h.folded = t.digest AS verified
+FROM high h CROSS JOIN (SELECT digest FROM tops WHERE n = 1) t
+WHERE h.n = 1
+"""
