@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from earlybell.llm import (
     decontaminate,
+    gnat,
     jaccard,
     language,
     licenses,
@@ -145,6 +146,10 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gnat.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proofs(table(spark, sf_dir, "documents"))
 
@@ -160,5 +165,6 @@ QUERIES: dict[str, LlmQuery] = {
     "op8_packing": LlmQuery(packed_sequences),
     "op9_personal_data": LlmQuery(personal_data),
     "op10_language_id": LlmQuery(language_id),
+    "op11_hard_negatives": LlmQuery(hard_negatives, sql.HARD_NEGATIVES),
     "op13_merkle_manifest": LlmQuery(merkle_manifest, sql.MERKLE),
 }

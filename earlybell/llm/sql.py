@@ -294,3 +294,23 @@ SELECT h.doc_id, h.leaf, h.subroot, t.digest AS root, sha256(h.siblings) AS proo
 FROM high h CROSS JOIN (SELECT digest FROM tops WHERE n = 1) t
 WHERE h.n = 1
 """
+
+HARD_NEGATIVES = """
+WITH taken AS MATERIALIZED (
+  SELECT row_number() OVER () AS k, CAST(vec_id AS BIGINT) AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), own AS (
+  SELECT * FROM taken WHERE len(q) = (SELECT len(q) FROM taken GROUP BY len(q) ORDER BY count(*) DESC, len(q) DESC LIMIT 1)
+), scores AS MATERIALIZED (
+  SELECT a.k AS anchor, a.id AS anchor_id, v.k, v.id, v.label = a.label AS same, CAST(list_inner_product(a.q, v.q) AS BIGINT) AS score
+  FROM own a JOIN own v ON a.id % 100 = 0 AND v.k <> a.k
+), positives AS (
+  SELECT * FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor, p.k ORDER BY n.score DESC, n.id) AS INTEGER) AS "rank",
+  n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON n.anchor = p.anchor AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor, p.k ORDER BY n.score DESC, n.id) <= 5
+"""
