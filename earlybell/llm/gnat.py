@@ -308,7 +308,8 @@ def search(index: Index, asked: DataFrame, same: bool, count: int, own_leaf: boo
     requests = requests.groupBy("leaf", block.alias("block")).agg(
         F.collect_list(F.struct("key", "label", "vector", "windows")).alias("anchors")
     )
-    met = requests.select("leaf", "anchors").join(index.chunks, "leaf").select("anchors", "held")
+    # requests outgrow the estimate of what they are planned from: no broadcast on its word
+    met = requests.select("leaf", "anchors").join(index.chunks.hint("merge"), "leaf").select("anchors", "held")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple[np.ndarray, ...]] = []
