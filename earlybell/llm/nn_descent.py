@@ -45,16 +45,16 @@ PLACE = 12
 
 @dataclass(frozen=True)
 class Settings:
-    neighbours: int = 28
+    neighbours: int = 30
     #: backward edges that join a pivot's comparison and, at last, the graph
     backward: int = 20
     shard: int = 1024
-    rounds: int = 8
+    rounds: int = 7
     #: rounds end when fewer than this share of the edges is fresh
     settled: float = 0.04
-    beam: int = 160
+    beam: int = 256
     #: nodes that a query expands in one step
-    step: int = 56
+    step: int = 80
     #: entry nodes, by a hash, for queries that are no nodes
     entries: int = 512
     block: int = 256
@@ -309,8 +309,8 @@ def _cut(found: list[tuple[np.ndarray, ...]], count: int) -> tuple[np.ndarray, .
 
 
 def _lists_of(a: np.ndarray, b: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
-    at = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.zeros(0, int)
-    end = np.r_[at[1:], len(a)]
+    at = np.flatnonzero(np.r_[True, a[1:] != a[:-1]][: len(a)])
+    end = np.r_[at[1:], len(a)][: len(at)]
     b, s = b.astype("<i8"), s.astype("<f4")
     bs = [b[x:y].tobytes() for x, y in zip(at, end, strict=True)]
     ss = [s[x:y].tobytes() for x, y in zip(at, end, strict=True)]
@@ -406,9 +406,11 @@ def _met(requests: DataFrame, shards: DataFrame, blocks: int, *columns: str) ->
 
 
 def _by_shard(addresses: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    if not len(addresses):
+        return []
     addresses = np.sort(addresses)
     shard = addresses >> PLACE
-    cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]) if len(shard) else []
+    cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
     return [(int(shard[x]), addresses[x:y]) for x, y in zip(cuts, [*cuts[1:], len(shard)], strict=True)]
 
 

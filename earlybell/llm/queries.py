@@ -16,6 +16,7 @@ from earlybell.llm import (
     language,
     licenses,
     merkle,
+    nn_descent,
     packing,
     pii,
     quality,
@@ -150,6 +151,10 @@ def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gnat.hard_negatives(table(spark, sf_dir, "embeddings"))
 
 
+def neighbour_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proofs(table(spark, sf_dir, "documents"))
 
@@ -166,5 +171,6 @@ QUERIES: dict[str, LlmQuery] = {
     "op9_personal_data": LlmQuery(personal_data),
     "op10_language_id": LlmQuery(language_id),
     "op11_hard_negatives": LlmQuery(hard_negatives, sql.HARD_NEGATIVES),
+    "op12_neighbour_search": LlmQuery(neighbour_search),
     "op13_merkle_manifest": LlmQuery(merkle_manifest, sql.MERKLE),
 }
