@@ -278,36 +278,42 @@ def grade_returns_daily(
     )
 
 
-def compounded_return(pairs: Column) -> Column:
-    """Growth of day-ordered ``struct(day, r)`` pairs minus one."""
-    return F.aggregate(
-        F.array_sort(pairs), F.lit(1.0), lambda acc, x: acc * (F.lit(1.0) + x["r"]), lambda acc: acc - F.lit(1.0)
-    )
-
-
-def maximum_drawdown(pairs: Column) -> Column:
-    """Worst fall of the compounded value below its peak; the value starts at 1."""
-    start = F.struct(F.lit(1.0).alias("nav"), F.lit(1.0).alias("peak"), F.lit(0.0).alias("worst"))
-
-    def step(acc, x):
-        nav = acc["nav"] * (F.lit(1.0) + x["r"])
-        peak = F.greatest(acc["peak"], nav)
-        return F.struct(
-            nav.alias("nav"), peak.alias("peak"), F.least(acc["worst"], nav / peak - F.lit(1.0)).alias("worst")
-        )
-
-    return F.aggregate(F.array_sort(pairs), start, step, lambda acc: acc["worst"])
-
-
-def _daily_pairs(value: str, day: str) -> Column:
-    # one pair per day of a grade: bounded by the calendar
-    return F.collect_list(F.when(F.col(value).isNotNull(), F.struct(F.col(day).alias("day"), F.col(value).cast("double").alias("r"))))
+def ordered_growth(rows: DataFrame, keys: Sequence[str], day: str, value: str, span: int = 64) -> DataFrame:
+    """Per key: ``growth``, the product of 1 + r over its days, ``worst_fall``, the lowest value
+    relative to the peak before it when it starts at 1 (W19, W20).
+
+    Days are cut into ranges of ``span``. A range's summary (product, highest and lowest value,
+    worst fall inside) says all that the ranges after it need to know, so summaries are
+    combined in the order of the ranges: only they are shuffled by key, and no list of a key's
+    days is built. Null returns are left out; returns are at least -1.
+    """
+    key = list(keys)
+    rows = rows.where(F.col(value).isNotNull()).select(
+        *key, F.col(day).alias("_day"), (F.col(value).cast("double") + 1).alias("_f"), F.floor(F.unix_date(day) / span).alias("_range")
+    )
+    inside = Window.partitionBy(*key, "_range").orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
+    valued = rows.withColumn("_nav", F.product("_f").over(inside))
+    valued = valued.withColumn("_peak", F.max("_nav").over(inside))
+    ranges = valued.groupBy(*key, "_range").agg(
+        F.product("_f").alias("_growth"),
+        F.max("_nav").alias("_high"),
+        F.min("_nav").alias("_low"),
+        F.min(F.coalesce(F.try_divide("_nav", "_peak"), F.lit(1.0))).alias("_fall"),
+    )
+    by = Window.partitionBy(*key).orderBy("_range")
+    before = by.rowsBetween(Window.unboundedPreceding, -1)
+    entered = ranges.withColumn("_start", F.coalesce(F.product("_growth").over(before), F.lit(1.0)))
+    entered = entered.withColumn("_top", F.greatest(F.lit(1.0), F.max(F.col("_start") * F.col("_high")).over(before)))
+    fall = F.least(F.col("_fall"), F.col("_start") * F.col("_low") / F.col("_top"), F.lit(1.0)) - 1
+    return entered.groupBy(*key).agg(F.product("_growth").alias("growth"), F.min(fall).alias("worst_fall"))
 
 
 def grade_return_summary(daily: DataFrame) -> DataFrame:
     """Period statistics per broker and grade from the daily table."""
+    keys = ["broker_id", "raw_classification"]
+    growth = ordered_growth(daily, keys, "return_date", "daily_return").select(*keys, "growth")
     return (
-        daily.groupBy("broker_id", "raw_classification")
+        daily.groupBy(*keys)
         .agg(
             F.min("return_date").alias("return_start_date"),
             F.max("return_date").alias("return_end_date"),
@@ -318,8 +324,8 @@ def grade_return_summary(daily: DataFrame) -> DataFrame:
             F.sum(F.col("daily_return").cast("decimal(28,18)")).alias("_daily_sum"),
             F.sum(F.col("return_sum").cast("decimal(28,15)")).alias("_stock_sum"),
             F.sum("positive_return_security_count").alias("positive_return_stock_day_count"),
-            _daily_pairs("daily_return", "return_date").alias("_pairs"),
         )
+        .join(growth, keys, "left")
         .select(
             "broker_id",
             "raw_classification",
@@ -332,9 +338,7 @@ def grade_return_summary(daily: DataFrame) -> DataFrame:
             "positive_return_stock_day_count",
             S.rate("valid_return_stock_day_count", "classified_stock_day_count", 10).alias("return_coverage_rate"),
             F.round(F.col("_daily_sum").cast("double") / F.nullif("valid_return_trading_day_count", F.lit(0)), 10).alias("mean_equal_weight_daily_return"),
-            F.when(
-                F.col("valid_return_trading_day_count") > 0, F.round(compounded_return(F.col("_pairs")), 10)
-            ).alias("compounded_equal_weight_return"),
+            F.round(F.col("growth") - 1, 10).alias("compounded_equal_weight_return"),
             F.round(F.col("_stock_sum").cast("double") / F.nullif("valid_return_stock_day_count", F.lit(0)), 10).alias("stock_day_weighted_mean_return"),
             S.rate("positive_return_stock_day_count", "valid_return_stock_day_count", 10).alias("positive_return_rate"),
         )
@@ -452,13 +456,14 @@ def grade_market_stats(history: DataFrame, prices: DataFrame, window: tuple, mod
         F.sum("n").alias("valid_stock_day_count"),
         F.count("daily_return").alias("valid_trading_day_count"),
         F.stddev_samp("daily_return").alias("sd"),
-        _daily_pairs("daily_return", DAY).alias("pairs"),
     )
+    falls = ordered_growth(per_day, ["model", "grade"], DAY, "daily_return").select("model", "grade", "worst_fall")
     grid_rows = R.literal_rows(history.sparkSession, ("model", "grade"), [(m, g) for m, _ in models for g in R.GRADES])
     dense = (
         F.broadcast(grid_rows)
         .join(stats, ["model", "grade"], "left")
         .join(distinct, ["model", "grade"], "left")
+        .join(falls, ["model", "grade"], "left")
         .fillna(0, ["valid_stock_day_count", "valid_trading_day_count", "distinct_stock_count"])
     )
     n = F.nullif(F.col("valid_stock_day_count"), F.lit(0))
@@ -468,7 +473,7 @@ def grade_market_stats(history: DataFrame, prices: DataFrame, window: tuple, mod
         "grade",
         F.round(F.col("amplitude") / n, 6).alias("mean_amplitude"),
         F.when(enough, F.round(F.col("sd") * F.sqrt(F.lit(252.0)), 6)).alias("annual_volatility"),
-        F.when(F.col("valid_trading_day_count") > 0, F.round(maximum_drawdown(F.col("pairs")), 6)).alias("maximum_drawdown"),
+        F.round("worst_fall", 6).alias("maximum_drawdown"),
         F.round(F.col("amount") / n / YI, 9).alias("mean_amount_yi"),
         "valid_trading_day_count",
         "valid_stock_day_count",

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from earlybell import rules as R
 from earlybell.functions import scalars as S
 from earlybell.operators.panel import DAY
+from earlybell.sources.staging import store
 
 BOM = "\ufeff"
 
@@ -70,43 +71,78 @@ def read_json_records(spark: SparkSession, *paths: str, fields: Sequence[str] |
     return df.select(F.explode(F.coalesce("data", bare)).alias("r")).select("r.*")
 
 
-def read_preamble_csv(spark: SparkSession, *paths: str, columns: Sequence[str] = ("biz_date", "stk_code")) -> DataFrame:
-    """CSV whose header follows free-text lines; the header starts with ``biz_date`` (S3).
+def _preamble_lines(spark: SparkSession, paths: Sequence[str], column: str) -> DataFrame:
+    """Lines with their file, their place in it, whether they can be its header, and quote parity.
 
-    Lines are ordered within their file by (split offset, row id), so a file may be
-    split over many tasks. The header rows are one per file.
+    Lines are ordered within their file by (split offset, row id), so a file may be split
+    over many tasks. Only the start of a line is looked at to tell a header.
     """
-    cell = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-    clean = lambda c: F.regexp_replace(F.trim(c), '^["\']|["\']$', "")
-    lines = spark.read.text(list(paths)).select(
+    start = f"^[{BOM} \\t]*[\"']?{column}[\"']?[ \\t]*(,|$)"
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return spark.read.text(list(paths)).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.struct(
             F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
         ).alias("at"),
-        F.transform(F.split(F.regexp_replace("value", f"^[{BOM} \\t]+", ""), cell), clean).alias("cells"),
+        F.regexp_replace("value", f"^[{BOM}]+", "").alias("line"),
+        F.col("value").rlike(start).alias("starts"),
+        (quotes % 2 == 1).alias("open_quote"),
     )
-    headers = (
-        lines.where(F.get("cells", F.lit(0)) == columns[0])
-        .groupBy("file_path")
-        .agg(F.min(F.struct("at", "cells")).alias("h"))
+
+
+def _preamble_headers(lines: DataFrame) -> DataFrame:
+    """The first header line of each file: a stored side table of one row per file."""
+    found = lines.where("starts AND NOT open_quote").groupBy("file_path").agg(F.min(F.struct("at", "line")).alias("h"))
+    return store(found.select("file_path", F.col("h.at").alias("header_at"), F.col("h.line").alias("header")), "preamble_headers")
+
+
+def _cells(line: str, width: int) -> Column:
+    """The cells of a CSV line as an array, trimmed and without single quotes around them."""
+    layout = ", ".join(f"c{k} string" for k in range(width))
+    options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
+    parsed = F.from_csv(F.col(line), layout, options)
+    bare = lambda c: F.regexp_replace(F.trim(c), "^'|'$", "")
+    return F.transform(F.array(*[parsed[f"c{k}"] for k in range(width)]), bare)
+
+
+def read_preamble_csv(spark: SparkSession, *paths: str, columns: Sequence[str] = ("biz_date", "stk_code")) -> DataFrame:
+    """CSV whose header follows free-text lines; the header starts with ``biz_date`` (S3).
+
+    Each line is parsed once, in time that grows with its length, to the width of the widest
+    header; the file's header says which cells are asked for, so files of different layouts
+    are read together. Lines before the header, files without one, and lines with an open
+    quote give no rows: ``preamble_findings`` names the latter two.
+    """
+    lines = _preamble_lines(spark, paths, columns[0])
+    headers = _preamble_headers(lines)
+    commas = F.length("header") - F.length(F.replace("header", F.lit(","), F.lit("")))
+    width = (headers.agg(F.max(commas)).first()[0] or 0) + 1
+    named = headers.select("file_path", "header_at", _cells("header", width).alias("names"))
+    body = lines.where("NOT open_quote").join(named, "file_path").where(F.col("at") > F.col("header_at"))
+    cut = body.select("file_path", "names", _cells("line", width).alias("cells"))
+    place = lambda c: (F.array_position("names", c) - 1).cast("int")
+    picked = cut.select("file_path", *[F.get("cells", place(c)).alias(c) for c in columns])
+    return picked.withColumn(columns[0], S.convert(columns[0], "date"))
+
+
+def preamble_findings(spark: SparkSession, *paths: str, column: str = "biz_date") -> DataFrame:
+    """Per file: that no line starts its header, or how many lines after it end inside a quoted cell (S3).
+
+    A cell with a line break is cut by the line reader; both of its halves have an open quote.
+    """
+    lines = _preamble_lines(spark, paths, column)
+    headers = _preamble_headers(lines).select("file_path", "header_at")
+    after = lines.join(headers, "file_path", "left")
+    per_file = after.groupBy("file_path").agg(
+        F.count("*").alias("lines"),
+        F.max(F.col("header_at").isNotNull()).alias("has_header"),
+        F.count_if(F.col("open_quote") & (F.col("at") > F.col("header_at"))).alias("cut"),
     )
-    body = lines.join(headers, "file_path").where(F.col("at") > F.col("h.at"))  # see headerless_files
-    return body.select(
-        "file_path",
-        *[
-            F.get("cells", (F.array_position("h.cells", c) - 1).cast("int")).alias(c)
-            for c in columns
-        ],
-    ).withColumn(columns[0], S.convert(columns[0], "date"))
-
-
-def headerless_files(spark: SparkSession, *paths: str, column: str = "biz_date") -> DataFrame:
-    """Finding per file that ``read_preamble_csv`` gives no rows of, as no line starts its header (S3)."""
-    first = F.regexp_replace(F.trim(F.split(F.regexp_replace("value", f"^[{BOM} \\t]+", ""), ",")[0]), '^["\']|["\']$', "")
-    per_file = spark.read.text(list(paths)).groupBy(F.col("_metadata.file_path").alias("file_path"))
-    return per_file.agg(F.count("*").alias("lines"), F.max(first == column).alias("has_header")).where("NOT has_header").select(
-        F.lit("HEADER_MISSING").alias("code"), F.lit("ERROR").alias("severity"), "file_path", "lines"
+    found = F.when(~F.col("has_header"), F.struct(F.lit("HEADER_MISSING").alias("code"), F.col("lines").alias("n"))).when(
+        F.col("cut") > 0, F.struct(F.lit("OPEN_QUOTE").alias("code"), F.col("cut").alias("n"))
     )
+    out = per_file.select("file_path", found.alias("x")).where("x IS NOT NULL")
+    return out.select("x.code", F.lit("ERROR").alias("severity"), "file_path", F.col("x.n").alias("lines"))
 
 
 def quarter_file_set(files: DataFrame) -> DataFrame:

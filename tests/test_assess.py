@@ -1,5 +1,7 @@
 import random
+from datetime import date, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from earlybell import rules as R
@@ -209,15 +211,24 @@ def test_composite_needs_the_full_sample(spark):
     assert {(r.composite_score, r.sample_status) for r in part} == {(None, "INCOMPLETE_SAMPLE")}
 
 
-def test_drawdown_and_compounding(spark):
-    df = spark.sql("SELECT * FROM VALUES (1, 0.1D), (2, -0.5D), (3, 0.2D) AS t(day, r)")
-    pairs = F.collect_list(F.struct("day", "r"))
-    r = df.agg(F.round(grades.maximum_drawdown(pairs), 9).alias("d"), F.round(grades.compounded_return(pairs), 9).alias("c")).first()
-    assert (r.d, r.c) == (-0.5, round(1.1 * 0.5 * 1.2 - 1, 9))
-    rising = df.where("r > 0").agg(grades.maximum_drawdown(pairs).alias("d")).first()
-    assert rising.d == 0.0
-    falling = df.where("r < 0").agg(grades.maximum_drawdown(pairs).alias("d")).first()
-    assert falling.d == -0.5  # the value starts at one
+@pytest.mark.parametrize("span", [1, 2, 5, 64])
+def test_drawdown_and_compounding(spark, span):
+    rng = random.Random(span)
+    returns = {"flat": [], "one": [-0.5], "up": [0.1, 0.2], "lost": [0.5, -1.0, 0.3], "mixed": [0.1, -0.5, 0.2]}
+    returns |= {f"k{n}": [rng.choice([None, 0.0, rng.uniform(-0.6, 0.8)]) for _ in range(n)] for n in (3, 17, 40)}
+    rows = [(k, date(2023, 12, 20) + timedelta(days=3 * i), r) for k, rs in returns.items() for i, r in enumerate(rs)]
+    got = grades.ordered_growth(spark.createDataFrame(rows, "k string, day date, r double"), ["k"], "day", "r", span).collect()
+    want = {}
+    for k, rs in returns.items():
+        nav = peak = 1.0
+        worst = 0.0
+        for r in (r for r in rs if r is not None):
+            nav *= 1 + r
+            peak = max(peak, nav)
+            worst = min(worst, nav / peak - 1)
+        if any(r is not None for r in rs):
+            want[k] = (pytest.approx(nav, abs=1e-12), pytest.approx(worst, abs=1e-12))
+    assert {r.k: (r.growth, r.worst_fall) for r in got} == want
 
 
 def test_model_pairs_and_tags(spark):

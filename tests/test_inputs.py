@@ -53,8 +53,29 @@ def test_file_without_header_is_a_finding(spark, tmp_path):
     (tmp_path / "b.csv").write_text("note\n2024-01-02,600000.SH\n")
     paths = [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
     assert readers.read_preamble_csv(spark, *paths).count() == 1
-    found = readers.headerless_files(spark, *paths).collect()
-    assert [(r.file_path.rsplit("/", 1)[-1], r.lines) for r in found] == [("b.csv", 2)]
+    found = readers.preamble_findings(spark, *paths).collect()
+    assert [(r.code, r.file_path.rsplit("/", 1)[-1], r.lines) for r in found] == [("HEADER_MISSING", "b.csv", 2)]
+
+
+def test_quotes_and_long_lines_of_preamble_files(spark, tmp_path):
+    long = "x" * 1_000_000
+    (tmp_path / "a.csv").write_text(
+        'note "open\nbiz_date, note ,stk_code\n'
+        '2024-01-02,"a, ""b"", c",600000.SH\n'
+        '2024-01-03,"cut\nhere",600001.SH\n'
+        f"2024-01-04,{long},600002.SH\n"
+        f'2024-01-05,"{"q," * 300_000}",600003.SH\n'
+        "2024-01-06,'s','600004.SH'\n2024-01-07\n",
+        encoding="utf-8",
+    )
+    got = readers.read_preamble_csv(spark, str(tmp_path / "a.csv"), columns=("biz_date", "stk_code", "note")).collect()
+    assert [(str(r.biz_date), r.stk_code) for r in sorted(got, key=lambda r: r.biz_date)] == [
+        ("2024-01-02", "600000.SH"), ("2024-01-04", "600002.SH"), ("2024-01-05", "600003.SH"), ("2024-01-06", "600004.SH"), ("2024-01-07", None),
+    ]
+    notes = {str(r.biz_date): r.note for r in got}
+    assert notes["2024-01-02"] == 'a, "b", c' and notes["2024-01-04"] == long and notes["2024-01-06"] == "s"
+    found = readers.preamble_findings(spark, str(tmp_path / "a.csv")).collect()
+    assert [(r.code, r.lines) for r in found] == [("OPEN_QUOTE", 2)]
 
 
 def test_two_grades_of_one_day_conflict(spark):

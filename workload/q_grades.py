@@ -187,10 +187,8 @@ def g12(d: Domain):
     SELECT security_code, round(ln(product(1 + r)), 6) AS log_growth FROM p WHERE r IS NOT NULL GROUP BY 1""",
 )
 def w20(d: Domain):
-    pairs = F.collect_list(F.struct(F.col(DAY).alias("day"), F.col("r")))
-    return _own_returns(d).groupBy("security_code").agg(
-        F.round(F.ln(grades.compounded_return(pairs) + 1), 6).alias("log_growth")
-    )
+    folded = grades.ordered_growth(_own_returns(d), ["security_code"], DAY, "r", span=8)
+    return folded.select("security_code", F.round(F.ln("growth"), 6).alias("log_growth"))
 
 
 def _own_returns(d: Domain):
@@ -209,10 +207,8 @@ def _own_returns(d: Domain):
     SELECT security_code, round(least(0.0::DOUBLE, min(nav / peak - 1)), 6) AS maximum_drawdown FROM n GROUP BY 1""",
 )
 def w19(d: Domain):
-    pairs = F.collect_list(F.struct(F.col(DAY).alias("day"), F.col("r")))
-    return _own_returns(d).groupBy("security_code").agg(
-        F.round(grades.maximum_drawdown(pairs), 6).alias("maximum_drawdown")
-    )
+    folded = grades.ordered_growth(_own_returns(d), ["security_code"], DAY, "r", span=8)
+    return folded.select("security_code", F.round("worst_fall", 6).alias("maximum_drawdown"))
 
 
 # --- two-model tables -------------------------------------------------------

@@ -10,22 +10,17 @@ from pyspark.sql import functions as F
 
 from earlybell import rules as R
 from earlybell.functions import scalars as S
-from earlybell.operators import events, foundation, gate, panel
+from earlybell.operators import cache_import, events, foundation, gate, panel
 from earlybell.operators.panel import DAY
 from earlybell.sources import mapping, readers, sinks
 from earlybell.sources.staging import new_path
 from workload.domain import BROKERS, CODE_DIGITS, END, START, Domain
+from workload.imports import IMPORT_SQL, imported, text_files as _csv
 from workload.q_assess import dbl
 from workload.q_store import SIX_SQL, _fact_rows
 from workload.registry import query
 
 
-def _csv(d: Domain, df, name: str) -> str:
-    path = new_path(d.spark, name)
-    df.write.option("header", True).option("emptyValue", "").csv(path)
-    return path
-
-
 @query(
     "s1_text_csv",
     "SELECT o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey, CASE WHEN o_orderstatus = 'P' THEN '' ELSE o_orderstatus END AS status, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate FROM orders",
@@ -61,23 +56,24 @@ def s2(d: Domain):
     return readers.read_json_records(d.spark, path, fields=fields)
 
 
-@query(
-    "s3_preamble_csv",
-    "SELECT biz_date, stk_code FROM wide",
-)
-def s3(d: Domain):
-    """Files with two lines of preamble before the header; a day is dealt out to four files."""
+def _preamble_files(d: Domain) -> str:
+    """Files of a day and every fourth user with two lines of preamble, in two layouts; those of
+    the 9th have no header, and every 23rd user's line has an open quote."""
     path = new_path(d.spark, "preamble")
+    user = F.substring_index("stk_code", ".", 1).cast("long")
+    part, grade = F.pmod(user, F.lit(4)), F.lit('"x, y"')
+    quote = F.when(user % 23 == 5, '"').otherwise("")
+    code = F.concat(quote, "stk_code")
+    day = F.col("biz_date").cast("string")
     body = d.wide.select(
         "biz_date",
-        F.pmod(F.xxhash64("stk_code"), F.lit(4)).alias("part"),
-        F.concat_ws(",", F.col("biz_date").cast("string"), "stk_code", F.lit("x")).alias("line"),
+        part.alias("part"),
+        F.when(part == 3, F.concat_ws(",", day, grade, code)).otherwise(F.concat_ws(",", day, code, grade)).alias("line"),
         F.lit(3).alias("rank"),
     )
-    first = ("exported history", "2024-01-01,000000.SH", "biz_date,stk_code,grade")
-    lead = body.select("biz_date", "part").distinct().select(
-        "biz_date", "part", F.posexplode(F.array(*[F.lit(x) for x in first])).alias("rank", "line")
-    )
+    header = F.when(F.dayofmonth("biz_date") == 9, "no header here").when(F.col("part") == 3, "biz_date,grade,stk_code")
+    first = F.array(F.lit("exported history"), F.lit('2024-01-01,"000000.SH'), header.otherwise("biz_date,stk_code,grade"))
+    lead = body.select("biz_date", "part").distinct().select("biz_date", "part", F.posexplode(first).alias("rank", "line"))
     (
         lead.select("biz_date", "part", "line", "rank")
         .unionByName(body)
@@ -87,7 +83,26 @@ def s3(d: Domain):
         .write.partitionBy("day", "part")
         .text(path)
     )
-    return readers.read_preamble_csv(d.spark, f"{path}/*/*/").drop("file_path")
+    return f"{path}/*/*/"
+
+
+@query(
+    "s3_preamble_csv",
+    "SELECT biz_date, stk_code FROM wide WHERE day(biz_date) <> 9 AND split_part(stk_code, '.', 1)::BIGINT % 23 <> 5",
+)
+def s3(d: Domain):
+    return readers.read_preamble_csv(d.spark, _preamble_files(d)).drop("file_path")
+
+
+@query(
+    "s3_preamble_findings",
+    """x AS (SELECT biz_date, split_part(stk_code, '.', 1)::BIGINT % 4 AS part, count(*) AS n, count(*) FILTER (WHERE split_part(stk_code, '.', 1)::BIGINT % 23 = 5) AS cut FROM wide GROUP BY 1, 2)
+    SELECT code, count(*) AS files, sum(n)::BIGINT AS lines FROM (SELECT CASE WHEN day(biz_date) = 9 THEN 'HEADER_MISSING' WHEN cut > 0 THEN 'OPEN_QUOTE' END AS code, CASE WHEN day(biz_date) = 9 THEN n + 3 ELSE cut END AS n FROM x)
+    WHERE code IS NOT NULL GROUP BY 1""",
+)
+def s3_findings(d: Domain):
+    found = readers.preamble_findings(d.spark, _preamble_files(d))
+    return found.groupBy("code").agg(F.count("*").alias("files"), F.sum("lines").alias("lines"))
 
 
 @query(
@@ -251,17 +266,36 @@ def _rules():
 
 
 @query(
-    "s14_cache_import",
+    "s14_lifecycle_counts",
     """l AS (SELECT * FROM sec WHERE listed_date <= DATE '2024-01-02'), f AS (SELECT 'daily_price_unadjusted' AS dataset_id, security_code, d FROM daily UNION ALL SELECT 'daily_st_status', security_code, d FROM st_changes)
     SELECT dataset_id, count(*) FILTER (WHERE k AND i) AS kept_rows, count(*) FILTER (WHERE k AND NOT i) AS outside_lifecycle_rows, count(*) FILTER (WHERE NOT k) AS unknown_security_rows
     FROM (SELECT f.*, l.security_code IS NOT NULL AS k, f.d >= l.listed_date AND (l.delisted_date IS NULL OR f.d < l.delisted_date) AS i FROM f LEFT JOIN l USING (security_code)) GROUP BY 1""",
 )
-def s14(d: Domain):
+def s14_counts(d: Domain):
     tag = lambda df, n: df.select(F.lit(n).alias("dataset_id"), *R.KEY, F.col(DAY).alias("business_date"))
     facts = tag(d.daily, "daily_price_unadjusted").unionByName(tag(d.st_changes, "daily_st_status"))
     return foundation.outside_lifecycle_counts(facts, d.life.where(F.col("listed_date") <= F.lit(date(2024, 1, 2))))
 
 
+@query(
+    "s14_cache_import",
+    IMPORT_SQL
+    + """ SELECT dataset_id, count(*) FILTER (WHERE verdict = 'K') AS kept_rows, count(*) FILTER (WHERE verdict = 'O') AS outside_lifecycle_rows,
+      count(*) FILTER (WHERE verdict = 'U') AS unknown_security_rows, count(*) FILTER (WHERE verdict = 'I') AS invalid_rows, count(*) FILTER (WHERE verdict = 'K') AS written_rows,
+      count(*) FILTER (WHERE verdict = 'K' AND flag) AS set_flags, coalesce(sum(v) FILTER (WHERE verdict = 'K'), 0)::DOUBLE AS value_total FROM met GROUP BY 1""",
+)
+def s14(d: Domain):
+    """Six datasets from five files and JSON; what was counted beside the write, and what the files hold."""
+    _, result = imported(d)
+    flags = F.coalesce("is_trading_day", "is_st", "is_suspended", F.lit(False))
+    held = cache_import.read_import(d.spark, result.path).groupBy("dataset_id").agg(
+        F.count("*").alias("written_rows"),
+        F.count_if(flags).alias("set_flags"),
+        F.sum(F.coalesce("close_price", "limit_up_price", F.lit(0).cast("decimal(24,6)"))).cast("double").alias("value_total"),
+    )
+    return result.counts.join(held, "dataset_id", "left")
+
+
 @query(
     "s15_business_date_extent",
     "SELECT min(o_orderdate)::DATE AS min_date, max(o_orderdate)::DATE AS max_date, count(*) AS row_count, make_date(year(max(o_orderdate)), 1, 1) AS recommended_start, year(max(o_orderdate)) || 'Q' || quarter(max(o_orderdate)) AS quarter FROM orders",

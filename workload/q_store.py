@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from earlybell import rules as R
 from earlybell.functions import scalars as S
-from earlybell.operators import compare, foundation, gate, panel, ranking, store
+from earlybell.operators import cache_import, candidate, compare, foundation, gate, panel, ranking, store
 from earlybell.operators.panel import DAY
 from earlybell.sources import sinks
 from earlybell.sources.staging import new_path
 from workload.domain import CODE_DIGITS, END, RULES, START, Domain
+from workload.imports import IMPORT_SQL, imported
 from workload.q_assess import dbl
 from workload.q_calendar import COVER_SQL, OTHER_SQL, SUSP_SQL, _dated_facts, _limits, _other_life, _suspension
 from workload.registry import query
@@ -509,6 +510,65 @@ def q23(d: Domain):
     return foundation.complete_dates(facts, d.days, ("daily_price_unadjusted", "daily_st_status"), R.RISK_MARKETS)
 
 
+_MUTATED = {"daily_price_unadjusted": 23, "daily_st_status": 22, "instrument_master_history": 24}
+
+
+def _candidate(d: Domain):
+    """The imported facts, and what a faulty store may hold instead of them: values changed below
+    an old hash, price facts of the 25th lost and those of the 26th written twice."""
+    sources, result = imported(d)
+    facts = cache_import.read_import(d.spark, result.path)
+    day, of = F.dayofmonth("business_date"), F.col("dataset_id")
+    hit = lambda name: (of == name) & (day == _MUTATED[name])
+    prices = of == "daily_price_unadjusted"
+    changed = (
+        facts.where(~(prices & (day == 25)))
+        .withColumn("close_price", F.when(hit("daily_price_unadjusted"), (F.col("close_price") + 1).cast("decimal(24,6)")).otherwise(F.col("close_price")))
+        .withColumn("is_st", F.when(~hit("daily_st_status"), F.col("is_st")))
+        .withColumn("board_code", F.when(hit("instrument_master_history"), "ZZ").otherwise(F.col("board_code")))
+    )
+    return facts, changed.unionByName(changed.where(prices & (day == 26))), cache_import.records(sources).where("verdict = 'KEPT'")
+
+
+@query(
+    "q24_stored_candidate",
+    IMPORT_SQL
+    + """, kept AS (SELECT * FROM met WHERE verdict = 'K'),
+    cand AS (SELECT k.* FROM kept k WHERE NOT (dataset_id = 'daily_price_unadjusted' AND day(d) = 25) UNION ALL SELECT k.* FROM kept k WHERE dataset_id = 'daily_price_unadjusted' AND day(d) = 26),
+    life2 AS (SELECT DISTINCT k.security_code, k.market_code, s.listed_date, s.delisted_date FROM kept k JOIN sec s USING (security_code) WHERE dataset_id = 'instrument_master_history'),
+    cal2 AS (SELECT DISTINCT market_code, d FROM kept WHERE dataset_id = 'market_calendar' AND flag AND d BETWEEN DATE '2024-01-05' AND DATE '2024-01-30'),
+    ex AS (SELECT l.security_code, c.d FROM life2 l JOIN cal2 c ON c.market_code = l.market_code AND c.d >= l.listed_date AND (l.delisted_date IS NULL OR c.d < l.delisted_date)),
+    ds AS (SELECT unnest(['daily_price_unadjusted','daily_price_limits','daily_st_status','daily_suspension_status']) AS dataset_id),
+    six AS (SELECT dataset_id FROM ds UNION ALL SELECT 'market_calendar' UNION ALL SELECT 'instrument_master_history'),
+    dk AS (SELECT dataset_id, security_code, d, count(*) AS n FROM cand WHERE dataset_id IN (SELECT dataset_id FROM ds) GROUP BY 1, 2, 3),
+    mut AS (SELECT dataset_id, count(*) AS n FROM cand WHERE (dataset_id = 'daily_price_unadjusted' AND day(d) = 23) OR (dataset_id = 'daily_st_status' AND day(d) = 22) OR (dataset_id = 'instrument_master_history' AND day(d) = 24) GROUP BY 1),
+    lost AS (SELECT count(*) FILTER (WHERE day(d) = 25) AS gone, count(*) FILTER (WHERE day(d) = 26) AS twice FROM kept WHERE dataset_id = 'daily_price_unadjusted'),
+    pl AS (SELECT DISTINCT p.security_code, p.d, y.*, coalesce((SELECT bool_or(NOT s.flag) FROM cand s WHERE s.dataset_id = 'daily_suspension_status' AND s.security_code = p.security_code AND s.d = p.d), false) AS live
+      FROM cand p JOIN cand l ON l.dataset_id = 'daily_price_limits' AND l.security_code = p.security_code AND l.d = p.d JOIN daily y ON y.security_code = p.security_code AND y.d = p.d WHERE p.dataset_id = 'daily_price_unadjusted')
+    SELECT ds.dataset_id || '_duplicate_keys' AS finding, coalesce((SELECT sum(n - 1) FROM dk WHERE dk.dataset_id = ds.dataset_id), 0)::BIGINT AS issue_count FROM ds
+    UNION ALL SELECT ds.dataset_id || '_missing_keys', (SELECT count(*) FROM ex WHERE d >= CASE WHEN ds.dataset_id = 'daily_st_status' THEN DATE '2024-01-05' ELSE DATE '2024-01-08' END
+      AND NOT EXISTS (SELECT 1 FROM dk WHERE dk.dataset_id = ds.dataset_id AND dk.security_code = ex.security_code AND dk.d = ex.d)) FROM ds
+    UNION ALL SELECT ds.dataset_id || '_unexpected_keys', (SELECT count(*) FROM dk WHERE dk.dataset_id = ds.dataset_id
+      AND NOT EXISTS (SELECT 1 FROM ex WHERE dk.security_code = ex.security_code AND dk.d = ex.d AND ex.d >= CASE WHEN ds.dataset_id IN ('daily_st_status','daily_suspension_status') THEN DATE '2024-01-05' ELSE DATE '2024-01-08' END)) FROM ds
+    UNION ALL SELECT six.dataset_id || '_payload_hash_mismatch', coalesce((SELECT n FROM mut WHERE mut.dataset_id = six.dataset_id), 0) FROM six
+    UNION ALL SELECT six.dataset_id || '_catalogue_missing', CASE WHEN six.dataset_id = 'daily_price_unadjusted' THEN (SELECT twice FROM lost) ELSE 0 END FROM six
+    UNION ALL SELECT six.dataset_id || '_catalogue_extra', CASE WHEN six.dataset_id = 'daily_price_unadjusted' THEN (SELECT gone FROM lost) ELSE 0 END FROM six
+    UNION ALL SELECT six.dataset_id || '_roundtrip_missing', CASE WHEN six.dataset_id = 'daily_price_unadjusted' THEN (SELECT gone FROM lost) ELSE 0 END FROM six
+    UNION ALL SELECT six.dataset_id || '_roundtrip_extra', CASE WHEN six.dataset_id = 'daily_price_unadjusted' THEN (SELECT twice FROM lost) ELSE 0 END FROM six
+    UNION ALL SELECT 'live_price_or_limit_missing', (SELECT count(*) FROM pl WHERE live AND (n = 1 OR has_error))
+    UNION ALL SELECT 'invalid_price_relationship', (SELECT count(*) FROM pl WHERE close_price + CASE WHEN day(d) = 23 THEN 1 ELSE 0 END <= 0 OR amount < 0 OR close_price + CASE WHEN day(d) = 23 THEN 1 ELSE 0 END > high_amt
+      OR close_price + CASE WHEN day(d) = 23 THEN 1 ELSE 0 END < low_amt)
+    UNION ALL SELECT 'st_unknown', coalesce((SELECT n FROM mut WHERE dataset_id = 'daily_st_status'), 0) UNION ALL SELECT 'suspension_unknown', 0
+    UNION ALL SELECT 'normalized_price_differences', coalesce((SELECT n FROM mut WHERE dataset_id = 'daily_price_unadjusted'), 0) UNION ALL SELECT 'normalized_limit_differences', 0
+    UNION ALL SELECT 'normalized_st_differences', coalesce((SELECT n FROM mut WHERE dataset_id = 'daily_st_status'), 0)
+    UNION ALL SELECT 'normalized_master_differences', coalesce((SELECT n FROM mut WHERE dataset_id = 'instrument_master_history'), 0)""",
+)
+def q24_stored(d: Domain):
+    facts, changed, wanted = _candidate(d)
+    baseline = date(2024, 1, 5)  # the session before START
+    return candidate.validate_candidate(changed, facts, wanted, candidate.Window(baseline, START, END))
+
+
 @query(
     "q24_candidate_validation",
     SUSP_SQL
