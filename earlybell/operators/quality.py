@@ -10,12 +10,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earlybell import rules as R
 from earlybell.functions import scalars as S
 from earlybell.operators.panel import DAY, day_arrays, expected_days
+from earlybell.sources.readers import history_manifest, quarter_file_set, read_text_csv_parts
+from earlybell.sources.staging import store
 
 CODE_PATTERN = rf"^{R.CODE_DIGITS}(\.(XSHG|XSHE|XBSE))?$"
 FINDING = "table_name string, code string, severity string, field string, affected_rows bigint"
@@ -465,6 +467,48 @@ def history_integrity(history: DataFrame, days: DataFrame, end: date) -> DataFra
     )
 
 
+def history_set_findings(manifest: DataFrame, expected: Sequence[str] | None, columns: Sequence[str]) -> DataFrame:
+    """Findings that a manifest of headers alone decides (Q14): BM101 names that are missing,
+    unexpected, unreadable or leave a quarter out, BM102 headers other than ``columns``.
+
+    ``manifest`` needs file_name and header. Without ``expected``, names must be quarters
+    that follow each other.
+    """
+    names = manifest.select("file_name").distinct()
+    if expected is None:
+        odd = quarter_file_set(names).where("status <> 'OK'").select("file_name")
+    else:
+        wanted = manifest.sparkSession.createDataFrame([(n,) for n in expected], "file_name string")
+        odd = names.join(wanted, "file_name", "left_anti").union(wanted.join(names, "file_name", "left_anti"))
+    bare = F.transform(F.split("header", ","), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
+    wrong = ~F.coalesce(bare == F.array(*[F.lit(c) for c in columns]), F.lit(False))
+    layouts = manifest.where(wrong).groupBy("file_name").agg(F.count_distinct(F.coalesce("header", F.lit(""))).alias("affected_rows"))
+    return (
+        odd.select("file_name", F.lit("BM101_HISTORY_FILE_SET_MISMATCH").alias("code"), F.lit(1).cast("bigint").alias("affected_rows"))
+        .unionByName(layouts.select("file_name", F.lit("BM102_HISTORY_SCHEMA_MISMATCH").alias("code"), "affected_rows"))
+        .withColumn("severity", F.lit("ERROR"))
+    )
+
+
+def history_files_integrity(
+    spark: SparkSession, root: str, brokers: Sequence[str], days: DataFrame, end: date, expected: Sequence[str] | None = None
+) -> DataFrame:
+    """All checks of a stored quarter file set (Q14, BM101 to BM106).
+
+    File set and schema are decided by the headers; rows are read only from the files whose
+    header is right, so that no row is taken by the position of another layout.
+    """
+    columns = ("biz_date", "stk_code", *brokers)
+    manifest = store(history_manifest(spark, root), "history_manifest")
+    found = store(history_set_findings(manifest, expected, columns), "history_findings")
+    wrong = found.where(F.col("code").startswith("BM102")).select("file_name")
+    fit = [r.path for r in manifest.join(wrong, "file_name", "left_anti").select("path").collect()]  # a row per file
+    if not fit:
+        return found
+    rows = read_text_csv_parts(spark, fit).withColumn("biz_date", S.convert("biz_date", "date"))
+    return found.unionByName(history_integrity(rows.select("file_name", "biz_date", "stk_code"), days, end))
+
+
 def history_st_reconciliation(history: DataFrame, st: DataFrame, life: DataFrame, start: date, end: date) -> DataFrame:
     """Securities on only one side of history and ST, judged by lifecycle overlap."""
     both = (

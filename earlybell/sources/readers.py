@@ -168,6 +168,31 @@ def quarter_file_set(files: DataFrame) -> DataFrame:
     )
 
 
+def _quarter_name() -> Column:
+    """A file's name where it says a quarter, else that of its folder: a quarter may be a folder of parts."""
+    path = F.col("_metadata.file_path")
+    name, folder = F.regexp_extract(path, r"([^/]+)$", 1), F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
+    return F.when(name.rlike(r"\d{4}Q[1-4]"), name).otherwise(F.regexp_replace(folder, "^[^=]*=", ""))
+
+
+def history_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """Quarter name, path and first line of each history file below ``root`` (Q14)."""
+    lines = spark.read.option("recursiveFileLookup", True).text(root).where(F.col("_metadata.file_block_start") == 0)
+    per_file = lines.select(
+        _quarter_name().alias("file_name"),
+        F.col("_metadata.file_path").alias("path"),
+        F.struct(F.monotonically_increasing_id().alias("row"), F.regexp_replace("value", f"^{BOM}", "").alias("line")).alias("x"),
+    )
+    return per_file.groupBy("file_name", "path").agg(F.min("x.row").alias("row"), F.min_by("x.line", "x.row").alias("header")).drop("row")
+
+
+def read_text_csv_parts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Text CSV files of one header, with the quarter that each belongs to as ``file_name``."""
+    df = spark.read.option("header", True).option("enforceSchema", False).option("emptyValue", "").csv(list(paths))
+    named = df.select("*", _quarter_name().alias("file_name"))
+    return named.toDF(*[c.lstrip(BOM) for c in named.columns])
+
+
 def list_files(spark: SparkSession, directory: str, glob: str = "*.csv") -> DataFrame:
     """File names of a folder; contents are pruned from the scan."""
     return (

@@ -109,3 +109,23 @@ def test_users_from_a_million_on_keep_their_history(spark, tmp_path):
     assert wide.where("m IS NULL").count() == 0 and wide.count() == 3
     conflicts = QUERIES["w12_version_conflicts"].build(domain)
     assert {r.security_code for r in conflicts.collect()} == {"999999.XSHG", "1000000.XSHE"}
+
+
+def test_history_manifest_decides_before_rows_are_read(spark, tmp_path):
+    good = "﻿biz_date,stk_code,B1\n2024-01-02,600000.SH,A\n2024-01-02,600000.SH,B\n"
+    (tmp_path / "h2024Q1.csv").write_text(good, encoding="utf-8")
+    (tmp_path / "h2023Q3.csv").write_text("biz_date,B1,stk_code\nnot,read,2024\n")
+    (tmp_path / "h2023Q4.csv").mkdir()
+    (tmp_path / "h2023Q4.csv" / "part-0.csv").write_text("biz_date,stk_code,B1\n2023-12-30,600000.SH,A\n")
+    (tmp_path / "h2023Q4.csv" / "part-1.csv").write_text("biz_date,stk_code,B1\n2023-12-29,600000.SH,\n")
+    days = spark.createDataFrame([("XSHG", D(2023, 12, 29)), ("XSHG", D(2024, 1, 2))], "market_code string, trading_date date")
+
+    def found(expected):
+        df = quality.history_files_integrity(spark, str(tmp_path), ("B1",), days, D(2024, 1, 2), expected)
+        return {(r.file_name, r.code[:5], r.affected_rows) for r in df.collect()}
+
+    rows_found = {("h2024Q1.csv", "BM103", 1), ("h2023Q4.csv", "BM106", 1), ("h2023Q3.csv", "BM102", 1)}
+    assert found(None) == rows_found
+    assert found(["h2024Q1.csv", "h2023Q4.csv", "h2024Q2.csv"]) == rows_found | {("h2024Q2.csv", "BM101", 1), ("h2023Q3.csv", "BM101", 1)}
+    (tmp_path / "h2022Q1.csv").write_text("biz_date,stk_code,B1\n")
+    assert ("h2023Q3.csv", "BM101", 1) in found(None)

@@ -8,6 +8,7 @@ from earlybell import rules as R
 from earlybell.functions import scalars as S
 from earlybell.operators import quality
 from earlybell.operators.panel import DAY
+from earlybell.sources.staging import new_path
 from workload.domain import BROKERS, CODE_DIGITS, END, MAPPING, Domain
 from workload.registry import query
 
@@ -253,22 +254,35 @@ def q12(d: Domain):
 
 @query(
     "q14_history_integrity",
-    """h AS (SELECT CASE WHEN weekday(d) = 5 THEN 'h2023Q4.csv' ELSE 'h2024Q1.csv' END AS file_name, d AS biz_date, digits || CASE market_code WHEN 'XSHG' THEN '.SH' WHEN 'XSHE' THEN '.SZ' ELSE '.BJ' END AS stk_code FROM ev WHERE event_type = 'click' AND d <= DATE '2024-01-29'),
-    k AS (SELECT file_name, biz_date, stk_code, count(*) AS n FROM h GROUP BY 1, 2, 3)
+    """h AS (SELECT CASE weekday(d) WHEN 5 THEN 'h2023Q4.csv' WHEN 0 THEN 'h2024Q3.csv' ELSE 'h2024Q1.csv' END AS file_name, d AS biz_date, digits || CASE market_code WHEN 'XSHG' THEN '.SH' WHEN 'XSHE' THEN '.SZ' ELSE '.BJ' END AS stk_code FROM ev WHERE event_type = 'click' AND d <= DATE '2024-01-29'),
+    f AS (SELECT * FROM h WHERE file_name <> 'h2024Q3.csv'),
+    k AS (SELECT file_name, biz_date, stk_code, count(*) AS n FROM f GROUP BY 1, 2, 3)
     SELECT * FROM (SELECT file_name, 'BM103_HISTORY_KEY_DUPLICATE' AS code, sum(n - 1)::BIGINT AS affected_rows, 'ERROR' AS severity FROM k GROUP BY 1
-      UNION ALL SELECT file_name, 'BM104_HISTORY_QUARTER_DATE_INVALID', count(*) FILTER (WHERE file_name = 'h2023Q4.csv'), 'ERROR' FROM h GROUP BY 1
-      UNION ALL SELECT file_name, 'BM106_WEEKEND_HISTORY_ROW_IGNORED', count(*) FILTER (WHERE isodow(biz_date) >= 6), 'INFO' FROM h GROUP BY 1
+      UNION ALL SELECT file_name, 'BM104_HISTORY_QUARTER_DATE_INVALID', count(*) FILTER (WHERE file_name = 'h2023Q4.csv'), 'ERROR' FROM f GROUP BY 1
+      UNION ALL SELECT file_name, 'BM106_WEEKEND_HISTORY_ROW_IGNORED', count(*) FILTER (WHERE isodow(biz_date) >= 6), 'INFO' FROM f GROUP BY 1
+      UNION ALL SELECT 'h2024Q2.csv', 'BM101_HISTORY_FILE_SET_MISMATCH', 1, 'ERROR' UNION ALL SELECT DISTINCT file_name, 'BM101_HISTORY_FILE_SET_MISMATCH', 1, 'ERROR' FROM h WHERE file_name = 'h2024Q3.csv'
+      UNION ALL SELECT DISTINCT file_name, 'BM102_HISTORY_SCHEMA_MISMATCH', 1, 'ERROR' FROM h WHERE file_name = 'h2024Q3.csv'
       UNION ALL SELECT '', 'BM105_HISTORY_COVERAGE_MISSING', 1, 'ERROR') WHERE affected_rows > 0""",
 )
 def q14(d: Domain):
+    """A stored file set: Fridays in a file of another quarter, Sundays in one that is not expected
+    and lacks a broker, an expected quarter without file, and a last day that is missing."""
     suffix = F.expr("CASE market_code WHEN 'XSHG' THEN '.SH' WHEN 'XSHE' THEN '.SZ' ELSE '.BJ' END")
+    weekday = F.dayofweek("d")
     rows = d.events.where((F.col("event_type") == "click") & (F.col("d") <= F.lit(date(2024, 1, 29)))).select(
-        F.when(F.dayofweek("d") == 6, "h2023Q4.csv").otherwise("h2024Q1.csv").alias("file_name"),
-        F.col("d").alias("biz_date"),
+        F.when(weekday == 6, "h2023Q4.csv").when(weekday == 1, "h2024Q3.csv").otherwise("h2024Q1.csv").alias("quarter"),
+        F.col("d").cast("string").alias("biz_date"),
         F.concat(F.substring_index("security_code", ".", 1), suffix).alias("stk_code"),
+        *[F.lit("A").alias(b) for b in BROKERS],
     )
+    root = new_path(d.spark, "history")
+    odd = F.col("quarter") == "h2024Q3.csv"
+    for part, brokers in ((rows.where(~odd), BROKERS), (rows.where(odd), BROKERS[:-1])):
+        columns = ("quarter", "biz_date", "stk_code", *brokers)
+        part.select(*columns).write.mode("append").partitionBy("quarter").option("header", True).csv(root)
     one = d.days.where(F.col("market_code") == "XSHG")
-    return quality.history_integrity(rows, one, END)
+    expected = ("h2023Q4.csv", "h2024Q1.csv", "h2024Q2.csv")
+    return quality.history_files_integrity(d.spark, root, BROKERS, one, END, expected)
 
 
 @query(
