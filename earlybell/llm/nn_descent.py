@@ -28,7 +28,7 @@ table gives no rows. Each round is a stored table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,15 +49,16 @@ class Settings:
     #: backward edges that join a pivot's comparison and, at last, the graph
     backward: int = 20
     shard: int = 1024
-    rounds: int = 7
+    rounds: int = 6
     #: rounds end when fewer than this share of the edges is fresh
     settled: float = 0.04
-    beam: int = 256
+    beam: int = 192
     #: nodes that a query expands in one step
-    step: int = 80
+    step: int = 192
     #: entry nodes, by a hash, for queries that are no nodes
     entries: int = 512
-    block: int = 256
+    #: queries of a block, on average
+    block: int = 128
     seed: int = 17
 
 
@@ -396,15 +397,6 @@ def _shard_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _met(requests: DataFrame, shards: DataFrame, blocks: int, *columns: str) -> DataFrame:
-    """Requests (shard, q, ...) in blocks beside their shard's columns."""
-    block = F.pmod(F.xxhash64("q"), F.lit(blocks)).alias("block")
-    rest = [c for c in requests.columns if c != "shard"]
-    grouped = requests.groupBy("shard", block).agg(F.collect_list(F.struct(*rest)).alias("asked"))
-    # requests outgrow the estimate of what they are planned from: no broadcast on its word
-    return grouped.join(shards.select("shard", *columns).hint("merge"), "shard").select("asked", "shard", *columns)
-
-
 def _by_shard(addresses: np.ndarray) -> list[tuple[int, np.ndarray]]:
     if not len(addresses):
         return []
@@ -414,138 +406,157 @@ def _by_shard(addresses: np.ndarray) -> list[tuple[int, np.ndarray]]:
     return [(int(shard[x]), addresses[x:y]) for x, y in zip(cuts, [*cuts[1:], len(shard)], strict=True)]
 
 
-def _next_up(beam: np.ndarray, done: np.ndarray, step: int) -> np.ndarray:
-    """Places in a beam (best first) of the nodes to expand now."""
-    return np.flatnonzero(done == 0)[:step]
+#: A block of queries in one row, the unit that meets shards; ``i`` is a query's place in it.
+_BLOCK = "block bigint, held array<struct<q: bigint, vector: binary, beam: binary, scores: binary, done: binary>>, open boolean"
+_EXPAND = "shard bigint, block bigint, asked array<struct<i: int, own: binary>>"
+_NEAR = "block bigint, near array<struct<i: int, own: binary>>"
+_ASK = "shard bigint, block bigint, asked array<struct<i: int, vector: binary, own: binary>>"
+_FOUND = "block bigint, found array<struct<i: int, own: binary, scores: binary>>"
 
 
-def search(graph: Graph, queries: DataFrame) -> DataFrame:
-    """q, and its beam: ``address`` and ``score`` (arrays, best first), of queries (q, vector as
-    bytes, start: an address or null).
-    """
-    spark, settings, length, kind = queries.sparkSession, graph.settings, graph.length, graph.kind
-    width, step = settings.beam, settings.step
-    blocks = max(1, -(-queries.count() // settings.block))
-    state = store(_started(graph, queries), "ann_beams")
-    while True:
-        if not state.where("open").limit(1).count():
-            break
+def _steps(rows: DataFrame, schema: str, compute: Callable[..., Iterator[dict]]) -> DataFrame:
+    """mapInArrow a row at a time: rows are blocks of queries, so a row is a task's unit of work."""
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-        def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                out = []
-                for q, beam, done in zip(batch.column(0).to_pylist(), _flat(batch.column(1), "<i8"), _flat(batch.column(2), "u1"), strict=True):
-                    out += [(shard, q, own.astype("<i8").tobytes()) for shard, own in _by_shard(beam[_next_up(beam, done, step)])]
-                yield _rows(out, ["shard", "q", "asked"], [pa.int64(), pa.int64(), pa.binary()])
+    arrow = to_arrow_schema(rows.sparkSession.createDataFrame([], schema).schema)
 
-        def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for k in range(batch.num_rows):
-                    degree = np.frombuffer(batch.column(3)[k].as_py(), "<i4")
-                    end = np.cumsum(degree)
-                    near = np.frombuffer(batch.column(2)[k].as_py(), "<i8")
-                    asked, out = batch.column(0).slice(k, 1).flatten(), []
-                    for q, own in zip(asked.field(0).to_pylist(), _flat(asked.field(1), "<i8"), strict=True):
-                        at = own & ((1 << PLACE) - 1)
-                        lists = [near[end[p] - degree[p] : end[p]] for p in at]
-                        out.append((q, np.unique(np.concatenate(lists)).astype("<i8").tobytes()))
-                    yield _rows(out, ["q", "near"], [pa.int64(), pa.binary()])
-
-        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                out = []
-                for q, vector, beam, near in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _flat(batch.column(2), "<i8"), batch.column(3).to_pylist(), strict=True):
-                    new = np.setdiff1d(np.concatenate([np.frombuffer(x, "<i8") for x in near]), beam)
-                    out += [(shard, q, vector, own.astype("<i8").tobytes()) for shard, own in _by_shard(new)]
-                yield _rows(out, ["shard", "q", "vector", "asked"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()])
-
-        open_ones = state.where("open")
-        requests = open_ones.select("q", "beam", "done").mapInArrow(expand, "shard bigint, q bigint, asked binary")
-        near = _met(requests, graph.shards, blocks, "neighbours", "degree").select("asked", "shard", "neighbours", "degree")
-        near = near.mapInArrow(neighbours, "q bigint, near binary").groupBy("q").agg(F.collect_list("near").alias("near"))
-        asking = near.join(open_ones.select("q", "vector", "beam"), "q").select("q", "vector", "beam", "near")
-        scored = _score(graph, asking.mapInArrow(ask, "shard bigint, q bigint, vector binary, asked binary"), blocks)
-        found = scored.groupBy("q").agg(F.collect_list(F.struct("asked", "scores")).alias("found"))
-        met = state.join(found, "q", "left").select("q", "vector", "beam", "scores", "done", "found")
-        state = store(met.mapInArrow(_taken_in(width, step), _STATE), "ann_beams")
-        finish_round(spark)
-    return state.select("q", "beam", "scores")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                for made in compute(*[c[k].as_py() for c in batch.columns]):
+                    yield pa.RecordBatch.from_pylist([made], arrow)
 
+    return rows.mapInArrow(run, schema)
 
-_STATE = "q bigint, vector binary, beam binary, scores binary, done binary, open boolean"
 
+def _array(raw: bytes, dtype: str = "<i8") -> np.ndarray:
+    return np.frombuffer(raw, dtype)
 
-def _rows(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)
 
+def _requests(wanted: list[tuple[int, np.ndarray, dict]], block: int) -> Iterator[dict]:
+    """A row for each shard that the queries (place, addresses, more) of a block ask."""
+    by: dict[int, list[dict]] = {}
+    for i, addresses, more in wanted:
+        for shard, own in _by_shard(addresses):
+            by.setdefault(shard, []).append({"i": i, **more, "own": own.astype("<i8").tobytes()})
+    for shard, asked in by.items():
+        yield {"shard": shard, "block": block, "asked": asked}
 
-def _score(graph: Graph, requests: DataFrame, blocks: int) -> DataFrame:
-    """Scores of requests (shard, q, vector, asked): q, asked, scores (in the order of addresses)."""
-    length, kind = graph.length, graph.kind
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                held = np.frombuffer(batch.column(2)[k].as_py(), kind).reshape(-1, length).astype(float)
-                asked, out = batch.column(0).slice(k, 1).flatten(), []
-                values = unpacked(asked.field(1), kind, length).astype(float)
-                for q, value, own in zip(asked.field(0).to_pylist(), values, _flat(asked.field(2), "<i8"), strict=True):
-                    scores = held[own & ((1 << PLACE) - 1)] @ value
-                    out.append((q, own.tobytes(), scores.astype("<f8").tobytes()))
-                yield _rows(out, ["q", "asked", "scores"], [pa.int64(), pa.binary(), pa.binary()])
+def _gathered(lists: list[list[dict]], count: int, field: str, dtype: str) -> list[np.ndarray]:
+    """What the shards answered, put together for each place of a block."""
+    parts: list[list[np.ndarray]] = [[np.zeros(0, dtype)] for _ in range(count)]
+    for answers in lists or ():
+        for x in answers:
+            parts[x["i"]].append(_array(x[field], dtype))
+    return [np.concatenate(p) for p in parts]
 
-    met = _met(requests, graph.shards, blocks, "vectors").select("asked", "shard", "vectors")
-    return met.mapInArrow(run, "q bigint, asked binary, scores binary")
 
+def _met(requests: DataFrame, shards: DataFrame, *columns: str) -> DataFrame:
+    """Requests beside their shard's columns."""
+    # requests outgrow the estimate of what they are planned from: no broadcast on its word
+    return requests.join(shards.select("shard", *columns).hint("merge"), "shard").select("block", "asked", *columns)
 
-def _taken_in(width: int, step: int):
-    """A beam after a step: its nodes just expanded are done, the scored ones are taken in."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            columns = [batch.column(0).to_pylist(), batch.column(1).to_pylist(), _flat(batch.column(2), "<i8"), _flat(batch.column(3), "<f8"), _flat(batch.column(4), "u1"), batch.column(5).to_pylist()]
-            for q, vector, beam, scores, done, found in zip(*columns, strict=True):
-                done = done.copy()
-                done[_next_up(beam, done, step)] = 1
-                address = np.concatenate([beam, *[np.frombuffer(x["asked"], "<i8") for x in found or ()]])
-                score = np.concatenate([scores, *[np.frombuffer(x["scores"], "<f8") for x in found or ()]])
-                done = np.r_[done, np.zeros(len(address) - len(done), np.uint8)]
-                order = np.lexsort((address, -score))[:width]
-                address, score, done = address[order], score[order], done[order]
-                out.append((q, vector, address.tobytes(), score.tobytes(), done.tobytes(), bool((done == 0).any())))
-            yield _rows(out, ["q", "vector", "beam", "scores", "done", "open"], [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.bool_()])
+def search(graph: Graph, queries: DataFrame) -> DataFrame:
+    """q, and its beam: ``beam`` (addresses, best first) and ``scores``, as bytes, of queries (q,
+    vector as bytes, start: an address or null).
+    """
+    settings, length, kind = graph.settings, graph.length, graph.kind
+    width, step, mask = settings.beam, settings.step, (1 << PLACE) - 1
+    state = store(_started(graph, queries), "ann_beams")
 
-    return run
+    def opened(held: list[dict]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Place, beam and the places in it to expand now, of each query."""
+        for i, x in enumerate(held):
+            yield i, _array(x["beam"]), np.flatnonzero(_array(x["done"], "u1") == 0)[:step]
+
+    def expand(block: int, held: list[dict]) -> Iterator[dict]:
+        yield from _requests([(i, beam[at], {}) for i, beam, at in opened(held)], block)
+
+    def neighbours(block: int, asked: list[dict], near: bytes, degree: bytes) -> Iterator[dict]:
+        sizes, lists, out = _array(degree, "<i4"), _array(near), []
+        end = np.cumsum(sizes)
+        for x in asked:
+            places = _array(x["own"]) & mask
+            of = np.unique(np.concatenate([lists[end[p] - sizes[p] : end[p]] for p in places]))
+            out.append({"i": x["i"], "own": of.astype("<i8").tobytes()})
+        yield {"block": block, "near": out}
+
+    def ask(block: int, held: list[dict], near: list[list[dict]]) -> Iterator[dict]:
+        wanted = []
+        for i, own in enumerate(_gathered(near, len(held), "own", "<i8")):
+            wanted.append((i, np.setdiff1d(own, _array(held[i]["beam"])), {"vector": held[i]["vector"]}))
+        yield from _requests(wanted, block)
+
+    def score(block: int, asked: list[dict], vectors: bytes) -> Iterator[dict]:
+        rows, out = _array(vectors, kind).reshape(-1, length).astype(float), []
+        for x in asked:
+            scores = rows[_array(x["own"]) & mask] @ _array(x["vector"], kind).astype(float)
+            out.append({"i": x["i"], "own": x["own"], "scores": scores.astype("<f8").tobytes()})
+        yield {"block": block, "found": out}
+
+    def take_in(block: int, held: list[dict], found: list[list[dict]]) -> Iterator[dict]:
+        addresses, scores = (_gathered(found, len(held), f, t) for f, t in (("own", "<i8"), ("scores", "<f8")))
+        out, is_open = [], False
+        for i, beam, at in list(opened(held)):
+            x = held[i]
+            done = _array(x["done"], "u1").copy()
+            done[at] = 1
+            address = np.r_[beam, addresses[i]]
+            value = np.r_[_array(x["scores"], "<f8"), scores[i]]
+            done = np.r_[done, np.zeros(len(address) - len(done), np.uint8)]
+            order = np.lexsort((address, -value))[:width]
+            is_open |= bool((done[order] == 0).any())
+            made = {"beam": address[order].tobytes(), "scores": value[order].tobytes(), "done": done[order].tobytes()}
+            out.append({"q": x["q"], "vector": x["vector"], **made})
+        yield {"block": block, "held": out, "open": is_open}
+
+    while not state.where("open").isEmpty():
+        going = state.where("open")
+        asked = _met(_steps(going.select("block", "held"), _EXPAND, expand), graph.shards, "neighbours", "degree")
+        near = _steps(asked, _NEAR, neighbours).groupBy("block").agg(F.collect_list("near").alias("near"))
+        wanted = going.select("block", "held").join(near, "block").select("block", "held", "near")
+        scored = _steps(_met(_steps(wanted, _ASK, ask), graph.shards, "vectors"), _FOUND, score)
+        found = scored.groupBy("block").agg(F.collect_list("found").alias("found"))
+        met = going.select("block", "held").join(found, "block", "left").select("block", "held", "found")
+        settled = state.where("NOT open")
+        state = store(_steps(met, _BLOCK, take_in).unionByName(settled), "ann_beams")
+        finish_round(graph.shards.sparkSession)
+    return state.select(F.explode("held").alias("x")).select("x.q", "x.beam", "x.scores")
 
 
 def _started(graph: Graph, queries: DataFrame) -> DataFrame:
-    """First beams: the own node where there is one, else the best entry nodes."""
+    """First beams, in blocks: the own node where there is one, else the best entry nodes."""
     settings, length, kind = graph.settings, graph.length, graph.kind
     hashed = F.xxhash64(F.lit(settings.seed), "address")
     share = F.lit(min(1.0, 4 * settings.entries / max(1, graph.nodes.count())))
     drawn = graph.nodes.where(F.pmod(hashed, F.lit(1 << 30)) < share * (1 << 30)).orderBy(hashed).limit(settings.entries)
     entries = drawn.select("address", "vector").collect()  # at most ``entries`` rows
     addresses = np.asarray([r.address for r in entries], "<i8")
-    held = np.frombuffer(b"".join(bytes(r.vector) for r in entries), kind).reshape(len(entries), length).astype(float)
+    rows = np.frombuffer(b"".join(bytes(r.vector) for r in entries), kind).reshape(len(entries), length).astype(float)
+
+    def begin(q: int, vector: bytes, start: int | None) -> Iterator[dict]:
+        value = _array(vector, kind).astype(float)
+        if start is not None:
+            beam, scores = np.asarray([start], "<i8"), np.asarray([value @ value])
+        else:
+            scores = rows @ value
+            top = np.argsort(-scores, kind="stable")[: settings.step]
+            beam, scores = addresses[top], scores[top]
+        held = {"q": q, "vector": vector, "beam": beam.tobytes(), "scores": scores.astype("<f8").tobytes(), "done": bytes(len(beam))}
+        yield {"block": 0, "held": [held], "open": len(beam) > 0}
+
+    begun = _steps(queries.select("q", "vector", "start"), _BLOCK, begin)
+    blocks = max(1, -(-queries.count() // settings.block))
+    one = begun.select(F.get("held", F.lit(0)).alias("x"), "open")
+    grouped = one.groupBy(F.pmod(F.xxhash64("x.q"), F.lit(blocks)).alias("block"))
+    return grouped.agg(F.collect_list("x").alias("held"), F.max("open").alias("open"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            values, out = unpacked(batch.column(1), kind, length).astype(float), []
-            for q, vector, value, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), values, batch.column(2).to_pylist(), strict=True):
-                if start is not None:
-                    beam, scores = np.asarray([start], "<i8"), np.asarray([value @ value])
-                else:
-                    scores = held @ value
-                    top = np.argsort(-scores, kind="stable")[: settings.step]
-                    beam, scores = addresses[top], scores[top]
-                out.append((q, vector, beam.tobytes(), scores.astype("<f8").tobytes(), bytes(len(beam)), len(beam) > 0))
-            yield _rows(out, ["q", "vector", "beam", "scores", "done", "open"], [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.bool_()])
-
-    return queries.select("q", "vector", "start").mapInArrow(run, _STATE)
+
+def _rows(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)
 
 
 def nearest(
