@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from earlybell import rules as R
 from earlybell.functions import scalars as S
+from earlybell.sources.staging import new_path, store
 
 
 def competition_rank(df: DataFrame, metric: str, out: str, partition: Sequence[str] = ("event_type_view",)) -> DataFrame:
@@ -47,11 +49,44 @@ def broker_rankings(
 def dense_frequency_rank(df: DataFrame, frequency: str, out: str, partition: Sequence[str] = ()) -> DataFrame:
     """Dense rank of group frequencies; an empty group has none.
 
-    ``df`` is already grouped, so the ranked rows are as many as there are groups;
-    give ``partition`` when those are many.
+    ``df`` is already grouped, so the ranked rows are as many as there are groups. Without
+    ``partition`` the distinct frequencies are ranked over range partitions, so that neither
+    many groups nor many frequencies meet in one task.
     """
-    w = Window.partitionBy(*(partition or (F.lit(1),))).orderBy(F.desc(frequency))
-    return df.withColumn(out, F.when(F.col(frequency) > 0, F.dense_rank().over(w)))
+    if partition:
+        w = Window.partitionBy(*partition).orderBy(F.desc(frequency))
+        return df.withColumn(out, F.when(F.col(frequency) > 0, F.dense_rank().over(w)))
+    ranks = range_positions(df.where(F.col(frequency) > 0).select(frequency).distinct(), [F.desc(frequency)], out)
+    return df.join(ranks.withColumn(out, F.col(out).cast("int")), frequency, "left").select(*df.columns, out)
+
+
+def range_positions(rows: DataFrame, order: Sequence, out: str) -> DataFrame:
+    """``rows`` with their 1-based position in a total order, without a window over all of them.
+
+    Rows are dealt into ranges of the order and stored; a position is the place in the range
+    plus the sizes of the ranges before it, of which there is one row per range.
+    """
+    return _placed(stored_ranges(rows, order), out)
+
+
+def stored_ranges(rows: DataFrame, order: Sequence) -> DataFrame:
+    """Rows in the order's ranges, with ``_range`` and the row's place in it (``_place``, from 0)."""
+    keys = list(order)
+    laid = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return store(laid.select("*", F.spark_partition_id().alias("_range"), place.alias("_place")), "ranges")
+
+
+def range_index(ranged: DataFrame) -> DataFrame:
+    """Per range: its rows and the rows before it. One row per range, so one window over all is small."""
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("rows"))
+    before = Window.partitionBy(F.lit(1)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+
+
+def _placed(ranged: DataFrame, out: str) -> DataFrame:
+    index = range_index(ranged).select("_range", "before")
+    return ranged.join(index, "_range").withColumn(out, F.col("_place") + F.col("before") + 1).drop("_range", "_place", "before")
 
 
 def with_hit_status(assessments: DataFrame) -> DataFrame:
@@ -97,6 +132,46 @@ def page(df: DataFrame, order: Sequence, number: int, size: int) -> DataFrame:
     return df.orderBy(*order).offset((number - 1) * size).limit(size)
 
 
+@dataclass(frozen=True)
+class PagedResult:
+    """A sorted result whose pages are read from the ranges they lie in.
+
+    The result is stored once, in ranges of its order, one folder each; ``ranges`` says how
+    many rows each holds and how many come before. A page opens just the folders that it
+    touches, however deep it lies.
+    """
+
+    path: str
+    columns: tuple[str, ...]
+    #: (range, rows before it, rows) in order; one entry per range
+    ranges: tuple[tuple[int, int, int], ...]
+
+    @property
+    def total(self) -> int:
+        return sum(n for _, _, n in self.ranges)
+
+    def page(self, spark: SparkSession, number: int, size: int) -> DataFrame:
+        """The rows of a page (1-based), in any order; ``position`` is their place in the result."""
+        if number < 1 or not 1 <= size <= 10_000:
+            raise ValueError("page is out of range")
+        first, last = (number - 1) * size, number * size
+        touched = [r for r, before, n in self.ranges if before < last and before + n > first]
+        rows = spark.read.parquet(self.path).where(F.col("_range").isin(touched or [-1]))
+        bases = F.coalesce(*[F.when(F.col("_range") == r, b) for r, b, _ in self.ranges if r in touched], F.lit(0))
+        placed = rows.withColumn("position", (F.col("_place") + bases + 1).cast("long"))
+        return placed.where(F.col("position").between(first + 1, last)).select(*self.columns, "position")
+
+
+def paged(df: DataFrame, order: Sequence) -> PagedResult:
+    """Store a result for paging; ``order`` must be total, or ties take any order."""
+    spark = df.sparkSession
+    ranged = stored_ranges(df, order)
+    path = new_path(spark, "pages")
+    ranged.write.partitionBy("_range").parquet(path)
+    index = range_index(ranged).orderBy("_range").collect()  # a row per range
+    return PagedResult(path, tuple(df.columns), tuple((r["_range"], r["before"], r["rows"]) for r in index))
+
+
 def example_keys(issues: DataFrame, key: str = "issue_key", limit: int = R.EXAMPLE_LIMIT) -> DataFrame:
     """Total issue count next to the first keys in key order.
 

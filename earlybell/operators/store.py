@@ -292,6 +292,61 @@ def export_security_status(master_ranges: DataFrame, calendar: DataFrame, suspen
     )
 
 
+def dated_snapshot(facts: DataFrame, manifest: DataFrame, dataset_id: str, start: date | None, end: date) -> DataFrame:
+    """A dataset's snapshot rows of a date range.
+
+    The range is also stated on the stored year and month, so only the partitions that it
+    touches are opened, and the members outside it leave the manifest before the join.
+    """
+    months = F.col("year") * 12 + F.col("month")
+    inside = (F.col("business_date") <= F.lit(end)) & (months <= end.year * 12 + end.month)
+    if start is not None:
+        inside = inside & (F.col("business_date") >= F.lit(start)) & (months >= start.year * 12 + start.month)
+    return read_snapshot(manifest, facts.where(inside), dataset_id)
+
+
+def export_calendar(facts: DataFrame, manifest: DataFrame, start: date | None, end: date) -> DataFrame:
+    """The standard calendar of a snapshot (V4)."""
+    session = F.when(F.col("is_trading_day"), "正常开市").otherwise("休市")
+    return dated_snapshot(facts, manifest, "market_calendar", start, end).select(
+        "market_code",
+        F.col("business_date").alias("calendar_date"),
+        F.col("source_record_version").alias("record_version"),
+        "is_trading_day",
+        session.alias("trading_session_status"),
+    )
+
+
+def export_risk_status(facts: DataFrame, manifest: DataFrame, start: date | None, end: date) -> DataFrame:
+    """The standard daily ST rows of a snapshot, each one day long (V4)."""
+    return dated_snapshot(facts, manifest, "daily_st_status", start, end).select(
+        *R.KEY,
+        F.lit("ST").alias("risk_status_type"),
+        F.when(F.col("is_st"), "生效").otherwise("未生效").alias("risk_status_value"),
+        F.col("business_date").alias("status_start_date"),
+        F.col("business_date").alias("status_end_date"),
+        F.col("source_record_version").alias("record_version"),
+    )
+
+
+def evaluation_tables(facts: DataFrame, manifest: DataFrame, end: date, reference: DataFrame) -> dict[str, DataFrame]:
+    """What the evaluation reads of a snapshot, as typed tables (V6): ``calendar`` (trading days of
+    the first risk market), ``lifecycle`` (supplemented from the reference, J18, with the row's
+    ``origin``; a CONFLICT must stop the evaluation) and ``st_status``.
+    """
+    days = export_calendar(facts, manifest, None, end).where(F.col("is_trading_day") & (F.col("market_code") == R.RISK_MARKETS[0]))
+    master = read_snapshot(manifest, facts, "instrument_master_history").where(F.col("market_code").isin(*R.RISK_MARKETS))
+    latest = F.max_by(F.struct("listing_date", "termination_date"), "effective_start").alias("x")
+    lives = master.groupBy(*R.KEY).agg(latest).select(
+        *R.KEY, F.col("x.listing_date").alias("listed_date"), F.col("x.termination_date").alias("delisted_date")
+    )
+    return {
+        "calendar": days.select("market_code", "calendar_date", "is_trading_day"),
+        "lifecycle": supplement_lifecycle(lives, reference),
+        "st_status": export_risk_status(facts, manifest, None, end).where(F.col("market_code").isin(*R.RISK_MARKETS)),
+    }
+
+
 def export_adjusted_prices(suspension: DataFrame, closes: DataFrame, index: DataFrame, start: date, end: date) -> DataFrame:
     """Status rows with the adjusted close of the day and of exactly T-1 (V5).
 

@@ -360,6 +360,17 @@ def g23(d: Domain):
     return dbl(ranking.drilldown_securities(ranking.drilldown_rows(d.stored_assessments, "B02")))
 
 
+@query(
+    "r5_deep_page",
+    "s AS (SELECT market_code, security_code, d, close_price::DOUBLE AS close_price, row_number() OVER (ORDER BY close_price DESC, security_code, d) AS position FROM daily), n AS (SELECT count(*) AS n FROM daily) SELECT s.* FROM s, n WHERE position > 50 * (n // 100) AND position <= 50 * (n // 100 + 1)",
+)
+def r5_deep(d: Domain):
+    """The page of 50 in the middle of all security-days by price."""
+    rows = d.daily.select(*R.KEY, F.col("trading_date").alias("d"), F.col("close_price").cast("double").alias("close_price"))
+    result = ranking.paged(rows, [F.desc("close_price"), "security_code", "d"])
+    return result.page(d.spark, result.total // 100 + 1, 50)
+
+
 @query(
     "r5_drilldown_page",
     DRILL_SQL + " SELECT * FROM ds ORDER BY event_hit_rate DESC, event_count DESC, security_code LIMIT 20 OFFSET 20",

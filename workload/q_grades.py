@@ -485,3 +485,12 @@ def j13(d: Domain):
 def r3(d: Domain):
     counts = d.long.groupBy("broker_id", "raw_classification").agg(F.count("*").alias("n"))
     return ranking.dense_frequency_rank(counts, "n", "frequency_rank", ["broker_id"])
+
+
+@query(
+    "r3_global_frequency_rank",
+    "SELECT security_code, count(*) AS n, dense_rank() OVER (ORDER BY count(*) DESC)::INTEGER AS frequency_rank FROM hist GROUP BY 1",
+)
+def r3_global(d: Domain):
+    counts = d.long.groupBy("security_code").agg(F.count("*").alias("n"))
+    return ranking.dense_frequency_rank(counts, "n", "frequency_rank")

@@ -289,6 +289,58 @@ def v6(d: Domain):
     )
 
 
+def _imported_store(d: Domain):
+    """The imported facts as version 1 of a store, and the manifest of all of them."""
+    _, result = imported(d)
+    part = F.concat_ws("|", "dataset_id", "market_code", "year", "month")
+    facts = cache_import.read_import(d.spark, result.path).withColumn("source_record_version", F.lit(1)).withColumn("partition_id", part)
+    return facts, store.snapshot_manifest(facts)
+
+
+@query(
+    "v4_calendar_export",
+    IMPORT_SQL
+    + """ SELECT market_code, d AS calendar_date, 1 AS record_version, flag AS is_trading_day, CASE WHEN flag THEN '正常开市' ELSE '休市' END AS trading_session_status
+      FROM met WHERE verdict = 'K' AND dataset_id = 'market_calendar' AND d BETWEEN DATE '2024-01-08' AND DATE '2024-01-30'""",
+)
+def v4_calendar(d: Domain):
+    return store.export_calendar(*_imported_store(d), START, END)
+
+
+@query(
+    "v4_risk_status_export",
+    IMPORT_SQL
+    + """ SELECT market_code, security_code, 'ST' AS risk_status_type, CASE WHEN flag THEN '生效' ELSE '未生效' END AS risk_status_value, d AS status_start_date, d AS status_end_date, 1 AS record_version
+      FROM met WHERE verdict = 'K' AND dataset_id = 'daily_st_status' AND d BETWEEN DATE '2024-01-08' AND DATE '2024-01-30'""",
+)
+def v4_risk_status(d: Domain):
+    return store.export_risk_status(*_imported_store(d), START, END)
+
+
+@query(
+    "v6_evaluation_tables",
+    IMPORT_SQL
+    + """, kept AS (SELECT * FROM met WHERE verdict = 'K'), s AS (SELECT DISTINCT k.market_code, k.security_code, x.listed_date, x.delisted_date FROM kept k JOIN sec x USING (security_code) WHERE dataset_id = 'instrument_master_history'),
+    r AS (SELECT market_code, security_code, listed_date, CASE WHEN day(listed_date) = 2 THEN (delisted_date + 1)::DATE ELSE delisted_date END AS delisted_date FROM sec WHERE market_code <> 'XBSE')
+    SELECT 'calendar' AS input, market_code, NULL AS security_code, d AS first_day, d AS last_day, 'true' AS value FROM kept WHERE dataset_id = 'market_calendar' AND market_code = 'XSHG' AND flag AND d <= DATE '2024-01-30'
+    UNION ALL SELECT 'lifecycle', coalesce(s.market_code, r.market_code), coalesce(s.security_code, r.security_code), coalesce(s.listed_date, r.listed_date), CASE WHEN s.security_code IS NULL THEN r.delisted_date ELSE s.delisted_date END,
+      CASE WHEN s.security_code IS NULL THEN 'SUPPLEMENTED' WHEN r.security_code IS NOT NULL AND (s.listed_date <> r.listed_date OR s.delisted_date IS DISTINCT FROM r.delisted_date) THEN 'CONFLICT' ELSE 'SNAPSHOT' END
+      FROM s FULL JOIN r ON s.security_code = r.security_code
+    UNION ALL SELECT 'st_status', market_code, security_code, d, d, CASE WHEN flag THEN '生效' ELSE '未生效' END FROM kept WHERE dataset_id = 'daily_st_status' AND d <= DATE '2024-01-30'""",
+)
+def v6_tables(d: Domain):
+    """All typed rows; the reference knows every security, and another end for those listed on a 2nd."""
+    moved = F.when(F.dayofmonth("listed_date") == 2, F.date_add("delisted_date", 1)).otherwise(F.col("delisted_date"))
+    tables = store.evaluation_tables(*_imported_store(d), END, d.life.withColumn("delisted_date", moved))
+    row = lambda name, code, first, last, value: tables[name].select(
+        F.lit(name).alias("input"), "market_code", code.alias("security_code"), F.col(first).alias("first_day"), F.col(last).alias("last_day"), value.alias("value")
+    )
+    code = F.col("security_code")
+    days = row("calendar", F.lit(None).cast("string"), "calendar_date", "calendar_date", F.col("is_trading_day").cast("string"))
+    lives = row("lifecycle", code, "listed_date", "delisted_date", F.col("origin"))
+    return days.unionByName(lives).unionByName(row("st_status", code, "status_start_date", "status_end_date", F.col("risk_status_value")))
+
+
 @query("c12_snapshot_trading_dates", "SELECT d AS business_date FROM tdays")
 def c12(d: Domain):
     facts = _fact_rows(d)
