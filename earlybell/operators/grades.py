@@ -345,6 +345,20 @@ def grade_return_summary(daily: DataFrame) -> DataFrame:
     )
 
 
+def return_input_findings(summary: DataFrame, brokers: Sequence[str], adjustment: str) -> DataFrame:
+    """Findings on what the returns were made of (G25): prices that are not post-adjusted (BM505)
+    and brokers without any grade that returns could be given to (BM504)."""
+    spark = summary.sparkSession
+    every = R.literal_rows(spark, ("broker_id",), [(b,) for b in brokers])
+    empty = every.join(summary.select("broker_id").distinct(), "broker_id", "left_anti").select(
+        F.lit("BM504_BROKER_RETURN_CLASSIFICATION_EMPTY").alias("code"), F.lit("INFO").alias("severity"), "broker_id"
+    )
+    if adjustment == R.RETURN_PRICE_ADJUSTMENT:
+        return empty
+    other = [("BM505_GRADE_RETURN_INPUT_NOT_POST_ADJUSTED", "WARNING", None)]
+    return empty.unionByName(spark.createDataFrame(other, "code string, severity string, broker_id string"))
+
+
 # --- two-model snapshot tables ---------------------------------------------
 def grade_snapshot(history: DataFrame, position: int, end: date) -> DataFrame:
     """Last grade per security up to a date, for one broker position of the cells."""

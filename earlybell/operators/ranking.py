@@ -191,3 +191,24 @@ def peer_overview(summary: DataFrame, expected: int = R.EXPECTED_PEER_BROKERS) -
         F.count("*").alias("broker_count"),
         (F.count("*") == expected).alias("complete_sample"),
     )
+
+
+def ranked_overview(summary: DataFrame, returns: DataFrame, expected: int = R.EXPECTED_PEER_BROKERS) -> DataFrame:
+    """Per broker and grade of one batch: the broker's ranks in the combined view, the grade's
+    returns, and the batch's totals (G27).
+
+    ``returns`` is the period summary per broker and raw grade; a broker without one keeps a
+    row. Summary and returns are broker-sized, so the joins are as well.
+    """
+    ranked = broker_rankings(summary, expected).where(F.col("event_type_view") == R.ALL_EVENTS)
+    ranks = ranked.select(
+        "broker_id", "event_hit_rate", "event_hit_rate_rank", "warning_rate_rank", "composite_score", "composite_rank", "sample_status"
+    )
+    totals = peer_overview(summary, expected).select(
+        F.col("hit_event_count").alias("total_hit_events"),
+        F.col("defined_warning_count").alias("total_defined_warnings"),
+        F.col("unknown_warning_count").alias("total_unknown_warnings"),
+        F.lit(1).alias("one"),
+    )
+    met = ranks.join(returns, "broker_id", "left").withColumn("one", F.lit(1))
+    return met.join(totals, "one").drop("one")

@@ -21,6 +21,7 @@ RISK_MARKETS = ("XSHG", "XSHE")
 DEFAULT_CALENDAR = "cn"
 SUFFIX_MARKETS = {"SH": "XSHG", "SZ": "XSHE", "BJ": "XBSE"}
 NORMAL_TRADED = ("正常成交", "TRADED", "NORMAL_TRADED")
+RETURN_PRICE_ADJUSTMENT = "POST_ADJUSTED"
 RETURN_NORMAL_STATUS = ("正常成交", "NORMAL", "TRADED")
 SUSPENDED_STATUS = ("停牌", "无成交")
 ST_TRUE = ("true", "1", "yes", "是", "生效", "st", "*st")

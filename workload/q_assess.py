@@ -321,15 +321,21 @@ def r1(d: Domain):
 R2_RANK = "CASE WHEN {m} IS NOT NULL THEN rank() OVER (PARTITION BY event_type_view ORDER BY {m} DESC NULLS LAST) END::INTEGER AS {m}_rank"
 
 
-@query(
-    "r2_composite_score",
-    SUMMARY_SQL
-    + ", rk AS (SELECT broker_id, event_type_view, count(*) OVER (PARTITION BY event_type_view) AS cnt, "
+RANK_SQL = (
+    ", rk AS (SELECT broker_id, event_type_view, count(*) OVER (PARTITION BY event_type_view) AS cnt, "
     + "count(*) FILTER (WHERE event_hit_rate IS NOT NULL AND security_hit_rate IS NOT NULL AND warning_rate IS NOT NULL AND warning_days_median IS NOT NULL) OVER (PARTITION BY event_type_view) AS full_cnt, "
     + ", ".join(R2_RANK.format(m=m) for m in R.RANKING_METRICS)
     + """ FROM summ),
     sc AS (SELECT *, CASE WHEN cnt = 3 AND full_cnt = 3 THEN round(((3 - event_hit_rate_rank) / 2.0::DOUBLE * 100 + (3 - security_hit_rate_rank) / 2.0::DOUBLE * 100
-      + (3 - warning_rate_rank) / 2.0::DOUBLE * 100 + (3 - warning_days_median_rank) / 2.0::DOUBLE * 100) / 4, 6) END AS composite_score FROM rk)
+      + (3 - warning_rate_rank) / 2.0::DOUBLE * 100 + (3 - warning_days_median_rank) / 2.0::DOUBLE * 100) / 4, 6) END AS composite_score FROM rk)"""
+)
+
+
+@query(
+    "r2_composite_score",
+    SUMMARY_SQL
+    + RANK_SQL
+    + """
     SELECT broker_id, event_type_view, event_hit_rate_rank, security_hit_rate_rank, warning_rate_rank, warning_days_median_rank, warning_days_mean_rank,
       composite_score, CASE WHEN composite_score IS NOT NULL THEN rank() OVER (PARTITION BY event_type_view ORDER BY composite_score DESC NULLS LAST) END::INTEGER AS composite_rank,
       CASE WHEN cnt = 3 THEN 'COMPLETE' ELSE 'INCOMPLETE_SAMPLE' END AS sample_status FROM sc""",

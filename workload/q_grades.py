@@ -7,7 +7,7 @@ from earlybell.functions import scalars as S
 from earlybell.operators import assess, compare, grades, metrics, panel, ranking
 from earlybell.operators.panel import DAY
 from workload.domain import BROKERS, END, MAPPING, START, Domain
-from workload.q_assess import GRADE, dbl
+from workload.q_assess import GRADE, RANK_SQL, SUMMARY_SQL, _summary, dbl
 from workload.q_calendar import PRICES_SQL, session_prices
 from workload.registry import half_up, query
 
@@ -181,6 +181,41 @@ def g12(d: Domain):
     )
 
 
+@query(
+    "g25_return_input_findings",
+    RET_SQL
+    + """ SELECT 'BM504_BROKER_RETURN_CLASSIFICATION_EMPTY' AS code, 'INFO' AS severity, b.broker_id FROM (SELECT unnest(['B01','B02','B03','B09']) AS broker_id) b WHERE b.broker_id NOT IN (SELECT broker_id FROM rd)
+    UNION ALL SELECT 'BM505_GRADE_RETURN_INPUT_NOT_POST_ADJUSTED', 'WARNING', NULL""",
+)
+def g25_inputs(d: Domain):
+    """Returns of unadjusted closes, asked for one broker more than has a history."""
+    return grades.return_input_findings(grades.grade_return_summary(_daily_returns(d)), (*BROKERS, "B09"), "UNADJUSTED")
+
+
+@query(
+    "g27_ranked_overview",
+    SUMMARY_SQL
+    + RANK_SQL
+    + ", "
+    + RET_SQL
+    + """, best AS (SELECT *, CASE WHEN composite_score IS NOT NULL THEN rank() OVER (PARTITION BY event_type_view ORDER BY composite_score DESC NULLS LAST) END::INTEGER AS composite_rank FROM sc),
+    g AS (SELECT broker_id, raw_classification, count(ret) AS valid_return_trading_day_count, sum(valid_return_security_count)::BIGINT AS valid_return_stock_day_count, round(log10(product(1 + ret)), 6) AS compounded_log10 FROM rd GROUP BY 1, 2),
+    t AS (SELECT sum(hit_event_count)::BIGINT AS total_hit_events, sum(defined_sample_count)::BIGINT AS total_defined_warnings, sum(identified_days_unknown_count)::BIGINT AS total_unknown_warnings FROM summ WHERE event_type_view = 'ALL_RISK_EVENTS')
+    SELECT b.broker_id, s.event_hit_rate, b.event_hit_rate_rank, b.warning_rate_rank, b.composite_score, b.composite_rank, CASE WHEN b.cnt = 3 THEN 'COMPLETE' ELSE 'INCOMPLETE_SAMPLE' END AS sample_status,
+      g.raw_classification, g.valid_return_trading_day_count, g.valid_return_stock_day_count, g.compounded_log10, t.*
+    FROM best b JOIN summ s USING (broker_id, event_type_view) LEFT JOIN g ON g.broker_id = b.broker_id CROSS JOIN t WHERE b.event_type_view = 'ALL_RISK_EVENTS'""",
+)
+def g27_ranked(d: Domain):
+    summary = grades.grade_return_summary(_daily_returns(d)).select(
+        "broker_id",
+        "raw_classification",
+        "valid_return_trading_day_count",
+        "valid_return_stock_day_count",
+        F.round(F.log10(F.col("compounded_equal_weight_return") + 1), 6).alias("compounded_log10"),
+    )
+    return dbl(ranking.ranked_overview(_summary(d), summary, expected=len(BROKERS)))
+
+
 @query(
     "w20_compounded_return",
     """p AS (SELECT security_code, d, close_price::DOUBLE / lag(close_price) OVER (PARTITION BY security_code ORDER BY d)::DOUBLE - 1 AS r FROM daily)
