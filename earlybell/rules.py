@@ -21,6 +21,19 @@ RISK_MARKETS = ("XSHG", "XSHE")
 DEFAULT_CALENDAR = "cn"
 SUFFIX_MARKETS = {"SH": "XSHG", "SZ": "XSHE", "BJ": "XBSE"}
 NORMAL_TRADED = ("正常成交", "TRADED", "NORMAL_TRADED")
+BOARD_ALIASES = {
+    "MainBoard": "MAIN",
+    "主板": "MAIN",
+    "GEM": "CHINEXT",
+    "创业板": "CHINEXT",
+    "STAR": "STAR",
+    "KSH": "STAR",
+    "科创板": "STAR",
+    "BSE": "BSE",
+    "北交所": "BSE",
+}
+LIMIT_DOWN_THRESHOLDS = {"MAIN": 3, "CHINEXT": 2, "STAR": 2}
+PRESSURE_THRESHOLDS = {"MAIN": 2, "CHINEXT": 1, "STAR": 1}
 RETURN_PRICE_ADJUSTMENT = "POST_ADJUSTED"
 RETURN_NORMAL_STATUS = ("正常成交", "NORMAL", "TRADED")
 SUSPENDED_STATUS = ("停牌", "无成交")
@@ -88,22 +101,8 @@ class RiskRules:
     observation_start: date
     observation_end: date
     rule_version: str = "v2"
-    board_aliases: Mapping[str, str] = field(
-        default_factory=lambda: {
-            "MainBoard": "MAIN",
-            "主板": "MAIN",
-            "GEM": "CHINEXT",
-            "创业板": "CHINEXT",
-            "STAR": "STAR",
-            "KSH": "STAR",
-            "科创板": "STAR",
-            "BSE": "BSE",
-            "北交所": "BSE",
-        }
-    )
-    thresholds: Mapping[str, int] = field(
-        default_factory=lambda: {"MAIN": 3, "CHINEXT": 2, "STAR": 2}
-    )
+    board_aliases: Mapping[str, str] = field(default_factory=lambda: dict(BOARD_ALIASES))
+    thresholds: Mapping[str, int] = field(default_factory=lambda: dict(LIMIT_DOWN_THRESHOLDS))
     excluded_boards: tuple[str, ...] = ("BSE",)
     excluded_markets: tuple[str, ...] = ("XBSE",)
     decimal_scale: int = 6
@@ -123,9 +122,7 @@ class PressureRules:
 
     rule_version: str = "limit_down_pressure_v1"
     event_type: str = PRESSURE_EVENT
-    thresholds: Mapping[str, int] = field(
-        default_factory=lambda: {"MAIN": 2, "CHINEXT": 1, "STAR": 1}
-    )
+    thresholds: Mapping[str, int] = field(default_factory=lambda: dict(PRESSURE_THRESHOLDS))
 
     def check_against(self, formal: RiskRules) -> None:
         if set(self.thresholds) != set(formal.thresholds):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from earlybell import rules as R
 from earlybell.functions import scalars as S
 from earlybell.operators.panel import DAY
+from earlybell.sources.sinks import EVENT_HEADERS
 from earlybell.sources.staging import store
 
 BOM = "\ufeff"
@@ -300,21 +301,9 @@ def standard_lifecycle(raw: DataFrame, digits: str = R.CODE_DIGITS) -> DataFrame
     )
 
 
-EVENT_HEADERS = {
-    # fixed values: localised event headers
-    "交易市场代码": "market_code",
-    "证券代码": "security_code",
-    "事件类型": "event_type",
-    "首次事实日期": "first_fact_date",
-    "风险认定日期": "risk_date",
-    "风险规则版本号": "rule_version",
-    "计算批次标识": "calculation_batch_id",
-}
-
-
 def standard_events(raw: DataFrame) -> DataFrame:
     """Event batch with Chinese or English headers."""
-    named = raw.withColumnsRenamed({k: v for k, v in EVENT_HEADERS.items() if k in raw.columns})
+    named = raw.withColumnsRenamed({text: name for name, text in EVENT_HEADERS.items() if text in raw.columns})
     return named.select(
         *R.KEY,
         "event_type",

@@ -256,7 +256,7 @@ def s13(d: Domain):
     segments = events.limit_down_segments(d.panel, _rules()).select(
         *R.KEY, "segment_number", "consecutive_length", "first_fact_date", "threshold_reached"
     )
-    return sinks.localise(segments, sinks.EVENT_HEADERS)
+    return sinks.localise(segments, sinks.SEGMENT_HEADERS)
 
 
 def _rules():
