@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from earlybell import rules as R
 from earlybell.functions import scalars as S
@@ -143,6 +144,7 @@ class PagedResult:
 
     path: str
     columns: tuple[str, ...]
+    schema: StructType
     #: (range, rows before it, rows) in order; one entry per range
     ranges: tuple[tuple[int, int, int], ...]
 
@@ -156,7 +158,7 @@ class PagedResult:
             raise ValueError("page is out of range")
         first, last = (number - 1) * size, number * size
         touched = [r for r, before, n in self.ranges if before < last and before + n > first]
-        rows = spark.read.parquet(self.path).where(F.col("_range").isin(touched or [-1]))
+        rows = spark.read.schema(self.schema).parquet(self.path).where(F.col("_range").isin(touched or [-1]))
         bases = F.coalesce(*[F.when(F.col("_range") == r, b) for r, b, _ in self.ranges if r in touched], F.lit(0))
         placed = rows.withColumn("position", (F.col("_place") + bases + 1).cast("long"))
         return placed.where(F.col("position").between(first + 1, last)).select(*self.columns, "position")
@@ -169,7 +171,7 @@ def paged(df: DataFrame, order: Sequence) -> PagedResult:
     path = new_path(spark, "pages")
     ranged.write.partitionBy("_range").parquet(path)
     index = range_index(ranged).orderBy("_range").collect()  # a row per range
-    return PagedResult(path, tuple(df.columns), tuple((r["_range"], r["before"], r["rows"]) for r in index))
+    return PagedResult(path, tuple(df.columns), ranged.schema, tuple((r["_range"], r["before"], r["rows"]) for r in index))
 
 
 def example_keys(issues: DataFrame, key: str = "issue_key", limit: int = R.EXAMPLE_LIMIT) -> DataFrame:

@@ -132,3 +132,9 @@ def test_a_clean_import_has_only_coverage_findings(spark, tmp_path):
         "daily_suspension_status_missing_keys": 2,
         "daily_suspension_status_unexpected_keys": 1,
     }
+
+
+def test_an_import_without_kept_rows(spark, tmp_path):
+    none = {k: getattr(sources(spark), k).where("false") for k in ("calendar", "master", "market", "risk_status", "suspension")}
+    result = ci.import_batch(ci.ImportSources(**none), str(tmp_path / "facts"))
+    assert result.fit and ci.read_import(spark, result.path).count() == 0
