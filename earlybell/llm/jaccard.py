@@ -44,23 +44,27 @@ from earlybell.llm.signature_tree import PERCENT, links
 SHINGLE = 5
 #: Shingles in a hash range, which one task holds (6 bytes each, some 100 MB at work).
 RANGE_SHINGLES = 2_000_000
-#: Hash ranges are a power of two, at most so many.
-MAX_RANGE_BITS = 16
+#: Hash ranges are a power of two. Beyond so many bits a task takes several ranges in turn.
+TASK_BITS = 16
 #: A shingle of more classes is called common: it sorts last, and its rows are passed on.
 COMMON = 4_096
 #: Classes, and shingles, in a block: what one task compares at once.
 BLOCK_SETS = 2_048
 BLOCK_SHINGLES = 1_000_000
+#: Words in a task's cache, and bytes of a word that is worth a place there.
 CACHE_WORDS = 500_000
+CACHE_WORD_BYTES = 64
 
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= CACHE_WORD_BYTES:
+            if len(self) > CACHE_WORDS:
+                self.clear()
+            self[word] = h
         return h
 
 
@@ -229,32 +233,45 @@ class _Range:
         )
 
 
-def _unpacked(rows: list[tuple[int, bytes, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles (range and 48 bits) and the class key of each."""
+def _unpacked(rows: list[tuple[int, bytes, bytes, bytes]], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles (range and the 48 bits, or as many as the hash has, below) and the class key of each."""
     blob = b"".join(r[3] for r in rows)
     wide = np.zeros((len(blob) // 6, 8), np.uint8)
     wide[:, :6] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
     lengths = np.frombuffer(b"".join(r[2] for r in rows), "<u2").astype(np.int64)
     keys = np.repeat(np.frombuffer(b"".join(r[1] for r in rows), "<i8"), lengths)
-    top = np.repeat([r[0] for r in rows], [len(r[3]) // 6 for r in rows]).astype(np.uint64) << np.uint64(48)
-    return wide.reshape(-1).view("<u8") | top, keys
+    top = np.repeat([r[0] for r in rows], [len(r[3]) // 6 for r in rows]).astype(np.uint64)
+    spare = np.uint64(max(bits - 16, 0))  # zeros below the hash's last bit
+    return (wide.reshape(-1).view("<u8") >> spare) | (top << (np.uint64(48) - spare)), keys
 
 
-def shared_shingles(packed: DataFrame) -> DataFrame:
-    """From rows of whole hash ranges: what of a class's shingles others have, by class."""
+def shared_shingles(packed: DataFrame, bits: int) -> DataFrame:
+    """What of a class's shingles others have, by class. The rows of a hash range come
+    together, and a task holds one range at a time.
+    """
+    if bits <= TASK_BITS:
+        packed = packed.repartitionById(1 << bits, F.col("hash_range"))
+    else:
+        task = F.shiftright("hash_range", bits - TASK_BITS)
+        packed = packed.repartitionById(1 << TASK_BITS, task).sortWithinPartitions("hash_range")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state, waiting, size = _Range(), [], 0
+        current, state, waiting, size = None, _Range(), [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 for row in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns), strict=True):
+                    if row[0] != current:
+                        if waiting:
+                            yield from state.add(*_unpacked(waiting, bits))
+                        yield from state.rest()
+                        current, state, waiting, size = row[0], _Range(), [], 0
                     waiting.append(row)
                     size += len(row[3])
                     if size > 6 * RANGE_SHINGLES // 2:
-                        yield from state.add(*_unpacked(waiting))
+                        yield from state.add(*_unpacked(waiting, bits))
                         waiting, size = [], 0
         if waiting:
-            yield from state.add(*_unpacked(waiting))
+            yield from state.add(*_unpacked(waiting, bits))
         yield from state.rest()
 
     return packed.mapInArrow(run, "key bigint, shared int, tokens binary, counts binary")
@@ -302,12 +319,52 @@ def near_copies(shared: DataFrame, sizes: DataFrame) -> DataFrame:
 # --- steps 3 and 4: clusters, and the links in them -----------------------------------------
 
 
+#: Prefix shingles that a task groups at once.
+POSTINGS = 1_000_000
+
+
+def _grouped_postings(sets: DataFrame) -> DataFrame:
+    """Within a task, classes of one prefix shingle hang on the least of them (edges ``a``, ``b``,
+    null ``token``), which alone stands for them outside (``a`` = ``b``, ``token``): a shingle of
+    very many classes leaves one row for each task.
+    """
+    with_package(sets.sparkSession)
+
+    def given(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        prefix = pa.chunked_array([b.column(1) for b in held]).combine_chunks()
+        keys = np.concatenate([b.column(0).to_numpy() for b in held])
+        keys, tokens = np.repeat(keys, prefix.value_lengths().to_numpy()), prefix.flatten().to_numpy()
+        order = np.lexsort((keys, tokens))
+        keys, tokens = keys[order], tokens[order]
+        first = np.concatenate([[True], tokens[1:] != tokens[:-1]])[: len(tokens)]
+        low = keys[np.flatnonzero(first)][np.cumsum(first) - 1]
+        apart = keys != low
+        a, b = np.concatenate([keys[apart], keys[first]]), np.concatenate([low[apart], keys[first]])
+        token = np.concatenate([np.zeros(apart.sum(), np.int64), tokens[first]])
+        within = np.arange(len(a)) < apart.sum()
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(token, mask=within)], ["a", "b", "token"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += len(batch.column(1).flatten())
+            if size >= POSTINGS:
+                yield given(held)
+                held, size = [], 0
+        if size:
+            yield given(held)
+
+    return sets.select("key", "prefix").mapInArrow(run, "a bigint, b bigint, token bigint")
+
+
 def clusters(sets: DataFrame) -> DataFrame:
     """``key`` and ``cluster`` of the classes that share a prefix shingle with another."""
-    postings = sets.select("key", F.explode("prefix").alias("token"))
-    least = postings.groupBy("token").agg(F.min("key").alias("low"))
-    edges = postings.join(least, "token").where("key <> low").select(F.col("key").alias("a"), F.col("low").alias("b"))
-    found = store(connected(edges.distinct()), "clusters")
+    grouped = _grouped_postings(sets)
+    postings = grouped.where("token IS NOT NULL").select("token", "a")
+    least = postings.groupBy("token").agg(F.min("a").alias("b"))
+    between = postings.join(least, "token").where("a <> b").select("a", "b")
+    found = store(connected(grouped.where("token IS NULL").select("a", "b").union(between)), "clusters")
     roots = found.select("root").distinct()
     return found.select(F.col("node").alias("key"), F.col("root").alias("cluster")).union(roots.select("root", "root"))
 
@@ -361,9 +418,8 @@ def _tree_links(rows: DataFrame, unit: list[str]) -> DataFrame:
     return together.mapInArrow(run, "a bigint, b bigint")
 
 
-def _grouped(members: DataFrame, linked: DataFrame) -> DataFrame:
+def _grouped(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Rows with ``grp``, the component of the links so far."""
-    roots = connected(linked)
     return members.join(roots, members["key"] == roots["node"], "left").select(
         *members.columns, F.coalesce("root", "key").alias("grp")
     )
@@ -411,7 +467,8 @@ def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
 def class_links(sets: DataFrame) -> DataFrame:
     """Links (a, b) that connect all classes whose similarity reaches the threshold.
 
-    Classes are dealt out by key and size alone; their sets join where they are compared.
+    Each round's links are contracted together with the stars of the rounds before, not
+    with all their links. Classes are dealt out by key and size alone; their sets join where they are compared.
     """
     shingles_of = sets.select("key", "tokens")
 
@@ -425,11 +482,13 @@ def class_links(sets: DataFrame) -> DataFrame:
     if large.isEmpty():
         return found
     while True:
-        grouped = store(_grouped(large, found), "large_clusters")
+        roots = store(connected(found), "roots")
+        grouped = store(_grouped(large, roots), "large_clusters")
         more = compared(_blocks(grouped.where("key = grp").drop("grp")))
+        found = roots.toDF("a", "b")
         if more.isEmpty():
             return found.union(_across(grouped, shingles_of))
-        found = store(found.union(more), "links")
+        found = found.union(more)
 
 
 # --- step 5 ---------------------------------------------------------------------------------
@@ -444,11 +503,11 @@ def _components(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """``components`` with ``top``, the class that names the component (null without shingles)."""
     rows = store(described(docs, text, doc_id), "shingle_counts")
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
-    bits = min(MAX_RANGE_BITS, max(0, (-(-total // RANGE_SHINGLES) - 1).bit_length()))
-    packed = packed_shingles(docs, text, bits).repartitionById(1 << bits, F.col("hash_range"))
+    bits = max(0, (-(-total // RANGE_SHINGLES) - 1).bit_length())
+    packed = packed_shingles(docs, text, bits)
     sizes = rows.where("class_key IS NOT NULL").groupBy(F.col("class_key").alias("key")).agg(F.first("n_shingles").alias("n"))
-    sets = store(near_copies(shared_shingles(packed), sizes), "near_copies")
-    roots = connected(store(class_links(sets), "links"))
+    sets = store(near_copies(shared_shingles(packed, bits), sizes), "near_copies")
+    roots = connected(class_links(sets))
     classes = rows.where("class_key IS NOT NULL").groupBy("class_key").agg(F.min("doc_id").alias("least"))
     joined = classes.join(roots, classes["class_key"] == roots["node"], "left").select(
         "class_key", "least", F.coalesce("root", "class_key").alias("top")

@@ -75,6 +75,8 @@ def test_small_blocks_and_ranges_give_the_same(spark, monkeypatch, common):
     monkeypatch.setattr(jaccard, "BLOCK_SETS", 4)
     monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 2_000)
     monkeypatch.setattr(jaccard, "COMMON", common)
+    monkeypatch.setattr(jaccard, "POSTINGS", 50)
+    monkeypatch.setattr(jaccard, "TASK_BITS", 1)
     assert result(jaccard.components(frame(spark, rows(texts)))) == brute(texts)
 
 
@@ -123,7 +125,25 @@ def test_tree_loses_no_link():
     assert len(found) < len(sets) * (len(sets) - 1) / 2  # different bases are pruned
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("bits", [0, 7, 16, 21, 30])
+def test_shingles_are_packed_whole(bits):
+    """What of a shingle's hash lies in the range and in the packed bits tells it from others."""
+    import pyarrow as pa
+
+    text = prose(random.Random(3), 400)
+    batch = jaccard._chunk_rows(pa.array([text]), bits)
+    tokens, keys = jaccard._unpacked(list(zip(*(c.to_pylist() for c in batch.columns), strict=True)), bits)
+    whole = jaccard.shingles(text.encode())
+    kept = min(64, 48 + bits)
+    want = (whole << np.uint64(bits)) >> np.uint64(16) if not bits else (whole >> np.uint64(64 - kept))
+    assert sorted(tokens.tolist()) == sorted(want.tolist())
+    assert set(keys.tolist()) == {jaccard.class_key(whole)}
+
+
+@pytest.mark.parametrize("held", [1_000_000, 7])
+def test_components_of_chains_and_stars(spark, monkeypatch, held):
+    """In one task's stars, and by alternating stars where a task can't hold all edges."""
+    monkeypatch.setattr(graph, "EDGES", held)
     edges = [(k, k + 1) for k in range(20)] + [(100, k) for k in range(101, 160)] + [(7, 7), (200, 199), (199, 200)]
     got = graph.components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {(r.node, r.root) for r in got} == (
