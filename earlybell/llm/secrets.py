@@ -119,9 +119,9 @@ def _near(weak: np.ndarray, strong: np.ndarray, scopes: np.ndarray) -> np.ndarra
     return start <= np.minimum(weak[:, 1] + REACH, high - 1)
 
 
-def linked(text: bytes, apart: bool = True) -> list[tuple[str, int, int]]:
+def linked(text: bytes) -> list[tuple[str, int, int]]:
     """Base spans, and the weak ones that complementary parts support, in code points; by
-    start, then kind as listed. Without ``apart`` a loose string may be inside its complement."""
+    start, then kind as listed. No span supports one that it overlaps."""
     found = {k: np.asarray(v, np.int64).reshape(-1, 2) for k, v in parts(text).items()}
     if not any(map(len, found.values())):
         return []
@@ -131,17 +131,17 @@ def linked(text: bytes, apart: bool = True) -> list[tuple[str, int, int]]:
     out = [(k, a, b) for k in BASE_KINDS for a, b in found[k].tolist()]
     if any(len(found[k]) for k in WEAK_KINDS):
         scopes = np.asarray([m.end() for m in PARAGRAPH.finditer(text)], np.int64)
-        out += _supported(found, scopes if points is None else points[scopes], apart)
+        out += _supported(found, scopes if points is None else points[scopes])
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-def _supported(found: dict[str, np.ndarray], scopes: np.ndarray, apart: bool) -> list[tuple[str, int, int]]:
+def _supported(found: dict[str, np.ndarray], scopes: np.ndarray) -> list[tuple[str, int, int]]:
     base = np.concatenate([found[k] for k in BASE_KINDS])
     base = base[np.lexsort((base[:, 1], base[:, 0]))]
     # what a base span already reports is no loose string
     loose = found["loose"][~_overlaps(found["loose"], base)]
     found = found | {"loose": loose}
-    named, inside = (_overlaps(loose, found[k]) & apart for k in ("account", "endpoint"))
+    named, inside = (_overlaps(loose, found[k]) for k in ("account", "endpoint"))
     barred = {"account": named, "endpoint": named | inside}
     out = []
     for kind in WEAK_KINDS:
@@ -166,16 +166,16 @@ def _overlaps(spans: np.ndarray, others: np.ndarray) -> np.ndarray:
     return (before > 0) & (reach[np.maximum(before - 1, 0)] > spans[:, 0])
 
 
-def _compute(column: pa.Array, apart: bool) -> list[list]:
-    return [[[{"kind": k, "start": a, "end": b} for k, a, b in linked(text, apart)] for text in blobs(column)]]
+def _compute(column: pa.Array) -> list[list]:
+    return [[[{"kind": k, "start": a, "end": b} for k, a, b in linked(text)] for text in blobs(column)]]
 
 
-def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None, apart: bool = True) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Documents with ``secret_spans``: kind, start and end (code points, end exclusive).
 
     A scope lies inside one text, so the join runs where the text is: no shuffle.
     """
-    return annotate(docs, text, FIELDS, lambda column: _compute(column, apart), keep)
+    return annotate(docs, text, FIELDS, _compute, keep)
 
 
 def spans_text(spans: Column) -> Column:

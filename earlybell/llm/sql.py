@@ -158,15 +158,18 @@ WITH docs AS (SELECT doc_id, coalesce(text, '') AS body FROM documents
 ), breaks AS (SELECT doc_id, b AS e FROM spans WHERE kind = 'break'
 ), base AS (SELECT * FROM spans WHERE kind IN ({_BASE})
 ), free AS (
-  SELECT * FROM spans x WHERE kind NOT IN ('loose', 'break')
+  SELECT *, false AS named, false AS inside FROM spans x WHERE kind NOT IN ('loose', 'break')
   UNION ALL
-  SELECT * FROM spans x WHERE kind = 'loose' AND NOT EXISTS (FROM base y WHERE y.doc_id = x.doc_id AND y.a < x.b AND y.b > x.a)
+  SELECT *, EXISTS (FROM spans y WHERE y.kind = 'account' AND y.doc_id = x.doc_id AND y.a < x.b AND y.b > x.a),
+    EXISTS (FROM spans y WHERE y.kind = 'endpoint' AND y.doc_id = x.doc_id AND y.a < x.b AND y.b > x.a)
+  FROM spans x WHERE kind = 'loose' AND NOT EXISTS (FROM base y WHERE y.doc_id = x.doc_id AND y.a < x.b AND y.b > x.a)
 ), scoped AS (
-  SELECT x.doc_id, x.kind, x.a, x.b, coalesce(max(e) FILTER (e <= x.a), 0) AS low, min(e) FILTER (e > x.a) AS high
+  SELECT x.doc_id, x.kind, x.a, x.b, x.named, x.inside, coalesce(max(e) FILTER (e <= x.a), 0) AS low, min(e) FILTER (e > x.a) AS high
   FROM free x LEFT JOIN breaks USING (doc_id) WHERE x.kind NOT IN ({_BASE}) GROUP BY ALL
 ), supported AS (
   SELECT DISTINCT w.doc_id, w.kind, w.a, w.b FROM scoped w JOIN free s ON s.doc_id = w.doc_id AND ({_NEEDS})
   WHERE s.b >= greatest(w.a - {secrets.REACH}, w.low + 1) AND s.a <= least(w.b + {secrets.REACH}, coalesce(w.high - 1, w.b + {secrets.REACH}))
+    AND NOT s.named AND NOT (w.named AND s.kind IN ('account', 'endpoint')) AND NOT (w.inside AND s.kind = 'endpoint')
 ), reported AS (SELECT * FROM base UNION ALL SELECT * FROM supported
 ), texts AS (
   SELECT doc_id, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, {_ORDER}, b) AS spans,

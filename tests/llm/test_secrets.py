@@ -74,6 +74,8 @@ def test_one_span_plays_one_part(spark):
     clean = [f"see {url} there", "user=anna20231984smith", f"{url} and {url}-2 too", "user=anna20231984smith login=otto19840101meier",
              f"user=anna20231984smith {url[:19]}"]
     docs = frame(spark, rows([*clean, f"{KEY} {url}", f"https://host.example/b?key={LOOSE} user=anna"]))
+    spans = [r.secret_spans for r in secrets.scan(docs).orderBy("doc_id").collect()]
+    assert not any(spans[: len(clean)]) and all(spans[len(clean) :])
     got = [r.text for r in secrets.redact(docs).orderBy("doc_id").collect()]
     assert got[: len(clean)] == clean
     assert got[-2] == "[SECRET] [SECRET]"  # an access identifier is beside it
