@@ -11,7 +11,7 @@ each word's probability; spans are runs of words above one half, and a logistic
 summed and the largest toxic mass, fitted on documents put aside, is the score.
 
 Training reads a bounded sample: at most ``per_class`` rows of each label, found by a
-hash of the id, of texts up to ``max_chars``. Scoring reads every text whole.
+hash of the id, each cut to a stretch of ``max_chars`` at a place that the hash gives. Scoring reads every text whole.
 
 * null, empty or wordless text: no span, the score of no toxic mass
 * no label of one of the classes: every score is the share of toxic labels
@@ -250,7 +250,7 @@ def chain_scores(own: np.ndarray, left: np.ndarray, right: np.ndarray, sizes: np
 
 def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings, text: str, doc_id: str) -> tuple[list[tuple[str, int]], float]:
     """A bounded sample of (text, label) and the share of toxic labels among all."""
-    one = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    one = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["count"] for r in one.groupBy("toxic").count().collect()}
     total = sum(sizes.values())
     if not total:
@@ -260,10 +260,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings, text:
     )
     # at most twice the wanted number by this limit, so the broadcast is bounded
     chosen = one.where(unit_hash("doc_id") < share).limit(4 * settings.per_class)
-    body = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("body"))
+    spare = F.greatest(F.char_length(text) - settings.max_chars, F.lit(0))
+    at = F.pmod(F.xxhash64(F.lit("stretch"), F.col(doc_id)), spare + 1).cast("int")
+    stretch = F.col(text).substr(at + 1, F.lit(settings.max_chars))
+    body = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), stretch.alias("body"))
     rows = (
-        body.where(F.char_length("body") <= settings.max_chars)
-        .join(F.broadcast(chosen), "doc_id")
+        body.join(F.broadcast(chosen), "doc_id")
         .select("body", "toxic")
         .limit(4 * settings.per_class)
     )
