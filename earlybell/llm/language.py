@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField
 
@@ -43,7 +43,8 @@ WORD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 3
 class Settings:
     per_language: int = 1000
     max_chars: int = 20_000
-    languages: int = 500
+    #: training rows of all languages together; where there are many, each has fewer
+    rows: int = 1_000_000
     buckets: int = 1 << 16
     size: int = 16
     epochs: int = 3
@@ -96,18 +97,16 @@ def has_letter(words: bytes) -> bool:
 def training_rows(docs: DataFrame, settings: Settings, text: str, lang: str, doc_id: str) -> list[tuple[str, str]]:
     """A bounded sample of (language, text): the ids' hashes decide."""
     usable = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sizes = usable.groupBy(F.col(lang).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(settings.languages)
-    share = {r["lang"]: settings.per_language / r["count"] for r in sizes.collect()}
-    if not share:
+    sizes = usable.groupBy(F.col(lang).alias("lang")).count().collect()
+    if not sizes:
         return []
-    cases: Column | None = None
-    for name, part in share.items():
-        cases = F.when(F.col(lang) == name, F.lit(part)) if cases is None else cases.when(F.col(lang) == name, F.lit(part))
+    wanted = max(1, min(settings.per_language, settings.rows // len(sizes)))
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], wanted / r["count"])])
     spare = F.greatest(F.char_length(text) - settings.max_chars, F.lit(0))
     at = F.pmod(F.xxhash64(F.lit("stretch"), F.col(doc_id)), spare + 1).cast("int")
     stretch = F.col(text).substr(at + 1, F.lit(settings.max_chars))
-    rows = usable.where(unit_hash(doc_id) < cases.otherwise(F.lit(0.0))).select(F.col(lang), stretch)
-    return sorted(map(tuple, rows.limit(2 * settings.per_language * len(share)).collect()))
+    rows = usable.where(unit_hash(doc_id) < share[F.col(lang)]).select(F.col(lang), stretch)
+    return sorted(map(tuple, rows.limit(2 * wanted * len(sizes)).collect()))
 
 
 def _stretches(rows: list[tuple[str, str]], settings: Settings, rng: np.random.Generator) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -198,7 +197,12 @@ def _compute(column: pa.Array, model: Model) -> list[list]:
             rejected.append(True)
             continue
         found = grams(words, len(model.table))
-        mean = model.table[found].sum(axis=0, dtype=np.float64) / max(1, len(found))
+        if len(found) <= len(model.table):
+            total = model.table[found].sum(axis=0, dtype=np.float64)
+        else:  # no more rows than buckets are gathered
+            buckets, times = np.unique(found, return_counts=True)
+            total = times @ model.table[buckets]
+        mean = total / max(1, len(found))
         p = _softmax(((mean + model.bias) / model.temperature)[None])[0]
         k = int(p.argmax())
         names.append(model.languages[k])

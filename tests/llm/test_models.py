@@ -71,6 +71,63 @@ def test_language_of_long_texts_only(spark):
     assert {len(t) for n, t in taken if n == "bb"} == {language.Settings.max_chars}
 
 
+def test_every_language_is_learned(spark):
+    """However many there are: then each has fewer rows, and none is left out."""
+    docs = frame(spark, rows([f"text {k}" for k in range(90)], lang=[f"l{k % 30:02}" for k in range(90)]))
+    taken = language.training_rows(docs, language.Settings(per_language=100, rows=60), "text", "lang", "doc_id")
+    assert len(taken) <= 120
+    assert len({n for n, _ in language.training_rows(docs, language.Settings(rows=90), "text", "lang", "doc_id")}) == 30
+
+
+def plain_prediction(text, model):
+    """Average, softmax and temperature, gram by gram."""
+    words = b" " + b" ".join("".join(c if c.isalpha() or ord(c) > 127 else " " for c in text.lower()).encode().split()) + b" "
+    total, count = np.zeros(len(model.languages)), 0
+    for n in (2, 3, 4):
+        for at in range(len(words) - n + 1):
+            gram = words[at : at + n]
+            if 32 in gram[1:-1]:
+                continue
+            h = n
+            for b in gram:
+                h = (h * 0x01000193 & 0xFFFFFFFF) ^ b
+            h ^= h >> 15
+            total += model.table[(h * 0x85EBCA6B & 0xFFFFFFFF) >> 8 & (len(model.table) - 1)]
+            count += 1
+    z = (total / max(1, count) + model.bias) / model.temperature
+    e = np.exp(z - z.max())
+    return model.languages[int(e.argmax())], float(e.max() / e.sum())
+
+
+def test_language_scores_equal_brute_force(spark, data):
+    texts, _, _, docs = data
+    small = language.fit(docs.where(~held_out()), language.Settings(buckets=256, epochs=1))  # long texts have more grams
+    for r in language.identify(docs, small, keep=["doc_id"]).collect():
+        if texts[r.doc_id] and r.lang_pred != "und":
+            want, score = plain_prediction(texts[r.doc_id], small)
+            assert abs(r.score - score) < 1e-5
+            assert r.lang_pred == want or score < 0.51
+
+
+def test_toxicity_learns_from_long_texts_only(spark):
+    rng = random.Random(12)
+    texts, labels = [], []
+    for k in range(120):
+        words = [word(rng, "aa") for _ in range(2600)]
+        if toxic := int(k % 3 == 0):
+            for at in range(0, len(words), 40):
+                words[at] = rng.choice(TOXIC)
+        texts.append("\n".join(" ".join(words[i : i + 20]) for i in range(0, len(words), 20)))
+        labels.append((k, toxic))
+    assert min(map(len, texts)) > toxicity.Settings.max_chars
+    docs = frame(spark, rows(texts))
+    known = spark.createDataFrame([*labels, (0, 7)], "doc_id bigint, toxic int").where(~held_out())
+    model = toxicity.fit(docs, known)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model, keep=["doc_id"]).collect()}
+    held = [(k, x) for k, x in labels if not learns(k)]
+    assert np.mean([(got[k] >= 0.7) == bool(x) for k, x in held]) > 0.9
+
+
 def test_language_without_training_rows(spark):
     assert language.identify(empty(spark), language.fit(empty(spark))).count() == 0
     model = language.fit(empty(spark))
