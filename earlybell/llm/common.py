@@ -60,7 +60,10 @@ def annotate(
     with_package(docs.sparkSession)
     new = {f.name.lower() for f in fields}
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in new]
-    taken = [F.col(f"`{c}`").alias(f"_taken_{k}") for k, c in enumerate((text, *extra))]
+    lead = "_taken"
+    while any(c.lower().startswith(lead) for c in kept):
+        lead = f"_{lead}"
+    taken = [F.col(f"`{c}`").alias(f"{lead}_{k}") for k, c in enumerate((text, *extra))]
     carried = docs.select(*[F.col(f"`{c}`") for c in kept], *taken)
     schema = StructType([*carried.schema.fields[: len(kept)], *fields])
     from pyspark.sql.pandas.types import to_arrow_type
@@ -79,13 +82,23 @@ def annotate(
     return carried.mapInArrow(run, schema)
 
 
-def behind(docs: DataFrame, step: Callable[[DataFrame, dict[str, str]], DataFrame]) -> DataFrame:
+def behind(
+    docs: DataFrame,
+    step: Callable[[DataFrame, dict[str, str]], DataFrame],
+    keep: list[str] | None = None,
+    added: tuple[str, ...] = (),
+) -> DataFrame:
     """Apply ``step`` to the rows under neutral column names, which it gets as a mapping, and
-    give the rows that it returns their own columns back: no name of a result can clash.
+    give the rows that it returns their own columns back: no name that it uses can clash.
+
+    ``keep`` names the columns to give back (default all); those of ``added``, which ``step``
+    makes, follow, and an own column of such a name gives way.
     """
+    new = {a.lower() for a in added}
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in new]
     name = {c: f"_own_{k}" for k, c in enumerate(docs.columns)}
     out = step(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in name.items()]), name)
-    return out.select(*[F.col(n).alias(c) for c, n in name.items()])
+    return out.select(*[F.col(name[c]).alias(c) for c in kept], *added)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earlybell.llm.common import store
+from earlybell.llm.common import behind, store
 
 # Usual notices and openings of licences, with their public short names.
 TEMPLATES = (
@@ -150,6 +150,12 @@ def scan(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
     """Files (without their text) with license, similarity, status (own, inherited, conflict,
     none) and declared_in, the directory that an inherited licence or conflict comes from.
     """
+    own = [c for c in files.columns if c != text]
+    return behind(files, lambda rows, name: _scanned(rows, name[path], name[text]), own, RESULTS)
+
+
+def _scanned(files: DataFrame, path: str, text: str) -> DataFrame:
+    """``scan`` under names that clash with none in here."""
     found = store(notices(files, path, text), "license_files")
     carried = [F.col(f"`{c}`") for c in found.columns if c not in ("_dir", "_notice", "_declares")]
     near = store(matched(found), "license_matches")

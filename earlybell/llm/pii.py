@@ -153,7 +153,13 @@ def _features(body: Column, kind: str, x: Column) -> Column:
 
 def propose(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Documents with ``base`` (a struct of valid spans by kind) and ``proposals``."""
-    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("base", "proposals")]
+    results = ("base", "proposals")
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in results]
+    return behind(docs, lambda rows, name: _proposed(rows, name[text], [name[c] for c in kept]), kept, results)
+
+
+def _proposed(docs: DataFrame, text: str, kept: list[str]) -> DataFrame:
+    """``propose`` under names that clash with none in here."""
     own = [F.col(f"`{c}`") for c in kept]
     rows = docs.select(*own, F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_body"))
     body = F.col("_body")

@@ -200,8 +200,17 @@ def judge(
     ``keep`` names the columns to carry (default all). Texts are read once: counts and
     carried columns are stored, the sketches and the filter read them back.
     """
-    results = {*COUNTS, "base_failed", "kept"}
+    results = (*COUNTS, "base_failed", "kept")
     carried = [c for c in (docs.columns if keep is None else keep) if c.lower() not in results]
+
+    def step(rows: DataFrame, name: dict[str, str]) -> DataFrame:
+        return _judged(rows, rules, name[text], name[lang], name[source], [name[c] for c in carried])
+
+    return behind(docs, step, carried, results)
+
+
+def _judged(docs: DataFrame, rules: Rules, text: str, lang: str, source: str, carried: list[str]) -> DataFrame:
+    """``judge`` under names that clash with none in here."""
     needed = list(dict.fromkeys([*carried, lang, source]))
     own = docs.select(*[F.col(f"`{c}`") for c in needed], F.col(f"`{text}`").alias("_text"))
     counted = store(counts(own, "_text").drop("_text"), "quality_counts")
