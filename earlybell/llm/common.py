@@ -13,7 +13,7 @@ from pyspark.sql.types import StructField, StructType
 
 from earlybell.sources.staging import store
 
-__all__ = ["annotate", "behind", "blobs", "held_out", "mix", "store", "table", "texts", "unit_hash", "with_package"]
+__all__ = ["annotate", "behind", "blobs", "held_out", "let", "mix", "scan", "store", "table", "texts", "unit_hash", "with_package"]
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -101,6 +101,47 @@ def behind(
     return out.select(*[F.col(name[c]).alias(c) for c in kept], *added)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, however often ``use`` reads it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def scan(
+    items: Column,
+    carry: Column,
+    step: Callable[[Column, Column], tuple[Column, Column]],
+    typed: str,
+    width: int = 32,
+    depth: int = 2,
+) -> Column:
+    """The outputs of an ordered fold over an array, as an array of the type ``typed``.
+
+    ``step`` gets the carried value and an item, gives the next carried value and an array
+    of outputs (of any number, none included). Outputs are gathered in blocks of blocks:
+    appending one by one to a single array would copy it each time, which is quadratic.
+    """
+
+    def fold(part: Column, start: Column, level: int) -> Column:
+        out_type = f"array<array<{typed}>>" if level else f"array<{typed}>"
+        empty = F.struct(start.alias("carry"), F.array().cast(out_type).alias("out"))
+
+        def one(acc: Column, x: Column) -> Column:
+            if level:
+                below = fold(F.slice(part, x, F.lit(width**level)), acc["carry"], level - 1)
+                return let(below, lambda b: F.struct(b["carry"].alias("carry"), F.concat(acc["out"], F.array(b["out"])).alias("out")))
+            carried, made = step(acc["carry"], x)
+            return F.struct(carried.alias("carry"), F.concat(acc["out"], made).alias("out"))
+
+        if not level:
+            return F.aggregate(part, empty, one)
+        starts = F.sequence(F.lit(1), F.size(part), F.lit(width**level))
+        done = F.aggregate(starts, empty, one)
+        return let(done, lambda d: F.struct(d["carry"].alias("carry"), F.flatten(d["out"]).alias("out")))
+
+    nothing = F.array().cast(f"array<{typed}>")
+    return let(items, lambda every: F.when(F.size(every) > 0, fold(every, carry, depth)["out"]).otherwise(nothing))
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """The fold that nothing learns from: crc32 of the id as text leaves 1 modulo 3."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))

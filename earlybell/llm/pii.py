@@ -16,6 +16,10 @@ The pattern table is bounded by the product of the features' ranges, whatever th
 corpus; fitting to it equals fitting to all proposals. The trees are turned back into
 CASE expressions.
 
+Places, overlaps and the leftmost choice are ordered folds within a row (``common.scan``);
+work and memory of a text grow as its length and its number of matches (times a logarithm
+for sorting).
+
 * null or empty text: no spans
 * repeated documents are scanned row by row, and count as often
 * no proposals at all: an empty model that reports base spans only
@@ -29,7 +33,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earlybell.llm.common import behind
+from earlybell.llm.common import behind, let, scan
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 # Possessive loops match what greedy ones do here (nothing follows them) without recursion.
@@ -56,33 +60,41 @@ CUES = {
     "handle": r"(?i)\b(?:write|mail|contact|message|follow|reach|twitter|instagram|telegram)\b[^0-9@\n]{0,12}$",
 }
 CONTEXT = 24
+#: Characters of the pieces in which redaction reaches into a text.
+PIECE = 1024
 #: Evidence for a proposal.
 NOTHING, CUED, CHECKED = 0, 1, 2
 #: Features with the number of values each can take.
 FEATURES = {"kind": 4, "digits": 21, "length": 8, "separators": 5, "lead": 4, "at": 2, "letters": 2, "attached": 2}
 
 SPAN = "array<struct<start:int,end:int>>"
-PROPOSAL = "struct<" + ",".join(f"{f}:int" for f in ("start", "end", "proof", *FEATURES)) + ">"
+PROPOSAL = "struct<start:int,end:int,touched:boolean," + ",".join(f"{f}:int" for f in ("proof", *FEATURES)) + ">"
 
 
 def _matches(body: Column, pattern: str) -> Column:
     return F.regexp_extract_all(body, F.lit(pattern), F.lit(0))
 
 
-def _places(found: str, gaps: str) -> Column:
-    """Start and end of each match, in code points, from the texts between them."""
-    typed = "struct<at:int,out:array<struct<m:string,start:int,end:int>>>"
+def _places(found: Column, gaps: Column) -> Column:
+    """Each match with start and end, in code points, from the texts between the matches, and
+    the ``CONTEXT`` characters before it: a running sum, linear in the number of matches."""
+
+    def ending(text: Column) -> Column:
+        return F.substring(text, -CONTEXT, CONTEXT)
+
+    def sized(gap: Column, m: Column) -> Column:
+        return F.struct(m.alias("m"), F.char_length(m).alias("n"), F.char_length(gap).alias("skip"), ending(gap).alias("lead"))
 
-    def step(acc: Column, i: Column) -> Column:
-        start = acc["at"] + F.char_length(F.get(F.col(gaps), i))
-        m = F.get(F.col(found), i)
-        end = start + F.char_length(m)
-        one = F.array(F.struct(m.alias("m"), start.alias("start"), end.alias("end")))
-        return F.struct(end.alias("at"), F.concat(acc["out"], one).alias("out")).cast(typed)
+    def step(carry: Column, x: Column) -> tuple[Column, Column]:
+        start = carry["at"] + x["skip"]
+        before = ending(F.concat(carry["tail"], x["lead"]))
+        spot = F.struct(x["m"].alias("m"), start.alias("start"), (start + x["n"]).alias("end"), before.alias("before"))
+        tail = ending(F.concat(carry["tail"], x["lead"], x["m"]))
+        return F.struct((start + x["n"]).alias("at"), tail.alias("tail")), F.array(spot)
 
-    empty = F.struct(F.lit(0).alias("at"), F.array().alias("out")).cast(typed)
-    steps = F.sequence(F.lit(0), F.size(found) - 1)
-    return F.when(F.size(found) > 0, F.aggregate(steps, empty, step)["out"]).otherwise(empty["out"])
+    pairs = F.slice(F.zip_with(gaps, found, sized), F.lit(1), F.size(found))
+    nothing = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"))
+    return scan(pairs, nothing, step, "struct<m:string,start:int,end:int,before:string>")
 
 
 def _valid(kind: str, m: Column) -> Column:
@@ -129,14 +141,12 @@ def _proof(kind: str, m: Column, digits: Column, before: Column) -> Column:
     return F.when(cued, CUED).otherwise(NOTHING)
 
 
-def _features(body: Column, kind: str, x: Column) -> Column:
-    m = x["m"]
+def _features(kind: str, x: Column) -> Column:
+    m, before = x["m"], x["before"]
     n = F.char_length(m)
     digits = n - F.char_length(F.regexp_replace(m, "[0-9]", ""))
     plain = F.char_length(F.regexp_replace(m, "[^A-Za-z0-9]", ""))
     first = F.when(m.startswith("+"), 1).when(m.startswith("("), 2).when(m.rlike("^[0-9]"), 0).otherwise(3)
-    since = F.greatest(x["start"] - CONTEXT, F.lit(0))
-    before = body.substr(since + 1, x["start"] - since)
     values = {
         "kind": F.lit(WIDE_KINDS.index(kind)),
         "digits": F.least(digits, F.lit(20)),
@@ -148,7 +158,8 @@ def _features(body: Column, kind: str, x: Column) -> Column:
         "attached": before.rlike("[A-Za-z0-9]$").cast("int"),
     }
     proof = _proof(kind, m, digits, before).alias("proof")
-    return F.struct(x["start"].alias("start"), x["end"].alias("end"), proof, *[v.alias(k) for k, v in values.items()]).cast(PROPOSAL)
+    place = (x["start"].alias("start"), x["end"].alias("end"), F.lit(False).alias("touched"))
+    return F.struct(*place, proof, *[v.alias(k) for k, v in values.items()]).cast(PROPOSAL)
 
 
 def propose(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -170,24 +181,43 @@ def _proposed(docs: DataFrame, text: str, kept: list[str]) -> DataFrame:
         *own, body, *[f"_m_{k}" for k, _ in both],
         *[F.when(F.size(f"_m_{k}") > 0, F.split(body, p, -1)).otherwise(none).alias(f"_g_{k}") for k, p in both],
     )
-    placed = split.select(*own, body, *[_places(f"_m_{k}", f"_g_{k}").alias(f"_s_{k}") for k, _ in both])
+    placed = split.select(*own, *[_places(F.col(f"_m_{k}"), F.col(f"_g_{k}")).alias(f"_s_{k}") for k, _ in both])
 
     def valid(kind: str) -> Column:
         ok = F.filter(F.col(f"_s_{kind}"), lambda x: _valid(kind, x["m"]))
         return F.transform(ok, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).cast(SPAN)
 
     def described(kind: str) -> Column:
-        return F.transform(F.col(f"_s_{kind}"), lambda x: _features(body, kind, x))
+        return F.transform(F.col(f"_s_{kind}"), lambda x: _features(kind, x))
+
+    apart = placed.select(
+        *own, F.struct(*[valid(k).alias(k) for k in BASE_KINDS]).alias("base"), F.concat(*map(described, WIDE_KINDS)).alias("_wide")
+    )
+    return apart.select(*own, "base", _touching(F.col("base"), F.col("_wide")).alias("proposals"))
 
-    return placed.select(*own, F.struct(*[valid(k).alias(k) for k in BASE_KINDS]).alias("base"), F.concat(*map(described, WIDE_KINDS)).alias("proposals"))
 
+def _touching(base: Column, proposals: Column) -> Column:
+    """Proposals, by their ends, told whether they overlap a base span: one pass over both in
+    the order of base starts and proposal ends, which carries the furthest base end so far."""
+    typed = f"array<struct<at:int,side:int,end:int,p:{PROPOSAL}>>"
 
-def _touches(spans: Column, x: Column) -> Column:
-    return F.exists(spans, lambda s: (s["start"] < x["end"]) & (s["end"] > x["start"]))
+    def entry(at: Column, side: int, end: Column, p: Column) -> Column:
+        # where both stand at one place the proposal comes first: it ends before that base span
+        return F.struct(at.alias("at"), F.lit(side).alias("side"), end.alias("end"), p.alias("p"))
 
+    nobody = F.lit(None).cast(PROPOSAL)
+    spans = F.transform(F.concat(*[base[k] for k in BASE_KINDS]), lambda s: entry(s["start"], 1, s["end"], nobody)).cast(typed)
+    wide = F.transform(proposals, lambda p: entry(p["end"], 0, p["end"], p)).cast(typed)
 
-def _all_base(base: Column) -> Column:
-    return F.concat(*[base[k] for k in BASE_KINDS])
+    def step(carry: Column, x: Column) -> tuple[Column, Column]:
+        p = x["p"]
+        told = [(carry["far"] > p["start"]).alias(f) if f == "touched" else p[f].alias(f) for f in ("start", "end", "touched", "proof", *FEATURES)]
+        mine = F.when(x["side"] == 0, F.array(F.struct(*told))).otherwise(F.array().cast(f"array<{PROPOSAL}>"))
+        far = F.when(x["side"] == 1, F.greatest(carry["far"], x["end"])).otherwise(carry["far"])
+        return F.struct(far.alias("far")), mine
+
+    merged = scan(F.sort_array(F.concat(spans, wide)), F.struct(F.lit(0).alias("far")), step, PROPOSAL)
+    return F.when((F.size(proposals) == 0) | (F.size(spans) == 0), F.sort_array(proposals)).otherwise(merged)
 
 
 # --- the model ------------------------------------------------------------------------------
@@ -232,7 +262,7 @@ def patterns(proposed: DataFrame) -> DataFrame:
     itself), by half of the documents (a hash of the whole row, its id included)."""
 
     def label(p: Column) -> Column:
-        return (p["proof"] > NOTHING) | _touches(_all_base(F.col("base")), p)
+        return (p["proof"] > NOTHING) | p["touched"]
 
     one = proposed.select(
         F.pmod(F.xxhash64(*proposed.columns), F.lit(2)).cast("int").alias("half"),
@@ -347,35 +377,35 @@ def select(proposed: DataFrame, model: Model) -> DataFrame:
             lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit(1.0).alias("score")),
         )
 
-    def of_kind(spans: Column, kind: str) -> Column:
-        return F.filter(spans, lambda s: s["kind"] == kind)
-
     base = F.concat(*map(named, BASE_KINDS)).cast(typed)
     names = F.array(*[F.lit(k) for k in WIDE_KINDS])
     least = F.array(*[F.lit(t) for t in model.thresholds])
-    free = F.filter("proposals", lambda p: ~_touches(_all_base(F.col("base")), p))
     scored = F.transform(
-        free,
+        F.filter("proposals", lambda p: ~p["touched"]),
         lambda p: F.struct(
             p["start"].alias("start"),
             (-p["end"]).alias("minus_end"),
             F.get(names, p["kind"]).alias("kind"),
+            p["kind"].alias("rank"),
             F.when(p["proof"] == CHECKED, 1.0).otherwise(score(model, p)).alias("score"),
             F.when(p["proof"] == CHECKED, 1.0).otherwise(F.get(least, p["kind"])).alias("least"),
         ),
     )
-    good = F.array_sort(F.filter(scored, lambda s: s["score"] >= s["least"]))
-    state = f"struct<at:int,out:{typed}>"
+    good = F.sort_array(F.filter(scored, lambda s: s["score"] >= s["least"]))
+    chosen = "struct<rank:int,start:int,end:int,kind:string,score:double>"
 
-    def leftmost(acc: Column, s: Column) -> Column:
-        one = F.array(F.struct(s["kind"].alias("kind"), s["start"].alias("start"), (-s["minus_end"]).alias("end"), s["score"].alias("score")))
-        taken = F.struct((-s["minus_end"]).alias("at"), F.concat(acc["out"], one).alias("out")).cast(state)
-        return F.when(s["start"] >= acc["at"], taken).otherwise(acc)
+    def leftmost(carry: Column, s: Column) -> tuple[Column, Column]:
+        end = -s["minus_end"]
+        one = F.struct(s["rank"].alias("rank"), s["start"].alias("start"), end.alias("end"), s["kind"].alias("kind"), s["score"].alias("score"))
+        free = s["start"] >= carry["at"]
+        taken = F.when(free, F.array(one)).otherwise(F.array().cast(f"array<{chosen}>"))
+        return F.struct(F.when(free, end).otherwise(carry["at"]).alias("at")), taken
 
-    empty = F.struct(F.lit(0).alias("at"), F.array().alias("out")).cast(state)
-    more = F.aggregate(good, empty, leftmost)["out"]
-    ordered = F.concat(base, *[of_kind(more, k) for k in WIDE_KINDS])
-    return proposed.withColumn("pii_spans", ordered).drop("base", "proposals")
+    more = F.sort_array(scan(good, F.struct(F.lit(0).alias("at")), leftmost, chosen))
+    plain = F.transform(
+        more, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["score"].alias("score"))
+    ).cast(typed)
+    return proposed.withColumn("pii_spans", F.concat(base, plain)).drop("base", "proposals")
 
 
 def redact(docs: DataFrame, model: Model, text: str = "text", mark: str = "[PII]") -> DataFrame:
@@ -385,17 +415,25 @@ def redact(docs: DataFrame, model: Model, text: str = "text", mark: str = "[PII]
         body = F.col(name[text])
         found = select(propose(rows, name[text]), model)
         spans = F.array_sort(F.transform("pii_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
-        state = "struct<at:int,out:string>"
 
-        def cut(acc: Column, s: Column) -> Column:
-            fresh = F.concat(acc["out"], body.substr(acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
-            joined = F.when(s["start"] >= acc["at"], fresh).otherwise(acc["out"])
-            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), joined.alias("out")).cast(state)
+        def parts(pieces: Column) -> Column:
+            def between(start: Column, end: Column) -> Column:
+                first = F.floor(start / PIECE).cast("int")
+                near = F.array_join(F.slice(pieces, first + 1, F.floor(end / PIECE).cast("int") - first + 1), "")
+                return F.substr(near, start - first * PIECE + 1, end - start)
+
+            def cut(carry: Column, s: Column) -> tuple[Column, Column]:
+                fresh = F.array(between(carry["at"], s["start"]), F.lit(mark))
+                kept = F.when(s["start"] >= carry["at"], fresh).otherwise(F.array().cast("array<string>"))
+                return F.struct(F.greatest(carry["at"], s["end"]).alias("at")), kept
+
+            last = F.greatest(F.lit(0), F.array_max(F.transform("_spans", lambda s: s["end"])))
+            made = F.concat(scan(F.col("_spans"), F.struct(F.lit(0).alias("at")), cut, "string"), F.array(between(last, F.char_length(body))))
+            return F.array_join(made, "")
 
-        start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out")).cast(state)
-        made = found.withColumn("_cut", F.aggregate(spans, start, cut))
-        tail = body.substr(F.col("_cut.at") + 1, F.char_length(body))
-        whole = F.when(body.isNull(), body).otherwise(F.concat(F.col("_cut.out"), tail))
+        made = found.withColumn("_spans", spans)
+        cut_up = let(F.regexp_extract_all(body, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)), parts)
+        whole = F.when(body.isNull() | (F.size("_spans") == 0), body).otherwise(cut_up)
         return made.withColumn(name[text], whole)
 
     return behind(docs, step)

@@ -108,11 +108,57 @@ def test_scores_equal_the_trees(spark):
     assert all(r[f] < n for r in one for f, n in pii.FEATURES.items())
 
 
+def test_selection_equals_brute_force(spark):
+    """Overlaps with base spans, and the leftmost choice among equals, as a loop makes them."""
+    proposed = pii.propose(frame(spark, rows(texts()[:450])), keep=["doc_id"]).cache()
+    model = pii.Model(thresholds=(0.0, 0.0, 2.0, 0.0))
+    chosen = {r.doc_id: [tuple(s)[:3] for s in r.pii_spans if s.kind not in pii.BASE_KINDS] for r in pii.select(proposed, model).collect()}
+    for r in proposed.collect():
+        taken = [(s.start, s.end) for k in pii.BASE_KINDS for s in r.base[k]]
+        assert all(p.touched == any(a < p.end and b > p.start for a, b in taken) for p in r.proposals)
+        at, want = 0, []
+        for p in sorted(r.proposals, key=lambda p: (p.start, -p.end, pii.WIDE_KINDS[p.kind])):
+            if not p.touched and p.start >= at and (pii.WIDE_KINDS[p.kind] != "handle"):
+                at = p.end
+                want.append((pii.WIDE_KINDS[p.kind], p.start, p.end))
+        assert chosen[r.doc_id] == sorted(want, key=lambda w: (pii.WIDE_KINDS.index(w[0]), w[1]))
+
+
+def test_many_matches_in_one_text(spark):
+    """Folds in blocks: as many matches as a log file has, each at its place."""
+    text = "\n".join(f"é +4930{k:07d} a{k}@b.de" for k in range(20_000))
+    docs = frame(spark, rows([text]))
+    found = pii.select(pii.propose(docs, keep=["doc_id"]), pii.Model()).first().pii_spans
+    assert [(s.kind, s.start, s.end) for s in found] == base(text)
+    assert pii.redact(docs, pii.Model()).first().text == "\n".join(["é [PII] [PII]"] * 20_000)
+
+
+def test_ordered_folds(spark):
+    """A running maximum that emits a value twice, once or not at all, over all block borders."""
+    from pyspark.sql import functions as F
+
+    from earlybell.llm.common import scan
+
+    def step(carry, x):
+        return F.greatest(carry, x), F.array_repeat(F.greatest(carry, x), (x % 3).cast("int"))
+
+    rng = random.Random(2)
+    lists = [[rng.randrange(10**6) for _ in range(n)] for n in (0, 1, 3, 4, 15, 16, 17, 64, 65, 1000)]
+    data = spark.createDataFrame([(k, v) for k, v in enumerate(lists)], "id int, v array<bigint>")
+    got = {r.id: r.out for r in data.select("id", scan(F.col("v"), F.lit(0).cast("long"), step, "bigint", width=4).alias("out")).collect()}
+    for k, values in enumerate(lists):
+        want, top = [], 0
+        for v in values:
+            top = max(top, v)
+            want += [top] * (v % 3)
+        assert got[k] == want
+
+
 def test_redaction(spark):
-    docs = frame(spark, rows(["mail a@b.cd now", None, "", "é +49 30 1234567."]))
+    docs = frame(spark, rows(["mail a@b.cd now", None, "", "é +49 30 1234567.", "é" * 2047 + "+49 30 1234567" + "x" * 3000 + "\n a@b.cd"]))
     got = pii.redact(docs, pii.Model())
     assert got.columns == docs.columns
-    assert [r.text for r in got.orderBy("doc_id").collect()] == ["mail [PII] now", None, "", "é [PII]."]
+    assert [r.text for r in got.orderBy("doc_id").collect()] == ["mail [PII] now", None, "", "é [PII].", "é" * 2047 + "[PII]" + "x" * 3000 + "\n [PII]"]
 
 
 def test_empty_documents(spark):
