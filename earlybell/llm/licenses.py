@@ -1,14 +1,20 @@
 """License scan: TF-IDF cosine to templates, then inheritance from directories. Native.
 
-A file's notice is its lines that speak of licensing (for a file named like a licence,
-its whole text). Distinct notices are compared once each, however many files share one:
-sparse TF-IDF vectors, with document frequencies over the notices of all files and the
-templates, are joined with the templates' by term, and the nearest template from the
-least similarity on names the licence. Files named like licences or index pages, and
-files of which the notice is a good part, declare their licence for their directory.
+A file's notice is its blocks that speak of licensing (for a file named like a licence,
+all blocks): paragraphs between blank lines, bare comment signs included, and between
+comments and code. Of each distinct notice, however many files share it, the parts are
+compared: first the whole of it and the single lines that speak of licensing, then, where
+neither is near enough, each of its blocks, as in a long licence text that ends with the
+notice to use. Distinct parts are compared once each: sparse TF-IDF vectors, with document
+frequencies over the notices of all files and the templates, are joined with the templates'
+by term, and the nearest template from the least similarity on names the licence. Files named like licences or index pages, and
+files that mostly speak of licensing, declare their licence for their directory.
 A file without licence inherits from its nearest ancestor directory that declares one;
 a directory whose files declare several is in conflict, and passes that on.
 
+Work on a text grows as its length. A file declares for its directory where its lines that
+speak of licensing hold a good part of its words.
+
 * null or empty text: no own licence; null path: no directory, hence none to inherit
 * equal similarity: the first licence by name
 * repeated rows each get the result; repeated files in a directory declare once
@@ -21,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earlybell.llm.common import behind, store
+from earlybell.llm.common import behind, let, store
 
 # Usual notices and openings of licences, with their public short names.
 TEMPLATES = (
@@ -51,12 +57,45 @@ TEMPLATES = (
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was"
+        " not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ),
     (
         "BSD-3-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
         " the following conditions are met: redistributions of source code must retain the above copyright notice,"
-        " this list of conditions and the following disclaimer. Neither the name of the copyright holder nor the names"
-        " of its contributors may be used to endorse or promote products derived from this software.",
+        " this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above"
+        " copyright notice, this list of conditions and the following disclaimer in the documentation and/or other"
+        " materials provided with the distribution. Neither the name of the copyright holder nor the names of its"
+        " contributors may be used to endorse or promote products derived from this software without specific prior"
+        " written permission.",
+    ),
+    (
+        "BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+        " the following conditions are met: redistributions of source code must retain the above copyright notice,"
+        " this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above"
+        " copyright notice, this list of conditions and the following disclaimer in the documentation and/or other"
+        " materials provided with the distribution.",
+    ),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at"
+        " your option) any later version.",
+    ),
+    (
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License"
+        " 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    ),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,"
+        " publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary,"
+        " for any purpose, commercial or non-commercial, and by any means.",
     ),
     (
         "ISC",
@@ -70,6 +109,14 @@ TEMPLATES = (
 )
 
 CUE = r"(?i)licen[cs]|copyright|spdx|redistribut|permission|public domain|all rights reserved"
+#: Lines that belong to a comment, and those that separate blocks.
+COMMENT = r"^[\x20\t]*(#|//|/?\*|;|--|%|<!--)"
+BLANK = r"^[\x20\t]*(#+|//+|/?\*+/?|;+|--+|%+|<!--|-->)?[\x20\t]*$"
+#: Tags of a page that end a line; others stand within one.
+BLOCK_TAGS = (
+    r"(?i)</?(address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre"
+    r"|section|script|style|table|td|th|title|tr|ul)([\x20\t\r\n/][^>]*)?>"
+)
 TERM = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
 #: Names of files that declare a licence for their directory.
 LICENSE_NAME = r"(?i)^(licen[cs]e|copying|notice|unlicense)([._-].*)?$"
@@ -89,23 +136,41 @@ def _words(text: Column) -> Column:
     return F.size(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
+def _blocks(body: Column) -> Column:
+    """Paragraphs, as arrays of text: blank lines part them, and so does a comment's border."""
+    lines = F.split(F.regexp_replace(body, "\r", ""), "\n", -1)
+
+    def parted(every: Column) -> Column:
+        before = F.slice(F.concat(F.array(F.lit("")), every), F.lit(1), F.size(every))
+        border = lambda x, last: x.rlike(COMMENT) != last.rlike(COMMENT)
+        return F.zip_with(
+            every, before, lambda x, last: F.when(x.rlike(BLANK), "").when(border(x, last), F.concat(F.lit("\n"), x)).otherwise(x)
+        )
+
+    return F.split(F.array_join(let(lines, parted), "\n"), "\n\n+", -1)
+
+
+def _cue_lines(text: Column) -> Column:
+    return F.array_join(F.filter(F.split(text, "\n"), lambda x: x.rlike(CUE)), "\n")
+
+
 def notices(files: DataFrame, path: str, text: str) -> DataFrame:
     """Files with directory, notice (null: none) and whether they declare for the directory."""
     carried = [c for c in files.columns if c != text and c.lower() not in RESULTS]
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     name = F.element_at(F.split(F.col(f"`{path}`"), "/", -1), -1)
     rows = files.select(
         *[F.col(f"`{c}`") for c in carried],
         F.regexp_extract(F.col(f"`{path}`"), "^(.*)/[^/]*$", 1).alias("_dir"),
-        F.coalesce(name, F.lit("-")).alias("_name"),
-        body.alias("_body"),
+        F.coalesce(name, F.lit("-")).rlike(LICENSE_NAME).alias("_named"),
+        F.coalesce(name, F.lit("-")).rlike(INDEX_NAME).alias("_index"),
+        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_body"),
     )
-    lines = F.array_join(F.filter(F.split("_body", "\n"), lambda x: x.rlike(CUE)), "\n")
-    notice = F.when(F.col("_name").rlike(LICENSE_NAME), F.col("_body")).when(F.col("_body").rlike(CUE), lines)
+    blocks = F.filter(_blocks(F.col("_body")), lambda x: F.col("_named") | x.rlike(CUE))
+    notice = F.when(F.col("_named") | F.col("_body").rlike(CUE), F.array_join(blocks, "\n\n"))
     found = rows.withColumn("_notice", F.when(F.length(F.trim(notice)) > 0, notice))
-    large = _words(F.col("_notice")) >= SHARE * _words(F.col("_body"))
-    declares = F.col("_name").rlike(LICENSE_NAME) | F.col("_name").rlike(INDEX_NAME) | large
-    return found.withColumn("_declares", F.when(F.col("_notice").isNotNull(), declares).otherwise(F.lit(False))).drop("_body", "_name")
+    large = _words(_cue_lines(F.col("_body"))) >= SHARE * _words(F.col("_body"))
+    declares = F.col("_notice").isNotNull() & (F.col("_named") | F.col("_index") | large)
+    return found.withColumn("_declares", declares).drop("_body", "_named", "_index")
 
 
 def _terms(rows: DataFrame, key: str) -> DataFrame:
@@ -114,30 +179,40 @@ def _terms(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(key, F.explode(found).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def _parts(distinct: DataFrame) -> DataFrame:
+    """What of each notice is compared: key, stage (0 first), part (a digest) and its text."""
+    whole = F.array(F.col("notice"), _cue_lines(F.col("notice")))
+    cued = F.filter(F.split("notice", "\n\n"), lambda x: x.rlike(CUE))
+    both = [F.transform(c, lambda x, s=s: F.struct(F.lit(s).alias("stage"), x.alias("text"))) for s, c in enumerate((whole, cued))]
+    return distinct.select("key", F.inline(F.array_distinct(F.concat(*both)))).select("key", "stage", F.md5("text").alias("part"), "text")
+
+
 def matched(found: DataFrame) -> DataFrame:
     """The licence and similarity of each distinct notice (by its digest) that is near one."""
     spark = found.sparkSession
     named = found.where("_notice IS NOT NULL").select(F.md5("_notice").alias("key"), F.col("_notice").alias("notice"))
     distinct = store(named.groupBy("key").agg(F.first("notice").alias("notice"), F.count(F.lit(1)).alias("files")), "notices")
     models = templates(spark)
-    of_notice, of_template = _terms(distinct, "key"), _terms(models, "template")
-    counted = of_notice.join(distinct.select("key", "files"), "key").select("term", F.col("files").alias("n"))
+    parts = store(_parts(distinct), "license_parts")
+    texts = parts.groupBy("part").agg(F.first("text").alias("notice"))
+    of_part, of_template = store(_terms(texts, "part"), "license_part_terms"), _terms(models, "template")
+    counted = _terms(distinct, "key").join(distinct.select("key", "files"), "key").select("term", F.col("files").alias("n"))
     frequency = counted.union(of_template.select("term", F.lit(1).cast("long"))).groupBy("term").agg(F.sum("n").alias("df"))
     total = len(TEMPLATES) + (distinct.agg(F.sum("files")).first()[0] or 0)
     idf = frequency.select("term", (F.log(F.lit(1 + total) / (1 + F.col("df"))) + 1).alias("idf"))
     idf = store(idf, "license_terms")
-    w_notice = of_notice.join(idf, "term").select("key", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    w_part = of_part.join(idf, "term").select("part", "term", (F.col("tf") * F.col("idf")).alias("w"))
     w_template = of_template.join(idf, "term").select("template", "term", (F.col("tf") * F.col("idf")).alias("v"))
-    norm = w_notice.groupBy("key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    norm = w_part.groupBy("part").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     template_norm = w_template.groupBy("template").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("template_norm"))
-    dots = w_notice.join(w_template, "term").groupBy("key", "template").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
+    dots = w_part.join(w_template, "term").groupBy("part", "template").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
     cosine = F.round(F.col("dot") / (F.col("norm") * F.col("template_norm")), 6)
-    scored = dots.join(norm, "key").join(template_norm, "template").join(models.select("template", "license"), "template")
-    best = scored.select("key", F.struct((-cosine).alias("minus"), F.col("license").alias("license")).alias("hit"))
-    best = best.groupBy("key").agg(F.min("hit").alias("hit"))
-    return best.select("key", F.col("hit.license").alias("license"), (-F.col("hit.minus")).alias("similarity")).where(
-        F.col("similarity") >= SIMILAR
-    )
+    scored = dots.join(norm, "part").join(template_norm, "template").join(models.select("template", "license"), "template")
+    near = scored.select("part", cosine.alias("similarity"), "license").where(F.col("similarity") >= SIMILAR)
+    near = near.groupBy("part").agg(F.min(F.struct((-F.col("similarity")).alias("minus"), "license")).alias("hit"))
+    best = parts.select("key", "stage", "part").join(near, "part").groupBy("key")
+    best = best.agg(F.min(F.struct("stage", "hit.minus", "hit.license")).alias("hit"))
+    return best.select("key", F.col("hit.license").alias("license"), (-F.col("hit.minus")).alias("similarity"))
 
 
 def _ancestors(directory: Column) -> Column:

@@ -103,7 +103,7 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("pages").alias("origin"),
         F.col("page_id").alias("row_id"),
         F.concat(F.lit("web/"), address).alias("path"),
-        F.regexp_replace("html", "<[^>]*>", "\n").alias("text"),
+        F.regexp_replace(F.regexp_replace("html", licenses.BLOCK_TAGS, "\n"), "<[^>]*>", " ").alias("text"),
     )
     of_docs = docs.select(
         F.lit("documents").alias("origin"),

@@ -187,23 +187,38 @@ _TEMPLATES = ", ".join(f"({i}, '{n}', '{_quoted(t)}')" for i, (n, t) in enumerat
 LICENSES = rf"""
 WITH files AS (
   SELECT 'pages' AS origin, page_id AS row_id,
-    'web/' || regexp_replace(regexp_replace(url, '^[a-z]+://', ''), '[?#].*$', '') AS path, regexp_replace(html, '<[^>]*>', chr(10), 'g') AS body
+    'web/' || regexp_replace(regexp_replace(url, '^[a-z]+://', ''), '[?#].*$', '') AS path, 
+    regexp_replace(regexp_replace(html, '{licenses.BLOCK_TAGS}', chr(10), 'g'), '<[^>]*>', ' ', 'g') AS body
   FROM pages
   UNION ALL
   SELECT 'documents', doc_id, concat_ws('/', 'corpus', source, lang, CAST(doc_id AS VARCHAR)), text FROM documents
 ), named AS (
   SELECT origin, row_id, path, coalesce(body, '') AS body, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir,
     coalesce(string_split(path, '/')[-1], '-') AS name FROM files
+), told AS (
+  SELECT *, regexp_matches(name, '{licenses.LICENSE_NAME}') AS called, string_split(replace(body, chr(13), ''), chr(10)) AS lines FROM named
+), parted AS (
+  SELECT * EXCLUDE (lines), string_split_regex(array_to_string(list_transform(lines, lambda x, i: CASE
+      WHEN regexp_matches(x, '{licenses.BLANK}') THEN ''
+      WHEN regexp_matches(x, '{licenses.COMMENT}') <> (i > 1 AND regexp_matches(lines[i - 1], '{licenses.COMMENT}')) THEN chr(10) || x
+      ELSE x END), chr(10)), '\n\n+') AS blocks
+  FROM told WHERE called OR regexp_matches(body, '{licenses.CUE}')
 ), noticed AS (
-  SELECT *, CASE WHEN regexp_matches(name, '{licenses.LICENSE_NAME}') THEN body WHEN regexp_matches(body, '{licenses.CUE}') THEN
-    array_to_string(list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '{licenses.CUE}')), chr(10)) END AS raw FROM named
+  SELECT origin, row_id, path, dir, name, body, called, array_to_string(list_filter(blocks, lambda x: called OR regexp_matches(x, '{licenses.CUE}')), chr(10) || chr(10)) AS raw
+  FROM parted UNION ALL
+  SELECT origin, row_id, path, dir, name, body, called, NULL FROM told WHERE NOT (called OR regexp_matches(body, '{licenses.CUE}'))
 ), found AS (
-  SELECT origin, row_id, path, dir, name, body, CASE WHEN length(trim(raw)) > 0 THEN raw END AS notice FROM noticed
+  SELECT * EXCLUDE (raw), CASE WHEN length(trim(raw)) > 0 THEN raw END AS notice FROM noticed
 ), marked AS (
-  SELECT origin, row_id, path, dir, notice, notice IS NOT NULL AND (regexp_matches(name, '{licenses.LICENSE_NAME}')
-    OR regexp_matches(name, '{licenses.INDEX_NAME}') OR len(regexp_extract_all(lower(notice), '{licenses.TERM}'))
+  SELECT origin, row_id, path, dir, notice, notice IS NOT NULL AND (called
+    OR regexp_matches(name, '{licenses.INDEX_NAME}') OR len(regexp_extract_all(lower(array_to_string(
+      list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '{licenses.CUE}')), chr(10))), '{licenses.TERM}'))
     >= {licenses.SHARE} * len(regexp_extract_all(lower(body), '{licenses.TERM}'))) AS declares FROM found
 ), texts AS (SELECT notice, count(*) AS files FROM marked WHERE notice IS NOT NULL GROUP BY notice
+), parts AS (
+  SELECT notice, 0 AS stage, notice AS part FROM texts UNION
+  SELECT notice, 0, array_to_string(list_filter(string_split(notice, chr(10)), lambda x: regexp_matches(x, '{licenses.CUE}')), chr(10)) FROM texts UNION
+  SELECT notice, 1, unnest(list_filter(string_split(notice, chr(10) || chr(10)), lambda x: regexp_matches(x, '{licenses.CUE}'))) FROM texts
 ), templates AS (SELECT * FROM (VALUES {_TEMPLATES}) t(template, license, notice)
 ), of_notice AS (
   SELECT notice, term, count(*) AS tf FROM (SELECT notice, unnest(regexp_extract_all(lower(notice), '{licenses.TERM}')) AS term FROM texts) GROUP BY ALL
@@ -213,16 +228,19 @@ WITH files AS (
   SELECT term, sum(n) AS df FROM (SELECT term, files AS n FROM of_notice JOIN texts USING (notice) UNION ALL SELECT term, 1 FROM of_template) GROUP BY term
 ), idf AS (
   SELECT term, ln((1 + (SELECT coalesce(sum(files), 0) + {len(licenses.TEMPLATES)} FROM texts)) / (1 + df)) + 1 AS idf FROM frequency
-), w AS (SELECT notice, term, tf * idf AS w FROM of_notice JOIN idf USING (term)
+), of_part AS (
+  SELECT part, term, count(*) AS tf
+  FROM (SELECT part, unnest(regexp_extract_all(lower(part), '{licenses.TERM}')) AS term FROM (SELECT DISTINCT part FROM parts)) GROUP BY ALL
+), w AS (SELECT part, term, tf * idf AS w FROM of_part JOIN idf USING (term)
 ), v AS (SELECT template, term, tf * idf AS v FROM of_template JOIN idf USING (term)
-), wn AS (SELECT notice, sqrt(sum(w * w)) AS wn FROM w GROUP BY notice
+), wn AS (SELECT part, sqrt(sum(w * w)) AS wn FROM w GROUP BY part
 ), vn AS (SELECT template, sqrt(sum(v * v)) AS vn FROM v GROUP BY template
-), dots AS (SELECT notice, template, sum(w * v) AS dot FROM w JOIN v USING (term) GROUP BY notice, template
+), dots AS (SELECT part, template, sum(w * v) AS dot FROM w JOIN v USING (term) GROUP BY part, template
 ), scored AS (
-  SELECT dots.notice, license, round(dot / (wn * vn), 6) AS similarity FROM dots JOIN wn USING (notice) JOIN vn USING (template) JOIN templates USING (template)
+  SELECT dots.part, license, round(dot / (wn * vn), 6) AS similarity FROM dots JOIN wn USING (part) JOIN vn USING (template) JOIN templates USING (template)
 ), near AS (
-  SELECT notice, license, similarity FROM scored WHERE similarity >= {licenses.SIMILAR}
-  QUALIFY row_number() OVER (PARTITION BY notice ORDER BY similarity DESC, license) = 1
+  SELECT notice, license, similarity FROM parts JOIN scored USING (part) WHERE similarity >= {licenses.SIMILAR}
+  QUALIFY row_number() OVER (PARTITION BY notice ORDER BY stage, similarity DESC, license) = 1
 ), own AS (SELECT marked.*, license, similarity FROM marked LEFT JOIN near USING (notice)
 ), declared AS (SELECT dir AS spot, min(license) AS low, max(license) AS high FROM own WHERE declares AND license IS NOT NULL AND dir IS NOT NULL GROUP BY dir
 ), dirs AS (SELECT DISTINCT dir FROM marked WHERE dir IS NOT NULL

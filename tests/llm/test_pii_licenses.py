@@ -206,5 +206,55 @@ def test_license_scan(spark):
     }
 
 
+MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation"
+    " files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy,"
+    " modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the"
+    " Software is furnished to do so, subject to the following conditions:"
+)
+APACHE = (
+    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the"
+    " License. You may obtain a copy of the License at",
+    "    http://www.apache.org/licenses/LICENSE-2.0",
+    "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an"
+    " \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+)
+GPL = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"
+    " as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+)
+BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following"
+    " conditions are met:",
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following"
+    " disclaimer in the documentation and/or other materials provided with the distribution.",
+)
+NAME = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products"
+    " derived from this software without specific prior written permission.",
+)
+
+
+def wrapped(paragraphs, sign, gap=True):
+    """A header of wrapped comment lines above code."""
+    import textwrap
+
+    lines = []
+    for p in ("Copyright (c) 2020 Some One", *paragraphs):
+        lines += [f"{sign} {x}" for x in textwrap.wrap(p, 72)] + [sign]
+    return "\n".join(lines) + ("\n\n" if gap else "\n") + "\n".join(f"x{k} = call(y{k}, {k})" for k in range(40))
+
+
+def test_wrapped_headers_and_whole_texts(spark):
+    want = {"MIT": [MIT], "Apache-2.0": APACHE, "GPL-3.0": GPL, "BSD-2-Clause": BSD, "BSD-3-Clause": BSD + NAME}
+    files = [(f"{n}/{k}/x.py", wrapped(p, sign, gap), n) for n, p in want.items() for k, (sign, gap) in enumerate([("#", True), ("//", False), (" *", True)])]
+    clauses = "\n\n".join(f"{k}. Clause {k} says what this License grants and what the licensor keeps, part {k}." for k in range(60))
+    files += [(f"whole/{n}/LICENSE", f"{clauses}\n\n" + "\n\n".join(want[n]), n) for n in ("Apache-2.0", "GPL-3.0")]
+    files += [("whole/MIT/LICENSE", f"MIT License\n\nCopyright (c) 2020 Some One\n\n{MIT}", "MIT"), ("clean/x.py", "a = 1\n# plain\nb = 2", None)]
+    found = licenses.scan(spark.createDataFrame(files, "path string, text string, want string")).collect()
+    assert [(r.path, r.license) for r in found if r.license != r.want] == []
+
+
 def test_license_scan_of_nothing(spark):
     assert licenses.scan(spark.createDataFrame([], "path string, text string")).count() == 0
