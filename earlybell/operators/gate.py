@@ -128,13 +128,21 @@ def missing_board_requests(panel_market: DataFrame, master: DataFrame) -> DataFr
     )
 
 
-def candidate_days(market: DataFrame, risk_status: DataFrame, scale: int = 6) -> DataFrame:
-    """Days that meet the limit-down predicate outside the excluded market."""
+def candidate_days(market: DataFrame, risk_status: DataFrame, scale: int = 6, securities: DataFrame | None = None) -> DataFrame:
+    """Days that meet the limit-down predicate outside the excluded market.
+
+    ``securities`` (key, listed_date, delisted_date) leaves only days of their right-open
+    lifecycles: an ST row of the termination day itself makes no candidate there.
+    """
     merged = stack_by_day({"mkt": market_daily(market), "st": st_daily(risk_status)})
-    return merged.where(
+    found = merged.where(
         ~F.col("market_code").isin("XBSE")
         & S.is_limit_down("st.is_st", "mkt.trading_status", "mkt.close_price", "mkt.limit_down_price", scale)
     ).select(*R.KEY, DAY)
+    if securities is None:
+        return found
+    alive = found.join(securities.select(*R.KEY, "listed_date", "delisted_date"), list(R.KEY))
+    return alive.where(S.in_lifecycle(DAY, "listed_date", "delisted_date")).select(*R.KEY, DAY)
 
 
 def coverage_findings(split: DataFrame, days: DataFrame, market: DataFrame, risk_status: DataFrame, master: DataFrame, rules: R.RiskRules) -> DataFrame:

@@ -201,3 +201,16 @@ def test_one_exchange_carries_the_panel(spark):
     above = plan.split("Union")[0]
     assert above.count("Exchange hashpartitioning") == 1
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_no_candidate_on_the_termination_day(spark):
+    """ST rows reach the termination day itself; the right-open lifecycle of the candidates doesn't."""
+    from earlybell.operators import gate
+
+    days = sessions(D(2024, 1, 2), 3)
+    run = Market(days).add("600001", "nnL", delisted=days[2]).add("600002", "nLL", delisted=days[2]).run(spark)
+    given = run.inputs
+    life = given.security_status_daily.select("market_code", "security_code", "listed_date", "delisted_date")
+    found = gate.candidate_days(given.stock_market_daily, given.security_risk_status, securities=life)
+    assert rows(found, "security_code", "trading_date") == [("600002.XSHG", days[1])]
+    assert gate.candidate_days(given.stock_market_daily, given.security_risk_status).count() == 3

@@ -335,7 +335,7 @@ def j19(d: Domain):
 )
 def j20(d: Domain):
     late = d.master.where(F.col("status_date") > F.col("listed_date"))
-    return gate.missing_board_requests(gate.candidate_days(d.market, d.risk_status), late)
+    return gate.missing_board_requests(gate.candidate_days(d.market, d.risk_status, securities=d.life), late)
 
 
 # --- carried state ----------------------------------------------------------
