@@ -183,8 +183,12 @@ def _parts(distinct: DataFrame) -> DataFrame:
     """What of each notice is compared: key, stage (0 first), part (a digest) and its text."""
     whole = F.array(F.col("notice"), _cue_lines(F.col("notice")))
     cued = F.filter(F.split("notice", "\n\n"), lambda x: x.rlike(CUE))
-    both = [F.transform(c, lambda x, s=s: F.struct(F.lit(s).alias("stage"), x.alias("text"))) for s, c in enumerate((whole, cued))]
-    return distinct.select("key", F.inline(F.array_distinct(F.concat(*both)))).select("key", "stage", F.md5("text").alias("part"), "text")
+
+    def staged(found: Column, stage: int) -> Column:  # a second parameter of the lambda would get the index
+        return F.transform(found, lambda x: F.struct(F.lit(stage).alias("stage"), x.alias("text")))
+
+    both = F.concat(staged(whole, 0), staged(cued, 1))
+    return distinct.select("key", F.inline(F.array_distinct(both))).select("key", "stage", F.md5("text").alias("part"), "text")
 
 
 def matched(found: DataFrame) -> DataFrame:

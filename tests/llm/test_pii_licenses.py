@@ -256,5 +256,12 @@ def test_wrapped_headers_and_whole_texts(spark):
     assert [(r.path, r.license) for r in found if r.license != r.want] == []
 
 
+def test_cue_lines_are_compared_with_the_whole_notice(spark):
+    """The notice with a line before it is near as well, but its cue line alone is nearer."""
+    line = "This work is licensed under the GNU General Public License, version 3."
+    files = spark.createDataFrame([("a/x", f"Some words.\n{line}"), ("b/y", line)], "path string, text string")
+    assert [(r.license, r.similarity) for r in licenses.scan(files).collect()] == [("GPL-3.0", 1.0)] * 2
+
+
 def test_license_scan_of_nothing(spark):
     assert licenses.scan(spark.createDataFrame([], "path string, text string")).count() == 0
