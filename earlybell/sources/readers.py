@@ -76,11 +76,13 @@ def _preamble_lines(spark: SparkSession, paths: Sequence[str], column: str) -> D
     """Lines with their file, their place in it, whether they can be its header, and quote parity.
 
     Lines are ordered within their file by (split offset, row id), so a file may be split
-    over many tasks. Only the start of a line is looked at to tell a header.
+    over many tasks. Only the start of a line is looked at to tell a header. Places hold in
+    one scan alone, since another may deal the files out differently (executors that came
+    meanwhile): the lines are stored with them, and all steps read the stored ones.
     """
     start = f"^[{BOM} \\t]*[\"']?{column}[\"']?[ \\t]*(,|$)"
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return spark.read.text(list(paths)).select(
+    lines = spark.read.text(list(paths)).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.struct(
             F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
@@ -89,6 +91,7 @@ def _preamble_lines(spark: SparkSession, paths: Sequence[str], column: str) -> D
         F.col("value").rlike(start).alias("starts"),
         (quotes % 2 == 1).alias("open_quote"),
     )
+    return store(lines, "preamble_lines")
 
 
 def _preamble_headers(lines: DataFrame) -> DataFrame:

@@ -129,3 +129,31 @@ def test_history_manifest_decides_before_rows_are_read(spark, tmp_path):
     assert found(["h2024Q1.csv", "h2023Q4.csv", "h2024Q2.csv"]) == rows_found | {("h2024Q2.csv", "BM101", 1), ("h2023Q3.csv", "BM101", 1)}
     (tmp_path / "h2022Q1.csv").write_text("biz_date,stk_code,B1\n")
     assert ("h2023Q3.csv", "BM101", 1) in found(None)
+
+
+def test_places_of_preamble_lines_hold_however_files_are_dealt_out(spark, tmp_path):
+    """The second scan of a file may be dealt out otherwise than the first, as when executors come in between."""
+    for k in range(12):
+        lines = [f"2024-01-{1 + i % 28:02d},{i:06d}.SH" for i in range(20 + 30 * (k % 4))]
+        (tmp_path / f"{k:02d}.csv").write_text("\n".join(["note", "2023-01-01,trap", "biz_date,stk_code", *lines]) + "\n")
+    total = sum(20 + 30 * (k % 4) for k in range(12))
+    setting = "spark.sql.files.openCostInBytes"
+    old = spark.conf.get(setting)
+    try:
+        for first, second in (("1", "4m"), ("4m", "1")):
+            spark.conf.set(setting, first)
+            df = readers.read_preamble_csv(spark, str(tmp_path))
+            spark.conf.set(setting, second)
+            assert df.count() == total and df.where("stk_code = 'trap'").count() == 0
+    finally:
+        spark.conf.set(setting, old)
+
+
+def test_ranked_lines_are_written_in_their_order(spark, tmp_path):
+    from workload.q_sources import _write_ranked
+
+    data = [(f"2024-01-0{d}", p, f"line {r}", r) for d in (1, 2, 3) for p in (0, 1) for r in (9, 5, 7, 2, 1)]
+    lines = spark.createDataFrame(data, "biz_date string, part int, line string, rank int")
+    _write_ranked(lines.withColumn("biz_date", lines.biz_date.cast("date")).coalesce(1), str(tmp_path / "out"))
+    files = list((tmp_path / "out").glob("day=*/part=*/*.txt"))
+    assert len(files) == 6 and {f.read_text() for f in files} == {"".join(f"line {r}\n" for r in (1, 2, 5, 7, 9))}

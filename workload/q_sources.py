@@ -74,16 +74,24 @@ def _preamble_files(d: Domain) -> str:
     header = F.when(F.dayofmonth("biz_date") == 9, "no header here").when(F.col("part") == 3, "biz_date,grade,stk_code")
     first = F.array(F.lit("exported history"), F.lit('2024-01-01,"000000.SH'), header.otherwise("biz_date,stk_code,grade"))
     lead = body.select("biz_date", "part").distinct().select("biz_date", "part", F.posexplode(first).alias("rank", "line"))
+    _write_ranked(lead.select("biz_date", "part", "line", "rank").unionByName(body), path)
+    return f"{path}/*/*/"
+
+
+def _write_ranked(lines, path: str) -> None:
+    """A text file of each day and part, its lines by rank.
+
+    The folders are the leading columns of the sort as they stand: were one of them computed
+    from it, the writer would sort by the folders anew and drop the order of ranks.
+    """
     (
-        lead.select("biz_date", "part", "line", "rank")
-        .unionByName(body)
-        .repartition("biz_date", "part")
-        .sortWithinPartitions("biz_date", "part", "rank")
-        .select(F.col("line").alias("value"), F.col("biz_date").cast("string").alias("day"), "part")
+        lines.withColumnsRenamed({"biz_date": "day", "line": "value"})
+        .repartition("day", "part")
+        .sortWithinPartitions("day", "part", "rank")
+        .select("value", "day", "part")
         .write.partitionBy("day", "part")
         .text(path)
     )
-    return f"{path}/*/*/"
 
 
 @query(
