@@ -112,9 +112,13 @@ def read_snapshot(manifest: DataFrame, store: DataFrame, dataset_id: str | None
 
 
 def override_selection(base: DataFrame, receipts: DataFrame) -> DataFrame:
-    """Receipts replace the base members of the same fact."""
-    kept = base.select(*MEMBER).join(receipts.select(*FACT_KEY), list(FACT_KEY), "left_anti")
-    return receipts.select(*MEMBER).unionByName(kept)
+    """Receipts replace the base members of the same fact.
+
+    Both sides meet in one shuffle by the fact, so neither is computed twice.
+    """
+    new = F.max("_new").over(Window.partitionBy(*FACT_KEY))
+    both = base.select(*MEMBER, F.lit(0).alias("_new")).unionByName(receipts.select(*MEMBER, F.lit(1).alias("_new")))
+    return both.withColumn("_any", new).where(F.col("_new") == F.col("_any")).select(*MEMBER)
 
 
 def append_receipts(wanted: DataFrame, store: DataFrame) -> DataFrame:

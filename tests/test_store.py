@@ -217,3 +217,15 @@ def test_foundation_report(spark):
     )
     bad = {(r.rule_id, r.dataset_id): r.affected_rows for r in foundation_run.report(f).collect() if r.outcome == "FAIL"}
     assert bad == {("MDFRQ006", "daily_price_limits"): 1, ("MDFRQ007", ""): 1, ("MDFRQ009", "daily_price_unadjusted"): 1}
+
+
+def test_receipts_replace_members_in_one_pass(spark, tmp_path):
+    member = "dataset_id string, business_key string, source_record_version int, payload_hash string, partition_id string"
+    base = [("d", "a", 1, "x", "p"), ("d", "b", 2, "x", "p"), ("e", "a", 1, "x", "p")]
+    new = [("d", "a", 2, "y", "n"), ("d", "a", 3, "z", "n"), ("d", "c", 1, "y", "n")]
+    for name, data in (("base", base), ("new", new)):
+        spark.createDataFrame(data, member).write.parquet(str(tmp_path / name))
+    read = lambda n: spark.read.parquet(str(tmp_path / n))
+    got = store.override_selection(read("base"), read("new"))
+    assert sorted(tuple(r) for r in got.collect()) == sorted([*base[1:], *new])
+    assert got._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 2

@@ -28,13 +28,17 @@ def _payload_columns(df, price, quantity):
 
 
 def _store(d: Domain):
-    """Facts from order lines: the order is the fact, its line number the version."""
-    rows = d.table("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+    """Facts from order lines: the order is the fact, its line number the version.
+
+    Lines are shuffled once, by the key that the operators on facts group and join on.
+    """
+    lines = d.table("lineitem").withColumn("business_key", F.col("l_orderkey").cast("string")).repartition("business_key")
+    rows = lines.groupBy("business_key", "l_orderkey", "l_linenumber").agg(
         F.max(F.struct("l_extendedprice", "l_quantity", "l_shipdate", "l_returnflag")).alias("x")
     )
     flat = rows.select(
         F.lit("daily_price_unadjusted").alias("dataset_id"),
-        F.col("l_orderkey").cast("string").alias("business_key"),
+        "business_key",
         F.expr("CASE l_orderkey % 3 WHEN 0 THEN 'XSHG' WHEN 1 THEN 'XSHE' ELSE 'XBSE' END").alias("market_code"),
         F.col("x.l_shipdate").cast("date").alias("business_date"),
         F.col("l_linenumber").alias("source_record_version"),
@@ -49,16 +53,24 @@ def _store(d: Domain):
 
 
 def _incoming(d: Domain):
-    """A batch: the latest shipped line of each order, plus orders without lines."""
-    lines = d.table("lineitem").groupBy("l_orderkey").agg(
-        F.max(F.struct("l_shipdate", "l_extendedprice", "l_quantity")).alias("x")
-    ).select(F.col("l_orderkey").cast("string").alias("business_key"), "x.l_extendedprice", "x.l_quantity")
-    fresh = d.table("orders").join(d.table("lineitem"), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select(
+    """A batch: the latest shipped line of each order, plus orders without lines.
+
+    One fold by the key: any line goes before the order itself.
+    """
+    lines = d.table("lineitem").select(
+        F.col("l_orderkey").cast("string").alias("business_key"), F.lit(1).alias("line"), "l_shipdate", "l_extendedprice", "l_quantity"
+    )
+    bare = d.table("orders").select(
         F.col("o_orderkey").cast("string").alias("business_key"),
+        F.lit(0).alias("line"),
+        F.lit(None).cast(lines.schema["l_shipdate"].dataType).alias("l_shipdate"),
         F.col("o_totalprice").alias("l_extendedprice"),
         F.lit(0.0).alias("l_quantity"),
     )
-    both = lines.unionByName(fresh).withColumn("dataset_id", F.lit("daily_price_unadjusted"))
+    best = F.max(F.struct("line", "l_shipdate", "l_extendedprice", "l_quantity")).alias("x")
+    both = lines.unionByName(bare).groupBy("business_key").agg(best).select(
+        F.lit("daily_price_unadjusted").alias("dataset_id"), "business_key", "x.l_extendedprice", "x.l_quantity"
+    )
     return _payload_columns(both, "l_extendedprice", "l_quantity").select(
         "dataset_id", "business_key", "price", "quantity", "payload_hash"
     )
