@@ -138,3 +138,13 @@ def test_an_import_without_kept_rows(spark, tmp_path):
     none = {k: getattr(sources(spark), k).where("false") for k in ("calendar", "master", "market", "risk_status", "suspension")}
     result = ci.import_batch(ci.ImportSources(**none), str(tmp_path / "facts"))
     assert result.fit and ci.read_import(spark, result.path).count() == 0
+
+
+def test_suspension_files_hold_a_month_of_many_securities(spark):
+    """Files grow with slices of securities and months, not with each day of them."""
+    from workload.domain import Domain
+    from workload.imports import _import_sources
+
+    given = Domain(spark, "/root/testdata/sf0.001")
+    assert given.securities.where("user_id >= 500").isEmpty() and given.calendar.select("calendar_date").distinct().count() > 20
+    assert len(_import_sources(given).suspension.inputFiles()) == 1

@@ -70,10 +70,11 @@ def _import_sources(d: Domain) -> cache_import.ImportSources:
             text("has_error").alias("is_suspended"),
         ).alias("r"),
         F.floor(F.substring_index("security_code", ".", 1).cast("long") / 500).alias("slice"),
-        "trading_date",
+        F.trunc("trading_date", "month").alias("month"),
     )
     path = new_path(d.spark, "suspension_json")
-    docs = halts.groupBy("slice", "trading_date").agg(F.collect_list("r").alias("data"))  # 500 securities at most
+    # a month of 500 securities at most: a file for each day of them would be opened for a few rows
+    docs = halts.groupBy("slice", "month").agg(F.collect_list("r").alias("data"))
     docs.select(F.to_json(F.struct("data")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     fields = ("order_book_id", "start_date", "end_date", "is_suspended")
     csv = lambda df, name: readers.read_text_csv(d.spark, text_files(d, df, name))
