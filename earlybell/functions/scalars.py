@@ -76,10 +76,9 @@ def security_market(code, digits: str = R.CODE_DIGITS) -> Column:
     """Market of a suffixed code (``600000.SH`` or ``600000.XSHG``), else null."""
     text = F.upper(F.trim(col(code).cast("string")))
     suffix = F.regexp_extract(text, rf"^{digits}\.(SH|SZ|BJ|XSHG|XSHE|XBSE)$", 1)
-    out = F.when(suffix.isin(*R.MARKETS), suffix)
-    for short, market in R.SUFFIX_MARKETS.items():
-        out = out.when(suffix == short, F.lit(market))
-    return out
+    named = {**{m: m for m in R.MARKETS}, **R.SUFFIX_MARKETS}
+    # a lookup names the suffix once; filters evaluate each mention of it anew
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in named.items() for x in pair]), suffix)
 
 
 def canonical_security(code, digits: str = R.CODE_DIGITS) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from earlybell import rules as R
 from earlybell.functions import scalars as S
-from earlybell.operators.panel import DAY, before, carry, day_arrays, expected_days, running, stack_by_day
+from earlybell.operators.panel import DAY, SORT_KEY, before, carry, day_arrays, expected_days, running, stack_by_day
 
 EVENT_FIELDS = ("event_type", "first_fact_date", "risk_date")
 
@@ -187,17 +187,20 @@ def broker_states(
     st: DataFrame,
     brokers: Sequence[str],
     mapping: R.BrokerMapping,
-    keep: Sequence[str] = (),
+    extra: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Final bucket per security, broker and grid day (P9 on the carried record).
 
-    ``grid`` needs the key, trading_date, ordinal, first_day and the ``keep`` columns.
+    ``grid`` needs the key, trading_date, ordinal and first_day; each ``extra`` source, at most
+    one row per security-day, becomes a struct column of that name.
     """
-    panel = active_grades(history, grid, {"st": st.select(*R.KEY, DAY, "is_st")}).where(F.col("grid").isNotNull())
+    extra = extra or {}
+    sources = {"st": st.select(*R.KEY, DAY, "is_st"), **extra}
+    panel = active_grades(history, grid, sources).where(F.col("grid").isNotNull())
     exploded = _explode_brokers(
         panel,
         brokers,
-        [*R.KEY, DAY, *[F.col(f"grid.{c}").alias(c) for c in ("ordinal", "first_day", *keep)],
+        [*R.KEY, DAY, *[F.col(f"grid.{c}").alias(c) for c in ("ordinal", "first_day")], *extra,
          F.col("st.is_st").alias("is_st")],
     )
     return classify(exploded, mapping)
@@ -219,14 +222,21 @@ def assess_events(
 ) -> DataFrame:
     """One row per event and broker, judged at the previous session's close.
 
-    Events ride along on their cutoff day, so the daily states never leave the
-    security's partition: history, ST states and events meet in one exchange. An
+    Events are a source of the panel on their cutoff day, so the daily states never leave
+    the security's partition: history, ST states and events meet in one exchange. The grid
+    ends at a security's last cutoff, since a state depends on no later day. An
     event whose previous session is not in the calendar is kept as UNKNOWN.
     ``prefilter`` semi-joins history and ST to the event securities first; use it
     when ``events`` is a stored table, since the join reads it again.
     """
-    cut = events_with_cutoff(events, index)
-    per_security = cut.groupBy(*R.KEY).agg(
+    calendar = day_arrays(days).withColumn("first_day", F.get("days", F.lit(0)))
+    # an event without a previous session rides on the first grid day and stays UNKNOWN
+    cut = (
+        events_with_cutoff(events, index)
+        .join(calendar.select("market_code", "first_day"), "market_code", "left")
+        .withColumn(DAY, F.coalesce("cutoff_trading_date", "first_day"))
+    )
+    due = cut.groupBy(*SORT_KEY, DAY).agg(
         # bounded: one event per type and day
         F.array_sort(F.collect_list(F.struct("cutoff_trading_date", *EVENT_FIELDS, "fact_ordinal"))).alias("events")
     )
@@ -234,22 +244,18 @@ def assess_events(
         keys = events.select(*R.KEY).distinct()
         history = history.join(keys, list(R.KEY), "left_semi")
         st = st.join(keys, list(R.KEY), "left_semi")
-    # an event without a previous session rides on the first grid day and stays UNKNOWN
-    due = F.filter(
-        "events",
-        lambda e: (e["cutoff_trading_date"] == F.col(DAY))
-        | (e["cutoff_trading_date"].isNull() & (F.coalesce("pos", F.lit(0)) == 0)),
-    )
     grid = (
-        per_security.join(day_arrays(days), "market_code", "left")
-        .select(*R.KEY, "events", F.get("days", F.lit(0)).alias("first_day"), F.posexplode_outer("days").alias("pos", DAY))
-        .select(*R.KEY, DAY, (F.col("pos") + 1).alias("ordinal"), "first_day", due.alias("due"))
+        cut.groupBy(*R.KEY).agg(F.max(DAY).alias("last_due"))
+        .join(calendar, "market_code", "left")
+        .select(*R.KEY, "last_due", "first_day", F.posexplode_outer("days").alias("pos", DAY))
+        .where(F.col(DAY).isNull() | (F.col(DAY) <= F.col("last_due")))
+        .select(*R.KEY, DAY, (F.col("pos") + 1).alias("ordinal"), "first_day")
     )
-    states = broker_states(grid, history, st, brokers, mapping, ("due",))
+    states = broker_states(grid, history, st, brokers, mapping, {"due": due})
     rows = (
         dangerous_runs(states)
-        .where(F.size("due") > 0)
-        .withColumn("event", F.explode("due"))
+        .where(F.col("due").isNotNull())
+        .withColumn("event", F.explode("due.events"))
         .select(
             *R.KEY,
             *[F.col(f"event.{c}").alias(c) for c in ("cutoff_trading_date", *EVENT_FIELDS, "fact_ordinal")],

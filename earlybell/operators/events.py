@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from earlybell import rules as R
 from earlybell.functions import scalars as S
-from earlybell.operators.panel import DAY, by_day, running
+from earlybell.operators.panel import DAY, SORT_KEY, by_day, running
 
 
 
@@ -53,7 +53,7 @@ def event_runs(panel: DataFrame, rules: R.RiskRules) -> DataFrame:
     return (
         flagged.where(F.col("is_limit_down") | F.col("is_st_entry"))
         # an ST entry forms its own group; a run never exceeds the calendar's days
-        .groupBy(*R.KEY, "is_st_entry", F.when(F.col("is_st_entry"), F.col("ordinal")).otherwise(F.col("run_id")).alias("run"))
+        .groupBy(*SORT_KEY, "is_st_entry", F.when(F.col("is_st_entry"), F.col("ordinal")).otherwise(F.col("run_id")).alias("run"))
         .agg(
             F.min_by("board_code", DAY).alias("board_code"),
             F.count("*").cast("int").alias("consecutive_length"),
@@ -80,14 +80,13 @@ def _day_at(position) -> F.Column:
     return F.get(F.col("fact_days"), position - 1)
 
 
-def _judged(panel: DataFrame, rules: R.RiskRules) -> DataFrame:
+def _judged(runs: DataFrame, rules: R.RiskRules) -> DataFrame:
     """ST entries and the runs of at least the minimum length, with number and verdict."""
     entry = F.col("is_st_entry")
-    numbering = Window.partitionBy(*R.KEY, "is_st_entry").orderBy("first_fact_date")
+    numbering = Window.partitionBy(*SORT_KEY, "is_st_entry").orderBy("first_fact_date")
     reached = F.coalesce(F.col("consecutive_length") >= F.col("applicable_threshold"), F.lit(False))
     return (
-        event_runs(panel, rules)
-        .where(entry | (F.col("consecutive_length") >= rules.minimum_segment_length))
+        runs.where(entry | (F.col("consecutive_length") >= rules.minimum_segment_length))
         .withColumn("applicable_threshold", S.lookup("board_code", rules.thresholds))
         .withColumn("segment_number", F.row_number().over(numbering))
         .withColumn("threshold_reached", ~entry & reached)
@@ -102,7 +101,7 @@ def limit_down_segments(
 ) -> DataFrame:
     """Runs of at least the minimum length with their threshold verdict."""
     return (
-        _judged(panel, rules)
+        _judged(event_runs(panel, rules), rules)
         .where(~F.col("is_st_entry"))
         .select(
             *R.KEY,
@@ -151,9 +150,14 @@ def risk_events(panel: DataFrame, rules: R.RiskRules, *, batch_id: str = "", sna
 
     Unique per key, type and first fact date by construction.
     """
+    return risk_events_of(event_runs(panel, rules), rules, batch_id=batch_id, snapshot_id=snapshot_id)
+
+
+def risk_events_of(runs: DataFrame, rules: R.RiskRules, *, batch_id: str = "", snapshot_id: str = "") -> DataFrame:
+    """:func:`risk_events` from ``event_runs``, which a caller may have stored."""
     entry = F.col("is_st_entry")
     return (
-        _judged(panel, rules)
+        _judged(runs, rules)
         .where(entry | F.col("threshold_reached"))
         .select(
             *R.KEY,
@@ -202,12 +206,25 @@ def pressure_observations(
     One run pass serves both thresholds: a run that also meets the formal one has
     the same first day as its formal event, so no join back is needed.
     """
+    return pressure_observations_of(
+        event_runs(panel, rules), rules, pressure, batch_id=batch_id, snapshot_id=snapshot_id
+    )
+
+
+def pressure_observations_of(
+    runs: DataFrame,
+    rules: R.RiskRules,
+    pressure: R.PressureRules,
+    *,
+    batch_id: str = "",
+    snapshot_id: str = "",
+) -> DataFrame:
+    """:func:`pressure_observations` from ``event_runs``, which a caller may have stored."""
     pressure.check_against(rules)
     length = F.col("consecutive_length")
     formal = (length >= F.col("formal_threshold")) & (length >= rules.minimum_segment_length)
     return (
-        event_runs(panel, rules)
-        .where(~F.col("is_st_entry"))
+        runs.where(~F.col("is_st_entry"))
         .withColumn("observation_threshold", S.lookup("board_code", pressure.thresholds))
         .withColumn("formal_threshold", S.lookup("board_code", rules.thresholds))
         .where(length >= F.col("observation_threshold"))

@@ -20,11 +20,13 @@ from earlybell import rules as R
 from earlybell.functions import scalars as S
 
 DAY = "trading_date"
+#: The key in sorting order: sorts compare an 8-byte prefix of their first column, and codes differ where markets don't.
+SORT_KEY = ("security_code", "market_code")
 
 
 def by_day(*more: str):
     """Per-security (or finer) window in day order."""
-    return Window.partitionBy(*R.KEY, *more).orderBy(DAY)
+    return Window.partitionBy(*SORT_KEY, *more).orderBy(DAY)
 
 
 def running(*more: str):
@@ -104,8 +106,9 @@ def stack_by_day(frames: Mapping[str, DataFrame]) -> DataFrame:
     )
     return (
         stacked.repartition(*R.KEY)
-        .groupBy(*R.KEY, DAY)
+        .groupBy(*SORT_KEY, DAY)
         .agg(*[F.max(n).alias(n) for n in frames])
+        .select(*R.KEY, DAY, *frames)
     )
 
 
@@ -125,7 +128,7 @@ def st_daily(risk_status: DataFrame) -> DataFrame:
         *[v.alias("record_version") for v in version],
     )
     best = F.max(F.struct(*(["record_version"] if version else []), "source_record_id", "is_st")).alias("b")
-    return rows.groupBy(*R.KEY, DAY).agg(best).select(
+    return rows.groupBy(*SORT_KEY, DAY).agg(best).select(
         *R.KEY, DAY, F.col("b.is_st").alias("is_st"), F.col("b.source_record_id").alias("source_record_id")
     )
 
@@ -170,6 +173,7 @@ def risk_panel(
     """
     start = F.lit(rules.observation_start)
     inside = trading_window(days, rules)
+    market = trading_window(market, rules)  # nothing is carried from market rows, so those outside the grid say nothing
     st = st_daily(risk_status)
     stacked = stack_by_day(
         {

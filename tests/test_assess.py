@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from earlybell import rules as R
-from earlybell.operators import assess, calendar, compare, grades, metrics, ranking
+from earlybell.operators import assess, calendar, compare, grades, metrics, panel, ranking
 from tests.builders import D, KEY_SCHEMA, rows, sessions
 
 DAYS = sessions(D(2024, 1, 1), 10)
@@ -255,3 +255,37 @@ def test_returns_use_the_grade_of_the_session_before(spark):
     assert rows(daily, "return_date", "raw_classification") == [
         (DAYS[1], "A"), (DAYS[2], "A"), (DAYS[3], "A"), (DAYS[4], "F"), (DAYS[5], "F"),
     ]
+
+
+def test_panel_sorts_by_code_first(spark):
+    # a sort compares a prefix of its first column, and a market's rows all share theirs
+    stacked = panel.stack_by_day({"st": st_frame(spark, "0" * 10)})
+    filled = stacked.withColumn("is_st", panel.carry(F.col("st.is_st")))
+    plan = filled._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [security_code" in plan
+    assert "Sort [market_code" not in plan
+
+
+def test_grid_ends_at_the_last_cutoff(spark, monkeypatch):
+    seen = []
+    whole = assess.broker_states
+    monkeypatch.setattr(assess, "broker_states", lambda *a, **kw: seen.append(a[0]) or whole(*a, **kw))
+    assert verdict(spark, {1: "F", 8: "A"}, "0" * 10, 5)[2] == 4
+    assert [r[0] for r in rows(seen[0], "trading_date")] == DAYS[:5]
+
+
+def test_events_of_a_security_meet_their_own_cutoffs(spark):
+    # one without a previous session, two on one day, one later
+    days = day_frame(spark)
+    facts = [(R.LIMIT_DOWN_EVENT, 0), (R.LIMIT_DOWN_EVENT, 4), (R.NEW_ST_EVENT, 4), (R.LIMIT_DOWN_EVENT, 7)]
+    out = assess.assess_events(
+        event_frame(spark, *facts), cells(spark, {1: "F", 5: "A"}), st_frame(spark, "0" * 10), days,
+        calendar.calendar_index(days), ["B1"], MAPPING,
+    )
+    got = {(r.event_type, r.first_fact_date): (r.identification_status, r.warning_trading_days) for r in out.collect()}
+    assert got == {
+        (R.LIMIT_DOWN_EVENT, DAYS[0]): ("UNKNOWN", None),
+        (R.LIMIT_DOWN_EVENT, DAYS[4]): ("IDENTIFIED", 3),
+        (R.NEW_ST_EVENT, DAYS[4]): ("IDENTIFIED", 3),
+        (R.LIMIT_DOWN_EVENT, DAYS[7]): ("NOT_IDENTIFIED", None),
+    }

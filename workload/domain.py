@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earlybell import rules as R
-from earlybell.operators import assess, calendar, panel
+from earlybell.operators import assess, calendar, events, panel
 from earlybell.sources.staging import store
 
 START, END = date(2024, 1, 8), date(2024, 1, 30)
@@ -36,6 +36,11 @@ def code_of(user: str = "user_id") -> Column:
     return F.concat(digits, F.lit("."), market_of(user))
 
 
+def at_risk(df: DataFrame) -> DataFrame:
+    """Rows of the markets that ``Domain.eligible`` keeps; a filter on the key passes every step to the scan."""
+    return df.where(F.col("market_code") != "XBSE")
+
+
 class Domain:
     """Lazily built domain tables of one data directory."""
 
@@ -113,8 +118,8 @@ class Domain:
 
     @cached_property
     def securities(self) -> DataFrame:
-        """Master lifecycle: listed on the first event day, every seventh one delisted 21 days later."""
-        return self.facts.groupBy("user_id", *R.KEY).agg(F.min("trading_date").alias("listed_date")).select(
+        """Master lifecycle, stored once: listed on the first event day, every seventh one delisted 21 days later."""
+        listed = self.facts.groupBy("user_id", *R.KEY).agg(F.min("trading_date").alias("listed_date")).select(
             "user_id",
             *R.KEY,
             "listed_date",
@@ -124,6 +129,7 @@ class Domain:
                 "WHEN user_id % 5 = 1 THEN 'KSH' ELSE 'MainBoard' END"
             ).alias("board_code"),
         )
+        return store(listed, "securities")
 
     @cached_property
     def master(self) -> DataFrame:
@@ -193,8 +199,8 @@ class Domain:
 
     @cached_property
     def st_known(self) -> DataFrame:
-        """ST state per lifecycle session; null before the first change."""
-        return panel.st_filled(self.life, self.days, self.st_changes)
+        """ST state per lifecycle session, stored once; null before the first change."""
+        return store(panel.st_filled(self.life, self.days, self.st_changes), "st_known")
 
     @cached_property
     def risk_status(self) -> DataFrame:
@@ -210,7 +216,10 @@ class Domain:
     @cached_property
     def wide(self) -> DataFrame:
         """Wide grade history from the last click of each security-day (weekends included)."""
-        picked = self.facts.where(F.col("click_amt").isNotNull()).select(
+        return self._wide(self.facts)
+
+    def _wide(self, facts: DataFrame) -> DataFrame:
+        picked = facts.where(F.col("click_amt").isNotNull()).select(
             F.col("trading_date").alias("biz_date"), "user_id", F.col("click_amt").alias("v")
         )
         digits = F.expr("lpad(cast(user_id as string), greatest(6, length(cast(user_id as string))), '0')")
@@ -233,19 +242,21 @@ class Domain:
     # --- derived results shared by several queries ---------------------------
     @cached_property
     def panel(self) -> DataFrame:
-        return panel.risk_panel(self.eligible, self.days, self.market, self.risk_status, self.master, RULES)
+        facts = [at_risk(df) for df in (self.market, self.risk_status, self.master)]
+        return panel.risk_panel(self.eligible, self.days, *facts, RULES)
 
     @cached_property
-    def risk_events(self) -> DataFrame:
-        from earlybell.operators import events
+    def stored_runs(self) -> DataFrame:
+        """Runs and ST entries of the panel, which formal and pressure events are judged from."""
+        return store(events.event_runs(self.panel, RULES), "event_runs")
 
-        return events.risk_events(self.panel, RULES, batch_id="b1", snapshot_id="s1")
+    @cached_property
+    def risk_events(self) -> DataFrame:
+        return events.risk_events_of(self.stored_runs, RULES, batch_id="b1", snapshot_id="s1")
 
     @cached_property
     def pressure(self) -> DataFrame:
-        from earlybell.operators import events
-
-        return events.pressure_observations(self.panel, RULES, PRESSURE, batch_id="b1", snapshot_id="s1")
+        return events.pressure_observations_of(self.stored_runs, RULES, PRESSURE, batch_id="b1", snapshot_id="s1")
 
     @cached_property
     def stored_events(self) -> DataFrame:
@@ -258,9 +269,13 @@ class Domain:
 
     @cached_property
     def assessments(self) -> DataFrame:
-        return assess.assess_events(
-            self.stored_events, self.cells, self.st_known, self.days, self.index, BROKERS, MAPPING, prefilter=True
-        )
+        return self.assessed(self.stored_events)
+
+    def assessed(self, found: DataFrame) -> DataFrame:
+        """Assessments of formal or pressure events. Most securities at risk have some, so the
+        other markets are left out by name, and no join looks for the rest."""
+        cells = assess.wide_to_cells(self._wide(at_risk(self.facts)), BROKERS, digits=CODE_DIGITS)
+        return assess.assess_events(found, cells, at_risk(self.st_known), self.days, self.index, BROKERS, MAPPING)
 
     @cached_property
     def stored_assessments(self) -> DataFrame:
