@@ -282,6 +282,10 @@ class Domain:
         """Assessments as the stored result that several metric tables read."""
         return store(self.assessments, "assessments")
 
+    @cached_property
+    def stored_pressure_assessments(self) -> DataFrame:
+        return store(self.assessed(self.stored_pressure.withColumnRenamed("observation_date", "risk_date")), "pressure_assessments")
+
     @cached_property
     def exposure_states(self) -> DataFrame:
         return assess.exposure_states(

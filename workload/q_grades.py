@@ -14,18 +14,8 @@ from workload.registry import half_up, query
 BUCKETS = "(SELECT unnest(['A','B','C','D','E','F','G','BLANK','UNKNOWN']) AS classification)"
 
 
-def _pressure_events(d: Domain):
-    return d.stored_pressure.withColumnRenamed("observation_date", "risk_date")
-
-
-def _pressure_assessments(d: Domain):
-    return assess.assess_events(
-        _pressure_events(d), d.cells, d.st_known, d.days, d.index, BROKERS, MAPPING, prefilter=True
-    )
-
-
 def _pressure_detail(d: Domain, broker: str):
-    own = _pressure_assessments(d).where(F.col("broker_id") == broker)
+    own = d.stored_pressure_assessments.where(F.col("broker_id") == broker)
     return grades.pressure_detail(d.stored_pressure, own)
 
 
